@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +54,7 @@ class Scratch:
         path = f"{self.root}/{self.n}"
         df.write.option("compression", "zstd").parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
+        self.spark.sparkContext._jvm.System.gc()  # so that Spark's cleaner removes the finished job's shuffle files
         self.paths[id(back)] = path
         return back
 
@@ -60,14 +63,19 @@ class Scratch:
             _delete(self.spark, path)
 
 
-def per_text(docs: DataFrame, fn: Callable[[list, list], dict], schema: str, *extra: str) -> DataFrame:
-    """``fn(doc_ids, texts, *extra columns)`` on Arrow batches of ``docs``; it returns columns of ``schema``."""
-    from pyspark.sql.types import StructType
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Only the driver can parse a schema; a task gets the result."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
 
-    fields = StructType.fromDDL(schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    arrow = to_arrow_schema(fields)
+
+def per_text(docs: DataFrame, fn: Callable[[list, list], dict], schema: str, *extra: str) -> DataFrame:
+    """``fn(doc_ids, texts, *extra columns)`` on Arrow batches of ``docs``; it returns columns of ``schema``."""
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

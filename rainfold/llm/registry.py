@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rainfold.llm.licenses import op6_licenses
+from rainfold.llm.packing import op2_packing
+from rainfold.llm.phrases import OP10_SQL, op10_phrases
 from rainfold.llm.quality_rules import op8_quality_rules
 from rainfold.llm.simhash import op4_simhash
+from rainfold.llm.suffixes import op9_suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
+    "op6_licenses": op6_licenses,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffixes": op9_suffixes,
+    "op10_phrases": op10_phrases,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_phrases": OP10_SQL}

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, components, per_text, table
 
-#: Above this many distinct fingerprints a bucket is linked by full-width signatures, of which a fingerprint has 2016 at two bits: as many as a bucket of this size has pairs.
-BUCKET = 64
+#: Above this many distinct fingerprints a bucket is linked by full-width signatures, which cost a fingerprint 2016 rows at two bits; below it, at most BUCKET - 1 pairs in each of 64 buckets.
+BUCKET = 16
 
 
 def shingle_hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
