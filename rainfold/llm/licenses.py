@@ -66,7 +66,7 @@ class Search:
             self.automaton.make_automaton()
 
     def spans(self, text: str) -> list[tuple[int, int, str, int, int]]:
-        """(start, end, label, edits, length of the notice) of every notice found, by start."""
+        """(start, end, label, edits, length of the notice) of the notices found, by start; of overlapping ones the closest."""
         areas: dict[int, list[list[int]]] = {}
         for end, (size, where) in self.automaton.iter(text) if len(self.automaton) else ():
             for i, shift in where:
@@ -82,7 +82,11 @@ class Search:
             n, label, _ = self.notices[i]
             for a, b in own:
                 found += [(a + m.start(), a + m.end(), label, sum(m.fuzzy_counts), len(n)) for m in self.patterns[i].finditer(text[a:b])]
-        return sorted(found)
+        kept: list[tuple] = []
+        for s in sorted(found, key=lambda s: (s[3] / s[4], -s[4], s[0])):  # of overlapping notices the closest one
+            if all(s[1] <= k[0] or k[1] <= s[0] for k in kept):
+                kept.append(s)
+        return sorted(kept)
 
 
 def scan(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
