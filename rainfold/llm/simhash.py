@@ -16,8 +16,6 @@ smallest of a component. Repeated rows stay repeated. An empty table gives an em
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,8 +24,8 @@ from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, components, per_text, table
 
-#: Above this many distinct fingerprints a bucket is linked by full-width signatures, which cost a fingerprint 2016 rows at two bits; below it, at most BUCKET - 1 pairs in each of 64 buckets.
-BUCKET = 16
+#: Above this many distinct fingerprints a bucket is linked by full-width signatures, of which a fingerprint has 2016 at two bits.
+BUCKET = 128
 
 
 def shingle_hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
@@ -91,18 +89,32 @@ def links(fps: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
     """Edges ``(a, b)`` that connect exactly what fingerprints at ``max_bits`` or fewer differing bits connect."""
     index = variants(fps, max_bits)
     buckets = scratch.write(index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
-    two = buckets.where("n = 2").select("a", "b").where(near(max_bits))
+    firsts = [first for first, _ in segments(max_bits)]
+    is_first = F.shiftright("key", 40).isin(firsts)
+    side = lambda fp: F.expr(f"shiftrightunsigned({fp}, cast(key >> 40 as int)) & 1")
+    two = buckets.where("n = 2").where(is_first | (side("a") != side("b"))).select("a", "b").where(near(max_bits))
     members = scratch.write(index.join(buckets.where("n > 2").select("key", "n"), "key"))
-    few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("all"))
-    few = few.select(F.posexplode("all").alias("i", "a"), "all").select("a", F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("b")).where(near(max_bits))
-    hot = members.where(F.col("n") > BUCKET).select("fp").distinct()
-    hot = hot.repartition(max(1, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "fp")
-    masks = [sum(1 << i for i in bits) for bits in combinations(range(64), max_bits)]
-    masks = F.array(*(F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in masks))
-    signed = hot.select("fp", F.explode(masks).alias("mask")).select("fp", "mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
+    few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list("fp").alias("all"))
+    # Equal segments meet in every bucket of the segment, and count in its first; those that differ in the bucket's bit only here.
+    few = few.withColumn("first", is_first).select("key", "first", "all", F.explode("all").alias("a"))
+    partner = f"(y > a) and (first or ((shiftrightunsigned(a ^ y, cast(key >> 40 as int)) & 1) = 1)) and bit_count(a ^ y) <= {max_bits}"
+    few = few.select("a", F.explode(F.expr(f"filter(all, y -> {partner})")).alias("b"))
+    hot = scratch.write(members.where(F.col("n") > BUCKET).select("fp").distinct())
+    out = two.union(few)
+    if not hot.isEmpty():
+        out = out.union(starred(hot, max_bits))
+    return out.distinct()
+
+
+def starred(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Edges to the smallest fingerprint of each signature with ``max_bits`` of the 64 bits wildcarded; equal signatures are near."""
+    signed = fps.repartition(max(1, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "fp").select("fp", F.lit(-1).alias("i"), F.lit(0).cast("long").alias("mask"))
+    for left in reversed(range(max_bits)):
+        signed = signed.select("fp", "mask", F.explode(F.sequence(F.col("i") + 1, F.lit(63 - left))).alias("i"))
+        signed = signed.select("fp", "i", F.expr("mask | shiftleft(1L, i)").alias("mask"))
+    signed = signed.select("fp", "mask", F.expr("fp & ~mask").alias("rest"))
     least = signed.groupBy("mask", "rest").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("mask", "rest", "a")
-    star = signed.join(least, ["mask", "rest"]).select("a", F.col("fp").alias("b")).where("a <> b")
-    return two.union(few).union(star).distinct()
+    return signed.join(least, ["mask", "rest"]).select("a", F.col("fp").alias("b")).where("a <> b")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
