@@ -33,7 +33,7 @@ from rainfold.llm.winnow import LAST, anchored, candidates, cut, keyed, prefix_h
 
 LENGTH, GRAM = 400, 32
 #: Starts in a block, blocks of a core that one task may gather, and blocks sorted at a time.
-BLOCK, GROUP, TOGETHER = 64, 256, 256
+BLOCK, GROUP, TOGETHER = 64, 4096, 256
 VALUES = np.random.default_rng(9).integers(0, 1 << 64, 256, np.uint64)
 
 
@@ -221,7 +221,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, gram: int) ->
 
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sort = blocks(False).repartition(parts, "core").sortWithinPartitions("core", "doc_id", "start").mapInArrow(sorted_repeats(length), "doc_id long, a long, b long")
-    each = blocks(True).mapInArrow(single_windows(length), "x long, y long, doc_id long, start long")
+    each = blocks(True).repartition(parts, "doc_id", "start").mapInArrow(single_windows(length), "x long, y long, doc_id long, start long")
     at = F.struct("doc_id", "start")
     twice = each.groupBy("x", "y").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("x", "y")
     counted = each.join(twice, ["x", "y"]).select("doc_id", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
