@@ -50,14 +50,18 @@ class Scratch:
         atexit.register(_delete, spark, self.root)
 
     def write(self, df: DataFrame) -> DataFrame:
+        self.settle()
         self.n += 1
         path = f"{self.root}/{self.n}"
         df.write.option("compression", "zstd").parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self.spark.sparkContext._jvm.System.gc()  # so that Spark's cleaner removes the finished job's shuffle files
         self.paths[id(back)] = path
         return back
 
+    def settle(self) -> None:
+        """Lets Spark's cleaner remove the shuffle files of jobs whose DataFrames are gone."""
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         if path := self.paths.pop(id(df), None):
             _delete(self.spark, path)

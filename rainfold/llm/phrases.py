@@ -29,10 +29,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import Scratch, table
+from rainfold.llm.common import Scratch, arrow_schema, batch_of, table
 from rainfold.llm.winnow import LAST, anchored, candidates, cut, keyed, mix, prefix_hashes, range_hash
 
-LENGTH, GRAM = 20, 6
+LENGTH, GRAM = 20, 5
 #: Documents whose passages share an automaton, and words whose hashes are remembered.
 SHARD, WORDS = 64, 500_000
 
@@ -41,7 +41,7 @@ class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > WORDS:
             self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        found = self[word] = xxhash.xxh3_64_intdigest(word) >> 1
         return found
 
 
@@ -54,8 +54,8 @@ class WordUnits:
         self.known = WordHash()
 
     def __call__(self, text: str) -> np.ndarray:
-        known = self.known
-        return np.array([known[w] for w in split(text)], np.uint64)
+        words = split(text)
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
 
 def slice_words(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
@@ -70,15 +70,15 @@ def windows(slices: DataFrame, length: int) -> DataFrame:
         units = WordUnits()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                ids, s0, texts = (c.to_pylist() for c in batch.slice(at, 1024).columns)
-                out: list[list[np.ndarray]] = [[], [], [], []]
-                for doc_id, first, text in zip(ids, s0, texts):
-                    u = units(text)
-                    i = np.arange(max(0, len(u) - length + 1))
-                    hashes = mix(range_hash(prefix_hashes(u), i, i + length)).view(np.int64)
-                    for column, values in zip(out, (hashes, np.full(len(i), doc_id), np.full(len(i), first), i + first)):
-                        column.append(values)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c or [np.empty(0, np.int64)]).astype(np.int64)) for c in out], names=["w", "doc_id", "s0", "start"])
+                ids, s0 = (c.to_numpy().astype(np.int64) for c in batch.slice(at, 1024).columns[:2])
+                held = [units(t) for t in batch.column(2).slice(at, 1024).to_pylist()]
+                piece = np.repeat(np.arange(len(held)), [len(u) for u in held])
+                first = np.concatenate(([0], np.cumsum([len(u) for u in held])))
+                prefix = prefix_hashes(np.concatenate(held))
+                i = np.flatnonzero(piece[: max(0, len(piece) - length + 1)] == piece[length - 1 :])
+                hashes = mix(range_hash(prefix, i, i + length)).view(np.int64)
+                of = piece[i]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (hashes, ids[of], s0[of], s0[of] + i - first[of])], names=["w", "doc_id", "s0", "start"])
 
     return slices.select("doc_id", "s0", "words").mapInArrow(run, "w long, doc_id long, s0 long, start long")
 
@@ -86,6 +86,8 @@ def windows(slices: DataFrame, length: int) -> DataFrame:
 def joined_passages(length: int):
     """From slices with their recurring windows, passages: runs of windows that continue each other at their first occurrence too."""
 
+    schema = arrow_schema(PASSAGES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -96,16 +98,18 @@ def joined_passages(length: int):
                 for b in range(1, len(found) + 1):
                     if b == len(found) or found[b] != (found[b - 1][0] + 1, found[b - 1][1], found[b - 1][2] + 1):
                         i = found[a][0] - s0
-                        rows.append((doc_id, found[a][1], found[a][2], " ".join(words[i : i + b - a - 1 + length])))
+                        rows.append((doc_id, found[a][0], found[a][1], found[a][2], " ".join(words[i : i + b - a - 1 + length])))
                         a = b
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=["doc_id", "first_doc", "first_start", "words"])
+            yield batch_of(rows, schema)
 
     return run
 
 
+PASSAGES = "doc_id long, start long, first_doc long, first_start long, words string"
+
+
 def passages(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
-    """``(doc_id, first_doc, first_start, words)``: passages that the document may hold after their first occurrence."""
+    """PASSAGES that a document may hold at ``start`` after their first occurrence."""
     found = scratch.write(candidates(anchored(docs, WordUnits(), length, gram)))
     place = F.struct("doc_id", "s0")
     kinds = scratch.write(found.groupBy("g", "h").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("recurs"), F.first("more").alias("more")))
@@ -114,19 +118,36 @@ def passages(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataF
     wanted = wanted.select("first.*", (F.col("more") + length).alias("units"), "g", "h", "recurs", "mixed")
     held = scratch.write(cut(docs, wanted, "g long, h long, recurs boolean, mixed boolean", slice_words, "words string"))
     whole = held.where("recurs").select("g", "h", F.col("doc_id").alias("first_doc"), F.col("s0").alias("first_start"), "words")
-    whole = found.join(whole, ["g", "h"]).where("doc_id <> first_doc or s0 <> first_start").select("doc_id", "first_doc", "first_start", "words")
+    whole = found.join(whole, ["g", "h"]).where("doc_id <> first_doc or s0 <> first_start").select("doc_id", F.col("s0").alias("start"), "first_doc", "first_start", "words")
     mixed = held.where("mixed")
     each = scratch.write(windows(mixed, length))
     at = F.struct("doc_id", "start")
     often = each.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("w", "first")
     later = each.join(often, "w").where(at != F.col("first")).groupBy("doc_id", "s0").agg(F.collect_list(F.struct("start", "first")).alias("found"))
     parts = mixed.join(later, ["doc_id", "s0"]).select("doc_id", "s0", "words", "found")
-    return whole.union(parts.mapInArrow(joined_passages(length), "doc_id long, first_doc long, first_start long, words string"))
+    return whole.union(parts.mapInArrow(joined_passages(length), PASSAGES))
+
+
+def merged(found: list[dict]) -> Iterator[tuple[list[bytes], tuple[int, int]]]:
+    """Words and first occurrence of a document's passages, those joined that overlap alike in both places."""
+    words: list[bytes] = []
+    line = (0, 0, 0)
+    for p in sorted(found, key=lambda p: (p["first_doc"], p["start"] - p["first_start"], p["start"])):
+        own = p["words"].encode("utf-8", "surrogatepass").split(b" ")
+        at = p["start"] - line[2]
+        if words and line[:2] == (p["first_doc"], p["start"] - p["first_start"]) and at <= len(words):
+            words += own[len(words) - at :]
+            continue
+        if words:
+            yield words, (line[0], line[2] - line[1])
+        words, line = own, (p["first_doc"], p["start"] - p["first_start"], p["start"])
+    if words:
+        yield words, (line[0], line[2] - line[1])
 
 
 def swept(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Step 3: ``(doc_id, n_words, n_removed, kept_sha256, kept)`` for every row of ``docs``."""
-    own = found.groupBy("doc_id").agg(F.collect_list(F.struct("first_doc", "first_start", "words")).alias("passages"))
+    own = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "first_doc", "first_start", "words")).alias("passages"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,9 +156,9 @@ def swept(docs: DataFrame, found: DataFrame) -> DataFrame:
                 ids, texts, own = (c.to_pylist() for c in batch.slice(at, SHARD).columns)
                 numbers: dict[bytes, int] = {}
                 firsts: dict[tuple, tuple[int, int]] = {}
-                for p in (p for ps in own for p in ps or ()):
-                    key = tuple([numbers.setdefault(w, len(numbers) + 1) for w in p["words"].encode("utf-8", "surrogatepass").split(b" ")])
-                    firsts[key] = min(firsts.get(key, (LAST, LAST)), (p["first_doc"], p["first_start"]))
+                for words, first in (p for ps in own for p in merged(ps or [])):
+                    key = tuple([numbers.setdefault(w, len(numbers) + 1) for w in words])
+                    firsts[key] = min(firsts.get(key, (LAST, LAST)), first)
                 automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
                 for key, first in firsts.items():
                     automaton.add_word(key, (len(key), first))
@@ -162,7 +183,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256, kept)``; ``kept`` is the text that stays, its words joined by a space."""
     scratch = Scratch(docs.sparkSession, "phrases")
     docs = keyed(docs)
-    out = swept(docs, passages(docs, scratch, length, gram))
+    found = passages(docs, scratch, length, gram)
+    scratch.settle()
+    out = swept(docs, found)
     return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
 
 

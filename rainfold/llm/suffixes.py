@@ -259,7 +259,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``; ``kept`` is the bytes that stay."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     docs = keyed(docs)
-    out = without(docs, repeated_spans(docs, scratch, length, gram))
+    spans = repeated_spans(docs, scratch, length, gram)
+    scratch.settle()
+    out = without(docs, spans)
     return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
 
 

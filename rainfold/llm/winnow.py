@@ -22,7 +22,7 @@ from rainfold.llm.common import arrow_schema, batch_of
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 #: Units hashed at a time; longer texts are taken in chunks that overlap by a window.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 SLICES = "doc_id long, s0 long, more int, rel int, g long, h long"
 _POWERS: dict[int, np.ndarray] = {}
 
