@@ -7,18 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rainfold.llm.chat import OP3_SQL, op3_chat
+from rainfold.llm.decontamination import op1_decontamination
 from rainfold.llm.licenses import op6_licenses
 from rainfold.llm.packing import op2_packing
 from rainfold.llm.phrases import OP10_SQL, op10_phrases
+from rainfold.llm.quality_model import op5_quality_model
 from rainfold.llm.quality_rules import op8_quality_rules
 from rainfold.llm.secrets import op7_secrets
 from rainfold.llm.simhash import op4_simhash
 from rainfold.llm.suffixes import op9_suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_chat": op3_chat,
     "op4_simhash": op4_simhash,
+    "op5_quality_model": op5_quality_model,
     "op6_licenses": op6_licenses,
     "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
