@@ -67,6 +67,14 @@ class Scratch:
             _delete(self.spark, path)
 
 
+_SPACES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Runs of digits, ASCII letters in lower case and non-ASCII characters."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().translate(_SPACES).split()
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """Only the driver can parse a schema; a task gets the result."""
     return to_arrow_schema(StructType.fromDDL(ddl))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import arrow_schema, batch_of, table
+from rainfold.llm.common import arrow_schema, batch_of, table, words_of
 
 PASSAGE, STRIDE = 32, 16
 SKETCH, RANK = 128, 64
@@ -33,14 +33,9 @@ COSINE, REACH, HIGH, LOW = 0.3, 0.35, 0.8, 0.6
 #: Words in over this share of the passages are common, and weigh this much of their IDF.
 COMMON, COMMON_WEIGHT = 0.02, 0.05
 BLOCK, AT_ONCE = 16 << 20, 1 << 18
-_SPACES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 SCHEMA = "doc_id long, item_id long, cosine double, lcs double, answer double"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().translate(_SPACES).split()
-
-
 def halves(docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Known words of texts with the number of their stride, and the first stride of each text; strides of all texts count on."""
     n = np.array([len(d) for d in docs], np.int64)
@@ -130,12 +125,14 @@ def common_words(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def search(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> DataFrame:
+def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = False) -> DataFrame:
+    """SCHEMA rows of the documents that hold an item; with ``drop`` instead the rows of ``docs``, with all columns, that hold none."""
     numbers: dict[bytes, int] = {}
     for _, words in items:
         for w in words:
             numbers.setdefault(w, len(numbers))
-    table_ = latent(*sketched(docs, numbers))
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    table_ = latent(*sketched(own, numbers))
     coded = [(item_id, [numbers[w] for w in words]) for item_id, words in items]
     parts = [(i, words[a : a + PASSAGE]) for i, (_, words) in enumerate(coded) for a in range(0, max(1, len(words) - STRIDE), STRIDE)]
     owner = np.array([i for i, _ in parts])
@@ -146,8 +143,8 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for ids, known in batches_of(batch, numbers):
+            rows, clean = [], []
+            for ids, known in batches_of(batch.select(["doc_id", "text"]), numbers):
                 word, stride, first = halves(known)
                 sums = np.zeros((int(first[-1]) + 1, table_.shape[1]), np.float32)
                 at = np.flatnonzero(np.diff(stride, prepend=-1))
@@ -177,25 +174,39 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> DataFrame:
                         held = common_words(answer, around) / len(answer)
                         if lcs >= HIGH or held >= HIGH:
                             best[doc, i] = max(best.get((doc, i), (0.0,)), (lcs, held, cosine))
+                if drop:
+                    hit = {doc for doc, _ in best}
+                    clean += [doc not in hit for doc in range(len(ids))]
+                    continue
                 rows += [(ids[doc], coded[i][0], cosine, lcs, held) for (doc, i), (lcs, held, cosine) in sorted(best.items())]
-            yield batch_of(rows, schema)
+            yield batch.filter(pa.array(clean, pa.bool_())) if drop else batch_of(rows, schema)
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(run, docs.schema) if drop else own.mapInArrow(run, SCHEMA)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, item_id, cosine, lcs, answer)`` of every document that holds an item."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
     benchmark = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     blocks = 1 + (benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK
-    out = docs.sparkSession.createDataFrame([], SCHEMA)
     for k in range(blocks):
-        items = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        items = [(i, words) for i, t in items if (words := words_of(t))]
-        if items:
-            out = out.union(search(docs, items))
+        rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
+        if items := [(i, words) for i, t in rows if (words := words_of(t))]:
+            yield items
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``(doc_id, item_id, cosine, lcs, answer)`` of every document that holds an item."""
+    out = docs.sparkSession.createDataFrame([], SCHEMA)
+    for items in item_blocks(benchmark):
+        out = out.union(search(docs, items))
     return out
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item."""
+    for items in item_blocks(benchmark):
+        docs = search(docs, items, drop=True)
+    return docs
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

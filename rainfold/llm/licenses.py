@@ -17,7 +17,7 @@ import ahocorasick
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from rainfold.llm.common import per_text, table
+from rainfold.llm.common import per_text, table, words_of
 
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 #: Wording of short notices, by label.
@@ -41,11 +41,6 @@ NOTICES = {
     "all rights reserved": "all-rights-reserved",
 }
 ERROR_SHARE = 12
-_SPACES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().translate(_SPACES).split()
 
 
 class Search:

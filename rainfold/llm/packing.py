@@ -24,12 +24,13 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import arrow_schema, batch_of, table
+from rainfold.llm.common import arrow_schema, table
 
 CAPACITY, END_ID, VOCABULARY = 2048, 1, "word_bpe_49k.json"
 #: Remainders packed at a time, texts tokenised at a time, and words that a worker remembers.
@@ -181,18 +182,24 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, *extra: str) -> D
         encoder, packer = Encoder(path), Packer(capacity)
         base = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
+        held: list[bytes] = []
 
         def keep(placed: Iterator[tuple]) -> None:
             for (key, start, length), sequence, offset in placed:
                 doc_id, total, begin, buffer = key
                 raw = buffer[4 * (start - begin) : 4 * (start - begin + length)]
-                row = (doc_id, start, length, zlib.crc32(raw), total, base + sequence, offset)
-                rows.append((*row, list(struct.unpack(f"<{length}I", raw))) if "ids" in extra else row)
+                rows.append((doc_id, start, length, zlib.crc32(raw), total, base + sequence, offset))
+                if "ids" in extra:
+                    held.append(raw)
 
         def given() -> pa.RecordBatch:
-            out = batch_of(rows, arrow)
+            columns = [pa.array(c, type=pa.int64()) for c in zip(*rows)] or [pa.array([], type=pa.int64())] * 7
+            if "ids" in extra:
+                ends = np.cumsum([0, *(len(x) // 4 for x in held)], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(held), "<i4"))))
             rows.clear()
-            return out
+            held.clear()
+            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):

@@ -112,9 +112,9 @@ def limits(tokens: DataFrame) -> dict[int, int]:
     return out
 
 
-def spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def spans(docs: DataFrame, scratch: Scratch, row: Column) -> DataFrame:
     """``(row, doc_id, kind, start, end, aside)``: every span and token; a row with null kind for a text without any."""
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     empty = F.array().cast("array<struct<kind:int,i:int,gap:int,hit:string>>")
     found = docs.select("row", "doc_id", F.explode_outer(F.concat(*(F.coalesce(hits(k), empty) for k in KINDS))).alias("h")).select("row", "doc_id", "h.*")
     so_far = Window.partitionBy("row", "kind").orderBy("i")
@@ -135,7 +135,7 @@ def spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    found = spans(docs, Scratch(docs.sparkSession, "secrets"))
+    found = spans(docs, Scratch(docs.sparkSession, "secrets"), F.monotonically_increasing_id())
     names = F.array(*map(F.lit, KINDS))
     text = F.concat_ws(":", F.element_at(names, F.col("kind") + 1), "start", "end")
     mine = F.struct("start", "kind", text.alias("text"))
@@ -145,5 +145,22 @@ def scan(docs: DataFrame) -> DataFrame:
     return per_text.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.array_join(F.col("base.text"), ","), 256).alias("base_sha256"), F.array_join(F.col("all.text"), ",").alias("spans"))
 
 
+def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """The rows of ``docs``, with all their columns, with ``mark`` in place of every span. A column ``n_chars`` is counted anew."""
+    own = F.concat_ws(":", "doc_id", F.xxhash64("text"), F.length("text"))
+    found = spans(docs, Scratch(docs.sparkSession, "redaction"), own)
+    live = found.where(F.col("kind").isNotNull() & ~F.col("aside"))
+    by_row = live.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found_spans"))
+    state = "struct<out:string,pos:int>"
+    step = f"""aggregate(found_spans, cast(struct('', 0) as {state}), (a, s) -> if(s.end <= a.pos, a, cast(struct(
+        concat(a.out, substr(text, a.pos + 1, greatest(s.start - a.pos, 0)), if(s.start >= a.pos, '{mark}', '')), s.end) as {state})),
+        a -> concat(a.out, substr(text, a.pos + 1)))"""
+    text = F.when(F.col("found_spans").isNull(), F.col("text")).otherwise(F.expr(step))
+    out = docs.withColumn("found_row", own).join(by_row.withColumnRenamed("row", "found_row"), "found_row", "left").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("found_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))

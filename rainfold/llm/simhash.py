@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import Scratch, components, per_text, table
+from rainfold.llm.common import Scratch, components, per_text, table, words_of
 
 #: Above this many distinct fingerprints a bucket is linked by full-width signatures, of which a fingerprint has 2016 at two bits.
 BUCKET = 128
@@ -78,7 +78,7 @@ def variants(fps: DataFrame, max_bits: int) -> DataFrame:
     for first, width in segments(max_bits):
         value = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
         parts += [(F.lit(first + i).cast("long") * F.lit(1 << 40)).bitwiseOR(value.bitwiseAND(F.lit(~(1 << i)).cast("long"))) for i in range(width)]
-    return fps.select("fp", F.explode(F.array(*parts)).alias("key"))
+    return fps.select("*", F.explode(F.array(*parts)).alias("key"))
 
 
 def near(max_bits: int):
@@ -132,5 +132,85 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, seed: in
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def damped_words(text: str | None) -> np.ndarray:
+    """Hashes of the single words, repeated as the square root of their count, so that edits weigh little and frequent words don't rule."""
+    words = words_of(text)
+    found, counts = np.unique(shingle_hashes(words, 1, 42), return_counts=True)
+    return np.repeat(found, np.maximum(1, np.round(np.sqrt(counts))).astype(np.int64))
+
+
+def marks(docs: DataFrame, words: int) -> DataFrame:
+    """``(id, fp, whole)``: the fingerprint of damped words and a hash of the set of shingles."""
+
+    def run(ids: list, texts: list) -> dict:
+        fps, wholes = [], []
+        for text in texts:
+            fps.append(fold(damped_words(text)))
+            wholes.append(int.from_bytes(xxhash.xxh3_64_digest(np.unique(shingle_hashes(words_of(text), words, 7)).tobytes()), "big", signed=True))
+        return {"id": ids, "fp": fps, "whole": wholes}
+
+    return per_text(docs, run, "id long, fp long, whole long")
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    def run(ids: list, texts: list) -> dict:
+        return {"id": ids, "own": [np.unique(shingle_hashes(words_of(t), words, 7)).view(np.int64) for t in texts]}
+
+    return per_text(docs, run, "id long, own array<long>")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose shingle sets have a Jaccard similarity of ``least`` or more."""
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("own").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
+def representatives(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without near copies: of each group the smallest doc_id stays.
+
+    Near copies share ``least`` of their ``words``-word shingles. Texts with the same shingles are one node. Nodes meet in the buckets of
+    one-wildcard segment variants of a fingerprint of their words, and each link is verified on the shingle sets. In a bucket of over BUCKET nodes
+    all are compared with the smallest one; those that it doesn't link are compared again among themselves, until the bucket is small.
+    Rows without doc_id stay. Of rows that share a doc_id one stays.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "copies")
+    named = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
+    marked = scratch.write(marks(named, words))
+    nodes = scratch.write(marked.groupBy("fp", "whole").agg(F.min("id").alias("id")))
+    parts = variants(nodes.select("fp", "id"), max_bits)
+    often = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = scratch.write(parts.join(often, "key"))
+    wanted = named.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = scratch.write(shingle_sets(wanted.select("doc_id", "text"), words).dropDuplicates(["id"]))
+    firsts = ", ".join(str(first) for first, _ in segments(max_bits))
+    found = []
+    while True:
+        few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list(F.struct("id", "fp")).alias("all"))
+        few = few.select("key", "all", F.explode("all").alias("m"))
+        partner = f"y.id > m.id and ((key >> 40) in ({firsts}) or ((shiftrightunsigned(m.fp ^ y.fp, cast(key >> 40 as int)) & 1) = 1)) and bit_count(m.fp ^ y.fp) <= {max_bits}"
+        pairs = few.select(F.col("m.id").alias("a"), F.explode(F.expr(f"filter(all, y -> {partner})")).alias("y")).select("a", F.col("y.id").alias("b"))
+        hot = members.where(F.col("n") > BUCKET)
+        if hot.isEmpty():
+            found.append(scratch.write(similar(pairs.distinct(), sets, least)))
+            break
+        hubs = hot.groupBy("key").agg(F.min("id").alias("a"))
+        to_hub = hot.join(hubs, "key").where("id <> a")
+        linked = scratch.write(similar(pairs.union(to_hub.select("a", F.col("id").alias("b"))).distinct(), sets, least))
+        found.append(linked)
+        rest = to_hub.join(linked.withColumnRenamed("b", "id"), ["a", "id"], "left_anti").select("key", "fp", "id")
+        left = rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        members = scratch.write(rest.join(left, "key"))
+    edges = found[0]
+    for more in found[1:]:
+        edges = edges.union(more)
+    roots = components(edges, scratch)
+    gone = roots.where("node <> root").select(F.col("node").alias("id"))
+    stay = nodes.select("id").join(gone, "id", "left_anti").withColumnRenamed("id", "doc_id")
+    kept = named.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return kept.union(docs.where("doc_id is null"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
