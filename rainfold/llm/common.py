@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -60,6 +61,7 @@ class Scratch:
 
     def settle(self) -> None:
         """Lets Spark's cleaner remove the shuffle files of jobs whose DataFrames are gone."""
+        gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
     def drop(self, df: DataFrame) -> None:
