@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Passages of all documents (``PASSAGE`` words, every ``STRIDE``) are rows of a TF-IDF matrix over the benchmark's words. Tasks count
-   document frequencies and sketch the matrix to ``SKETCH`` rows: each passage is added to one of them with a random sign. The sketches add up
+   in how many strides a word is and sketch the matrix to ``SKETCH`` rows: each passage is added to one of them with a random sign. The sketches add up
    by grouped sums. The right singular vectors of the sketch, scaled by IDF, span the latent space (a randomised SVD: the
    sketch preserves the Gram matrix in expectation). What comes to the driver has the benchmark's size.
 2. A passage is a candidate for an item if the cosine of their latent vectors is at least ``COSINE`` and the passage's
@@ -18,7 +18,7 @@ one row each. Without benchmark or documents the result is empty.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,31 +30,33 @@ from rainfold.llm.common import arrow_schema, batch_of, table, words_of
 PASSAGE, STRIDE = 32, 16
 SKETCH, RANK = 128, 64
 COSINE, REACH, HIGH, LOW = 0.3, 0.35, 0.8, 0.6
-#: Words in over this share of the passages are common, and weigh this much of their IDF.
-COMMON, COMMON_WEIGHT = 0.02, 0.05
+#: Words in over this share of the strides are common; see ``latent``.
+COMMON, COMMON_WEIGHT, RARE = 0.002, 0.05, 4
 BLOCK, AT_ONCE = 16 << 20, 1 << 18
 SCHEMA = "doc_id long, item_id long, cosine double, lcs double, answer double"
 
 
-def halves(docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Known words of texts with the number of their stride, and the first stride of each text; strides of all texts count on."""
+def strides_of(docs: list[np.ndarray], useful: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Useful words of texts with the number of their stride, and the first stride of each text; strides of all texts count on.
+
+    ``useful`` has a flag for each word's number and, last, for words without one (-1).
+    """
     n = np.array([len(d) for d in docs], np.int64)
     strides = np.maximum(1, -(-n // STRIDE))
     first = np.concatenate(([0], np.cumsum(strides)))
-    ids = np.fromiter(chain.from_iterable(docs), np.int64, int(n.sum()))
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
-    stride = np.repeat(first[:-1], n) + place // STRIDE
-    known = ids >= 0
-    return ids[known], stride[known], first
+    ids = np.concatenate(docs)
+    at = np.flatnonzero(useful[ids])
+    of = np.searchsorted(np.cumsum(n), at, side="right")
+    return ids[at].astype(np.int64), first[of] + (at - (np.cumsum(n) - n)[of]) // STRIDE, first
 
 
-def batches_of(batch: pa.RecordBatch, numbers: dict[bytes, int]) -> Iterator[tuple[list, list[list[int]]]]:
+def batches_of(batch: pa.RecordBatch, numbers: dict[bytes, int]) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Texts of about AT_ONCE words at a time: doc_ids and the numbers of their words."""
     ids, known, size, number = [], [], 0, numbers.get
     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
         words = words_of(text.as_py())
         ids.append(doc_id)
-        known.append([number(w, -1) for w in words])
+        known.append(np.fromiter(map(number, words, repeat(-1)), np.int32, len(words)))
         size += len(words)
         if size >= AT_ONCE:
             yield ids, known
@@ -64,8 +66,9 @@ def batches_of(batch: pa.RecordBatch, numbers: dict[bytes, int]) -> Iterator[tup
 
 
 def sketched(docs: DataFrame, numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, int]:
-    """Document frequencies, sketch (SKETCH x words) of the term frequencies, and the number of passages."""
+    """In how many strides each word is, sketch (SKETCH x words) of the passages' term frequencies, and the number of strides."""
     width = len(numbers)
+    useful = np.append(np.ones(width, bool), False)
     names = [f"z{i}" for i in range(SKETCH)]
     schema = arrow_schema("word int, df long, " + ", ".join(f"{c} double" for c in names))
 
@@ -76,18 +79,16 @@ def sketched(docs: DataFrame, numbers: dict[bytes, int]) -> tuple[np.ndarray, np
         sketch, df, total = np.zeros(SKETCH * width), np.zeros(width, np.int64), 0
         for batch in batches:
             for _, known in batches_of(batch, numbers):
-                word, stride, first = halves(known)
-                for shift in (0, 1):  # a stride belongs to the passage that begins with it and to the one before
-                    to = stride - shift
-                    there = np.ones(len(word), bool) if not shift else ~np.isin(stride, first[:-1])
-                    w, p = word[there], to[there]
-                    row, sign = rng.integers(0, SKETCH, first[-1]), rng.integers(0, 2, first[-1]) * 2.0 - 1
-                    if not shift:
-                        rows, signs, seen = row, sign, [p * width + w]
-                    else:
-                        seen.append(p * width + w)
-                    sketch += np.bincount(rows[p] * width + w, signs[p], SKETCH * width)
-                df += np.bincount(np.unique(np.concatenate(seen)) % width, minlength=width)
+                word, stride, first = strides_of(known, useful)
+                rows, signs = rng.integers(0, SKETCH, first[-1]), rng.integers(0, 2, first[-1]) * 2.0 - 1
+                sketch += np.bincount(rows[stride] * width + word, signs[stride], SKETCH * width)
+                begins = np.zeros(first[-1] + 1, bool)
+                begins[first] = True
+                later = np.flatnonzero(~begins[stride])  # a stride belongs to the passage that begins with it and to the one before
+                before = stride[later] - 1
+                sketch += np.bincount(rows[before] * width + word[later], signs[before], SKETCH * width)
+                keys = np.sort(stride * width + word)
+                df += np.bincount(keys[np.flatnonzero(np.diff(keys, prepend=-1))] % width, minlength=width)
                 total += int(first[-1])
         used = np.flatnonzero(df)
         columns = [pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(df[used], total))]
@@ -104,9 +105,14 @@ def sketched(docs: DataFrame, numbers: dict[bytes, int]) -> tuple[np.ndarray, np
     return df, sketch, total
 
 
-def latent(df: np.ndarray, sketch: np.ndarray, total: int) -> np.ndarray:
-    """IDF times the right singular vectors: a row for each word."""
-    idf = np.log((1 + total) / (1 + df)) * np.where(df > COMMON * total, COMMON_WEIGHT, 1.0)
+def latent(df: np.ndarray, sketch: np.ndarray, total: int, items: list[list[int]]) -> np.ndarray:
+    """IDF times the right singular vectors: a row for each word.
+
+    Common words get rows of zeros, or a small weight if an item has under ``RARE`` other words.
+    """
+    common = df > COMMON * total
+    weight = 0.0 if all(sum(not common[w] for w in item) >= RARE for item in items) else COMMON_WEIGHT
+    idf = np.log((1 + total) / (1 + df)) * np.where(common, weight, 1.0)
     _, s, vt = np.linalg.svd(sketch * idf, full_matrices=False)
     rank = min(RANK, int((s > 1e-9 * s[:1].max(initial=0)).sum()))
     return (vt[:rank] * idf).T.astype(np.float32)
@@ -132,8 +138,9 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = F
         for w in words:
             numbers.setdefault(w, len(numbers))
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    table_ = latent(*sketched(own, numbers))
     coded = [(item_id, [numbers[w] for w in words]) for item_id, words in items]
+    table_ = latent(*sketched(own, numbers), [words for _, words in coded])
+    useful = np.append(np.abs(table_).max(axis=1, initial=0) > 0, False)
     parts = [(i, words[a : a + PASSAGE]) for i, (_, words) in enumerate(coded) for a in range(0, max(1, len(words) - STRIDE), STRIDE)]
     owner = np.array([i for i, _ in parts])
     queries = np.stack([table_[p].sum(axis=0) for _, p in parts])
@@ -145,7 +152,7 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = F
         for batch in batches:
             rows, clean = [], []
             for ids, known in batches_of(batch.select(["doc_id", "text"]), numbers):
-                word, stride, first = halves(known)
+                word, stride, first = strides_of(known, useful)
                 sums = np.zeros((int(first[-1]) + 1, table_.shape[1]), np.float32)
                 at = np.flatnonzero(np.diff(stride, prepend=-1))
                 if len(at):
@@ -167,7 +174,10 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = F
                     doc = int(np.searchsorted(first, p, side="right")) - 1
                     item_id, item = coded[i]
                     begin = (p - int(first[doc])) * STRIDE
-                    around = known[doc][max(0, begin - len(item)) : begin + PASSAGE + len(item)]
+                    around = known[doc][max(0, begin - len(item)) : begin + PASSAGE + len(item)].tolist()
+                    there = set(around)
+                    if sum(w in there for w in item) < LOW * len(item):
+                        continue  # no subsequence can be as long
                     lcs = common_words(item, around) / len(item)
                     if lcs >= LOW:
                         answer = item[-max(1, len(item) // 4) :]
