@@ -29,7 +29,7 @@ from rainfold.llm.common import arrow_schema, batch_of, table, words_of
 
 PASSAGE, STRIDE = 32, 16
 SKETCH, RANK = 128, 64
-COSINE, REACH, HIGH, LOW = 0.3, 0.35, 0.8, 0.6
+COSINE, REACH, HIGH, LOW = 0.35, 0.42, 0.8, 0.6
 #: Words in over this share of the strides are common; see ``latent``.
 COMMON, COMMON_WEIGHT, RARE = 0.002, 0.05, 4
 BLOCK, AT_ONCE = 16 << 20, 1 << 18
