@@ -1,4 +1,26 @@
 """Every query by name, with DuckDB SQL for those that SQL can express."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Registers a query under ``name``."""
+
+    def add(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        assert name not in QUERIES, name
+        QUERIES[name] = fn
+        if sql:
+            ORACLE_SQL[name] = sql
+        return fn
+
+    return add
+
+
+from rainfold.plans import climate, indices, pricing, rows  # noqa: E402, F401  they register their queries
