@@ -64,6 +64,10 @@ class Scratch:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
+    def sized(self, written: DataFrame, rows: int = 1 << 20) -> DataFrame:
+        """A written table of a few numbers a row, to be broadcast if it has at most ``rows`` rows (16 MB or so); else Spark shuffles it."""
+        return F.broadcast(written) if written.limit(rows + 1).count() <= rows else written
+
     def drop(self, df: DataFrame) -> None:
         if path := self.paths.pop(id(df), None):
             _delete(self.spark, path)

@@ -26,6 +26,8 @@ from rainfold.llm.common import Scratch, components, per_text, table, words_of
 
 #: Above this many distinct fingerprints a bucket is linked by full-width signatures, of which a fingerprint has 2016 at two bits.
 BUCKET = 128
+#: Seeds of the fingerprints by which near copies meet; what one misses the other finds.
+SEEDS = (42, 43)
 
 
 def shingle_hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
@@ -93,7 +95,8 @@ def links(fps: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
     is_first = F.shiftright("key", 40).isin(firsts)
     side = lambda fp: F.expr(f"shiftrightunsigned({fp}, cast(key >> 40 as int)) & 1")
     two = buckets.where("n = 2").where(is_first | (side("a") != side("b"))).select("a", "b").where(near(max_bits))
-    members = scratch.write(index.join(buckets.where("n > 2").select("key", "n"), "key"))
+    large = scratch.write(buckets.where("n > 2").select("key", "n"))
+    members = scratch.write(index.join(scratch.sized(large), "key"))
     few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list("fp").alias("all"))
     # Equal segments meet in every bucket of the segment, and count in its first; those that differ in the bucket's bit only here.
     few = few.withColumn("first", is_first).select("key", "first", "all", F.explode("all").alias("a"))
@@ -132,24 +135,24 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, seed: in
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def damped_words(text: str | None) -> np.ndarray:
+def damped_words(text: str | None, seed: int) -> np.ndarray:
     """Hashes of the single words, repeated as the square root of their count, so that edits weigh little and frequent words don't rule."""
     words = words_of(text)
-    found, counts = np.unique(shingle_hashes(words, 1, 42), return_counts=True)
+    found, counts = np.unique(shingle_hashes(words, 1, seed), return_counts=True)
     return np.repeat(found, np.maximum(1, np.round(np.sqrt(counts))).astype(np.int64))
 
 
 def marks(docs: DataFrame, words: int) -> DataFrame:
-    """``(id, fp, whole)``: the fingerprint of damped words and a hash of the set of shingles."""
+    """``(id, fps, whole)``: fingerprints of damped words, one for each of SEEDS, and a hash of the set of shingles."""
 
     def run(ids: list, texts: list) -> dict:
         fps, wholes = [], []
         for text in texts:
-            fps.append(fold(damped_words(text)))
+            fps.append([fold(damped_words(text, seed)) for seed in SEEDS])
             wholes.append(int.from_bytes(xxhash.xxh3_64_digest(np.unique(shingle_hashes(words_of(text), words, 7)).tobytes()), "big", signed=True))
-        return {"id": ids, "fp": fps, "whole": wholes}
+        return {"id": ids, "fps": fps, "whole": wholes}
 
-    return per_text(docs, run, "id long, fp long, whole long")
+    return per_text(docs, run, "id long, fps array<long>, whole long")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -170,7 +173,7 @@ def representatives(docs: DataFrame, words: int = 5, least: float = 0.8, max_bit
     """The rows of ``docs``, with all their columns, without near copies: of each group the smallest doc_id stays.
 
     Near copies share ``least`` of their ``words``-word shingles. Texts with the same shingles are one node. Nodes meet in the buckets of
-    one-wildcard segment variants of a fingerprint of their words, and each link is verified on the shingle sets. In a bucket of over BUCKET nodes
+    one-wildcard segment variants of fingerprints of their words, and each link is verified on the shingle sets. In a bucket of over BUCKET nodes
     all are compared with the smallest one; those that it doesn't link are compared again among themselves, until the bucket is small.
     Rows without doc_id stay. Of rows that share a doc_id one stays.
     """
@@ -178,10 +181,11 @@ def representatives(docs: DataFrame, words: int = 5, least: float = 0.8, max_bit
     scratch = Scratch(spark, "copies")
     named = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
     marked = scratch.write(marks(named, words))
-    nodes = scratch.write(marked.groupBy("fp", "whole").agg(F.min("id").alias("id")))
-    parts = variants(nodes.select("fp", "id"), max_bits)
+    nodes = scratch.write(marked.groupBy("fps", "whole").agg(F.min("id").alias("id")))
+    parts = variants(nodes.select("id", F.posexplode("fps").alias("which", "fp")), max_bits)
+    parts = parts.select("id", "fp", F.col("key").bitwiseOR(F.shiftleft(F.col("which").cast("long"), 56)).alias("key"))
     often = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = scratch.write(parts.join(often, "key"))
+    members = scratch.write(parts.join(scratch.sized(scratch.write(often)), "key"))
     wanted = named.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = scratch.write(shingle_sets(wanted.select("doc_id", "text"), words).dropDuplicates(["id"]))
     firsts = ", ".join(str(first) for first, _ in segments(max_bits))
@@ -189,7 +193,7 @@ def representatives(docs: DataFrame, words: int = 5, least: float = 0.8, max_bit
     while True:
         few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list(F.struct("id", "fp")).alias("all"))
         few = few.select("key", "all", F.explode("all").alias("m"))
-        partner = f"y.id > m.id and ((key >> 40) in ({firsts}) or ((shiftrightunsigned(m.fp ^ y.fp, cast(key >> 40 as int)) & 1) = 1)) and bit_count(m.fp ^ y.fp) <= {max_bits}"
+        partner = f"y.id > m.id and (((key >> 40) & 255) in ({firsts}) or ((shiftrightunsigned(m.fp ^ y.fp, cast((key >> 40) & 255 as int)) & 1) = 1)) and bit_count(m.fp ^ y.fp) <= {max_bits}"
         pairs = few.select(F.col("m.id").alias("a"), F.explode(F.expr(f"filter(all, y -> {partner})")).alias("y")).select("a", F.col("y.id").alias("b"))
         hot = members.where(F.col("n") > BUCKET)
         if hot.isEmpty():
