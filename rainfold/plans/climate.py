@@ -9,7 +9,7 @@ from rainfold.operators import climatology, episodes
 from rainfold.operators.portfolio import trend
 from rainfold.plans import perils
 from rainfold.plans.catalog import query
-from rainfold.sources.tables import HOURLY, OBS, cells, hourly, observations
+from rainfold.sources.tables import CELLS, HOURLY, OBS, cells, hourly, observations
 
 CLIM = f"{OBS}, fy AS (SELECT year(date) AS y FROM obs GROUP BY 1 HAVING count(DISTINCT date) >= 360), clim AS (SELECT pixel_id, CAST(dayofyear(date) AS BIGINT) AS dayofyear, avg(swc) AS clim, stddev_pop(swc) AS std FROM obs WHERE year(date) IN (SELECT y FROM fy) GROUP BY ALL)"
 SMOOTH = f"{CLIM}, p AS (SELECT *, row_number() OVER (PARTITION BY pixel_id ORDER BY dayofyear) AS i, count(*) OVER (PARTITION BY pixel_id) AS n FROM clim), pad AS (SELECT pixel_id, i, i AS q, clim FROM p UNION ALL SELECT pixel_id, i, i - n, clim FROM p WHERE i > n - 7 UNION ALL SELECT pixel_id, i, i + n, clim FROM p WHERE i <= 7), sm AS (SELECT pixel_id, i, q, avg(clim) OVER (PARTITION BY pixel_id ORDER BY q ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS smooth FROM pad), smooth AS (SELECT p.pixel_id, p.dayofyear, sm.smooth FROM sm JOIN p ON sm.pixel_id = p.pixel_id AND sm.i = p.i WHERE sm.q = sm.i)"
@@ -254,7 +254,7 @@ def _(spark, d):
     return perils.summarized_within(joined, {"a": [(-0.5, -0.5), (2.5, -0.5), (2.5, 1.5), (-0.5, 1.5)]}, "date", "swc").select("location_id", "date", F.round("swc", 6).alias("value"))
 
 
-@query("summarize_nearest", f"WITH {OBS} SELECT 'p' AS location_id, date, round(swc, 6) AS value FROM obs WHERE pixel_id = 7")
+@query("summarize_nearest", f"WITH {OBS}, {CELLS}, near AS (SELECT pixel_id FROM cells WHERE pixel_id IN (SELECT pixel_id FROM obs) ORDER BY sqrt((lon - 2.2) ** 2 + (lat - 0.9) ** 2), lon, lat LIMIT 1) SELECT 'p' AS location_id, date, round(swc, 6) AS value FROM obs WHERE pixel_id IN (SELECT pixel_id FROM near)")
 def _(spark, d):
     points = spark.createDataFrame([("p", 2.2, 0.9)], "location_id string, lon double, lat double")
     return perils.summarized_nearest(observations(spark, d), cells(spark, d), points, "date", "swc").select("location_id", "date", F.round("swc", 6).alias("value"))
