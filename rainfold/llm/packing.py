@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from rainfold.llm.common import arrow_schema, table
 
 CAPACITY, END_ID, VOCABULARY = 2048, 1, "word_bpe_49k.json"
 #: Remainders packed at a time, texts tokenised at a time, and words that a worker remembers.
-POOL, BATCH, WORDS = 4096, 256, 400_000
+POOL, BATCH, WORDS = 4096, 256, 1_200_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -42,8 +43,10 @@ def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """The multiset of lengths within ``counts`` whose sum is closest to ``capacity`` without exceeding it."""
     mask = (1 << (capacity + 1)) - 1
     reached, layers = 1, []
-    for length in sorted((x for x, n in counts.items() if n and x <= capacity), reverse=True):
-        left, take = min(counts[length], capacity // length), 1
+    for length in range(min(capacity, max(counts, default=0)), 0, -1):
+        if not (left := min(counts.get(length, 0), capacity // length)):
+            continue
+        take = 1
         while left and not reached >> capacity & 1:
             take = min(take, left)
             layers.append((length, take, reached))
@@ -64,16 +67,18 @@ class Packer:
     """Pool of remainders by length. ``close`` gives rows (piece, sequence, offset), a piece being (key, start, length)."""
 
     def __init__(self, capacity: int = CAPACITY):
-        self.capacity, self.pool, self.counts, self.size, self.sequences = capacity, defaultdict(list), defaultdict(int), 0, 0
+        self.capacity, self.pool, self.counts, self.size, self.total, self.sequences = capacity, defaultdict(list), defaultdict(int), 0, 0, 0
 
     def add(self, piece: tuple) -> None:
         self.pool[piece[2]].append(piece)
         self.counts[piece[2]] += 1
         self.size += 1
+        self.total += piece[2]
 
     def take(self, length: int) -> tuple:
         self.counts[length] -= 1
         self.size -= 1
+        self.total -= length
         if not self.counts[length]:
             del self.counts[length]
         return self.pool[length].pop()
@@ -87,7 +92,7 @@ class Packer:
 
     def pack(self, until: int) -> Iterator[tuple]:
         """Full windows, as long as the pool has over ``until`` remainders and enough ids for one."""
-        while self.size > until and sum(x * n for x, n in self.counts.items()) >= self.capacity:
+        while self.size > until and self.total >= self.capacity:
             longest = max(self.counts)
             self.counts[longest] -= 1
             chosen = fill(self.counts, self.capacity - longest)
@@ -122,10 +127,13 @@ class Packer:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, the same as encoding each text at once.
 
-    The vocabulary's tokens never span white space, so words are encoded once and remembered. Texts that may
-    hold a special token are encoded whole. The memory is emptied when it is full.
+    The vocabulary's tokens never span white space, so the ids of words are remembered. A Latin word's ids are those of its
+    parts, cut as the tokenizer cuts: letters, single digits, other characters; they are remembered too, as many words share them.
+    Other words are encoded as they are, texts that may hold a special token whole. A memory is emptied when it is full.
     """
 
+    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
     def __init__(self, path: str):
         import os
 
@@ -133,41 +141,55 @@ class Encoder:
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         # Kept on the installed module, which outlives a task where a worker runs several.
-        self.known: dict[bytes, bytes] = tokenizers.__dict__.setdefault("_words_of", {}).setdefault(path, {})
+        self.known, self.parts = tokenizers.__dict__.setdefault("_memory", {}).setdefault(path, ({}, {}))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def ids_of_parts(self, parts: list[str]) -> list[bytes]:
+        """Encoded together, and cut after each token that ends a part."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), 256):
+            some = parts[at : at + 256]
+            raw = self.ids([" ".join(some)])[0]
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1)).tolist()]
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])] if len(cuts) == len(some) + 1 else self.ids(some)
+        return out
+
     def learn(self, words: set[bytes]) -> None:
-        known = self.known
-        if len(known) > WORDS:
+        known, parts = self.known, self.parts
+        if len(known) + len(words) > WORDS:
             known.clear()
-        core: dict[str, None] = {}
-        parts: list[tuple[bytes, str, str]] = []
+        if len(parts) > WORDS:
+            parts.clear()
+        cut: list[tuple[bytes, list[str]]] = []
+        others: list[bytes] = []
         for w in words:
             text = w.decode("utf-8", "surrogatepass")
-            body, tail = (text[:-1], text[-1]) if len(text) > 1 and text[-1] in ",." and text[:-1].isalpha() else (text, "")
-            if body.isalpha() and max(body) < "\u0250" and "\u0130" not in body:  # Latin letters, which the normaliser lower-cases alike
-                body = body.lower()
-            parts.append((w, body, tail))
-            for x in (body, tail):
-                if x and x.encode("utf-8", "surrogatepass") not in known:
-                    core[x] = None
-        new = list(core)
-        for text, ids in zip(new, self.ids(new)):
-            known[text.encode("utf-8", "surrogatepass")] = ids
-        for w, body, tail in parts:
-            known[w] = known[body.encode("utf-8", "surrogatepass")] + (known[tail.encode()] if tail else b"")
+            # Letters up to U+024F without the dotted capital I: composed alone, and lower-cased by Python as by the normaliser.
+            if max(text) < "\u0250" and "\u0130" not in text:
+                cut.append((w, self.PARTS.findall(text.lower())))
+            else:
+                others.append(w)
+        known.update(zip(others, self.ids([w.decode("utf-8", "surrogatepass") for w in others])))
+        new = list({p for _, own in cut for p in own} - parts.keys())
+        parts.update(zip(new, self.ids_of_parts(new)))
+        for w, own in cut:
+            known[w] = parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own])
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         whole = [bool(t) and "<|" in t for t in texts]
-        if unknown := set().union(*(w for w, x in zip(split, whole) if not x)) - self.known.keys():
-            self.learn(unknown)
-            if missing := set().union(*(w for w, x in zip(split, whole) if not x)) - self.known.keys():  # after emptying
-                self.learn(missing)
         known = self.known
+        unknown = lambda: {w for own, x in zip(split, whole) if not x for w in own if w not in known}
+        if new := unknown():
+            self.learn(new)
+            if new := unknown():  # after emptying
+                self.learn(new)
         for text, words, at_once in zip(texts, split, whole):
             yield self.ids([text])[0] if at_once else b"".join([known[w] for w in words])
 
