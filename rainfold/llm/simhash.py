@@ -16,18 +16,20 @@ smallest of a component. Repeated rows stay repeated. An empty table gives an em
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import Scratch, components, per_text, table, words_of
+from rainfold.llm.common import Scratch, arrow_schema, components, per_text, table, words_of
 
 #: Above this many distinct fingerprints a bucket is linked by full-width signatures, of which a fingerprint has 2016 at two bits.
 BUCKET = 128
-#: Seeds of the fingerprints by which near copies meet; what one misses the other finds.
-SEEDS = (42, 43)
+#: Shingle hashes held at once, and how many frequent shingles the prefixes put last.
+AT_ONCE, OFTEN = 1 << 18, 1 << 20
 
 
 def shingle_hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
@@ -135,84 +137,132 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, seed: in
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def damped_words(text: str | None, seed: int) -> np.ndarray:
-    """Hashes of the single words, repeated as the square root of their count, so that edits weigh little and frequent words don't rule."""
-    words = words_of(text)
-    found, counts = np.unique(shingle_hashes(words, 1, seed), return_counts=True)
-    return np.repeat(found, np.maximum(1, np.round(np.sqrt(counts))).astype(np.int64))
+def shingled(docs: DataFrame, words: int, keep: Callable[[np.ndarray, np.ndarray], tuple], schema: str) -> DataFrame:
+    """``keep(sizes, sets)`` of the texts' sets of shingle hashes, one after the other and each ascending, some texts at a time.
+
+    It returns the columns of ``schema`` after the first, which is the first of ``docs(.., text)``, and how many rows each text has.
+    """
+    arrow = arrow_schema(schema)
+
+    def made(nodes: list, sets: list) -> pa.RecordBatch:
+        columns, rows = keep(np.array([len(s) for s in sets], np.int64), np.concatenate(sets))
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, rows), arrow[0].type), *(pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:]))], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sets, size = [], [], 0
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                nodes.append(node)
+                sets.append(np.unique(shingle_hashes(words_of(text.as_py()), words, 7)))
+                size += len(sets[-1])
+                if size >= AT_ONCE:
+                    yield made(nodes, sets)
+                    nodes, sets, size = [], [], 0
+            if nodes:
+                yield made(nodes, sets)
+
+    return docs.mapInArrow(run, schema)
 
 
 def marks(docs: DataFrame, words: int) -> DataFrame:
-    """``(id, fps, whole)``: fingerprints of damped words, one for each of SEEDS, and a hash of the set of shingles."""
+    """``(id, text, node)``: hashes of the text and of its set of shingles."""
 
-    def run(ids: list, texts: list) -> dict:
-        fps, wholes = [], []
-        for text in texts:
-            fps.append([fold(damped_words(text, seed)) for seed in SEEDS])
-            wholes.append(int.from_bytes(xxhash.xxh3_64_digest(np.unique(shingle_hashes(words_of(text), words, 7)).tobytes()), "big", signed=True))
-        return {"id": ids, "fps": fps, "whole": wholes}
+    def run(ids: list, texts: list, hashes: list) -> dict:
+        wholes = [xxhash.xxh3_64_digest(np.unique(shingle_hashes(words_of(t), words, 7)).tobytes()) for t in texts]
+        return {"id": ids, "text": hashes, "node": [int.from_bytes(w, "big", signed=True) for w in wholes]}
 
-    return per_text(docs, run, "id long, fps array<long>, whole long")
+    return per_text(docs, run, "id long, text long, node long", F.xxhash64("text"))
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    def run(ids: list, texts: list) -> dict:
-        return {"id": ids, "own": [np.unique(shingle_hashes(words_of(t), words, 7)).view(np.int64) for t in texts]}
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    def keep(sizes: np.ndarray, sets: np.ndarray) -> tuple:
+        return [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(sets.view(np.int64)))], 1
 
-    return per_text(docs, run, "id long, own array<long>")
+    return shingled(texts, words, keep, "node long, own array<long>")
+
+
+def prefixes(texts: DataFrame, words: int, least: float, often: np.ndarray) -> DataFrame:
+    """``(node, size, key)``: of each set the shingles of which one must be shared at a Jaccard similarity of ``least``.
+
+    Sets in one order, ``often`` (ascending) last and by hash otherwise, that share ``least`` of the larger one, share a shingle of
+    the first ``size - ceil(least * size) + 1`` of each. This holds for any order; ``often`` only keeps the buckets small.
+    """
+
+    def keep(sizes: np.ndarray, sets: np.ndarray) -> tuple:
+        last = np.zeros(len(sets), bool)
+        if len(often):
+            last = often[np.minimum(np.searchsorted(often, sets), len(often) - 1)] == sets
+        ordered = sets[np.argsort(np.repeat(np.arange(len(sizes)) * 2, sizes) + last, kind="stable")]
+        rows = np.minimum(sizes, sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1)
+        place = np.arange(len(sets)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return [np.repeat(sizes, rows), ordered[place < np.repeat(rows, sizes)].view(np.int64)], rows
+
+    return shingled(texts, words, keep, "node long, size long, key long")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs ``(a, b)`` whose shingle sets have a Jaccard similarity of ``least`` or more."""
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("own").alias("y")), "b")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def representatives(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 3) -> DataFrame:
+def index_of(texts: DataFrame, words: int, least: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The prefixes, and ``(key, n, a, b)`` of the shingles in several of them: how many have it, the smallest and the largest one."""
+    often = np.empty(0, np.uint64)
+    while True:
+        index = scratch.write(prefixes(texts, words, least, often))
+        shared = scratch.write(index.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("a"), F.max(F.struct("node", "size")).alias("b")).where("n > 1"))
+        if len(often):
+            return index, shared
+        top = shared.where(F.col("n") > BUCKET).orderBy(F.desc("n"), "key").limit(OFTEN).select("key").toPandas()["key"]
+        if not len(top):
+            return index, shared
+        often = np.sort(top.to_numpy(np.int64).view(np.uint64))
+        scratch.drop(shared)
+        scratch.drop(index)
+
+
+def representatives(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all their columns, without near copies: of each group the smallest doc_id stays.
 
     Near copies share ``least`` of their ``words``-word shingles. Texts with the same shingles are one node. Nodes meet in the buckets of
-    one-wildcard segment variants of fingerprints of their words, and each link is verified on the shingle sets. In a bucket of over BUCKET nodes
+    the shingles in their prefixes, where every pair of near copies meets, and each link is verified on the shingle sets. In a bucket of over BUCKET nodes
     all are compared with the smallest one; those that it doesn't link are compared again among themselves, until the bucket is small.
     Rows without doc_id stay. Of rows that share a doc_id one stays.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "copies")
     named = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
-    marked = scratch.write(marks(named, words))
-    nodes = scratch.write(marked.groupBy("fps", "whole").agg(F.min("id").alias("id")))
-    parts = variants(nodes.select("id", F.posexplode("fps").alias("which", "fp")), max_bits)
-    parts = parts.select("id", "fp", F.col("key").bitwiseOR(F.shiftleft(F.col("which").cast("long"), 56)).alias("key"))
-    often = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = scratch.write(parts.join(scratch.sized(scratch.write(often)), "key"))
-    wanted = named.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = scratch.write(shingle_sets(wanted.select("doc_id", "text"), words).dropDuplicates(["id"]))
-    firsts = ", ".join(str(first) for first, _ in segments(max_bits))
-    found = []
-    while True:
-        few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list(F.struct("id", "fp")).alias("all"))
-        few = few.select("key", "all", F.explode("all").alias("m"))
-        partner = f"y.id > m.id and (((key >> 40) & 255) in ({firsts}) or ((shiftrightunsigned(m.fp ^ y.fp, cast((key >> 40) & 255 as int)) & 1) = 1)) and bit_count(m.fp ^ y.fp) <= {max_bits}"
-        pairs = few.select(F.col("m.id").alias("a"), F.explode(F.expr(f"filter(all, y -> {partner})")).alias("y")).select("a", F.col("y.id").alias("b"))
-        hot = members.where(F.col("n") > BUCKET)
-        if hot.isEmpty():
-            found.append(scratch.write(similar(pairs.distinct(), sets, least)))
-            break
-        hubs = hot.groupBy("key").agg(F.min("id").alias("a"))
-        to_hub = hot.join(hubs, "key").where("id <> a")
-        linked = scratch.write(similar(pairs.union(to_hub.select("a", F.col("id").alias("b"))).distinct(), sets, least))
-        found.append(linked)
-        rest = to_hub.join(linked.withColumnRenamed("b", "id"), ["a", "id"], "left_anti").select("key", "fp", "id")
-        left = rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        members = scratch.write(rest.join(left, "key"))
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.union(more)
+    marked = scratch.write(marks(named, words).distinct())
+    nodes = scratch.write(marked.groupBy("node").agg(F.min(F.struct("id", "text")).alias("m")).select("node", F.col("m.id").alias("doc_id"), F.col("m.text").alias("found_text")))
+    own = named.select("doc_id", "text", F.xxhash64("text").alias("found_text")).join(nodes, ["doc_id", "found_text"])
+    texts = scratch.write(own.select("node", F.col("text").cast("string").alias("text")).dropDuplicates(["node"]))
+    index, shared = index_of(texts, words, least, scratch)
+    alike = lambda a, b: F.least(a, b) + F.lit(1e-9) >= F.greatest(a, b) * least  # noqa: E731  sizes of near copies
+    two = shared.where("n = 2").where(alike("a.size", "b.size")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    members = scratch.write(index.join(scratch.sized(scratch.write(shared.where("n > 2").select("key", "n"))), "key"))
+    few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "size"))).alias("all"))
+    few = few.select("all").distinct().select("all", F.explode("all").alias("m"))
+    partner = f"y -> y.node > m.node and least(y.size, m.size) + 1e-9D >= greatest(y.size, m.size) * {least}D"
+    few = few.select(F.col("m.node").alias("a"), F.explode(F.expr(f"filter(all, {partner})")).alias("y")).select("a", F.col("y.node").alias("b"))
+    pairs = scratch.write(two.union(few).distinct())
+    hot = members.where(F.col("n") > BUCKET)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(hot.select("node")).distinct()
+    sets = scratch.write(shingle_sets(texts.join(wanted, "node", "left_semi"), words))
+    edges = scratch.write(similar(pairs, sets, least))
+    rest = hot.select("key", "node")
+    while not rest.isEmpty():
+        to_hub = rest.join(rest.groupBy("key").agg(F.min("node").alias("a")), "key").where("node <> a")
+        linked = scratch.write(similar(to_hub.select("a", F.col("node").alias("b")).distinct(), sets, least))
+        edges = edges.union(linked)
+        rest = to_hub.join(linked.withColumnRenamed("b", "node"), ["a", "node"], "left_anti").select("key", "node")
+        rest = scratch.write(rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("key", "node"))
     roots = components(edges, scratch)
-    gone = roots.where("node <> root").select(F.col("node").alias("id"))
-    stay = nodes.select("id").join(gone, "id", "left_anti").withColumnRenamed("id", "doc_id")
-    kept = named.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    groups = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stay = groups.groupBy("root").agg(F.min(F.struct("doc_id", "found_text")).alias("m")).select("m.*")
+    own = named.withColumn("found_text", F.xxhash64("text"))
+    kept = own.join(stay, ["doc_id", "found_text"], "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
     return kept.union(docs.where("doc_id is null"))
 
 

@@ -153,6 +153,50 @@ def test_representatives_of_large_groups(spark, monkeypatch, bucket):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 100, 101, 102, 103, 104]
 
 
+def copies_of(rng, words: list[str], vocabulary: list[str], kind: str, share: float) -> list[str]:
+    """A copy with ``share`` of the length appended, removed or scattered."""
+    n = int(share * len(words))
+    if kind == "appended":
+        return words + rng.choices(vocabulary, k=n)
+    if kind == "removed":
+        at = rng.randrange(len(words) - n)
+        return words[:at] + words[at + n :]
+    own = list(words)
+    for at in rng.sample(range(len(own)), max(1, n // 8)):
+        own[at] = rng.choice(vocabulary)
+    return own
+
+
+def linked_groups(rows: list[tuple[int, str]]) -> set[int]:
+    """The smallest id of each group of near copies, every pair compared."""
+    sets = {i: set(zip(*(licenses.words_of(t)[k:] for k in range(5)))) for i, t in rows}
+    low = {i: i for i in sets}
+    edges = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            if low[a] != low[b]:
+                low[a] = low[b] = min(low[a], low[b])
+                changed = True
+    return {i for i in sets if low[i] == i}
+
+
+def test_representatives_meet_every_near_copy(spark):
+    rng = random.Random(21)
+    vocabulary = [f"v{i}" for i in range(2000)]
+    weights = [1 / (i + 1) for i in range(2000)]
+    rows = []
+    for i in range(90):
+        words = rng.choices(vocabulary, weights, k=rng.choice([100, 400]))
+        rows.append((2 * i, " ".join(words)))
+        rows.append((2 * i + 1, " ".join(copies_of(rng, words, vocabulary, ("appended", "removed", "scattered")[i % 3], rng.uniform(0.04, 0.24)))))
+    want = linked_groups(rows)
+    assert 90 <= len(want) < 110
+    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == want
+
+
 def test_phrases(spark, docs, none):
     first, gone, split = {}, defaultdict(set), {}
     for i, t in unique_rows():
