@@ -223,12 +223,33 @@ def index_of(texts: DataFrame, words: int, least: float, scratch: Scratch) -> tu
         scratch.drop(index)
 
 
+def across(hot: DataFrame, edges: DataFrame, sets: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """Edges that with ``edges`` connect exactly what all verified pairs of the buckets ``hot(key, node, size)`` would connect.
+
+    All nodes are compared with the smallest of their bucket. Of the components that result, a bucket's pairs within one tell nothing new;
+    those between two of them are all verified: each node outside the bucket's largest component is compared with every node of another one.
+    """
+    same = hot.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("n"))
+    hot = scratch.write(hot.join(same.groupBy("x", "y", "n").agg(F.min("key").alias("key")).select("key"), "key", "left_semi").select("key", "node", "size"))
+    alike = F.expr(f"least(size, other) + 1e-9D >= greatest(size, other) * {least}D")
+    hubs = hot.groupBy("key").agg(F.min(F.struct("node", "size")).alias("m")).select("key", F.col("m.node").alias("a"), F.col("m.size").alias("other"))
+    to_hub = scratch.write(hot.join(hubs, "key").where("node <> a").where(alike).select("a", F.col("node").alias("b")).distinct())
+    linked = scratch.write(similar(to_hub, sets, least))
+    held = hot.join(components(edges.union(linked), scratch), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    largest = held.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root")).alias("m"), F.count("*").alias("roots"))
+    held = scratch.write(held.join(largest.where("roots > 1").select("key", F.col("m.root").alias("main")), "key"))
+    minor = held.where("root <> main").select("key", F.col("node").alias("a"), F.col("size").alias("other"), F.col("root").alias("own"))
+    pairs = minor.join(held, "key").where("own <> root and (root = main or a < node)").where(alike)
+    pairs = scratch.write(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+    return linked.union(similar(pairs, sets, least))
+
+
 def representatives(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all their columns, without near copies: of each group the smallest doc_id stays.
 
     Near copies share ``least`` of their ``words``-word shingles. Texts with the same shingles are one node. Nodes meet in the buckets of
-    the shingles in their prefixes, where every pair of near copies meets, and each link is verified on the shingle sets. In a bucket of over BUCKET nodes
-    all are compared with the smallest one; those that it doesn't link are compared again among themselves, until the bucket is small.
+    the shingles in their prefixes, where every pair of near copies meets, and each link is verified on the shingle sets. Buckets of over BUCKET nodes
+    are linked by ``across``, which loses no link.
     Rows without doc_id stay. Of rows that share a doc_id one stays.
     """
     spark = docs.sparkSession
@@ -251,13 +272,8 @@ def representatives(docs: DataFrame, words: int = 5, least: float = 0.8) -> Data
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(hot.select("node")).distinct()
     sets = scratch.write(shingle_sets(texts.join(wanted, "node", "left_semi"), words))
     edges = scratch.write(similar(pairs, sets, least))
-    rest = hot.select("key", "node")
-    while not rest.isEmpty():
-        to_hub = rest.join(rest.groupBy("key").agg(F.min("node").alias("a")), "key").where("node <> a")
-        linked = scratch.write(similar(to_hub.select("a", F.col("node").alias("b")).distinct(), sets, least))
-        edges = edges.union(linked)
-        rest = to_hub.join(linked.withColumnRenamed("b", "node"), ["a", "node"], "left_anti").select("key", "node")
-        rest = scratch.write(rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("key", "node"))
+    if not hot.isEmpty():
+        edges = edges.union(across(hot, edges, sets, least, scratch))
     roots = components(edges, scratch)
     groups = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stay = groups.groupBy("root").agg(F.min(F.struct("doc_id", "found_text")).alias("m")).select("m.*")

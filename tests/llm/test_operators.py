@@ -197,6 +197,21 @@ def test_representatives_meet_every_near_copy(spark):
     assert {r["doc_id"] for r in kept.collect()} == want
 
 
+@pytest.mark.parametrize("bucket", [128, 2])
+def test_representatives_of_chains(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rng = random.Random(22)
+    rows = []
+    for chain in range(4):  # revisions: neighbours are near copies, those further apart aren't
+        words = [f"c{chain}w{i}" for i in range(200)]
+        for i in range(10):
+            rows.append((100 * chain + i, " ".join(words)))
+            words = words[14:] + [f"c{chain}n{i}x{k}" for k in range(14)]
+    rng.shuffle(rows)
+    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == linked_groups(rows) == {0, 100, 200, 300}
+
+
 def test_phrases(spark, docs, none):
     first, gone, split = {}, defaultdict(set), {}
     for i, t in unique_rows():
