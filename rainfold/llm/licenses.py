@@ -62,21 +62,15 @@ class Search:
 
     def spans(self, text: str) -> list[tuple[int, int, str, int, int]]:
         """(start, end, label, edits, length of the notice) of the notices found, by start; of overlapping ones the closest."""
-        areas: dict[int, list[list[int]]] = {}
+        areas: dict[tuple[int, int, int], None] = {}
         for end, (size, where) in self.automaton.iter(text) if len(self.automaton) else ():
             for i, shift in where:
                 n, _, k = self.notices[i]
-                a, b = max(0, end + 1 - size - shift - k), end + 1 - size - shift + len(n) + k
-                own = areas.setdefault(i, [])
-                if own and a <= own[-1][1]:
-                    own[-1][1] = max(b, own[-1][1])
-                else:
-                    own.append([a, b])
-        found = []
-        for i, own in areas.items():
+                areas[i, max(0, end + 1 - size - shift - k), end + 1 - size - shift + len(n) + k] = None
+        found: dict[tuple, None] = {}  # each seed's area is searched by itself, so that the best match of one seed hides no other's
+        for i, a, b in areas:
             n, label, _ = self.notices[i]
-            for a, b in own:
-                found += [(a + m.start(), a + m.end(), label, sum(m.fuzzy_counts), len(n)) for m in self.patterns[i].finditer(text[a:b])]
+            found |= dict.fromkeys((a + m.start(), a + m.end(), label, sum(m.fuzzy_counts), len(n)) for m in self.patterns[i].finditer(text[a:b]))
         kept: list[tuple] = []
         for s in sorted(found, key=lambda s: (s[3] / s[4], -s[4], s[0])):  # of overlapping notices the closest one
             if all(s[1] <= k[0] or k[1] <= s[0] for k in kept):

@@ -380,6 +380,12 @@ def test_fuzzy_search_finds_what_a_full_search_finds():
             assert label in {s[2] for s in search.spans(text)}, notice
 
 
+def test_fuzzy_search_of_adjacent_notices():
+    text = "licensd under the gnu generl public license version 2 licensed under the gnu general public license version 3"
+    got = licenses.Search(licenses.NOTICES).spans(text)
+    assert [(s[2], s[3]) for s in got] == [("gpl-2", 2), ("gpl-3", 0)]
+
+
 def test_quality_counts():
     assert quality_rules.statistics("a b c\na b c\n\n#x*")[:5] == (7, 9, 2, 1, 6)
     assert quality_rules.statistics(None)[:5] == (0, 0, 0, 0, 0)
