@@ -271,7 +271,11 @@ def representatives(docs: DataFrame, words: int = 5, least: float = 0.8) -> Data
     hot = members.where(F.col("n") > BUCKET)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(hot.select("node")).distinct()
     sets = scratch.write(shingle_sets(texts.join(wanted, "node", "left_semi"), words))
-    edges = scratch.write(similar(pairs, sets, least))
+    first = scratch.write(similar(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, least))
+    roots = scratch.write(components(first, scratch))
+    side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    apart = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where("coalesce(root_a, a) <> coalesce(root_b, b)")
+    edges = scratch.write(first.union(similar(apart.select("a", "b"), sets, least)))  # pairs within a component connect nothing new
     if not hot.isEmpty():
         edges = edges.union(across(hot, edges, sets, least, scratch))
     roots = components(edges, scratch)
