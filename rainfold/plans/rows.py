@@ -256,9 +256,13 @@ def _(spark, d):
 _POINTS = "points AS (SELECT CAST(p_partkey AS BIGINT) AS id, (p_partkey % 47) / 10.0 + 0.013 AS lon, (p_partkey % 41) / 10.0 + 0.007 AS lat FROM part WHERE p_partkey <= 100)"
 
 
-def points(spark: SparkSession, d: str) -> DataFrame:
+def all_points(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("p_partkey")
-    return read(spark, d, "part").where("p_partkey <= 100").select(key.cast("long").alias("id"), (key % 47 / 10.0 + 0.013).alias("lon"), (key % 41 / 10.0 + 0.007).alias("lat"))
+    return read(spark, d, "part").select(key.cast("long").alias("id"), (key % 47 / 10.0 + 0.013).alias("lon"), (key % 41 / 10.0 + 0.007).alias("lat"))
+
+
+def points(spark: SparkSession, d: str) -> DataFrame:
+    return all_points(spark, d).where("id <= 100")
 
 
 @query("knn_join", f"WITH {CELLS}, {_POINTS} SELECT id, pixel_id, neighbor_rank, round(distance, 6) AS distance FROM (SELECT id, pixel_id, sqrt((p.lon - c.lon) ** 2 + (p.lat - c.lat) ** 2) AS distance, row_number() OVER (PARTITION BY id ORDER BY sqrt((p.lon - c.lon) ** 2 + (p.lat - c.lat) ** 2), c.lon, c.lat) - 1 AS neighbor_rank FROM points p, cells c) WHERE neighbor_rank < 3")
@@ -284,7 +288,7 @@ def _(spark, d):
 @query("spatial_within_polygon")
 def _(spark, d):
     ring = [(0.0, 0.0), (4.0, 0.5), (3.0, 3.5), (1.0, 3.0)]
-    return points(spark, d).where(spatial.inside_ring(F.col("lon"), F.col("lat"), ring))
+    return all_points(spark, d).where(spatial.inside_ring(F.col("lon"), F.col("lat"), ring))
 
 
 @query("voronoi_assign", f"WITH {CELLS}, {_POINTS} SELECT id, pixel_id FROM (SELECT id, pixel_id, row_number() OVER (PARTITION BY id ORDER BY sqrt((p.lon - c.lon) ** 2 + (p.lat - c.lat) ** 2), c.lon, c.lat) AS n FROM points p, cells c WHERE pixel_id % 3 = 0) WHERE n = 1")
