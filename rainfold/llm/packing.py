@@ -19,14 +19,16 @@ an empty result.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,15 +126,28 @@ class Packer:
                 yield from self.sequence(pieces)
 
 
+def parts_pattern() -> re.Pattern:
+    """Cuts lower-case Latin words, one a line, as the tokenizer cuts: letters, single digits, other characters."""
+    kinds = {kind: re.escape("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind)) for kind in "LN"}
+    letters, digits = kinds["L"], kinds["N"]
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\\t-\\r \x85\xa0{letters}{digits}]+|\n")
+
+
+#: By vocabulary, the ids of words and of parts of words; outlives a task where a worker runs several.
+_MEMORY: dict[str, tuple[dict[bytes, bytes], dict[str, bytes]]] = {}
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, the same as encoding each text at once.
 
     The vocabulary's tokens never span white space, so the ids of words are remembered. A Latin word's ids are those of its
-    parts, cut as the tokenizer cuts: letters, single digits, other characters; they are remembered too, as many words share them.
+    parts, cut as the tokenizer cuts; they are remembered too, as many words share them.
     Other words are encoded as they are, texts that may hold a special token whole. A memory is emptied when it is full.
     """
 
-    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    PARTS = parts_pattern()
+    #: Ends a word among the ids of parts; no id has these bytes, and none can end or begin inside them.
+    END = b"\xff\xff\xff\xff"
 
     def __init__(self, path: str):
         import os
@@ -144,8 +159,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        # Kept on the installed module, which outlives a task where a worker runs several.
-        self.known, self.parts = tokenizers.__dict__.setdefault("_memory", {}).setdefault(path, ({}, {}))
+        self.known, self.parts = _MEMORY.setdefault(path, ({}, {}))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -160,38 +174,39 @@ class Encoder:
             out += [raw[a:b] for a, b in zip(cuts, cuts[1:])] if len(cuts) == len(some) + 1 else self.ids(some)
         return out
 
+    def latin(self, word: bytes) -> bool:
+        """Characters below U+0250 are composed already, and lower-cased by Python as by the normaliser but for the dotted capital I."""
+        text = word.decode("utf-8", "surrogatepass")
+        return max(text) < "\u0250" and "\u0130" not in text
+
     def learn(self, words: set[bytes]) -> None:
         known, parts = self.known, self.parts
-        if len(known) + len(words) > WORDS:
-            known.clear()
+        cut = [w for w in words if w.isascii() or self.latin(w)]
+        if len(cut) < len(words):
+            others = list(words.difference(cut))
+            known.update(zip(others, self.ids([w.decode("utf-8", "surrogatepass") for w in others])))
+        if not cut:
+            return
+        flat = self.PARTS.findall(b"\n".join(cut).decode().lower())
         if len(parts) > WORDS:
             parts.clear()
-        cut: list[tuple[bytes, list[str]]] = []
-        others: list[bytes] = []
-        for w in words:
-            text = w.decode("utf-8", "surrogatepass")
-            # Letters up to U+024F without the dotted capital I: composed alone, and lower-cased by Python as by the normaliser.
-            if max(text) < "\u0250" and "\u0130" not in text:
-                cut.append((w, self.PARTS.findall(text.lower())))
-            else:
-                others.append(w)
-        known.update(zip(others, self.ids([w.decode("utf-8", "surrogatepass") for w in others])))
-        new = list({p for _, own in cut for p in own} - parts.keys())
+        parts["\n"] = self.END
+        new = list(set(flat).difference(parts))
         parts.update(zip(new, self.ids_of_parts(new)))
-        for w, own in cut:
-            known[w] = parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own])
+        known.update(zip(cut, b"".join(map(parts.__getitem__, flat)).split(self.END)))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         whole = [bool(t) and "<|" in t for t in texts]
+        words = set(chain.from_iterable(own for own, x in zip(split, whole) if not x))
         known = self.known
-        unknown = lambda: {w for own, x in zip(split, whole) if not x for w in own if w not in known}
-        if new := unknown():
+        if new := words.difference(known):
+            if len(known) + len(new) > WORDS:
+                known.clear()
+                new = words
             self.learn(new)
-            if new := unknown():  # after emptying
-                self.learn(new)
-        for text, words, at_once in zip(texts, split, whole):
-            yield self.ids([text])[0] if at_once else b"".join([known[w] for w in words])
+        for text, own, at_once in zip(texts, split, whole):
+            yield self.ids([text])[0] if at_once else b"".join(map(known.__getitem__, own))
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, *extra: str) -> DataFrame:
