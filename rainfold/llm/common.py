@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, set to a local one only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Unset, a local one if all runs on this machine, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = os.path.join(tempfile.gettempdir(), "rainfold-checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -38,10 +40,14 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Spark deletes the shuffle files of a query when it ends; that of a written table is never run again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables written below the shared folder, which cut lineage and survive lost executors.
 
-    ``write`` returns the table read back. ``drop`` deletes one that nothing lazy reads any more;
+    ``write`` returns the table read back. ``drop`` deletes those that nothing lazy reads any more;
     what is left goes when the interpreter ends.
     """
 
@@ -51,26 +57,25 @@ class Scratch:
         atexit.register(_delete, spark, self.root)
 
     def write(self, df: DataFrame) -> DataFrame:
-        self.settle()
         self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        path, before = f"{self.root}/{self.n}", self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(back)] = path
         return back
 
-    def settle(self) -> None:
-        """Lets Spark's cleaner remove the shuffle files of jobs whose DataFrames are gone."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def sized(self, written: DataFrame, rows: int = 1 << 20) -> DataFrame:
         """A written table of a few numbers a row, to be broadcast if it has at most ``rows`` rows (16 MB or so); else Spark shuffles it."""
         return F.broadcast(written) if written.limit(rows + 1).count() <= rows else written
 
-    def drop(self, df: DataFrame) -> None:
-        if path := self.paths.pop(id(df), None):
-            _delete(self.spark, path)
+    def drop(self, *written: DataFrame) -> None:
+        for df in written:
+            if path := self.paths.pop(id(df), None):
+                _delete(self.spark, path)
 
 
 _SPACES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))

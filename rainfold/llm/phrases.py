@@ -4,23 +4,25 @@ A window of ``LENGTH`` words is removed where its word sequence also starts earl
 document and an earlier start).
 
 1. Recurring passages. Slices of windows (see ``winnow``) whose anchor recurs are candidates. A slice that recurs as a
-   whole is a passage. Where an anchor has slices of different words, the windows of one slice of each kind are
-   counted by hash, and windows that recur are passages too, joined to longer ones where they continue each other.
-   Each passage is known by its first occurrence; counts are pre-aggregated, so no group of copies is gathered.
-2. Automata. The passages' words travel to the documents that may hold them. A task takes its documents in small
-   shards and compiles the passages of a shard to one Aho-Corasick automaton over word numbers.
-3. Every document with candidates streams through its shard's automaton, which confirms the passages word by word and finds every
+   whole repeats its first occurrence. Where an anchor has slices of different words, the windows of one slice of each kind are
+   counted by hash, and those that recur repeat their first occurrence too. Repeats that continue each other, here and where
+   they come from, are joined to one passage, so a passage's words are cut and sent once for each document that may hold it.
+   Counts are pre-aggregated, and no group of copies is gathered.
+2. Automata. A task takes its documents in small shards and compiles the passages that they may hold to one Aho-Corasick
+   automaton over word numbers.
+3. All documents stream through their shard's automaton, which confirms the passages word by word and finds every
    occurrence; those after the first one are removed.
 
-Nulls: a null text has no words. Rows without doc_id are judged as one document that comes last, as are rows that share a
-doc_id: what they repeat of each other at the same place stays. An empty table gives an empty result.
+Nulls: a null text has no words, a null doc_id comes last. Rows that share a doc_id, or have none, are documents of their own, ordered by
+a hash of the text; of equal rows one is the first, and the others repeat it. Other columns of the input are left alone. A text of any
+length is hashed in chunks of bounded size. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
-from itertools import compress
+from itertools import chain, compress, repeat
 
 import ahocorasick
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, arrow_schema, batch_of, table
-from rainfold.llm.winnow import LAST, anchored, candidates, cut, keyed, mix, prefix_hashes, range_hash
+from rainfold.llm.winnow import KEY, LAST, candidates, cut, keyed, lines, mix, prefix_hashes, range_hash, with_source
 
 LENGTH, GRAM = 20, 5
 #: Documents whose passages share an automaton, and words whose hashes are remembered.
@@ -60,132 +62,89 @@ class WordUnits:
 
 def slice_words(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
     words = split(text)
-    return [(b" ".join(words[a : a + n]).decode("utf-8", "surrogatepass"),) for a, n in wanted]
+    return [(i, b" ".join(words[a : a + n]).decode("utf-8", "surrogatepass")) for i, (a, n) in enumerate(wanted)]
 
 
-def windows(slices: DataFrame, length: int) -> DataFrame:
-    """``(w, doc_id, s0, start)``: the windows of the slices, by hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = WordUnits()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                ids, s0 = (c.to_numpy().astype(np.int64) for c in batch.slice(at, 1024).columns[:2])
-                held = [units(t) for t in batch.column(2).slice(at, 1024).to_pylist()]
-                piece = np.repeat(np.arange(len(held)), [len(u) for u in held])
-                first = np.concatenate(([0], np.cumsum([len(u) for u in held])))
-                prefix = prefix_hashes(np.concatenate(held))
-                i = np.flatnonzero(piece[: max(0, len(piece) - length + 1)] == piece[length - 1 :])
-                hashes = mix(range_hash(prefix, i, i + length)).view(np.int64)
-                of = piece[i]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (hashes, ids[of], s0[of], s0[of] + i - first[of])], names=["w", "doc_id", "s0", "start"])
-
-    return slices.select("doc_id", "s0", "words").mapInArrow(run, "w long, doc_id long, s0 long, start long")
-
-
-def joined_passages(length: int):
-    """From slices with their recurring windows, passages: runs of windows that continue each other at their first occurrence too."""
-
-    schema = arrow_schema(PASSAGES)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc_id, s0, text, found in zip(*(c.to_pylist() for c in batch.columns)):
-                words = text.split(" ")
-                found = sorted((f["start"], f["first"]["doc_id"], f["first"]["start"]) for f in found)
-                a = 0
-                for b in range(1, len(found) + 1):
-                    if b == len(found) or found[b] != (found[b - 1][0] + 1, found[b - 1][1], found[b - 1][2] + 1):
-                        i = found[a][0] - s0
-                        rows.append((doc_id, found[a][0], found[a][1], found[a][2], " ".join(words[i : i + b - a - 1 + length])))
-                        a = b
-            yield batch_of(rows, schema)
-
-    return run
+def slice_windows(length: int):
+    """(slice, hash of the window, its start) of the windows of each slice wanted."""
+    units = WordUnits()
 
+    def of(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
+        own, out = units(text), []
+        for i, (a, n) in enumerate(wanted):
+            prefix = prefix_hashes(own[a : a + n])
+            at = np.arange(len(prefix) - length)
+            out += zip(repeat(i), mix(range_hash(prefix, at, at + length)).view(np.int64).tolist(), range(a, a + len(at)))
+        return out
 
-PASSAGES = "doc_id long, start long, first_doc long, first_start long, words string"
+    return of
 
 
 def passages(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
-    """PASSAGES that a document may hold at ``start`` after their first occurrence."""
-    found = scratch.write(candidates(anchored(docs, WordUnits(), length, gram)))
-    place = F.struct("doc_id", "s0")
+    """``(doc_id, tie, from_doc, from_tie, from_a, words)``: the passages that a document may hold after they first occur."""
+    found = candidates(docs, WordUnits(), length, gram, scratch)
+    place = F.struct(*KEY, "s0")
     kinds = scratch.write(found.groupBy("g", "h").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("recurs"), F.first("more").alias("more")))
-    several = kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = kinds.join(several, "g", "left").withColumn("mixed", F.col("kinds").isNotNull()).where("recurs or mixed")
-    wanted = wanted.select("first.*", (F.col("more") + length).alias("units"), "g", "h", "recurs", "mixed")
-    held = scratch.write(cut(docs, wanted, "g long, h long, recurs boolean, mixed boolean", slice_words, "words string"))
-    whole = held.where("recurs").select("g", "h", F.col("doc_id").alias("first_doc"), F.col("s0").alias("first_start"), "words")
-    whole = found.join(whole, ["g", "h"]).where("doc_id <> first_doc or s0 <> first_start").select("doc_id", F.col("s0").alias("start"), "first_doc", "first_start", "words")
-    mixed = held.where("mixed")
-    each = scratch.write(windows(mixed, length))
-    at = F.struct("doc_id", "start")
-    often = each.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("w", "first")
-    later = each.join(often, "w").where(at != F.col("first")).groupBy("doc_id", "s0").agg(F.collect_list(F.struct("start", "first")).alias("found"))
-    parts = mixed.join(later, ["doc_id", "s0"]).select("doc_id", "s0", "words", "found")
-    return whole.union(parts.mapInArrow(joined_passages(length), PASSAGES))
-
-
-def merged(found: list[dict]) -> Iterator[tuple[list[bytes], tuple[int, int]]]:
-    """Words and first occurrence of a document's passages, those joined that overlap alike in both places."""
-    words: list[bytes] = []
-    line = (0, 0, 0)
-    for p in sorted(found, key=lambda p: (p["first_doc"], p["start"] - p["first_start"], p["start"])):
-        own = p["words"].encode("utf-8", "surrogatepass").split(b" ")
-        at = p["start"] - line[2]
-        if words and line[:2] == (p["first_doc"], p["start"] - p["first_start"]) and at <= len(words):
-            words += own[len(words) - at :]
-            continue
-        if words:
-            yield words, (line[0], line[2] - line[1])
-        words, line = own, (p["first_doc"], p["start"] - p["first_start"], p["start"])
-    if words:
-        yield words, (line[0], line[2] - line[1])
-
-
-def swept(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Step 3: ``(doc_id, n_words, n_removed, kept_sha256, kept)`` for every row of ``docs``."""
-    own = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "first_doc", "first_start", "words")).alias("passages"))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
+    several = scratch.write(kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g"))
+    source = lambda at: (F.col(f"{at}.doc_id").alias("from_doc"), F.col(f"{at}.tie").alias("from_tie"))
+    whole = found.join(kinds.where("recurs").select("g", "h", "first"), ["g", "h"]).where(place != F.col("first"))
+    whole = whole.select(*KEY, F.col("s0").alias("a"), (F.col("s0") + F.col("more") + length).alias("b"), *source("first"), F.col("first.s0").alias("from_a"))
+    mixed = kinds.join(several, "g").select("first.*", (F.col("more") + length).cast("long").alias("units"))
+    each = scratch.write(cut(docs, mixed, slice_windows(length), "w long, a long").select("w", *KEY, "a"))
+    at = F.struct(*KEY, "a")
+    often = scratch.write(each.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("w", "first"))
+    later = each.join(often, "w").where(at != F.col("first")).select(*KEY, "a", (F.col("a") + length).alias("b"), *source("first"), F.col("first.a").alias("from_a"))
+    joined = scratch.write(lines(whole.union(later)))
+    scratch.drop(found, kinds, several, each, often)
+    return with_source(joined, docs, slice_words, "words string").select(*KEY, "from_doc", "from_tie", "from_a", "words")
+
+
+def swept(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """Steps 2 and 3: ``(doc_id, n_words, n_removed, kept_sha256, kept)`` for every row that ``docs(doc_id, tie, text, n)`` stands for."""
+    own = found.groupBy(*KEY).agg(F.collect_list(F.struct("from_doc", "from_tie", "from_a", "words")).alias("passages"))
+    ddl = "doc_id long, n long, n_words long, n_removed long, kept_sha256 string, kept string"
+    schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, SHARD):
-                ids, texts, own = (c.to_pylist() for c in batch.slice(at, SHARD).columns)
+                ids, ties, texts, ns, own = (c.to_pylist() for c in batch.slice(at, SHARD).columns)
                 numbers: dict[bytes, int] = {}
-                firsts: dict[tuple, tuple[int, int]] = {}
-                for words, first in (p for ps in own for p in merged(ps or [])):
-                    key = tuple([numbers.setdefault(w, len(numbers) + 1) for w in words])
-                    firsts[key] = min(firsts.get(key, (LAST, LAST)), first)
+                firsts: dict[tuple, tuple[int, int, int]] = {}
+                for p in chain.from_iterable(ps for ps in own if ps):
+                    key = tuple([numbers.setdefault(w, len(numbers) + 1) for w in p["words"].encode("utf-8", "surrogatepass").split(b" ")])
+                    first = (p["from_doc"], p["from_tie"], p["from_a"])
+                    firsts[key] = min(firsts.get(key, first), first)
                 automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
                 for key, first in firsts.items():
                     automaton.add_word(key, (len(key), first))
                 if firsts:
                     automaton.make_automaton()
                 rows = []
-                for doc_id, text, any_passage in zip(ids, texts, own):
+                for doc_id, tie, text, n in zip(ids, ties, texts, ns):
                     words = split(text)
                     keep = bytearray(b"\1") * len(words)
-                    if any_passage and words:
-                        for end, (size, first) in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
-                            if (doc_id, end + 1 - size) > first:
+                    if firsts and len(words) >= length:
+                        for end, (size, first) in automaton.iter(tuple(map(numbers.get, words, repeat(0)))):
+                            if (doc_id, tie, end + 1 - size) > first:
                                 keep[end + 1 - size : end + 1] = bytes(size)
                     kept = b" ".join(compress(words, keep))
-                    rows.append((doc_id, len(words), keep.count(0), sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass")))
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    rows.append((doc_id, 1, len(words), keep.count(0), sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass")))
+                    if n > 1 and len(words) < length:  # equal rows too short to repeat anything
+                        rows.append((doc_id, n - 1, *rows[-1][2:]))
+                    elif n > 1:
+                        rows.append((doc_id, n - 1, len(words), len(words), sha256(b"").hexdigest(), ""))
+                yield batch_of(rows, schema)
 
-    return docs.join(own, "doc_id", "left").select("doc_id", "text", "passages").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    out = docs.join(own, KEY, "left").select(*KEY, "text", "n", "passages").mapInArrow(run, ddl)
+    return out.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256, kept)``; ``kept`` is the text that stays, its words joined by a space."""
     scratch = Scratch(docs.sparkSession, "phrases")
-    docs = keyed(docs)
-    found = passages(docs, scratch, length, gram)
-    scratch.settle()
-    out = swept(docs, found)
+    docs = keyed(docs, scratch)
+    out = swept(docs, passages(docs, scratch, length, gram), length)
     return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
 
 

@@ -14,16 +14,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import arrow_schema, batch_of
+from rainfold.llm.common import Scratch, arrow_schema, batch_of
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 #: Units hashed at a time; longer texts are taken in chunks that overlap by a window.
 CHUNK = 1 << 18
-SLICES = "doc_id long, s0 long, more int, rel int, g long, h long"
+SLICES = "doc_id long, tie long, s0 long, more int, rel int, g long, h long"
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -81,27 +81,28 @@ def slices(units: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tup
 
 
 def anchored(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], length: int, gram: int) -> DataFrame:
-    """SLICES of every row of ``docs(doc_id, text)``, over whole texts."""
+    """SLICES of every row of ``docs(doc_id, tie, text)``, over whole texts."""
 
     arrow = arrow_schema(SLICES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, np.ndarray]] = []
+        held: list[tuple[int, int, int, np.ndarray]] = []
         size = 0
 
         def hashed() -> pa.RecordBatch:
             bounds = np.concatenate(([0], np.cumsum([len(u) for *_, u in held])))
             piece, s0, more, rel, g, h = slices(np.concatenate([u for *_, u in held]), bounds, length, gram)
-            ids, bases = np.array([x[0] for x in held], np.int64), np.array([x[1] for x in held], np.int64)
+            ids, ties, bases = (np.array([x[i] for x in held], np.int64)[piece] for i in range(3))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(ids[piece]), pa.array(s0 + bases[piece]), pa.array(more.astype(np.int32)), pa.array(rel.astype(np.int32)), pa.array(g.view(np.int64)), pa.array(h.view(np.int64))], schema=arrow)
+            columns = (ids, ties, s0 + bases, more.astype(np.int32), rel.astype(np.int32), g.view(np.int64), h.view(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=arrow)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, tie, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 units = units_of(text.as_py())
                 for base in range(0, max(1, len(units) - length + 1), CHUNK):
                     part = units[base : base + CHUNK + length - 1]
-                    held.append((doc_id, base, part))
+                    held.append((doc_id, tie, base, part))
                     size += len(part)
                     if size >= CHUNK:
                         yield hashed()
@@ -109,40 +110,75 @@ def anchored(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], leng
         if held:
             yield hashed()
 
-    return docs.mapInArrow(run, SLICES)
+    return docs.select("doc_id", "tie", "text").mapInArrow(run, SLICES)
 
 
-#: Stands for a null doc_id: such rows are judged as one document that comes last.
+#: Stands for a null doc_id, which comes last.
 LAST = (1 << 63) - 1
+KEY = ["doc_id", "tie"]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(doc_id, tie, text, n)`` of ``docs(doc_id, text)``: its texts under keys of their own.
+
+    ``tie`` is 0, and for rows without doc_id or that share one a hash of the text; ``n`` rows are equal, and have one key.
+    """
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    shared = scratch.write(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where(f"n > 1 or doc_id = {LAST}").select("doc_id"))
+    one = docs.withColumns({"tie": F.lit(0).cast("long"), "n": F.lit(1).cast("long")}).select(*KEY, "text", "n")
+    if shared.isEmpty():
+        return one
+    tied = docs.join(shared, "doc_id", "left_semi").withColumn("tie", F.xxhash64("text"))
+    return one.join(shared, "doc_id", "left_anti").unionByName(scratch.write(tied.groupBy(*KEY).agg(F.min("text").alias("text"), F.count("*").alias("n"))))
 
 
-def candidates(marked: DataFrame) -> DataFrame:
-    """The slices whose anchor occurs more than once. The hot side of the join can be split at run time."""
-    often = marked.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    return marked.join(often, "g")
+def candidates(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], length: int, gram: int, scratch: Scratch) -> DataFrame:
+    """The slices whose anchor occurs more than once. Both sides of the join are as they come from the shuffle, so that a hot anchor can be split."""
+    often = scratch.write(anchored(docs, units_of, length, gram).groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
+    found = scratch.write(anchored(docs, units_of, length, gram).join(often, "g"))
+    scratch.drop(often)
+    return found
 
 
-def cut(docs: DataFrame, wanted: DataFrame, fields: str, piece: Callable[[str, list[tuple[int, int]]], list[tuple]], schema: str) -> DataFrame:
-    """For each row of ``wanted(doc_id, s0, units, ...)`` its named fields and what ``piece(text, [(s0, units)])`` cuts out.
+def cut(docs: DataFrame, wanted: DataFrame, piece: Callable[[str, list[tuple[int, int]]], list[tuple]], schema: str) -> DataFrame:
+    """For each row of ``wanted(doc_id, tie, s0, units)`` its key, s0 and units and what ``piece(text, [(s0, units)])`` cuts out, several rows or none.
 
     Only the rows of one document are gathered, as many as it has slices at most.
     """
-    names = [f.split()[0] for f in fields.split(", ")]
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("s0", "units", *names)).alias("wanted"))
-    arrow = arrow_schema(f"doc_id long, s0 long, {fields}, {schema}")
-    joined = docs.join(by_doc, "doc_id").select("doc_id", "text", "wanted")
+    by_doc = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("s0", "units")).alias("wanted"))
+    full = f"doc_id long, tie long, s0 long, units long, {schema}"
+    arrow = arrow_schema(full)
+    joined = docs.join(by_doc, KEY).select(*KEY, "text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 rows = []
-                for doc_id, text, want in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
-                    for w, got in zip(want, piece(text, [(w["s0"], w["units"]) for w in want])):
-                        rows.append((doc_id, w["s0"], *(w[n] for n in names), *got))
+                for doc_id, tie, text, want in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
+                    want = [(w["s0"], w["units"]) for w in want]
+                    rows += [(doc_id, tie, *want[i], *got) for i, *got in piece(text, want)]
+                    if len(rows) > 4096:
+                        yield batch_of(rows, arrow)
+                        rows = []
                 yield batch_of(rows, arrow)
 
-    return joined.mapInArrow(run, f"doc_id long, s0 long, {fields}, {schema}")
+    return joined.mapInArrow(run, full)
+
+
+def lines(pieces: DataFrame, *by: str) -> DataFrame:
+    """Pieces ``(doc_id, tie, a, b, from_doc, from_tie, from_a)``, the units a to b of a text being those from from_a of another one,
+    joined where they overlap or touch alike in both."""
+    same = Window.partitionBy(*KEY, "from_doc", "from_tie", "shift", *by)
+    pieces = pieces.withColumn("shift", F.col("a") - F.col("from_a"))
+    before = F.max("b").over(same.orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.withColumn("new", F.when(before >= F.col("a"), 0).otherwise(1))
+    pieces = pieces.withColumn("line", F.sum("new").over(same.orderBy("a", "b").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    joined = pieces.groupBy(*KEY, "from_doc", "from_tie", "shift", *by, "line").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return joined.select(*KEY, "a", "b", "from_doc", "from_tie", (F.col("a") - F.col("shift")).alias("from_a"), *by)
+
+
+def with_source(joined: DataFrame, docs: DataFrame, piece: Callable[[str, list[tuple[int, int]]], list[tuple]], schema: str) -> DataFrame:
+    """Lines with what ``piece`` cuts out of the text that they come from."""
+    wanted = joined.select(F.col("from_doc").alias("doc_id"), F.col("from_tie").alias("tie"), F.col("from_a").alias("s0"), (F.col("b") - F.col("a")).alias("units")).distinct()
+    held = cut(docs, wanted, piece, schema).withColumnsRenamed({"doc_id": "from_doc", "tie": "from_tie", "s0": "from_a"})
+    return joined.withColumn("units", F.col("b") - F.col("a")).join(held, ["from_doc", "from_tie", "from_a", "units"])

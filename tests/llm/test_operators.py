@@ -212,45 +212,54 @@ def test_representatives_of_chains(spark, monkeypatch, bucket):
     assert {r["doc_id"] for r in kept.collect()} == linked_groups(rows) == {0, 100, 200, 300}
 
 
-def test_phrases(spark, docs, none):
-    first, gone, split = {}, defaultdict(set), {}
-    for i, t in unique_rows():
-        words = split[i] = re.findall(r"[^\x20\x09-\x0D]+", t)
+def every_row() -> list[tuple]:
+    """The corpus with rows that share a doc_id or have none: of equal and of different text, unique text among them."""
+    rng = random.Random(8)
+    alone = " ".join("".join(rng.choices("xyz", k=6)) for _ in range(80))
+    other = " ".join("".join(rng.choices("uvw", k=6)) for _ in range(80))
+    return [*corpus(), (None, alone), (None, alone + " " + other), (5, other[:300]), (None, corpus()[0][1]), (None, "few words"), (None, "few words"), (7, None), (7, None), (3, corpus()[3][1])]
+
+
+def test_phrases(spark, none):
+    rows = [(i, t or "") for i, t in every_row()]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    ties = {r["text"]: r["h"] for r in table.select("text", F.xxhash64("text").alias("h")).collect()}
+    first, want = {}, []
+    for k, (i, t) in enumerate(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, ties[r[1]]))):
+        words, gone = re.findall(r"[^\x20\x09-\x0D]+", t), set()
         for s in range(len(words) - 19):
-            if first.setdefault(tuple(words[s : s + 20]), (i, s)) != (i, s):
-                gone[i].update(range(s, s + 20))
-    got = phrases.dedup(docs.where("doc_id is not null").dropDuplicates(["doc_id"])).collect()
-    assert len(got) == len(split)
-    for r in got:
-        words, lost = split[r["doc_id"]], gone[r["doc_id"]]
-        kept = " ".join(w for k, w in enumerate(words) if k not in lost)
-        assert (r["n_words"], r["n_removed"], r["kept"]) == (len(words), len(lost), kept)
-        assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
-    assert sum(map(len, gone.values())) > 100
-    assert phrases.dedup(docs).count() == len(corpus())
+            if first.setdefault(tuple(words[s : s + 20]), (k, s)) != (k, s):
+                gone.update(range(s, s + 20))
+        kept = " ".join(w for n, w in enumerate(words) if n not in gone)
+        want.append((i, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept))
+    order = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r))
+    got = [tuple(r) for r in phrases.dedup(table.withColumns({"tie": F.lit("x"), "n": F.lit(None), "passages": F.lit(1)})).collect()]
+    assert Counter(got) == Counter(want)
+    assert order(r[:4] for r in got if r[0] == 3) == order(r[:4] for r in want if r[0] == 3)
+    assert sum(r[2] for r in want) > 500
     assert phrases.dedup(none).count() == 0
 
 
 @pytest.mark.parametrize("group", [4096, 2])
-def test_suffixes(spark, docs, none, monkeypatch, group):
+def test_suffixes(spark, none, monkeypatch, group):
     monkeypatch.setattr(suffixes, "GROUP", group)
-    length, seen = 30, defaultdict(set)
-    rows = [(i, t.encode()) for i, t in unique_rows()]
-    for i, t in rows:
+    length, seen, rows = 30, defaultdict(set), every_row()
+    for i, (_, t) in enumerate(rows):
+        t = (t or "").encode()
         for k in range(len(t) - length + 1):
             seen[t[k : k + length]].add((i, k))
-    want = {}
+    want = []
     for i, t in rows:
+        t = (t or "").encode()
         mask = bytearray(len(t))
         for k in range(len(t) - length + 1):
             if len(seen[t[k : k + length]]) > 1:
                 mask[k : k + length] = b"\1" * length
         kept = bytes(c for c, m in zip(t, mask) if not m)
-        want[i] = (len(t), sum(mask), sum(1 for k in range(len(mask)) if mask[k] and (not k or not mask[k - 1])), hashlib.sha256(kept).hexdigest())
-    got = suffixes.dedup(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), length, 8).collect()
-    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
+        want.append((i, len(t), sum(mask), sum(1 for k in range(len(mask)) if mask[k] and (not k or not mask[k - 1])), hashlib.sha256(kept).hexdigest(), kept))
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"tie": F.lit("x"), "n": F.lit(None), "spans": F.lit(1)})
+    assert Counter(tuple(r) for r in suffixes.dedup(table, length, 8).collect()) == Counter(want)
     if group > 2:
-        assert suffixes.dedup(docs, length, 8).count() == len(corpus())
         assert suffixes.dedup(none, length, 8).count() == 0
 
 
