@@ -62,19 +62,19 @@ class WordUnits:
 
 def slice_words(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
     words = split(text)
-    return [(i, b" ".join(words[a : a + n]).decode("utf-8", "surrogatepass")) for i, (a, n) in enumerate(wanted)]
+    return [(a, n, b" ".join(words[a : a + n]).decode("utf-8", "surrogatepass")) for a, n in wanted]
 
 
 def slice_windows(length: int):
-    """(slice, hash of the window, its start) of the windows of each slice wanted."""
+    """(hash of the window, its start) of the windows of each slice wanted."""
     units = WordUnits()
 
     def of(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
         own, out = units(text), []
-        for i, (a, n) in enumerate(wanted):
+        for a, n in wanted:
             prefix = prefix_hashes(own[a : a + n])
             at = np.arange(len(prefix) - length)
-            out += zip(repeat(i), mix(range_hash(prefix, at, at + length)).view(np.int64).tolist(), range(a, a + len(at)))
+            out += zip(mix(range_hash(prefix, at, at + length)).view(np.int64).tolist(), range(a, a + len(at)))
         return out
 
     return of
@@ -90,7 +90,7 @@ def passages(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataF
     whole = found.join(kinds.where("recurs").select("g", "h", "first"), ["g", "h"]).where(place != F.col("first"))
     whole = whole.select(*KEY, F.col("s0").alias("a"), (F.col("s0") + F.col("more") + length).alias("b"), *source("first"), F.col("first.s0").alias("from_a"))
     mixed = kinds.join(several, "g").select("first.*", (F.col("more") + length).cast("long").alias("units"))
-    each = scratch.write(cut(docs, mixed, slice_windows(length), "w long, a long").select("w", *KEY, "a"))
+    each = scratch.write(cut(docs, mixed, "s0 long, units long", slice_windows(length), "w long, a long").select("w", *KEY, "a"))
     at = F.struct(*KEY, "a")
     often = scratch.write(each.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("w", "first"))
     later = each.join(often, "w").where(at != F.col("first")).select(*KEY, "a", (F.col("a") + length).alias("b"), *source("first"), F.col("first.a").alias("from_a"))

@@ -3,18 +3,20 @@
 A byte goes where it is covered by a ``LENGTH``-byte string that also starts anywhere else, in the same document or
 another.
 
-1. Candidates. Slices of windows (see ``winnow``) whose anchor recurs. Equal slices, told by the hashes of anchor and
-   slice, are aggregated before anything is gathered: a slice that occurs at two places repeats as a whole. Where an anchor
-   has slices of different bytes, one of each kind goes on.
-2. Blocks. Such a slice is laid over a grid of ``BLOCK`` starts around its anchor. All windows of a block share its core, the
-   bytes common to them, so only blocks whose core recurs go on, dealt out by core.
+1. Candidates. Slices of windows (see ``winnow``) whose anchor recurs. A slice that recurs as a whole, told by the hashes of anchor and
+   slice, repeats another occurrence of it. Such repeats are joined where they continue each other, and the bytes that they
+   come from are sent to the documents and compared, so nothing goes because of a hash alone.
+2. Blocks. Where an anchor has slices of different bytes, one of each kind is laid over a grid of ``BLOCKS[0]`` starts around its
+   anchor. All windows of a block share its core, the bytes common to them, so only blocks whose core recurs go on, dealt out by core.
+   A core with over ``GROUP`` blocks is laid over finer grids; blocks of one window that are still as many are the
+   same window, and are dealt out in groups that hold the first of them.
 3. Suffix sort. The suffixes of a core's blocks are merge-sorted. Two suffixes are compared by a
    binary search for their common extension over prefix polynomial hashes, so a comparison is logarithmic in the length.
    Neighbours that agree in LENGTH bytes, checked byte by byte, are repeats.
-   A core with over ``GROUP`` blocks is not gathered: its windows are counted one by one, by two 64-bit hashes.
 
-Nulls: a null text is empty. Rows without doc_id are judged as one document, as are rows that share a doc_id: what they
-have at the same place counts once. An empty table gives an empty result.
+Nulls: a null text is empty. Rows that share a doc_id, or have none, are documents of their own; equal rows repeat each
+other. Other columns of the input are left alone. A text of any length is hashed in chunks of bounded size. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -29,11 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, arrow_schema, batch_of, table
-from rainfold.llm.winnow import LAST, anchored, candidates, cut, keyed, prefix_hashes, range_hash
+from rainfold.llm.winnow import KEY, LAST, candidates, cut, keyed, lines, prefix_hashes, range_hash, with_source
 
 LENGTH, GRAM = 400, 32
-#: Starts in a block, blocks of a core that one task may gather, and blocks sorted at a time.
-BLOCK, GROUP, TOGETHER = 64, 4096, 256
+#: Starts in a block, each a multiple of the next; blocks of a core that one task may gather, and blocks sorted at a time.
+BLOCKS, GROUP, TOGETHER = (64, 8, 1), 4096, 256
 VALUES = np.random.default_rng(9).integers(0, 1 << 64, 256, np.uint64)
 
 
@@ -47,7 +49,7 @@ def byte_units(text: str) -> np.ndarray:
 
 def slice_bytes(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
     whole = raw(text)
-    return [(whole[a : a + n],) for a, n in wanted]
+    return [(a, n, whole[a : a + n]) for a, n in wanted]
 
 
 def common_extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -112,18 +114,19 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, groups: np.ndarray, lengt
     return order, prefix
 
 
-def repeats(blocks: list[tuple[int, int, int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
-    """(doc_id, start, end) of the windows that repeat among (core, doc_id, start, windows, bytes) sorted by core."""
-    data = np.frombuffer(b"".join(b[4] for b in blocks), np.uint8)
-    sizes = np.array([len(b[4]) for b in blocks])
+def repeats(blocks: list[tuple], length: int) -> list[tuple[int, int, int, int]]:
+    """(doc_id, tie, start, end) of the windows that repeat among (group, doc_id, tie, start, windows, bytes) sorted by group."""
+    data = np.frombuffer(b"".join(b[-1] for b in blocks), np.uint8)
+    sizes = np.array([len(b[-1]) for b in blocks])
     bounds = np.cumsum(sizes) - sizes
-    counts = np.array([b[3] for b in blocks])
+    counts = np.array([b[-2] for b in blocks])
     block = np.repeat(np.arange(len(blocks)), counts)
     shift = np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts)
     starts = bounds[block] + shift
-    order, prefix = suffix_order(data, starts, np.array([b[0] for b in blocks])[block], length)
+    group = np.cumsum([0, *(x[0] != y[0] for x, y in zip(blocks, blocks[1:]))])
+    order, prefix = suffix_order(data, starts, group[block], length)
     a, b = order[:-1], order[1:]
-    at = np.flatnonzero(common_extension(prefix, starts[a], starts[b], length) == length)
+    at = np.flatnonzero((group[block[a]] == group[block[b]]) & (common_extension(prefix, starts[a], starts[b], length) == length))
     a, b = a[at], b[at]
     windows = np.lib.stride_tricks.sliding_window_view(data, length)
     hit = np.zeros(len(starts), bool)
@@ -131,137 +134,146 @@ def repeats(blocks: list[tuple[int, int, int, int, bytes]], length: int) -> list
         p, q = a[i : i + 4096], b[i : i + 4096]
         real = (windows[starts[p]] == windows[starts[q]]).all(axis=1)
         hit[p[real]] = hit[q[real]] = True
-    return runs([(blocks[i][1], blocks[i][2] + int(k)) for i, k in zip(block[hit].tolist(), shift[hit])], length)
+    found = [(*blocks[i][1:3], blocks[i][3] + int(k)) for i, k in zip(block[hit].tolist(), shift[hit])]
+    return runs([(*w, w[2] + length) for w in found])
 
 
-def runs(windows: list[tuple[int, int]], length: int) -> list[tuple[int, int, int]]:
+def runs(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """The spans (doc_id, tie, start, end), joined where they overlap or touch."""
     out: list[list[int]] = []
-    for doc_id, start in sorted(windows):
-        if out and out[-1][0] == doc_id and start <= out[-1][2]:
-            out[-1][2] = start + length
+    for doc_id, tie, start, end in sorted(spans):
+        if out and out[-1][:2] == [doc_id, tie] and start <= out[-1][3]:
+            out[-1][3] = max(out[-1][3], end)
         else:
-            out.append([doc_id, start, start + length])
+            out.append([doc_id, tie, start, end])
     return [tuple(x) for x in out]
 
 
-def blocks_of(length: int, block: int, with_bytes: bool):
-    """Blocks of slices: (core, doc_id, s0, block), and with bytes those of the blocks asked for, with start and windows."""
-    schema = arrow_schema("core long, doc_id long, s0 long, block int" if not with_bytes else "core long, doc_id long, start long, windows int, bytes binary")
+def blocks_of(length: int, block: int):
+    """(core, start, windows, distance of the first one before the anchor) of the blocks that slices (start, windows, distance) make."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc_id, s0, g, rel, data, *asked in zip(*(c.to_pylist() for c in batch.columns)):
-                # Windows are dealt by their distance before the anchor: rel for the first one.
-                chosen = dict(asked[0]) if with_bytes else None
-                for k in range((rel - (len(data) - length)) // block, rel // block + 1):
-                    late, early = rel - k * block, rel - k * block - block + 1
-                    if not with_bytes:
-                        key = xxhash.xxh3_64_intdigest(data[late : early + length] + b"%d,%d" % (g, k))
-                        rows.append((key - (1 << 64) if key >> 63 else key, doc_id, s0, k))
-                    elif k in chosen:
-                        a, b = max(0, early), min(len(data) - length, late)
-                        rows.append((chosen[k], doc_id, s0 + a, b - a + 1, data[a : b + length]))
-            yield batch_of(rows, schema)
+    def of(text: str, wanted: list[tuple[int, int, int]]) -> Iterator[tuple]:
+        whole = raw(text)
+        for start, n, d in wanted:
+            for k in range((d - n + 1) // block, d // block + 1):
+                # Windows start + early to start + late, of which the slice has those from a to b.
+                late, early = d - k * block, d - k * block - block + 1
+                a, b = max(0, early), min(n - 1, late)
+                core = xxhash.xxh3_64_intdigest(whole[start + late : start + early + length] + b"%d" % k)
+                yield core - (1 << 64) if core >> 63 else core, start + a, b - a + 1, d - a
 
-    return run
+    return of
+
+
+def block_bytes(length: int):
+    def of(text: str, wanted: list[tuple]) -> Iterator[tuple]:
+        whole = raw(text)
+        for *group, a, windows in wanted:
+            yield *group, a, windows, whole[a : a + windows - 1 + length]
+
+    return of
 
 
 def sorted_repeats(length: int):
-    schema = arrow_schema("doc_id long, a long, b long")
+    schema = arrow_schema("doc_id long, tie long, a long, b long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if len(held) >= TOGETHER and row[0] != held[-1][0]:
+            for core, part, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if len(held) >= TOGETHER and (core, part) != held[-1][0]:
                     yield batch_of(repeats(held, length), schema)
                     held = []
-                held.append(row)
+                held.append(((core, part), *row))
         if held:
             yield batch_of(repeats(held, length), schema)
 
     return run
 
 
-def single_windows(length: int):
-    schema = arrow_schema("x long, y long, doc_id long, start long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for core, doc_id, start, windows, data in zip(*(c.to_pylist() for c in batch.columns)):
-                for i in range(windows):
-                    d = xxhash.xxh3_128_digest(data[i : i + length])
-                    rows.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), doc_id, start + i))
-            yield batch_of(rows, schema)
-
-    return run
+def sorted_spans(docs: DataFrame, slices: DataFrame, scratch: Scratch, length: int) -> DataFrame:
+    """``(doc_id, tie, a, b)``: repeats among windows of the slices ``(doc_id, tie, a, windows, d)``."""
+    parts, place = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), F.struct(*KEY, "a")
+    chosen = None
+    grids = [b for b in BLOCKS if b == 1 or b <= length // 6]
+    for block in grids:
+        cores = scratch.write(cut(docs, slices, "a long, windows int, d int", blocks_of(length, block), "core long, a long, windows int, d int"))
+        often = scratch.write(cores.groupBy("core").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"))
+        shared = cores.join(often, "core")
+        last = block == 1 or often.where(F.col("n") > GROUP).isEmpty()
+        few = shared if last else shared.where(F.col("n") <= GROUP)
+        of = F.when(F.col("n") > GROUP, F.ceil(F.col("n") / GROUP)).otherwise(1)
+        own = F.when(place == F.col("first"), F.sequence(F.lit(0).cast("long"), of - 1)).otherwise(F.array(F.pmod(F.xxhash64(*KEY, "a"), of)))
+        few = few.withColumn("part", F.explode(own)).select("core", "part", *KEY, "a", "windows")
+        chosen = few if chosen is None else chosen.union(few)
+        if last:
+            break
+        slices = shared.where(F.col("n") > GROUP)
+    schema = "core long, part long, a long, windows int, bytes binary"
+    blocks = cut(docs, chosen, "core long, part long, a long, windows int", block_bytes(length), schema).select("core", "part", *KEY, "a", "windows", "bytes")
+    return blocks.repartition(parts, "core", "part").sortWithinPartitions("core", "part", *KEY, "a").mapInArrow(sorted_repeats(length), "doc_id long, tie long, a long, b long")
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
-    """``(doc_id, a, b)``: byte ranges to remove."""
-    found = scratch.write(candidates(anchored(docs, byte_units, length, gram)))
-    place, block = F.struct("doc_id", "s0"), max(1, min(BLOCK, length // 6))
-    kinds = found.groupBy("g", "h").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("recurs"), F.first("more").alias("more"), F.first("rel").alias("rel"))
-    kinds = scratch.write(kinds)
-    whole = found.join(kinds.where("recurs").select("g", "h"), ["g", "h"]).select("doc_id", F.col("s0").alias("a"), (F.col("s0") + F.col("more") + length).alias("b"))
-    several = kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
-    wanted = kinds.join(several, "g").select("first.*", (F.col("more") + length).alias("units"), "g", "rel")
-    held = scratch.write(cut(docs, wanted, "g long, rel int", slice_bytes, "bytes binary").dropDuplicates(["doc_id", "s0"]))
-    columns = ["doc_id", "s0", "g", "rel", "bytes"]
-    cores = scratch.write(held.select(*columns).mapInArrow(blocks_of(length, block, False), "core long, doc_id long, s0 long, block int"))
-    often = cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
-    asked = cores.join(often, "core").withColumn("hot", F.col("n") > GROUP)
-    asked = asked.groupBy("hot", "doc_id", "s0").agg(F.map_from_entries(F.collect_list(F.struct("block", "core"))).alias("asked"))
-    asked = scratch.write(held.join(asked, ["doc_id", "s0"]).select("hot", *columns, "asked"))
-
-    def blocks(hot: bool) -> DataFrame:
-        return asked.where(F.col("hot") == hot).select(*columns, "asked").mapInArrow(blocks_of(length, block, True), "core long, doc_id long, start long, windows int, bytes binary")
-
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sort = blocks(False).repartition(parts, "core").sortWithinPartitions("core", "doc_id", "start").mapInArrow(sorted_repeats(length), "doc_id long, a long, b long")
-    each = blocks(True).repartition(parts, "doc_id", "start").mapInArrow(single_windows(length), "x long, y long, doc_id long, start long")
-    at = F.struct("doc_id", "start")
-    twice = each.groupBy("x", "y").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("x", "y")
-    counted = each.join(twice, ["x", "y"]).select("doc_id", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
-    return whole.union(sort).union(counted)
-
-
-def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    own = spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    """``(doc_id, tie, a, b, bytes)``: byte ranges to remove, if they hold ``bytes`` or that is null."""
+    found = candidates(docs, byte_units, length, gram, scratch)
+    place = F.struct(*KEY, "s0")
+    kinds = scratch.write(found.groupBy("g", "h").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("more").alias("more"), F.first("rel").alias("rel")))
+    several = scratch.write(kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g"))
+    whole = found.join(kinds.where("first <> last").select("g", "h", "first", "last"), ["g", "h"]).withColumn("other", F.when(place == F.col("first"), F.col("last")).otherwise(F.col("first")))
+    whole = whole.select(*KEY, F.col("s0").alias("a"), (F.col("s0") + F.col("more") + length).alias("b"), F.col("other.doc_id").alias("from_doc"), F.col("other.tie").alias("from_tie"), F.col("other.s0").alias("from_a"))
+    joined = scratch.write(lines(whole))
+    mixed = kinds.join(several, "g").select("first.doc_id", "first.tie", F.col("first.s0").alias("a"), (F.col("more") + 1).alias("windows"), F.col("rel").alias("d"))
+    spans = scratch.write(sorted_spans(docs, mixed, scratch, length))
+    scratch.drop(found, kinds, several)
+    whole = with_source(joined, docs, slice_bytes, "bytes binary").select(*KEY, "a", "b", "bytes")
+    return whole.unionByName(spans.withColumn("bytes", F.lit(None).cast("binary")))
+
+
+def confirmed(data: bytes, spans: list[dict], length: int) -> list[tuple[int, int]]:
+    """The spans (a, b) of ``data``; of those that come with other bytes than it has there, the runs of LENGTH or more equal bytes."""
+    out = []
+    for a, b, own in ((s["a"], s["b"], s["bytes"]) for s in spans):
+        if own is None or data[a:b] == own:
+            out.append((a, b))
+            continue
+        same = np.frombuffer(data[a:b], np.uint8) == np.frombuffer(own, np.uint8)
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))
+        out += [(a + x, a + y) for x, y in zip(edges[::2].tolist(), edges[1::2].tolist()) if y - x >= length]
+    return out
+
+
+def without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+    own = spans.groupBy(*KEY).agg(F.collect_list(F.struct("a", "b", "bytes")).alias("spans"))
+    ddl = "doc_id long, n long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = []
-                for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
-                    data, kept, end, n = raw(text), [], 0, 0
-                    until = -1
-                    for a, b in sorted((min(s["a"], len(data)), min(s["b"], len(data))) for s in spans or ()):
-                        if a >= b:
-                            continue
-                        n += a > until
-                        if a > end:
-                            kept.append(data[end:a])
-                        end = until = max(end, b)
-                    kept.append(data[end:])
-                    rest = b"".join(kept)
-                    rows.append((doc_id, len(data), len(data) - len(rest), n, sha256(rest).hexdigest(), rest))
+                for doc_id, text, n, spans in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    data, kept, end = raw(text), [], 0
+                    gone = confirmed(data, spans or [], length)
+                    if n > 1 and len(data) >= length:
+                        gone.append((0, len(data)))
+                    gone = runs([(0, 0, a, b) for a, b in gone])
+                    for *_, a, b in gone:
+                        kept.append(data[end:a])
+                        end = b
+                    rest = b"".join([*kept, data[end:]])
+                    rows.append((doc_id, n, len(data), len(data) - len(rest), len(gone), sha256(rest).hexdigest(), rest))
                 yield batch_of(rows, schema)
 
-    return docs.join(own, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, ddl)
+    out = docs.join(own, KEY, "left").select("doc_id", "text", "n", "spans").mapInArrow(run, ddl)
+    return out.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``; ``kept`` is the bytes that stay."""
     scratch = Scratch(docs.sparkSession, "suffixes")
-    docs = keyed(docs)
-    spans = repeated_spans(docs, scratch, length, gram)
-    scratch.settle()
-    out = without(docs, spans)
+    docs = keyed(docs, scratch)
+    out = without(docs, repeated_spans(docs, scratch, length, gram), length)
     return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
 
 

@@ -10,7 +10,7 @@ Hashes come from prefix sums of polynomial hashes modulo 2**64, over random 64-b
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -140,27 +140,27 @@ def candidates(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], le
     return found
 
 
-def cut(docs: DataFrame, wanted: DataFrame, piece: Callable[[str, list[tuple[int, int]]], list[tuple]], schema: str) -> DataFrame:
-    """For each row of ``wanted(doc_id, tie, s0, units)`` its key, s0 and units and what ``piece(text, [(s0, units)])`` cuts out, several rows or none.
+def cut(docs: DataFrame, wanted: DataFrame, fields: str, piece: Callable[[str, list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
+    """For each document of ``wanted(doc_id, tie, fields)`` its key and the rows of ``schema`` that ``piece(text, rows of fields)`` makes.
 
     Only the rows of one document are gathered, as many as it has slices at most.
     """
-    by_doc = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("s0", "units")).alias("wanted"))
-    full = f"doc_id long, tie long, s0 long, units long, {schema}"
+    names = [f.split()[0] for f in fields.split(", ")]
+    by_doc = wanted.groupBy(*KEY).agg(F.collect_list(F.struct(*names)).alias("wanted"))
+    full = f"doc_id long, tie long, {schema}"
     arrow = arrow_schema(full)
     joined = docs.join(by_doc, KEY).select(*KEY, "text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = []
-                for doc_id, tie, text, want in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
-                    want = [(w["s0"], w["units"]) for w in want]
-                    rows += [(doc_id, tie, *want[i], *got) for i, *got in piece(text, want)]
-                    if len(rows) > 4096:
-                        yield batch_of(rows, arrow)
-                        rows = []
-                yield batch_of(rows, arrow)
+            rows: list[tuple] = []
+            for at in range(batch.num_rows):
+                doc_id, tie, text, want = (c[0] for c in batch.slice(at, 1).to_pydict().values())
+                rows += [(doc_id, tie, *got) for got in piece(text, [tuple(w.values()) for w in want])]
+                if len(rows) > 4096:
+                    yield batch_of(rows, arrow)
+                    rows = []
+            yield batch_of(rows, arrow)
 
     return joined.mapInArrow(run, full)
 
@@ -177,8 +177,8 @@ def lines(pieces: DataFrame, *by: str) -> DataFrame:
     return joined.select(*KEY, "a", "b", "from_doc", "from_tie", (F.col("a") - F.col("shift")).alias("from_a"), *by)
 
 
-def with_source(joined: DataFrame, docs: DataFrame, piece: Callable[[str, list[tuple[int, int]]], list[tuple]], schema: str) -> DataFrame:
-    """Lines with what ``piece`` cuts out of the text that they come from."""
+def with_source(joined: DataFrame, docs: DataFrame, piece: Callable[[str, list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
+    """Lines with what ``piece`` cuts out of the text that they come from, as ``(s0, units, columns of schema)``."""
     wanted = joined.select(F.col("from_doc").alias("doc_id"), F.col("from_tie").alias("tie"), F.col("from_a").alias("s0"), (F.col("b") - F.col("a")).alias("units")).distinct()
-    held = cut(docs, wanted, piece, schema).withColumnsRenamed({"doc_id": "from_doc", "tie": "from_tie", "s0": "from_a"})
+    held = cut(docs, wanted, "s0 long, units long", piece, f"s0 long, units long, {schema}").withColumnsRenamed({"doc_id": "from_doc", "tie": "from_tie", "s0": "from_a"})
     return joined.withColumn("units", F.col("b") - F.col("a")).join(held, ["from_doc", "from_tie", "from_a", "units"])

@@ -243,6 +243,7 @@ def test_phrases(spark, none):
 @pytest.mark.parametrize("group", [4096, 2])
 def test_suffixes(spark, none, monkeypatch, group):
     monkeypatch.setattr(suffixes, "GROUP", group)
+    monkeypatch.setattr(suffixes, "BLOCKS", (4, 2, 1))
     length, seen, rows = 30, defaultdict(set), every_row()
     for i, (_, t) in enumerate(rows):
         t = (t or "").encode()
