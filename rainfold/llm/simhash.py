@@ -21,15 +21,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, arrow_schema, components, per_text, table, words_of
 
 #: Above this many distinct fingerprints a bucket is linked by full-width signatures, of which a fingerprint has 2016 at two bits.
 BUCKET = 128
-#: Shingle hashes held at once, and how many frequent shingles the prefixes put last.
-AT_ONCE, OFTEN = 1 << 18, 1 << 20
+#: Shingle hashes held at once; in how many prefixes a shingle is frequent, and how many of those the prefixes put last.
+AT_ONCE, FREQUENT, OFTEN = 1 << 16, 8, 1 << 20
+#: Bits of the sketches by which pairs are told apart before their sets are compared.
+SKETCH = 512
 
 
 def shingle_hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
@@ -91,7 +93,8 @@ def near(max_bits: int):
 
 def links(fps: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
     """Edges ``(a, b)`` that connect exactly what fingerprints at ``max_bits`` or fewer differing bits connect."""
-    index = variants(fps, max_bits)
+    parts = max(1, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    index = variants(fps.repartition(parts, "fp"), max_bits)  # 64 times the rows: not by the few tasks that read a small table
     buckets = scratch.write(index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
     firsts = [first for first, _ in segments(max_bits)]
     is_first = F.shiftright("key", 40).isin(firsts)
@@ -153,7 +156,7 @@ def shingled(docs: DataFrame, words: int, keep: Callable[[np.ndarray, np.ndarray
             nodes, sets, size = [], [], 0
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 nodes.append(node)
-                sets.append(np.unique(shingle_hashes(words_of(text.as_py()), words, 7)))
+                sets.append(shingle_set(text.as_py(), words))
                 size += len(sets[-1])
                 if size >= AT_ONCE:
                     yield made(nodes, sets)
@@ -164,14 +167,35 @@ def shingled(docs: DataFrame, words: int, keep: Callable[[np.ndarray, np.ndarray
     return docs.mapInArrow(run, schema)
 
 
-def marks(docs: DataFrame, words: int) -> DataFrame:
-    """``(id, text, node)``: hashes of the text and of its set of shingles."""
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    return np.unique(shingle_hashes(words_of(text), words, 7))
 
-    def run(ids: list, texts: list, hashes: list) -> dict:
-        wholes = [xxhash.xxh3_64_digest(np.unique(shingle_hashes(words_of(t), words, 7)).tobytes()) for t in texts]
-        return {"id": ids, "text": hashes, "node": [int.from_bytes(w, "big", signed=True) for w in wholes]}
 
-    return per_text(docs, run, "id long, text long, node long", F.xxhash64("text"))
+def row_key(docs: DataFrame) -> list[Column]:
+    """128 bits that tell rows apart by all their columns; rows with the same ones are equal."""
+    columns = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+    return [F.xxhash64(F.lit(i), *columns).alias(c) for i, c in enumerate(("row_a", "row_b"))]
+
+
+MARKS = "doc_id long, row_a long, row_b long, node long, size long, fp long, sketch array<long>"
+
+
+def marks(rows: DataFrame, words: int) -> DataFrame:
+    """MARKS of ``rows(row_a, row_b, doc_id, text)``: a hash of the text's set of shingles, its size, fingerprint and parity sketch."""
+
+    def run(ids: list, texts: list, a: list, b: list) -> dict:
+        sets = [shingle_set(t, words) for t in texts]
+        nodes = [xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets]
+        own = {"node": np.array(nodes, np.uint64).view(np.int64), "size": [len(x) for x in sets], "fp": [fold(x) for x in sets], "sketch": [parities(x) for x in sets]}
+        return {"doc_id": ids, "row_a": a, "row_b": b} | own
+
+    return per_text(rows, run, MARKS, "row_a", "row_b")
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """SKETCH bits, each telling if an odd number of the hashes falls on it. Two sets differ in at least as many hashes as their sketches in bits."""
+    odd = np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -182,7 +206,7 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
 
 
 def prefixes(texts: DataFrame, words: int, least: float, often: np.ndarray) -> DataFrame:
-    """``(node, size, key)``: of each set the shingles of which one must be shared at a Jaccard similarity of ``least``.
+    """``(node, size, at, key)``: of each set the shingles of which one must be shared at a Jaccard similarity of ``least``, with their places.
 
     Sets in one order, ``often`` (ascending) last and by hash otherwise, that share ``least`` of the larger one, share a shingle of
     the first ``size - ceil(least * size) + 1`` of each. This holds for any order; ``often`` only keeps the buckets small.
@@ -195,95 +219,120 @@ def prefixes(texts: DataFrame, words: int, least: float, often: np.ndarray) -> D
         ordered = sets[np.argsort(np.repeat(np.arange(len(sizes)) * 2, sizes) + last, kind="stable")]
         rows = np.minimum(sizes, sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1)
         place = np.arange(len(sets)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return [np.repeat(sizes, rows), ordered[place < np.repeat(rows, sizes)].view(np.int64)], rows
+        chosen = place < np.repeat(rows, sizes)
+        return [np.repeat(sizes, rows), place[chosen], ordered[chosen].view(np.int64)], rows
+
+    return shingled(texts, words, keep, "node long, size long, at long, key long")
 
-    return shingled(texts, words, keep, "node long, size long, key long")
+
+def may_be_near(x: str, y: str, least: float) -> str:
+    """SQL: whether sets with sizes and places of a shared shingle ``x`` and ``y`` can have a Jaccard similarity of ``least``, if it is the first that they share.
+
+    Then they share at most that one and what lies behind it in both. A pair that shares an earlier one of their prefixes is found by that.
+    """
+    return f"""(least({x}.size, {y}.size) + 1e-9D >= greatest({x}.size, {y}.size) * {least}D
+        and least({x}.size - {x}.at, {y}.size - {y}.at) * {1 + least}D + 1e-9D >= ({x}.size + {y}.size) * {least}D)"""
 
 
-def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingle sets have a Jaccard similarity of ``least`` or more."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
+def sketched_pairs(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The ``pairs(a, b)`` whose sketches don't show that they are below ``least``: no pair above it goes."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.struct("size", "sketch").alias(f"of_{c}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    differ = F.expr("aggregate(zip_with(of_a.sketch, of_b.sketch, (p, q) -> bit_count(p ^ q)), 0, (n, x) -> n + x)")
+    sizes = F.expr("of_a.size + of_b.size")
+    return both.where((sizes - differ) / 2 * (1 + least) + 1e-9 >= sizes * least).select("a", "b")
+
+
+def similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
+    """The distinct ``pairs(a, b)`` whose shingle sets have a Jaccard similarity of ``least`` or more. Only sets of pairs that pass the sketches are made."""
+    pairs = scratch.write(sketched_pairs(pairs, nodes, least))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = scratch.write(shingle_sets(texts.join(wanted, "node", "left_semi"), words))
+    side = lambda c, to: sets.select(F.col("node").alias(c), F.col("own").alias(to))
     shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    found = scratch.write(pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").where(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b"))
+    scratch.drop(pairs, sets)
+    return found
 
 
-def index_of(texts: DataFrame, words: int, least: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The prefixes, and ``(key, n, a, b)`` of the shingles in several of them: how many have it, the smallest and the largest one."""
-    often = np.empty(0, np.uint64)
-    while True:
-        index = scratch.write(prefixes(texts, words, least, often))
-        shared = scratch.write(index.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("a"), F.max(F.struct("node", "size")).alias("b")).where("n > 1"))
-        if len(often):
-            return index, shared
-        top = shared.where(F.col("n") > BUCKET).orderBy(F.desc("n"), "key").limit(OFTEN).select("key").toPandas()["key"]
-        if not len(top):
-            return index, shared
-        often = np.sort(top.to_numpy(np.int64).view(np.uint64))
-        scratch.drop(shared)
-        scratch.drop(index)
+def index_of(texts: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
+    """The prefixes; shingles in many of a first version of them, ordered by hash alone, come last in their sets."""
+    index = scratch.write(prefixes(texts, words, least, np.empty(0, np.uint64)))
+    top = index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "key").limit(OFTEN).select("key").toPandas()["key"]
+    if not len(top):
+        return index
+    scratch.drop(index)
+    return scratch.write(prefixes(texts, words, least, np.sort(top.to_numpy(np.int64).view(np.uint64))))
+
+
+def with_roots(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def across(hot: DataFrame, edges: DataFrame, sets: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """Edges that with ``edges`` connect exactly what all verified pairs of the buckets ``hot(key, node, size)`` would connect.
+def across(hot: DataFrame, edges: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float, scratch: Scratch) -> DataFrame:
+    """Edges that with ``edges`` connect exactly what all verified pairs of the buckets ``hot(key, node, size, at)`` would connect.
 
     All nodes are compared with the smallest of their bucket. Of the components that result, a bucket's pairs within one tell nothing new;
     those between two of them are all verified: each node outside the bucket's largest component is compared with every node of another one.
     """
-    same = hot.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("n"))
-    hot = scratch.write(hot.join(same.groupBy("x", "y", "n").agg(F.min("key").alias("key")).select("key"), "key", "left_semi").select("key", "node", "size"))
-    alike = F.expr(f"least(size, other) + 1e-9D >= greatest(size, other) * {least}D")
-    hubs = hot.groupBy("key").agg(F.min(F.struct("node", "size")).alias("m")).select("key", F.col("m.node").alias("a"), F.col("m.size").alias("other"))
-    to_hub = scratch.write(hot.join(hubs, "key").where("node <> a").where(alike).select("a", F.col("node").alias("b")).distinct())
-    linked = scratch.write(similar(to_hub, sets, least))
-    held = hot.join(components(edges.union(linked), scratch), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    largest = held.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root")).alias("m"), F.count("*").alias("roots"))
-    held = scratch.write(held.join(largest.where("roots > 1").select("key", F.col("m.root").alias("main")), "key"))
-    minor = held.where("root <> main").select("key", F.col("node").alias("a"), F.col("size").alias("other"), F.col("root").alias("own"))
-    pairs = minor.join(held, "key").where("own <> root and (root = main or a < node)").where(alike)
-    pairs = scratch.write(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-    return linked.union(similar(pairs, sets, least))
-
-
-def representatives(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
-    """The rows of ``docs``, with all their columns, without near copies: of each group the smallest doc_id stays.
-
-    Near copies share ``least`` of their ``words``-word shingles. Texts with the same shingles are one node. Nodes meet in the buckets of
-    the shingles in their prefixes, where every pair of near copies meets, and each link is verified on the shingle sets. Buckets of over BUCKET nodes
-    are linked by ``across``, which loses no link.
-    Rows without doc_id stay. Of rows that share a doc_id one stays.
+    me, place = "node", F.struct("size", "at")
+    hubs = scratch.write(hot.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("m")).select("key", F.col("m.node").alias("a"), F.struct("m.size", "m.at").alias("x")))
+    to_hub = hot.join(hubs, "key").withColumn("y", place).where(f"{me} <> a and {may_be_near('x', 'y', least)}")
+    linked = verify(to_hub.select("a", F.col("node").alias("b")).distinct())
+    held = scratch.write(with_roots(hot, components(edges.union(linked), scratch)))
+    counts = held.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root")).alias("m"), F.count("*").alias("roots"))
+    largest = scratch.write(counts.where("roots > 1").select("key", F.col("m.root").alias("main")))
+    held = scratch.write(held.join(largest, "key"))
+    minor = held.where("root <> main").select("key", F.col("node").alias("a"), place.alias("x"), F.col("root").alias("own"))
+    pairs = held.withColumn("y", place).join(minor, "key").where(f"own <> root and (root = main or a < node) and {may_be_near('x', 'y', least)}")
+    return linked.union(verify(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()))
+
+
+def near_copies(nodes: DataFrame, texts: DataFrame, words: int, least: float, max_bits: int, scratch: Scratch) -> DataFrame:
+    """``(node, root)`` of ``nodes(node, size, fp, sketch)`` that are near copies of another one, with ``texts(node, text)``.
+
+    First the fingerprints are linked by their deletion variants, and in each group all nodes are compared with the smallest. Fingerprints
+    of texts with a similarity of ``least`` may differ in more bits than variants can span, so what no group holds yet meets in the buckets of the
+    prefix filter, where every pair meets. Pairs within a component tell nothing new and aren't compared.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "copies")
-    named = docs.where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
-    marked = scratch.write(marks(named, words).distinct())
-    nodes = scratch.write(marked.groupBy("node").agg(F.min(F.struct("id", "text")).alias("m")).select("node", F.col("m.id").alias("doc_id"), F.col("m.text").alias("found_text")))
-    own = named.select("doc_id", "text", F.xxhash64("text").alias("found_text")).join(nodes, ["doc_id", "found_text"])
-    texts = scratch.write(own.select("node", F.col("text").cast("string").alias("text")).dropDuplicates(["node"]))
-    index, shared = index_of(texts, words, least, scratch)
-    alike = lambda a, b: F.least(a, b) + F.lit(1e-9) >= F.greatest(a, b) * least  # noqa: E731  sizes of near copies
-    two = shared.where("n = 2").where(alike("a.size", "b.size")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    members = scratch.write(index.join(scratch.sized(scratch.write(shared.where("n > 2").select("key", "n"))), "key"))
-    few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "size"))).alias("all"))
-    few = few.select("all").distinct().select("all", F.explode("all").alias("m"))
-    partner = f"y -> y.node > m.node and least(y.size, m.size) + 1e-9D >= greatest(y.size, m.size) * {least}D"
-    few = few.select(F.col("m.node").alias("a"), F.explode(F.expr(f"filter(all, {partner})")).alias("y")).select("a", F.col("y.node").alias("b"))
-    pairs = scratch.write(two.union(few).distinct())
-    hot = members.where(F.col("n") > BUCKET)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(hot.select("node")).distinct()
-    sets = scratch.write(shingle_sets(texts.join(wanted, "node", "left_semi"), words))
-    first = scratch.write(similar(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, least))
-    roots = scratch.write(components(first, scratch))
-    side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    apart = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where("coalesce(root_a, a) <> coalesce(root_b, b)")
-    edges = scratch.write(first.union(similar(apart.select("a", "b"), sets, least)))  # pairs within a component connect nothing new
+    verify = lambda pairs: similar(pairs, nodes, texts, words, least, scratch)
+    roots = components(links(nodes.select("fp").distinct(), max_bits, scratch), scratch).withColumnsRenamed({"node": "fp", "root": "group"})
+    grouped = nodes.select("node", "fp").join(roots, "fp", "left").select("node", F.coalesce("group", "fp").alias("group"))
+    low = scratch.write(grouped.groupBy("group").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("group", "a"))
+    edges = verify(grouped.join(low, "group").where("node <> a").select("a", F.col("node").alias("b")))
+    roots = scratch.write(components(edges, scratch))
+    index = index_of(texts, words, least, scratch)
+    rooted = scratch.write(with_roots(index, roots))
+    shared = rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 1 and low <> high")
+    members = scratch.write(rooted.join(scratch.write(shared.select("key", "n")), "key").select("key", "n", "node", "size", "at", "root"))
+    scratch.drop(index, rooted)
+    few = members.where(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list(F.struct("node", "size", "at", "root")).alias("all"))
+    few = few.select("all", F.explode("all").alias("m"))
+    few = few.select(F.col("m.node").alias("a"), F.explode(F.expr(f"filter(all, y -> y.node > m.node and y.root <> m.root and {may_be_near('y', 'm', least)})")["node"]).alias("b"))
+    edges = scratch.write(edges.union(verify(few.distinct())))
+    hot = members.where(F.col("n") > BUCKET).drop("n", "root")
     if not hot.isEmpty():
-        edges = edges.union(across(hot, edges, sets, least, scratch))
-    roots = components(edges, scratch)
-    groups = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stay = groups.groupBy("root").agg(F.min(F.struct("doc_id", "found_text")).alias("m")).select("m.*")
-    own = named.withColumn("found_text", F.xxhash64("text"))
-    kept = own.join(stay, ["doc_id", "found_text"], "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.union(docs.where("doc_id is null"))
+        edges = scratch.write(edges.union(across(hot, edges, verify, least, scratch)))
+    return components(edges, scratch)
+
+
+def representatives(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without near copies: of each group the row with the smallest doc_id stays.
+
+    Near copies share ``least`` of their ``words``-word shingles. Texts with the same shingles are one node; ``near_copies`` links the
+    nodes. A null text has no shingles, as an empty one, and is grouped with those. A null doc_id is the largest one; of rows that share a doc_id and are
+    near copies one stays, by a hash of the row, and rows that aren't near copies stay each. Equal rows are copies.
+    """
+    scratch = Scratch(docs.sparkSession, "copies")
+    keyed = docs.select(*row_key(docs), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_a", "row_b")).alias("m")
+    nodes = scratch.write(marks(keyed, words).groupBy("node").agg(first, F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")))
+    own = nodes.select("node", "m.row_a", "m.row_b")
+    texts = scratch.write(keyed.join(own, ["row_a", "row_b"]).groupBy("node").agg(F.min("text").alias("text")))
+    groups = with_roots(nodes.select("node", "m"), near_copies(nodes, texts, words, least, max_bits, scratch))
+    stay = scratch.write(groups.groupBy("root").agg(F.min("m").alias("m")).select("m.row_a", "m.row_b"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), *row_key(docs)).join(stay, ["row_a", "row_b"])
+    return whole.groupBy("row_a", "row_b").agg(F.any_value("row").alias("row")).select("row.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

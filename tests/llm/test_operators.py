@@ -126,15 +126,10 @@ def test_simhash(spark, docs, none):
 def test_representatives(spark, docs, none):
     kept = simhash.representatives(docs)
     assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert ids.count(None) == 1 and len(ids) == len(set(ids))
-    sets = {i: set(zip(*(licenses.words_of(t)[k:] for k in range(5)))) for i, t in unique_rows()}
-    for i, s in sets.items():
-        alike = [j for j, o in sets.items() if s and len(s & o) >= 0.8 * len(s | o)]
-        if len(alike) == 1:
-            assert i in ids
-        elif s:
-            assert len([j for j in alike if j in ids]) <= 1
+    long = [(10**6 if i is None else i, t) for i, t in corpus()[:-1] if len(licenses.words_of(t)) > 4]
+    want = [None if i == 10**6 else i for i in linked_groups(long)]
+    ids = [r["doc_id"] for r in kept.collect() if len(licenses.words_of(r["text"])) > 4]
+    assert Counter(ids) == Counter(want)
     assert simhash.representatives(none).count() == 0
 
 
@@ -477,3 +472,15 @@ def test_decontamination(spark, none):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in rows} - {d for d, _ in got}
     assert decontamination.leaks(none, benchmark).count() == 0
     assert decontamination.leaks(docs, benchmark.limit(0)).count() == 0
+
+
+def test_representatives_keep_rows_of_shared_ids(spark):
+    rng = random.Random(23)
+    text = lambda: " ".join(f"w{rng.randrange(500)}" for _ in range(60))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(1, a), (1, b), (2, a + " more"), (None, c), (None, c), (None, d), (3, d), (4, None), (5, ""), (4, None), (6, "x"), (6, "y")]
+    table = spark.createDataFrame([(i, t, "r", 1, 2, {"k": "v"}) for i, t in rows], "doc_id long, text string, row_a string, root long, node int, m map<string,string>")
+    kept = simhash.representatives(table)
+    assert kept.columns == table.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, a), (1, b), (None, c), (3, d), (4, None), (6, "x"), (6, "y")])
+    assert all((r["row_a"], r["root"], r["m"]) == ("r", 1, {"k": "v"}) for r in kept.collect())
