@@ -8,18 +8,33 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Names under which a source may carry a variable or coordinate, the first present one counts. Fixed values.
+#: Names under which a source may carry a variable. Fixed values.
 ALIASES = {
-    "swc": ["swc", "swvl1", "soil_moisture"], "prcp": ["prcp", "tp", "precip", "precipitation"], "tmin": ["tmin", "mn2t", "t2m_min"],
-    "tmax": ["tmax", "mx2t", "t2m_max"], "u10": ["u10", "u10m"], "v10": ["v10", "v10m"], "lat": ["lat", "latitude", "y"], "lon": ["lon", "longitude", "x"],
-}
-
-
-def canonical(df: DataFrame) -> DataFrame:
-    for name, others in ALIASES.items():
-        have = next((c for c in others if c in df.columns), None)
-        if have and have != name:
-            df = df.withColumnRenamed(have, name)
+    "swc": ["swc", "swvl1", "soil_water_content"],
+    "prcp": ["prcp", "tp", "total_precipitation", "precipitation", "precip", "prc", "pcp", "precip_rnl"],
+    "tmin": ["tmin", "t2m", "2t", "t", "mn2t6", "mn2t", "mn2t24"],
+    "tmax": ["tmax", "t2m", "2t", "t", "mx2t6", "mx2t", "mx2t24"],
+    "windspeed": ["windspeed", "wind_speed", "wind"],
+    "windgust": ["windgust", "fg10"],
+    "wind": ["fg10"],
+}
+COORDINATES = {"lat": ["lat", "latitude", "y"], "lon": ["lon", "longitude", "x"]}
+
+
+def canonical(df: DataFrame, variable: str) -> DataFrame:
+    """``df`` with the variable and its coordinates under their own names. Of several names the first in order counts.
+
+    Raises if the variable isn't registered, or if no name of it is a column.
+    """
+    if variable not in ALIASES:
+        raise KeyError(f"{variable!r} isn't a registered variable; there are {', '.join(ALIASES)}")
+    have = next((c for c in ALIASES[variable] if c in df.columns), None)
+    if have is None:
+        raise KeyError(f"no column for {variable!r}; one of {', '.join(ALIASES[variable])} is needed")
+    for name, others in {variable: [have], **COORDINATES}.items():
+        found = next((c for c in others if c in df.columns), None)
+        if found and found != name:
+            df = df.withColumnRenamed(found, name)
     return df
 
 

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainfold.sources.scratch import written
+
 
 def wrap_longitude(lon: Column) -> Column:
     """0..360 to -180..180."""
@@ -29,38 +31,122 @@ def enclosing_box(df: DataFrame, lon: str, lat: str, box: tuple[float, float, fl
     return df.where(F.col(lon).between(a, b) & F.col(lat).between(c, d))
 
 
-def nearest(points: DataFrame, cells: DataFrame, key: str, k: int = 1, size: float = 1.0, rings: int = 1) -> DataFrame:
-    """The ``k`` nearest cells of each point within ``rings`` boxes of ``size`` degrees, planar distance; ties by lon, lat.
+def _nearest(points: DataFrame, tiled, distance: Column, key: str, k: int, total: int, size: float, extent: float, ties: list[str], name: str) -> DataFrame:
+    """The ``k`` nearest candidates of each point: ``tiled(size)`` has them by the boxes of that size that they touch.
 
-    Points look up the boxes around them, an equality join. A point whose k-th neighbour may lie further out (found
-    fewer than k, or one beyond the searched radius) is searched again with twice the rings, until none is left.
+    A point looks up its box and the eight around it, an equality join. Whatever is further away than ``size`` may be missing there, so a
+    point whose k-th neighbour is not within ``size`` is searched again in boxes twice as large, until a box spans ``extent``. Each
+    pass makes nine rows a point, and there are as many as ``extent`` holds doublings of ``size``.
     """
-    box = lambda c: F.floor(F.col(c) / size).cast("long")
-    own = cells.select(F.col("lon").alias("cell_lon"), F.col("lat").alias("cell_lat"), "pixel_id").withColumns({"_bx": F.floor(F.col("cell_lon") / size).cast("long"), "_by": F.floor(F.col("cell_lat") / size).cast("long")})
-    total = own.count()
-    out, left = None, points
+    around = F.array(*map(F.lit, (-1, 0, 1)))
+    out, left = None, points.where("lon is not null and lat is not null")
     while True:
-        around = F.sequence(F.lit(-rings), F.lit(rings))
+        box = lambda c: F.floor(F.col(c) / size).cast("long")  # noqa: B023, E731
         spread = left.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).withColumns({"_bx": box("lon") + F.col("_dx"), "_by": box("lat") + F.col("_dy")}).drop("_dx", "_dy")
-        d = F.sqrt(F.pow(F.col("lon") - F.col("cell_lon"), 2) + F.pow(F.col("lat") - F.col("cell_lat"), 2))
-        order = Window.partitionBy(key).orderBy("distance", "cell_lon", "cell_lat")
-        ranked = spread.join(own, ["_bx", "_by"]).withColumn("distance", d).withColumn("neighbor_rank", F.row_number().over(order) - 1).where(F.col("neighbor_rank") < k).drop("_bx", "_by")
-        sure = ranked.groupBy(key).agg(F.count("*").alias("n"), F.max("distance").alias("far")).where((F.col("n") >= min(k, total)) & (F.col("far") <= rings * size) | (F.col("n") >= total)).select(key)
-        done = ranked.join(sure, key, "left_semi")
+        met = spread.join(tiled(size), ["_bx", "_by"]).drop("_bx", "_by").withColumn("distance", distance).dropDuplicates([key, *ties])
+        order = Window.partitionBy(key).orderBy("distance", *ties)
+        ranked = met.withColumn("neighbor_rank", F.row_number().over(order) - 1).where(F.col("neighbor_rank") < k)
+        if size > extent or not total:
+            return ranked if out is None else out.unionByName(ranked)
+        own = Window.partitionBy(key)
+        sure = (F.count("*").over(own) >= min(k, total)) & (F.max("distance").over(own) <= size)
+        ranked = written(ranked.withColumn("_sure", sure), name)
+        done = ranked.where("_sure").drop("_sure")
         out = done if out is None else out.unionByName(done)
-        left = left.join(sure, key, "left_anti")
-        if not total or left.isEmpty():
+        left = written(left.join(done.select(key).distinct(), key, "left_anti"), name)
+        if left.isEmpty():
             return out
-        rings *= 2
+        size *= 2
+
+
+def _extent(*frames: DataFrame) -> float:
+    """The longer side of the box around all coordinates."""
+    rows = [df.agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first() for df in frames]
+    side = lambda i: [r[i + 1] for r in rows if r[i] is not None] and max(r[i + 1] for r in rows if r[i] is not None) - min(r[i] for r in rows if r[i] is not None)
+    return float(max(side(0) or 0.0, side(2) or 0.0))
+
+
+def _first_size(extent: float, total: int, k: int) -> float:
+    """Boxes that hold about ``k`` of ``total`` things spread over ``extent``."""
+    return max(extent / math.sqrt(max(1.0, total / k)), 1e-9)
+
+
+def nearest(points: DataFrame, cells: DataFrame, key: str, k: int = 1) -> DataFrame:
+    """The ``k`` nearest cells of each point, planar distance, all of them if there are fewer; ties by lon, lat.
+
+    Points and cells with a null coordinate have no neighbours, and no rows here.
+    """
+    own = cells.where("lon is not null and lat is not null").select(F.col("lon").alias("cell_lon"), F.col("lat").alias("cell_lat"), "pixel_id")
+    box = lambda c, size: F.floor(F.col(c) / size).cast("long")
+    tiled = lambda size: own.withColumns({"_bx": box("cell_lon", size), "_by": box("cell_lat", size)})
+    d = F.sqrt(F.pow(F.col("lon") - F.col("cell_lon"), 2) + F.pow(F.col("lat") - F.col("cell_lat"), 2))
+    total = own.count()
+    size = _first_size(_extent(own.select(F.col("cell_lon").alias("lon"), F.col("cell_lat").alias("lat"))), total, k)
+    return _nearest(points, tiled, d, key, k, total, size, _extent(points, cells), ["cell_lon", "cell_lat", "pixel_id"], "nearest")
+
+
+def _tiles(polygons: DataFrame, size: float) -> DataFrame:
+    """Polygons ``(polygon_id, ring)``, a ring being an array of (x, y), by the boxes that they touch."""
+    side = lambda f, c: F.floor(f(F.transform("ring", lambda p: p[c])) / size).cast("long")
+    spans = polygons.withColumns({"_bx": F.explode(F.sequence(side(F.array_min, "x"), side(F.array_max, "x")))})
+    return spans.withColumn("_by", F.explode(F.sequence(side(F.array_min, "y"), side(F.array_max, "y"))))
+
+
+#: The sides of ``ring`` as (p, q).
+_SIDES = "zip_with(ring, concat(slice(ring, 2, size(ring)), slice(ring, 1, 1)), (p, q) -> struct(p, q))"
+#: Ray casting: strictly inside if an odd number of sides lies to the right.
+INSIDE = f"aggregate({_SIDES}, false, (odd, s) -> odd <> (((lat < s.p.y) <> (lat < s.q.y)) and lon < (s.q.x - s.p.x) * (lat - s.p.y) / (s.q.y - s.p.y) + s.p.x))"
+_ALONG = "greatest(0D, least(1D, coalesce(((lon - s.p.x) * (s.q.x - s.p.x) + (lat - s.p.y) * (s.q.y - s.p.y)) / nullif(pow(s.q.x - s.p.x, 2) + pow(s.q.y - s.p.y, 2), 0D), 0D)))"
+_TO_SIDE = f"sqrt(pow(s.p.x + {_ALONG} * (s.q.x - s.p.x) - lon, 2) + pow(s.p.y + {_ALONG} * (s.q.y - s.p.y) - lat, 2))"
 
 
-def snap(points: DataFrame, axis: DataFrame, coordinate: str, axis_coordinate: str, keys: list[str]) -> DataFrame:
-    """Nearest value of a grid axis, the lower of two equally near. The axis is a sorted array of one row, as small as a grid's side."""
-    values = axis.agg(F.array_sort(F.collect_set(axis_coordinate))).first()[0]
-    array = F.array(*map(F.lit, values))
-    x = F.col(coordinate)
-    best = F.aggregate(array, F.lit(None).cast("double"), lambda a, v: F.when(a.isNull() | (F.abs(v - x) < F.abs(a - x)), v).otherwise(a))
-    return points.withColumn(axis_coordinate, best)
+def within(points: DataFrame, polygons: DataFrame, size: float = 1.0) -> DataFrame:
+    """Points with the polygons ``(polygon_id, ring)`` that they are strictly inside of; they meet by the boxes of ``size`` that a polygon touches."""
+    own = points.withColumns({"_bx": F.floor(F.col("lon") / size).cast("long"), "_by": F.floor(F.col("lat") / size).cast("long")})
+    return own.join(_tiles(polygons, size), ["_bx", "_by"]).where(F.expr(INSIDE)).drop("_bx", "_by", "ring")
+
+
+def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str) -> DataFrame:
+    """The nearest polygon of each point, at distance 0 if the point is inside; ties by polygon_id."""
+    corners = polygons.select(F.inline("ring")).select(F.col("x").alias("lon"), F.col("y").alias("lat"))
+    d = F.when(F.expr(INSIDE), 0.0).otherwise(F.expr(f"array_min(transform({_SIDES}, s -> {_TO_SIDE}))"))
+    total = polygons.count()
+    out = _nearest(points, lambda size: _tiles(polygons, size), d, key, 1, total, _first_size(_extent(corners), total, 1), _extent(points, corners), ["polygon_id"], "polygon")
+    return out.drop("ring", "neighbor_rank")
+
+
+def _lookup(axis: DataFrame, column: str) -> tuple[DataFrame, float, float, int]:
+    """``(_bucket, _near)``: for each of n + 1 equal buckets of an axis its values that can be next to a coordinate in it, in order.
+
+    Returns with it the axis' start, the buckets' width and n. An axis has as many values as a grid has columns or rows, and each is in the
+    buckets from its neighbour below to that above.
+    """
+    values = axis.select(F.col(column).cast("double").alias("v")).where("v is not null").distinct()
+    low, high, n = values.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    width = (high - low) / n if n > 1 else 1.0
+    low = 0.0 if low is None else low
+    order = Window.orderBy("v")
+    bucket = lambda c: F.least(F.greatest(F.floor((c - low) / width), F.lit(0)), F.lit(n)).cast("long")
+    reach = values.select("v", F.coalesce(F.lag("v").over(order), F.lit(low)).alias("a"), F.coalesce(F.lead("v").over(order), F.lit(high)).alias("b"))
+    spread = reach.select("v", F.explode(F.sequence(bucket(F.col("a")), bucket(F.col("b")))).alias("_bucket"))
+    return spread.groupBy("_bucket").agg(F.array_sort(F.collect_list("v")).alias("_near")), low, width, n
+
+
+def _with_near(df: DataFrame, coordinate: str, axis: DataFrame, column: str) -> DataFrame:
+    near, low, width, n = _lookup(axis, column)
+    bucket = F.least(F.greatest(F.floor((F.col(coordinate) - low) / width), F.lit(0)), F.lit(n)).cast("long")
+    return df.withColumn("_bucket", bucket).join(near, "_bucket", "left").drop("_bucket")
+
+
+def _closest(x: Column, larger: bool) -> Column:
+    """The value of ``_near`` closest to ``x``, of two equally near the smaller or the larger one."""
+    best = lambda a, v: a.isNull() | ((F.abs(v - x) <= F.abs(a - x)) if larger else (F.abs(v - x) < F.abs(a - x)))
+    return F.when(x.isNotNull(), F.aggregate("_near", F.lit(None).cast("double"), lambda a, v: F.when(best(a, v), v).otherwise(a)))
+
+
+def snap(points: DataFrame, axis: DataFrame, coordinate: str, axis_coordinate: str) -> DataFrame:
+    """Nearest value of a grid axis, the lower of two equally near, by an equality join on buckets of the axis. NULL for a null coordinate."""
+    return _with_near(points, coordinate, axis, axis_coordinate).withColumn(axis_coordinate, _closest(F.col(coordinate), False)).drop("_near")
 
 
 def inside_ring(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
@@ -97,27 +183,40 @@ def clip_ring(ring: list[tuple[float, float]], window: list[tuple[float, float]]
 
 
 def regrid_nearest(cells: DataFrame, value: str, res: float) -> DataFrame:
+    """Values of the nearest coordinates of the grid at every ``res`` degrees, of two equally near the larger one."""
     return _regrid(cells, value, res, False)
 
 
 def regrid_bilinear(cells: DataFrame, value: str, res: float) -> DataFrame:
-    """Values of a unit grid at every ``res`` degrees; NULL where a corner that counts is missing."""
+    """Values between the four cells around every ``res`` degrees; NULL outside the grid and where a corner that counts is missing."""
     return _regrid(cells, value, res, True)
 
 
+def _target_axis(cells: DataFrame, column: str, res: float, to: str) -> tuple[DataFrame, int]:
+    """``(_i, <to>, <to>0, <to>1, <to>n)``: the coordinates from the smallest to the largest one or just beyond, the grid's own ones around each (NULL
+    beyond its end) and the nearest."""
+    low, high = cells.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    n = 0 if low is None else max(0, math.ceil((high + res - low) / res))
+    x = F.col(to)
+    target = cells.sparkSession.range(n).select(F.col("id").alias("_i"), (F.lit(low or 0.0) + F.col("id") * res).alias(to))
+    near = _with_near(target, to, cells, column)
+    below, above = F.array_max(F.filter("_near", lambda v: v <= x)), F.array_min(F.filter("_near", lambda v: v >= x))
+    return near.select("_i", to, below.alias(f"{to}0"), above.alias(f"{to}1"), _closest(x, True).alias(f"{to}n")), n
+
+
 def _regrid(cells: DataFrame, value: str, res: float, linear: bool) -> DataFrame:
-    a, b, c, d = cells.agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first()
-    spark = cells.sparkSession
-    nx, ny = math.floor((b - a) / res + 1e-9) + 1, math.floor((d - c) / res + 1e-9) + 1
-    target = spark.range(nx * ny).select((F.lit(a) + (F.col("id") % nx) * res).alias("x"), (F.lit(c) + F.floor(F.col("id") / nx) * res).alias("y"))
-    known = cells.select(F.col("lon").alias("cx"), F.col("lat").alias("cy"), F.col(value).alias("v"))
+    """Any grid, of any step, whose cells share their coordinates along each axis; the target's rows meet their axes and cells by equality joins."""
+    own = cells.where("lon is not null and lat is not null")
+    (xs, nx), (ys, ny) = _target_axis(own, "lon", res, "x"), _target_axis(own, "lat", res, "y")
+    at = cells.sparkSession.range(nx * ny).select((F.col("id") % max(nx, 1)).alias("_i"), F.floor(F.col("id") / max(nx, 1)).alias("_j"))
+    target = at.join(xs, "_i").join(ys.withColumnRenamed("_i", "_j"), "_j").drop("_i", "_j")
+    known = own.select(F.col("lon").cast("double").alias("cx"), F.col("lat").cast("double").alias("cy"), F.col(value).alias("v"))
     if not linear:
-        placed = target.withColumns({"cx": F.ceil(F.col("x") - 0.5).cast("double"), "cy": F.ceil(F.col("y") - 0.5).cast("double")})
-        return placed.join(known, ["cx", "cy"], "left").select("x", "y", F.col("v").alias(value))
+        return target.withColumnsRenamed({"xn": "cx", "yn": "cy"}).join(known, ["cx", "cy"], "left").select("x", "y", F.col("v").alias(value))
     corners = []
     for i in (0, 1):
         for j in (0, 1):
-            fx, fy = F.col("x") - F.floor("x"), F.col("y") - F.floor("y")
-            corners.append(F.struct((F.floor("x") + i).cast("double").alias("cx"), (F.floor("y") + j).cast("double").alias("cy"), ((fx if i else 1 - fx) * (fy if j else 1 - fy)).alias("w")))
-    wide = target.select("x", "y", F.inline(F.array(*corners))).where("w > 0").join(known, ["cx", "cy"], "left")
+            part = lambda c, k: F.when(F.col(f"{c}0") == F.col(f"{c}1"), 1.0 - k).otherwise((F.col(c) - F.col(f"{c}0") if k else F.col(f"{c}1") - F.col(c)) / (F.col(f"{c}1") - F.col(f"{c}0")))
+            corners.append(F.struct(F.col(f"x{i}").alias("cx"), F.col(f"y{j}").alias("cy"), (part("x", i) * part("y", j)).alias("w")))
+    wide = target.select("x", "y", F.inline(F.array(*corners))).where("w is null or w > 0").join(known, ["cx", "cy"], "left")
     return wide.groupBy("x", "y").agg(F.when(F.count("v") == F.count("*"), F.sum(F.col("w") * F.col("v"))).alias(value))

@@ -203,49 +203,49 @@ _LOCATIONS = "loc AS (SELECT CAST(s_nationkey AS BIGINT) AS pixel_id, s_suppkey,
 def repriced(spark, d) -> DataFrame:
     key = F.col("s_suppkey")
     places = read(spark, d, "supplier").select(F.col("s_nationkey").cast("long").alias("pixel_id"), "s_suppkey", F.when(key % 2 == 0, "Loan Amount").otherwise("Production Cost").alias("value_type"), F.col("s_acctbal").alias("value_amount"), F.lit(0.8).alias("coverage"), F.lit(12).alias("term"), F.lit(0.1).alias("rate"), F.lit(50.0).alias("size_ha"), F.when(key % 5 == 0, 100.0).alias("target_premium"))
-    return contract.repriced(schedule(spark, d).where("tail = 'lower' and design = 'layered'").join(places, "pixel_id"))
+    return contract.repriced(schedule(spark, d).join(places, "pixel_id"))
 
 
-REPRICED = f"""{EMPIRICAL}, sch AS ({_SCHEDULE}), {_LOCATIONS}, val AS (SELECT *, CASE WHEN target_premium IS NOT NULL THEN target_premium / (coverage * gross_premium_pct) WHEN value_type = 'Loan Amount' THEN value_amount * (1.0 / term + rate) ELSE value_amount END AS insured_value, CASE WHEN value_type = 'Loan Amount' THEN 1 ELSE size_ha END AS size FROM sch JOIN loc USING (pixel_id) WHERE tail = 'lower' AND design = 'layered'),
+REPRICED = f"""{EMPIRICAL}, sch AS ({_SCHEDULE}), {_LOCATIONS}, val AS (SELECT *, CASE WHEN target_premium IS NOT NULL THEN target_premium / (coverage * gross_premium_pct) WHEN value_type = 'Loan Amount' THEN value_amount * (1.0 / term + rate) ELSE value_amount END AS insured_value, CASE WHEN value_type = 'Loan Amount' THEN 1 ELSE size_ha END AS size FROM sch JOIN loc USING (pixel_id)),
 rep AS (SELECT *, insured_value * coverage * gross_premium_pct * size AS premium, insured_value * coverage * payout_pct * size AS payout FROM val)"""
 
 
-@query("reprice", f"WITH {REPRICED} SELECT pixel_id, \"window\", window_year, s_suppkey, round(insured_value, 4) AS insured_value, round(premium, 4) AS premium, round(payout, 2) AS payout FROM rep")
+@query("reprice", f"WITH {REPRICED} SELECT pixel_id, \"window\", window_year, s_suppkey, tail, design, round(insured_value, 4) AS insured_value, round(premium, 4) + 0 AS premium, round(payout, 2) + 0 AS payout FROM rep")
 def _(spark, d):
-    return repriced(spark, d).select(*KEYS, "window_year", "s_suppkey", F.round("insured_value", 4).alias("insured_value"), F.round("premium", 4).alias("premium"), F.round("payout", 2).alias("payout"))
+    return repriced(spark, d).select(*KEYS, "window_year", "s_suppkey", "tail", "design", F.round("insured_value", 4).alias("insured_value"), F.round("premium", 4).alias("premium"), F.round("payout", 2).alias("payout"))
 
 
-@query("trigger_frequency", f"WITH {REPRICED}, y AS (SELECT pixel_id, window_year, max(CASE WHEN payout > 0 THEN 1.0 ELSE 0.0 END) AS t FROM rep GROUP BY ALL) SELECT pixel_id, round(avg(t), 6) AS frequency FROM y GROUP BY ALL")
+@query("trigger_frequency", f"WITH {REPRICED}, y AS (SELECT pixel_id, tail, design, window_year, max(CASE WHEN payout > 0 THEN 1.0 ELSE 0.0 END) AS t FROM rep GROUP BY ALL) SELECT pixel_id, tail, design, round(avg(t), 6) AS frequency FROM y GROUP BY ALL")
 def _(spark, d):
-    yearly = repriced(spark, d).groupBy("pixel_id", "window_year").agg(F.max(F.when(F.col("payout") > 0, 1.0).otherwise(0.0)).alias("t"))
-    return yearly.groupBy("pixel_id").agg(F.round(F.avg("t"), 6).alias("frequency"))
+    yearly = repriced(spark, d).groupBy("pixel_id", "tail", "design", "window_year").agg(F.max(F.when(F.col("payout") > 0, 1.0).otherwise(0.0)).alias("t"))
+    return yearly.groupBy("pixel_id", "tail", "design").agg(F.round(F.avg("t"), 6).alias("frequency"))
 
 
-@query("average_payout_map", f"WITH {REPRICED} SELECT pixel_id, window_year, round(avg(payout), 2) AS payout FROM rep GROUP BY ALL")
+@query("average_payout_map", f"WITH {REPRICED} SELECT pixel_id, tail, design, window_year, round(avg(payout), 2) AS payout FROM rep GROUP BY ALL")
 def _(spark, d):
-    return repriced(spark, d).groupBy("pixel_id", "window_year").agg(F.round(F.avg("payout"), 2).alias("payout"))
+    return repriced(spark, d).groupBy("pixel_id", "tail", "design", "window_year").agg(F.round(F.avg("payout"), 2).alias("payout"))
 
 
-@query("max_payout_by_year", f"WITH {REPRICED} SELECT window_year, round(max(payout), 2) AS payout FROM rep GROUP BY ALL")
+@query("max_payout_by_year", f"WITH {REPRICED} SELECT tail, design, window_year, round(max(payout), 2) AS payout FROM rep GROUP BY ALL")
 def _(spark, d):
-    return repriced(spark, d).groupBy("window_year").agg(F.round(F.max("payout"), 2).alias("payout"))
+    return repriced(spark, d).groupBy("tail", "design", "window_year").agg(F.round(F.max("payout"), 2).alias("payout"))
 
 
-@query("annual_payouts", f"WITH {REPRICED} SELECT window_year, value_type, round(sum(premium), 2) AS premium, round(sum(payout), 2) AS payout FROM rep WHERE premium IS NOT NULL GROUP BY ALL")
+@query("annual_payouts", f"WITH {REPRICED} SELECT tail, design, window_year, value_type, round(sum(premium), 2) AS premium, round(sum(payout), 2) AS payout FROM rep WHERE premium IS NOT NULL GROUP BY ALL")
 def _(spark, d):
-    return repriced(spark, d).where("premium is not null").groupBy("window_year", "value_type").agg(F.round(F.sum("premium"), 2).alias("premium"), F.round(F.sum("payout"), 2).alias("payout"))
+    return repriced(spark, d).where("premium is not null").groupBy("tail", "design", "window_year", "value_type").agg(F.round(F.sum("premium"), 2).alias("premium"), F.round(F.sum("payout"), 2).alias("payout"))
 
 
-_MATCH = """{obs}, d AS (SELECT pixel_id, date, CAST(dayofyear(date) AS BIGINT) AS doy, swc FROM obs), s AS (SELECT * FROM d WHERE pixel_id < 5 AND year(date) < 1998), b AS (SELECT * FROM d WHERE pixel_id < 5 AND year(date) >= 1998),
+_MATCH = """{obs}, d AS (SELECT pixel_id, date, CAST(dayofyear(date) AS BIGINT) AS doy, swc FROM obs), s AS (SELECT * FROM d WHERE year(date) < 1998), b AS (SELECT * FROM d WHERE year(date) >= 1998),
 t AS (SELECT DISTINCT pixel_id, doy FROM s), wide AS (SELECT DISTINCT pixel_id, doy, ((doy + k - 1 + 365) % 365) + 1 AS lv FROM t, range(-5, 6) r(k)),
 sp AS (SELECT w.pixel_id, w.doy, list_sort(list(s.swc)) AS sv FROM wide w JOIN s ON s.pixel_id = w.pixel_id AND s.doy = w.lv GROUP BY ALL), bp AS (SELECT w.pixel_id, w.doy, list_sort(list(b.swc)) AS bv FROM wide w JOIN b ON b.pixel_id = w.pixel_id AND b.doy = w.lv GROUP BY ALL),
-q AS (SELECT s.pixel_id, s.date, sv, bv, (SELECT count(*) FROM (SELECT unnest(sv) AS u) WHERE u <= s.swc) / len(sv) AS q FROM s JOIN sp USING (pixel_id, doy) JOIN bp USING (pixel_id, doy)), h AS (SELECT *, (len(bv) - 1) * q AS h FROM q)
+q AS (SELECT s.pixel_id, s.date, sv, bv, len(list_filter(sv, lambda u: u <= s.swc)) / len(sv) AS q FROM s JOIN sp USING (pixel_id, doy) JOIN bp USING (pixel_id, doy)), h AS (SELECT *, (len(bv) - 1) * q AS h FROM q)
 SELECT pixel_id, date, CASE WHEN len(sv) >= 5 AND len(bv) >= 5 THEN round(CASE WHEN floor(h) + 1 < len(bv) THEN bv[CAST(floor(h) AS INT) + 1] + (h - floor(h)) * (bv[CAST(floor(h) AS INT) + 2] - bv[CAST(floor(h) AS INT) + 1]) ELSE bv[CAST(floor(h) AS INT) + 1] END, 4) END AS matched FROM h"""
 
 
 @query("cdf_matching", "WITH " + _MATCH.format(obs=OBS))
 def _(spark, d):
-    obs = observations(spark, d).where("pixel_id < 5").select("pixel_id", "date", "swc")
+    obs = observations(spark, d).select("pixel_id", "date", "swc")
     out = distributions.cdf_matching(obs.where(F.year("date") < 1998), obs.where(F.year("date") >= 1998), ["pixel_id"], "date", "swc", 5)
     return out.select("pixel_id", "date", F.round("matched", 4).alias("matched"))
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +9,10 @@ from rainfold.functions import scalars
 from rainfold.operators import spatial, timeops
 from rainfold.plans.catalog import query
 from rainfold.sources import tables
+from rainfold.sources.scratch import scratch_path
 from rainfold.sources.tables import CELLS, HOURLY, OBS, cells, hourly, observations, read
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder that driver and executors share, for queries that write and read again."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/rainfold"
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
 @query("scan_parquet", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def _(spark, d):
     return tables.scan(spark, f"{d}/nation.parquet").select("n_nationkey", "n_name", "n_regionkey")
@@ -80,13 +72,13 @@ def _(spark, d):
     return tables.first_of(read(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber"), ["l_partkey"], ["l_orderkey", "l_linenumber"])
 
 
-_ENTRIES = "SELECT p_partkey AS id, date '1995-01-01' + CAST((p_partkey * 17) % 1500 AS INTEGER) AS a, date '1995-01-01' + CAST((p_partkey * 17) % 1500 + 60 AS INTEGER) AS b FROM part WHERE p_partkey <= 200"
+_ENTRIES = "SELECT p_partkey AS id, date '1995-01-01' + CAST((p_partkey * 17) % 1500 AS INTEGER) AS a, date '1995-01-01' + CAST((p_partkey * 17) % 1500 + 60 AS INTEGER) AS b FROM part"
 
 
 @query("range_join_catalog", f"WITH c AS ({_ENTRIES}), o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders) SELECT day, id FROM (SELECT day, id, row_number() OVER (PARTITION BY day ORDER BY id) AS n FROM o JOIN c ON day BETWEEN a AND b) WHERE n = 1")
 def _(spark, d):
     first = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") * 17 % 1500).cast("int"))
-    catalogue = read(spark, d, "part").where("p_partkey <= 200").select(F.col("p_partkey").alias("id"), first.alias("a"), F.date_add(first, 60).alias("b"))
+    catalogue = read(spark, d, "part").select(F.col("p_partkey").alias("id"), first.alias("a"), F.date_add(first, 60).alias("b"))
     days = read(spark, d, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
     return tables.catalogue_lookup(days, "day", catalogue, "a", "b", ["id"]).select("day", "id")
 
@@ -145,10 +137,10 @@ def _(spark, d):
     return scalars.rename_location(rows, "s_suppkey")
 
 
-@query("rename_vars", "SELECT l_orderkey, l_linenumber, l_quantity AS swc, l_tax AS lat, l_discount AS lon FROM lineitem")
+@query("rename_vars", "SELECT l_orderkey, l_linenumber, l_quantity AS tmin, l_tax AS lat, l_discount AS lon FROM lineitem")
 def _(spark, d):
-    raw = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("swvl1"), F.col("l_tax").alias("latitude"), F.col("l_discount").alias("x"))
-    return scalars.canonical(raw)
+    raw = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("2t"), F.col("l_tax").alias("latitude"), F.col("l_discount").alias("x"))
+    return scalars.canonical(raw, "tmin")
 
 
 @query("unit_convert", "SELECT event_id, round(value - 273.15, 6) AS celsius, round(value * 3.6, 6) AS kmh, round(value / 100, 6) AS fraction FROM events")
@@ -236,11 +228,6 @@ def _(spark, d):
     return a.join(b, ["pixel_id", "date"], "full").withColumns({c: F.round(c, 6) for c in ("swc", "prcp")})
 
 
-@query("fallback_antijoin", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
-def _(spark, d):
-    return read(spark, d, "customer").join(read(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
-
-
 @query("groups_with_data", "SELECT n_nationkey, n_name FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 0)")
 def _(spark, d):
     return read(spark, d, "nation").join(read(spark, d, "supplier").where("s_acctbal > 0"), F.col("n_nationkey") == F.col("s_nationkey"), "left_semi").select("n_nationkey", "n_name")
@@ -253,18 +240,14 @@ def _(spark, d):
     return at(cells(spark, d)).join(at(points), ["_x", "_y"], "right").select("s_suppkey", "pixel_id")
 
 
-_POINTS = "points AS (SELECT CAST(p_partkey AS BIGINT) AS id, (p_partkey % 47) / 10.0 + 0.013 AS lon, (p_partkey % 41) / 10.0 + 0.007 AS lat FROM part WHERE p_partkey <= 100)"
+_POINTS = "points AS (SELECT CAST(p_partkey AS BIGINT) AS id, (p_partkey % 47) / 10.0 + 0.013 AS lon, (p_partkey % 41) / 10.0 + 0.007 AS lat FROM part)"
 
 
-def all_points(spark: SparkSession, d: str) -> DataFrame:
+def points(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("p_partkey")
     return read(spark, d, "part").select(key.cast("long").alias("id"), (key % 47 / 10.0 + 0.013).alias("lon"), (key % 41 / 10.0 + 0.007).alias("lat"))
 
 
-def points(spark: SparkSession, d: str) -> DataFrame:
-    return all_points(spark, d).where("id <= 100")
-
-
 @query("knn_join", f"WITH {CELLS}, {_POINTS} SELECT id, pixel_id, neighbor_rank, round(distance, 6) AS distance FROM (SELECT id, pixel_id, sqrt((p.lon - c.lon) ** 2 + (p.lat - c.lat) ** 2) AS distance, row_number() OVER (PARTITION BY id ORDER BY sqrt((p.lon - c.lon) ** 2 + (p.lat - c.lat) ** 2), c.lon, c.lat) - 1 AS neighbor_rank FROM points p, cells c) WHERE neighbor_rank < 3")
 def _(spark, d):
     return spatial.nearest(points(spark, d), cells(spark, d), "id", k=3).select("id", "pixel_id", F.col("neighbor_rank").cast("long").alias("neighbor_rank"), F.round("distance", 6).alias("distance"))
@@ -273,11 +256,13 @@ def _(spark, d):
 @query("snap_to_grid", f"WITH {CELLS}, {_POINTS} SELECT id, (SELECT arg_min(c.lon, abs(c.lon - p.lon)) FROM cells c) AS grid_lon, (SELECT arg_min(c.lat, abs(c.lat - p.lat)) FROM cells c) AS grid_lat FROM points p")
 def _(spark, d):
     grid = cells(spark, d).select(F.col("lon").alias("grid_lon"), F.col("lat").alias("grid_lat"))
-    return spatial.snap(spatial.snap(points(spark, d), grid, "lon", "grid_lon", ["id"]), grid, "lat", "grid_lat", ["id"]).select("id", "grid_lon", "grid_lat")
+    return spatial.snap(spatial.snap(points(spark, d), grid, "lon", "grid_lon"), grid, "lat", "grid_lat").select("id", "grid_lon", "grid_lat")
 
 
-@query("spatial_within_bbox", f"WITH {CELLS}, {_POINTS}, boxes AS (SELECT n_nationkey AS box, (n_nationkey % 5) - 0.2 AS x0, (n_nationkey % 5) + 0.4 AS x1, (n_nationkey // 5) - 0.3 AS y0, (n_nationkey // 5) + 0.45 AS y1 FROM nation) SELECT id, CAST(box AS BIGINT) AS box FROM points JOIN boxes ON lon > x0 AND lon < x1 AND lat > y0 AND lat < y1")
-def _(spark, d):
+_BOXES = "boxes AS (SELECT CAST(n_nationkey AS BIGINT) AS box, (n_nationkey % 5) - 0.2 AS x0, (n_nationkey % 5) + 0.4 AS x1, (n_nationkey // 5) - 0.3 AS y0, (n_nationkey // 5) + 0.45 AS y1 FROM nation)"
+
+
+def in_boxes(spark: SparkSession, d: str) -> DataFrame:
     boxes = cells(spark, d).select(F.col("pixel_id").alias("box"), (F.col("lon") - 0.2).alias("x0"), (F.col("lon") + 0.4).alias("x1"), (F.col("lat") - 0.3).alias("y0"), (F.col("lat") + 0.45).alias("y1"))
     tile = lambda a, b: F.sequence(F.floor(a).cast("int"), F.floor(b).cast("int"))  # noqa: E731  boxes are sent to the unit tiles that they touch
     spread = boxes.withColumn("_tx", F.explode(tile("x0", "x1"))).withColumn("_ty", F.explode(tile("y0", "y1")))
@@ -285,28 +270,65 @@ def _(spark, d):
     return own.join(spread, ["_tx", "_ty"]).where("lon > x0 and lon < x1 and lat > y0 and lat < y1").select("id", "box")
 
 
-@query("spatial_within_polygon")
+@query("spatial_within_bbox", f"WITH {CELLS}, {_POINTS}, {_BOXES} SELECT id, box FROM points JOIN boxes ON lon > x0 AND lon < x1 AND lat > y0 AND lat < y1")
+def _(spark, d):
+    return in_boxes(spark, d)
+
+
+@query("fallback_antijoin", f"WITH {CELLS}, {_POINTS}, {_BOXES} SELECT id FROM points WHERE NOT EXISTS (SELECT 1 FROM boxes WHERE lon > x0 AND lon < x1 AND lat > y0 AND lat < y1)")
+def _(spark, d):
+    return points(spark, d).join(in_boxes(spark, d), "id", "left_anti").select("id")
+
+
+#: Corners of a polygon around each cell, relative to it.
+_CORNERS = [(-0.4, -0.3), (0.45, -0.25), (0.3, 0.4), (-0.2, 0.35)]
+_SIDES = ", ".join(f"({x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for (x1, y1), (x2, y2) in zip(_CORNERS, _CORNERS[1:] + _CORNERS[:1]))
+_TO_SIDES = f"""{CELLS}, {_POINTS}, sides AS (SELECT pixel_id AS polygon_id, lon + x1 AS ax, lat + y1 AS ay, lon + x2 AS qx, lat + y2 AS qy FROM cells, (VALUES {_SIDES}) t(x1, y1, x2, y2)),
+pairs AS (SELECT id, polygon_id, lon, lat, ax, ay, qx, qy, greatest(0.0, least(1.0, ((lon - ax) * (qx - ax) + (lat - ay) * (qy - ay)) / ((qx - ax) ** 2 + (qy - ay) ** 2))) AS t FROM points, sides),
+met AS (SELECT id, polygon_id, count(*) FILTER (WHERE (lat < ay) <> (lat < qy) AND lon < (qx - ax) * (lat - ay) / (qy - ay) + ax) % 2 = 1 AS inside, min(sqrt((ax + t * (qx - ax) - lon) ** 2 + (ay + t * (qy - ay) - lat) ** 2)) AS far FROM pairs GROUP BY ALL)"""
+
+
+def polygons(spark: SparkSession, d: str) -> DataFrame:
+    ring = F.array(*(F.struct((F.col("lon") + x).alias("x"), (F.col("lat") + y).alias("y")) for x, y in _CORNERS))
+    return cells(spark, d).select(F.col("pixel_id").alias("polygon_id"), ring.alias("ring"))
+
+
+@query("spatial_within_polygon", f"WITH {_TO_SIDES} SELECT id, polygon_id FROM met WHERE inside")
 def _(spark, d):
-    ring = [(0.0, 0.0), (4.0, 0.5), (3.0, 3.5), (1.0, 3.0)]
-    return all_points(spark, d).where(spatial.inside_ring(F.col("lon"), F.col("lat"), ring))
+    return spatial.within(points(spark, d), polygons(spark, d)).select("id", "polygon_id")
 
 
-@query("voronoi_assign", f"WITH {CELLS}, {_POINTS} SELECT id, pixel_id FROM (SELECT id, pixel_id, row_number() OVER (PARTITION BY id ORDER BY sqrt((p.lon - c.lon) ** 2 + (p.lat - c.lat) ** 2), c.lon, c.lat) AS n FROM points p, cells c WHERE pixel_id % 3 = 0) WHERE n = 1")
+@query("nearest_polygon", f"WITH {_TO_SIDES}, o AS (SELECT id, polygon_id, CASE WHEN inside THEN 0.0 ELSE far END AS distance FROM met) SELECT id, arg_min(polygon_id, (round(distance, 9), polygon_id)) AS polygon_id, round(min(distance), 6) AS distance FROM o GROUP BY id")
 def _(spark, d):
-    return spatial.nearest(points(spark, d), cells(spark, d).where("pixel_id % 3 = 0"), "id").select("id", "pixel_id")
+    return spatial.nearest_polygon(points(spark, d), polygons(spark, d), "id").select("id", "polygon_id", F.round("distance", 6).alias("distance"))
+
+
+@query("voronoi_assign", f"WITH {CELLS}, {_POINTS}, seeds AS (SELECT CAST(n_regionkey AS BIGINT) AS seed, avg(c.lon) AS lon, avg(c.lat) AS lat FROM cells c JOIN nation ON n_nationkey = pixel_id GROUP BY ALL) SELECT id, seed FROM (SELECT id, seed, row_number() OVER (PARTITION BY id ORDER BY sqrt((p.lon - c.lon) ** 2 + (p.lat - c.lat) ** 2), c.lon, c.lat) AS n FROM points p, seeds c) WHERE n = 1")
+def _(spark, d):
+    region = read(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("pixel_id"), F.col("n_regionkey").cast("long").alias("seed"))
+    seeds = cells(spark, d).join(region, "pixel_id").groupBy("seed").agg(F.avg("lon").alias("lon"), F.avg("lat").alias("lat")).withColumnRenamed("seed", "pixel_id")
+    return spatial.nearest(points(spark, d), seeds, "id").select("id", F.col("pixel_id").alias("seed"))
+
+
+#: A grid of half degrees and a target that isn't aligned with it.
+_GRID = f"""{CELLS}, grid AS (SELECT lon / 2 AS lon, lat / 2 AS lat, CAST(pixel_id * 1.5 AS DOUBLE) AS v FROM cells), lons AS (SELECT DISTINCT lon FROM grid), lats AS (SELECT DISTINCT lat FROM grid),
+xs AS (SELECT min(lon) + i * 0.2::DOUBLE AS x FROM lons, range(1000) t(i) GROUP BY i HAVING i < ceil((max(lon) + 0.2::DOUBLE - min(lon)) / 0.2::DOUBLE)), ys AS (SELECT min(lat) + i * 0.2::DOUBLE AS y FROM lats, range(1000) t(i) GROUP BY i HAVING i < ceil((max(lat) + 0.2::DOUBLE - min(lat)) / 0.2::DOUBLE)),
+target AS (SELECT x, y, (SELECT max(lon) FROM lons WHERE lon <= x) AS x0, (SELECT min(lon) FROM lons WHERE lon >= x) AS x1, (SELECT max(lat) FROM lats WHERE lat <= y) AS y0, (SELECT min(lat) FROM lats WHERE lat >= y) AS y1 FROM xs, ys)"""
+_NEAR = "CASE WHEN {c}1 IS NULL OR {c} - {c}0 < {c}1 - {c} THEN {c}0 ELSE {c}1 END"
 
 
-_GRID = f"{CELLS}, grid AS (SELECT lon, lat, CAST(pixel_id * 1.5 AS DOUBLE) AS v FROM cells), box AS (SELECT min(lon) a, max(lon) b, min(lat) c, max(lat) d FROM cells), target AS (SELECT a + i * 0.25 AS x, c + j * 0.25 AS y FROM box, range(100) t(i), range(100) u(j) WHERE a + i * 0.25 <= b AND c + j * 0.25 <= d)"
+def half_degrees(spark: SparkSession, d: str) -> DataFrame:
+    return cells(spark, d).select((F.col("lon") / 2).alias("lon"), (F.col("lat") / 2).alias("lat"), (F.col("pixel_id") * 1.5).alias("v"))
 
 
-@query("regrid_nearest", f"WITH {_GRID} SELECT x, y, v FROM target LEFT JOIN grid ON lon = ceil(x - 0.5) AND lat = ceil(y - 0.5)")
+@query("regrid_nearest", f"WITH {_GRID} SELECT round(x, 6) AS x, round(y, 6) AS y, v FROM target LEFT JOIN grid ON lon = {_NEAR.format(c='x')} AND lat = {_NEAR.format(c='y')}")
 def _(spark, d):
-    return spatial.regrid_nearest(cells(spark, d).withColumn("v", F.col("pixel_id") * 1.5), "v", 0.25)
+    return spatial.regrid_nearest(half_degrees(spark, d), "v", 0.2).select(F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "v")
 
 
-@query("regrid_bilinear", f"WITH {_GRID}, w AS (SELECT x, y, floor(x) + i AS cx, floor(y) + j AS cy, (CASE WHEN i = 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END) * (CASE WHEN j = 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END) AS w FROM target, range(2) t(i), range(2) u(j)) SELECT x, y, CASE WHEN count(v) = count(*) THEN round(sum(w * v), 6) END AS v FROM (SELECT * FROM w WHERE w > 0) LEFT JOIN grid ON lon = cx AND lat = cy GROUP BY x, y")
+@query("regrid_bilinear", f"WITH {_GRID}, w AS (SELECT x, y, CASE WHEN i = 1 THEN x1 ELSE x0 END AS cx, CASE WHEN j = 1 THEN y1 ELSE y0 END AS cy, (CASE WHEN x0 = x1 THEN 1 - i WHEN i = 1 THEN (x - x0) / (x1 - x0) ELSE (x1 - x) / (x1 - x0) END) * (CASE WHEN y0 = y1 THEN 1 - j WHEN j = 1 THEN (y - y0) / (y1 - y0) ELSE (y1 - y) / (y1 - y0) END) AS w FROM target, range(2) t(i), range(2) u(j)) SELECT round(x, 6) AS x, round(y, 6) AS y, CASE WHEN count(v) = count(*) THEN round(sum(w * v), 6) END AS v FROM (SELECT * FROM w WHERE w IS NULL OR w > 0) LEFT JOIN grid ON lon = cx AND lat = cy GROUP BY ALL")
 def _(spark, d):
-    return spatial.regrid_bilinear(cells(spark, d).withColumn("v", F.col("pixel_id") * 1.5), "v", 0.25).withColumn("v", F.round("v", 6))
+    return spatial.regrid_bilinear(half_degrees(spark, d), "v", 0.2).select(F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), F.round("v", 6).alias("v"))
 
 
 @query("resample_daily_max", f"WITH {HOURLY} SELECT user_id, CAST(time AS DATE) AS day, round(max(v), 6) AS v FROM hourly GROUP BY ALL")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rainfold.sources.scratch import scratch_path
+
 
 def totals(events: DataFrame, late: str = "1 day") -> DataFrame:
     """``(event_type, day, n, total)`` of a stream of ``(ts, event_type, value)``."""
@@ -17,10 +16,13 @@ def totals(events: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def replayed(spark: SparkSession, path: str) -> DataFrame:
-    """Runs the stream over the rows of a table until it is through, and reads what it wrote last."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    out, work = (f"{root}/{kind}-{uuid.uuid4().hex}" for kind in ("daily", "progress"))
+    """Runs the stream over the rows of a table until it is through, and reads the latest total of each day.
+
+    Update mode: a batch appends the totals that it changed, and days behind the watermark leave the state. A batch that runs again appends the same totals again.
+    """
+    out, work = scratch_path(spark, "daily"), scratch_path(spark, "progress")
     stream = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", path.rsplit("/", 1)[1]).parquet(path.rsplit("/", 1)[0])
-    query = totals(stream).writeStream.outputMode("complete").trigger(availableNow=True).option("checkpointLocation", work)
-    query.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start().awaitTermination()
-    return spark.read.parquet(out)
+    query = totals(stream).writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", work)
+    query.foreachBatch(lambda batch, number: batch.withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(out)).start().awaitTermination()
+    latest = spark.read.parquet(out).groupBy("event_type", "day").agg(F.max_by(F.struct("n", "total"), "batch").alias("t"))
+    return latest.select("event_type", "day", "t.n", "t.total")

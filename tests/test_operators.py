@@ -1,12 +1,14 @@
 """Micro-fixtures with values worked out by hand or with numpy."""
 
 import math
+import random
 from datetime import date
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rainfold.functions import scalars
 from rainfold.operators import climatology, contract, distributions, episodes, portfolio, spatial, timeops
 
 
@@ -135,11 +137,71 @@ def test_polygons():
     assert spatial.ring_area([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]) == pytest.approx(12363.7, rel=1e-3)
 
 
-def test_nearest_searches_on(spark):
-    cells = spark.createDataFrame([(i, 10.0 * i, 0.0) for i in range(5)], "pixel_id long, lon double, lat double")
-    points = spark.createDataFrame([("p", 24.0, 0.0)], "id string, lon double, lat double")
-    out = spatial.nearest(points, cells, "id", k=2).orderBy("neighbor_rank").collect()
-    assert [(r["pixel_id"], r["distance"]) for r in out] == [(2, 4.0), (3, 6.0)]
+def test_nearest_against_all_pairs(spark):
+    rng = random.Random(3)
+    cells = [(i, 0.25 * rng.randrange(40), 0.25 * rng.randrange(40)) for i in range(30)] + [(30, None, 1.0)]
+    points = [(i, rng.uniform(-3, 12), rng.uniform(-3, 12)) for i in range(60)] + [(60, 5000.0, -900.0), (61, None, 1.0), (62, 2.0, None)]
+    tables = [spark.createDataFrame(rows, f"{key} long, lon double, lat double") for rows, key in ((points, "id"), (cells, "pixel_id"))]
+    for k in (1, 3, 50):
+        got = {(r["id"], r["neighbor_rank"]): (r["pixel_id"], r["distance"]) for r in spatial.nearest(*tables, "id", k=k).collect()}
+        want = {}
+        for i, x, y in points[:61]:
+            near = sorted((math.hypot(x - cx, y - cy), cx, cy, c) for c, cx, cy in cells[:30])[:k]
+            want |= {(i, n): (c, pytest.approx(d)) for n, (d, _, _, c) in enumerate(near)}
+        assert got == want
+    assert spatial.nearest(tables[0], tables[1].limit(0), "id").count() == spatial.nearest(tables[0].limit(0), tables[1], "id").count() == 0
+
+
+@pytest.mark.parametrize("step", [0.1, 0.25, 1.0, 3.0])
+def test_regridding_any_step(spark, step):
+    cells = spark.createDataFrame([(i * step, j * step, float(i + j)) for i in range(12) for j in range(9) if (i, j) != (11, 8)], "lon double, lat double, v double")
+    nearest = {(r["x"], r["y"]): r["v"] for r in spatial.regrid_nearest(cells, "v", step / 2.5).collect()}
+    linear = {(r["x"], r["y"]): r["v"] for r in spatial.regrid_bilinear(cells, "v", step / 2.5).collect()}
+    assert len(nearest) == len(linear) and max(x for x, _ in nearest) >= 11 * step
+    for (x, y), v in linear.items():
+        i, j = x / step, y / step
+        if i < 10 and j < 7:
+            assert v == pytest.approx(i + j) and nearest[x, y] == pytest.approx(math.floor(i + 0.5 + 1e-9) + math.floor(j + 0.5 + 1e-9))
+        if i > 11 + 1e-9 or j > 8 + 1e-9 or (i > 10.01 and j > 7.01):
+            assert v is None
+
+
+def test_snapping(spark):
+    axis = spark.createDataFrame([(x,) for x in (0.0, 0.1, 0.5, 7.0)], "grid double")
+    points = spark.createDataFrame([(x,) for x in (-9.0, 0.04, 0.3, 0.31, 3.75, 3.76, 99.0, None)], "lon double")
+    got = {r["lon"]: r["grid"] for r in spatial.snap(points, axis, "lon", "grid").collect()}
+    assert got == {-9.0: 0.0, 0.04: 0.0, 0.3: 0.1, 0.31: 0.5, 3.75: 0.5, 3.76: 7.0, 99.0: 7.0, None: None}
+
+
+def test_polygon_table(spark):
+    rng = random.Random(4)
+    ring = lambda x, y, r: [(x + r * math.cos(a), y + r * math.sin(a)) for a in (0.1, 1.2, 2.0, 3.9, 5.0)]
+    polygons = {i: ring(rng.uniform(0, 40), rng.uniform(0, 40), rng.uniform(0.2, 4)) for i in range(25)}
+    points = [(i, rng.uniform(-5, 45), rng.uniform(-5, 45)) for i in range(150)] + [(150, None, 1.0)]
+    shapes = spark.createDataFrame(list(polygons.items()), "polygon_id long, ring array<struct<x:double,y:double>>")
+    table = spark.createDataFrame(points, "id long, lon double, lat double")
+    inside, far = set(), {}
+    for i, x, y in points[:-1]:
+        for p, r in polygons.items():
+            sides, odd, least = list(zip(r, r[1:] + r[:1])), False, math.inf
+            for (ax, ay), (bx, by) in sides:
+                odd ^= (y < ay) != (y < by) and x < (bx - ax) * (y - ay) / (by - ay) + ax
+                t = max(0, min(1, ((x - ax) * (bx - ax) + (y - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+                least = min(least, math.hypot(ax + t * (bx - ax) - x, ay + t * (by - ay) - y))
+            if odd:
+                inside.add((i, p))
+            far[i] = min(far.get(i, (math.inf, 0)), (0.0 if odd else least, p))
+    assert {(r["id"], r["polygon_id"]) for r in spatial.within(table, shapes).collect()} == inside
+    got = {r["id"]: (r["distance"], r["polygon_id"]) for r in spatial.nearest_polygon(table, shapes, "id").collect()}
+    assert got == {i: (pytest.approx(d), p) for i, (d, p) in far.items()}
+
+
+def test_names_of_variables(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "t2m double, latitude double, x double")
+    assert scalars.canonical(df, "tmax").columns == ["tmax", "lat", "lon"]
+    for variable in ("swc", "no_such"):
+        with pytest.raises(KeyError):
+            scalars.canonical(df, variable)
 
 
 @pytest.mark.parametrize(("dist", "params"), [("norm", {"loc": 1.0, "scale": 2.0}), ("t", {"loc": 0.0, "scale": 1.0, "df": 5.0}), ("lognorm", {"s": 0.5, "loc": -1.0, "scale": 3.0}), ("gamma", {"shape": 2.5, "loc": 0.0, "scale": 2.0}), ("weibull", {"shape": 1.7, "loc": 0.0, "scale": 3.0}), ("gev", {"shape": 0.1, "loc": 5.0, "scale": 2.0})])
