@@ -11,7 +11,8 @@ Two questions are asked of each document, whether its quality is good and whethe
 3. A document's probability is combined with the posterior of its path, left out its own part of it.
 
 ``kept``: good rather than not, and not toxic. Nulls: a null text has no words, null source and language are values of their own.
-Without labels of both kinds the evidence is the prior. Repeated rows stay repeated. An empty table gives an empty result.
+Without labels of both kinds the evidence is the prior. Repeated rows stay repeated; a doc_id labelled twice counts once, with the larger label,
+and one with several texts with the smallest text. Other columns are left alone. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -105,18 +106,19 @@ class Evidence:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict[str, Evidence]:
-    """The models. At most FIT labelled rows come to the driver, as features."""
-    sample = labels.where("doc_id is not null").select("doc_id", *TARGETS).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT)
+    """The models. At most FIT labelled doc_ids come to the driver, each once, as at most FEATURES numbers."""
+    once = labels.where("doc_id is not null").groupBy("doc_id").agg(*(F.max(F.col(t).cast("int")).alias(t) for t in TARGETS))
+    sample = once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT)
 
     def run(ids: list, texts: list, *targets: list) -> dict:
         known = Features()
         return {"doc_id": ids, "own": [features(t, known) for t in texts], **dict(zip(TARGETS, targets))}
 
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = per_text(found, run, "doc_id long, own array<long>, quality int, toxic int", *(F.col(t).cast("int").alias(t) for t in TARGETS)).collect()
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", *TARGETS).agg(F.min("text").alias("text"))
+    found = per_text(found, run, "doc_id long, own array<long>, quality int, toxic int", *TARGETS).collect()
     out = {}
     for t in TARGETS:
-        rows = sorted((r for r in found if r[t] is not None), key=lambda r: (r["doc_id"], len(r["own"])))
+        rows = sorted((r for r in found if r[t] is not None), key=lambda r: r["doc_id"])
         out[t] = Evidence([np.array(r["own"], np.int64) for r in rows], np.array([r[t] for r in rows], np.float64))
     return out
 
@@ -139,23 +141,31 @@ def logit(p):
     return F.log(p / (1 - p))
 
 
-def with_sites(scored: DataFrame, target: str) -> DataFrame:
-    """Adds ``<target>_host``, ``<target>_path`` and ``<target>``, the posteriors of the document's site and of itself."""
-    p = F.col(f"p_{target}")
-    paths = scored.groupBy("host", "lang").agg(F.count("*").alias("n"), F.sum(p).alias("s"))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
-    total = hosts.agg(F.sum("hs") / F.sum("hn")).first()[0]
-    overall = F.lit(0.5 if total is None else float(total))
-    hosts = hosts.withColumn("prior", overall)
-    k = weight_of(hosts.withColumn("mean", F.col("hs") / F.col("hn")), "mean", "hn", "prior")
-    hosts = hosts.select("host", "hn", "hs", ((F.col("hs") + k * overall) / (F.col("hn") + k)).alias("host_mean"))
-    paths = paths.join(hosts, "host")
-    k2 = weight_of(paths.withColumn("mean", F.col("s") / F.col("n")), "mean", "n", "host_mean")
-    joined = scored.join(paths, ["host", "lang"])
-    path = (F.col("s") + k2 * F.col("host_mean")) / (F.col("n") + k2)
-    others = (F.col("s") - p + k2 * F.col("host_mean")) / (F.col("n") - 1 + k2)
-    final = 1 / (1 + F.exp(-(logit(p) + SITE_WEIGHT * (logit(others) - logit(overall)))))
-    return joined.withColumns({f"{target}_host": F.col("host_mean"), f"{target}_path": path, target: final}).drop("n", "s", "hn", "hs", "host_mean")
+def with_sites(scored: DataFrame, scratch: Scratch) -> DataFrame:
+    """Adds for each target ``<target>_host``, ``<target>_path`` and ``<target>``, the posteriors of the document's site and of itself.
+
+    Evidence is summed once, within tasks first, so a site that holds most of the rows is a row a task. The table of paths is broadcast if it is small, else
+    a large site's rows are split by adaptive execution, as both sides of the join come straight from a shuffle.
+    """
+    sums = lambda n, c: [F.sum(n).alias("n"), *(F.sum(f"{c}_{t}").alias(f"s_{t}") for t in TARGETS)]
+    paths = scratch.write(scored.withColumn("one", F.lit(1).cast("long")).groupBy("host", "lang").agg(*sums("one", "p")))
+    hosts = scratch.write(paths.groupBy("host").agg(*sums("n", "s")))
+    total = hosts.agg(*sums("n", "s")).first()
+    overall = {t: total[f"s_{t}"] / total["n"] if total["n"] else 0.5 for t in TARGETS}
+    weights = {}
+    for t in TARGETS:
+        k = weight_of(hosts.withColumns({"prior": F.lit(overall[t]), "mean": F.col(f"s_{t}") / F.col("n")}), "mean", "n", "prior")
+        hosts = hosts.withColumn(f"{t}_host", (F.col(f"s_{t}") + k * overall[t]) / (F.col("n") + k))
+    paths = paths.join(hosts.select("host", *(f"{t}_host" for t in TARGETS)), "host")
+    for t in TARGETS:
+        weights[t] = weight_of(paths.withColumn("mean", F.col(f"s_{t}") / F.col("n")), "mean", "n", f"{t}_host")
+    out = scored.join(scratch.sized(scratch.write(paths)), ["host", "lang"])
+    for t in TARGETS:
+        p, k, prior = F.col(f"p_{t}"), weights[t], F.col(f"{t}_host")
+        others = (F.col(f"s_{t}") - p + k * prior) / (F.col("n") - 1 + k)
+        final = 1 / (1 + F.exp(-(logit(p) + SITE_WEIGHT * (logit(others) - logit(F.lit(overall[t]))))))
+        out = out.withColumns({f"{t}_path": (F.col(f"s_{t}") + k * prior) / (F.col("n") + k), t: final})
+    return out.select("doc_id", "host", "lang", *(c for t in TARGETS for c in (f"p_{t}", f"{t}_host", f"{t}_path", t)))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -169,9 +179,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     schema = "doc_id long, host string, lang string, " + ", ".join(f"p_{t} double" for t in TARGETS)
     out = scratch.write(per_text(docs, run, schema, *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(to) for c, to in (("source", "host"), ("lang", "lang")))))
-    for t in TARGETS:
-        out = with_sites(out, t)
-    return out.withColumn("kept", (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)).drop("host", "lang")
+    return with_sites(out, scratch).withColumn("kept", (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)).drop("host", "lang")
 
 
 def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
