@@ -12,27 +12,31 @@
 The benchmark is a stated query set, taken in blocks of at most ``BLOCK`` bytes of text; every document is searched over its whole text.
 
 Nulls: a null text, in either table, holds no words and leaks nothing. Repeated documents give repeated rows, repeated items
-one row each. Without benchmark or documents the result is empty.
+one row each. Without benchmark or documents the result is empty. Other columns are left alone. Very long texts are taken whole, one at
+a time at least.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.llm.common import arrow_schema, batch_of, table, words_of
+from rainfold.llm.winnow import mix
 
 PASSAGE, STRIDE = 32, 16
 SKETCH, RANK = 128, 64
-COSINE, REACH, HIGH, LOW = 0.35, 0.42, 0.8, 0.6
-#: Words in over this share of the strides are common; see ``latent``.
-COMMON, COMMON_WEIGHT, RARE = 0.002, 0.05, 4
-BLOCK, AT_ONCE = 16 << 20, 1 << 18
+COSINE, REACH, HIGH, LOW = 0.3, 0.35, 0.8, 0.6
+#: Words in over this share of the strides are common, and count only where they are among the RARE rarest of an item; see ``latent``.
+COMMON, RARE = 0.005, 8
+#: Bytes of the benchmark's text searched at a time, which bounds the sketch: SKETCH rows of at most BLOCK / 2 words.
+BLOCK, AT_ONCE = 1 << 18, 1 << 18
 SCHEMA = "doc_id long, item_id long, cosine double, lcs double, answer double"
 
 
@@ -50,11 +54,12 @@ def strides_of(docs: list[np.ndarray], useful: np.ndarray) -> tuple[np.ndarray,
     return ids[at].astype(np.int64), first[of] + (at - (np.cumsum(n) - n)[of]) // STRIDE, first
 
 
-def batches_of(batch: pa.RecordBatch, numbers: dict[bytes, int]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Texts of about AT_ONCE words at a time: doc_ids and the numbers of their words."""
+def batches_of(batch: pa.RecordBatch, numbers: dict[bytes, int], first: Callable = lambda doc_id, words: doc_id) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Texts of about AT_ONCE words at a time: doc_ids, or what ``first`` makes of them, and the numbers of their words."""
     ids, known, size, number = [], [], 0, numbers.get
     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
         words = words_of(text.as_py())
+        doc_id = first(doc_id, words)
         ids.append(doc_id)
         known.append(np.fromiter(map(number, words, repeat(-1)), np.int32, len(words)))
         size += len(words)
@@ -73,14 +78,14 @@ def sketched(docs: DataFrame, numbers: dict[bytes, int]) -> tuple[np.ndarray, np
     schema = arrow_schema("word int, df long, " + ", ".join(f"{c} double" for c in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        rng = np.random.default_rng((1, TaskContext.get().partitionId()))
         sketch, df, total = np.zeros(SKETCH * width), np.zeros(width, np.int64), 0
         for batch in batches:
-            for _, known in batches_of(batch, numbers):
+            # Rows and signs come from the text and the stride's place in it, so that the sketch doesn't depend on how the rows are dealt to tasks.
+            for seeds, known in batches_of(batch, numbers, lambda _, words: xxhash.xxh3_64_intdigest(b" ".join(words))):
                 word, stride, first = strides_of(known, useful)
-                rows, signs = rng.integers(0, SKETCH, first[-1]), rng.integers(0, 2, first[-1]) * 2.0 - 1
+                counts = np.diff(first)
+                drawn = mix(np.repeat(np.array(seeds, np.uint64), counts) + (np.arange(first[-1]) - np.repeat(first[:-1], counts)).astype(np.uint64))
+                rows, signs = (drawn >> np.uint64(32)).astype(np.int64) % SKETCH, (drawn & np.uint64(1)).astype(np.float64) * 2 - 1
                 sketch += np.bincount(rows[stride] * width + word, signs[stride], SKETCH * width)
                 begins = np.zeros(first[-1] + 1, bool)
                 begins[first] = True
@@ -108,11 +113,15 @@ def sketched(docs: DataFrame, numbers: dict[bytes, int]) -> tuple[np.ndarray, np
 def latent(df: np.ndarray, sketch: np.ndarray, total: int, items: list[list[int]]) -> np.ndarray:
     """IDF times the right singular vectors: a row for each word.
 
-    Common words get rows of zeros, or a small weight if an item has under ``RARE`` other words.
+    A common word has a row of zeros unless it is among the ``RARE`` rarest of some item, so an item made of common words only is found by them,
+    and what one item holds changes nothing for the words of others.
     """
-    common = df > COMMON * total
-    weight = 0.0 if all(sum(not common[w] for w in item) >= RARE for item in items) else COMMON_WEIGHT
-    idf = np.log((1 + total) / (1 + df)) * np.where(common, weight, 1.0)
+    used = df <= COMMON * total
+    for item in items:
+        own = np.unique(item)
+        used[own[np.argsort(df[own], kind="stable")[:RARE]]] = True
+    idf = np.log((1 + total) / (1 + df)) * used
+    idf = np.where(used, np.maximum(idf, 0.05), 0.0)  # a word of all strides still tells an item made of such words from nothing
     _, s, vt = np.linalg.svd(sketch * idf, full_matrices=False)
     rank = min(RANK, int((s > 1e-9 * s[:1].max(initial=0)).sum()))
     return (vt[:rank] * idf).T.astype(np.float32)
