@@ -7,8 +7,8 @@ Of each token the encoding is inferred (decimal, hex, base32, letters and digits
 give p-values of the hypothesis that the token is random: chi-squared of the characters' counts against a uniform alphabet, a runs test on the upper and
 lower half of the alphabet, and the serial correlation of neighbours. Fisher's method combines them. Over all tokens of the corpus,
 in bands of length (short tokens tell less), the Benjamini-Hochberg procedure finds which are not
-random, so that of the tokens put aside at most ``RATE`` are expected to be random ones; the others are spans. The
-p-values are counted in bins, so only a table of bands and bins comes to the driver.
+random, so that of the tokens put aside at most ``RATE`` are expected to be random ones; the others are spans. For those the share of
+regular tokens is estimated band by band and reported. The p-values are counted in bins, so only a table of bands and bins comes to the driver.
 
 Offsets are code points. Nulls: a null text is empty. Repeated rows stay repeated. An empty table gives an empty result.
 """
@@ -28,6 +28,8 @@ KINDS = list(PATTERNS)
 RATE = 0.05
 #: Upper lengths of the bands; bins of -10 ln p.
 BANDS, BINS = (24, 32, 40, 64, 128), 400
+#: Bins of the largest p-values, from which the number of random tokens is estimated.
+NEXT_TO_ONE = 6
 ALPHABETS = {
     "decimal": ("^[0-9]+$", "0123456789"),
     "hex": ("^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
@@ -97,23 +99,29 @@ def band() -> Column:
     return out
 
 
-def limits(tokens: DataFrame) -> dict[int, int]:
-    """By band the smallest bin that the Benjamini-Hochberg procedure puts aside."""
+def limits(tokens: DataFrame) -> dict[int, tuple[int, float]]:
+    """By band the smallest bin that the Benjamini-Hochberg procedure puts aside, and the share of regular tokens estimated among those that stay.
+
+    The p-values of random tokens are uniform, so the bins next to 1, where hardly any others are, tell how many random tokens there are.
+    """
     counts: dict[int, dict[int, int]] = {}
     for b, i, n in tokens.groupBy("band", "bin").count().collect():
         counts.setdefault(b, {})[i] = n
     out = {}
     for b, own in counts.items():
-        total, below = sum(own.values()), 0
+        total, below, limit = sum(own.values()), 0, BINS + 1
         for i in sorted(own, reverse=True):
             below += own[i]
             if math.exp(-i / 10) <= RATE * below / total:  # the largest p of the bin
-                out[b] = i
+                limit = i
+        stay = sum(n for i, n in own.items() if i < limit)
+        random = min(total, sum(n for i, n in own.items() if i < NEXT_TO_ONE) / (1 - math.exp(-NEXT_TO_ONE / 10))) * (1 - math.exp(-limit / 10))
+        out[b] = limit, max(0.0, 1 - random / stay) if stay else 0.0
     return out
 
 
 def spans(docs: DataFrame, scratch: Scratch, row: Column) -> DataFrame:
-    """``(row, doc_id, kind, start, end, aside)``: every span and token; a row with null kind for a text without any."""
+    """``(row, doc_id, kind, start, end, aside, rate, hit)``: every span and token; a row with null kind for a text without any."""
     docs = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     empty = F.array().cast("array<struct<kind:int,i:int,gap:int,hit:string>>")
     found = docs.select("row", "doc_id", F.explode_outer(F.concat(*(F.coalesce(hits(k), empty) for k in KINDS))).alias("h")).select("row", "doc_id", "h.*")
@@ -126,41 +134,47 @@ def spans(docs: DataFrame, scratch: Scratch, row: Column) -> DataFrame:
     placed = scratch.write(placed.select("row", "doc_id", F.when(~F.col("inside"), F.col("kind")).alias("kind"), "start", "end", "hit"))
     bins = F.least(F.floor(-10 * F.log(F.greatest("p", F.lit(1e-300)))), F.lit(BINS)).cast("int")
     judged = tested(placed.where("kind = 3")).withColumn("bin", bins)
-    aside = F.lit(False)
-    for b, i in limits(judged.select(band().alias("band"), "bin")).items():
+    aside, rate = F.lit(False), F.lit(0.0)
+    for b, (i, false) in limits(judged.select(band().alias("band"), "bin")).items():
         aside = aside | ((band() == b) & (F.col("bin") >= i))
-    judged = judged.withColumn("aside", aside)
-    rest = placed.where("kind is null or kind < 3").withColumn("aside", F.lit(False))
-    return judged.select("row", "doc_id", "kind", "start", "end", "aside", "hit").unionByName(rest.select("row", "doc_id", "kind", "start", "end", "aside", "hit"))
+        rate = F.when(band() == b, false).otherwise(rate)
+    judged = judged.withColumns({"aside": aside, "rate": rate})
+    rest = placed.where("kind is null or kind < 3").withColumns({"aside": F.lit(False), "rate": F.lit(None).cast("double")})
+    columns = ["row", "doc_id", "kind", "start", "end", "aside", "rate", "hit"]
+    return judged.select(*columns).unionByName(rest.select(*columns))
 
 
 def scan(docs: DataFrame) -> DataFrame:
+    """A row for each of ``docs(doc_id, text)``: counts, spans, and ``random_rate``, the share of regular tokens estimated among the random spans of the
+    lengths that the text has; NULL if it has none."""
     found = spans(docs, Scratch(docs.sparkSession, "secrets"), F.monotonically_increasing_id())
     names = F.array(*map(F.lit, KINDS))
     text = F.concat_ws(":", F.element_at(names, F.col("kind") + 1), "start", "end")
     mine = F.struct("start", "kind", text.alias("text"))
     base, live = F.col("kind") < 3, F.col("kind").isNotNull() & ~F.col("aside")
     count = lambda kind: F.count(F.when(F.col("kind") == KINDS.index(kind), 1)).alias(f"n_{kind}")
-    per_text = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *map(count, KINDS[:3]), F.array_sort(F.collect_list(F.when(base, mine))).alias("base"), F.array_sort(F.collect_list(F.when(live, mine))).alias("all"))
-    return per_text.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.array_join(F.col("base.text"), ","), 256).alias("base_sha256"), F.array_join(F.col("all.text"), ",").alias("spans"))
+    rate = F.max(F.when(live & (F.col("kind") == 3), F.col("rate"))).alias("random_rate")
+    per_text = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), rate, *map(count, KINDS[:3]), F.array_sort(F.collect_list(F.when(base, mine))).alias("base"), F.array_sort(F.collect_list(F.when(live, mine))).alias("all"))
+    return per_text.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.array_join(F.col("base.text"), ","), 256).alias("base_sha256"), F.array_join(F.col("all.text"), ",").alias("spans"), "random_rate")
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The rows of ``docs``, with all their columns, with ``mark`` in place of every span. A column ``n_chars`` is counted anew."""
-    own = F.concat_ws(":", "doc_id", F.xxhash64("text"), F.length("text"))
-    once = docs.select("doc_id", "text", own.alias("found_row")).dropDuplicates(["found_row"])  # equal rows have the same spans
-    found = spans(once, Scratch(docs.sparkSession, "redaction"), F.col("found_row"))
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("all"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    held = held.withColumn("own", F.concat_ws(":", "doc_id", F.xxhash64("text"), F.length("text")))
+    once = held.select("doc_id", "text", "own").dropDuplicates(["own"])  # equal rows have the same spans
+    found = spans(once, Scratch(docs.sparkSession, "redaction"), F.col("own"))
     live = found.where(F.col("kind").isNotNull() & ~F.col("aside"))
-    by_row = live.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found_spans"))
+    by_row = live.groupBy(F.col("row").alias("own")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
     state = "struct<out:string,pos:int>"
-    step = f"""aggregate(found_spans, cast(struct('', 0) as {state}), (a, s) -> if(s.end <= a.pos, a, cast(struct(
+    step = f"""aggregate(spans, cast(struct('', 0) as {state}), (a, s) -> if(s.end <= a.pos, a, cast(struct(
         concat(a.out, substr(text, a.pos + 1, greatest(s.start - a.pos, 0)), if(s.start >= a.pos, '{mark}', '')), s.end) as {state})),
         a -> concat(a.out, substr(text, a.pos + 1)))"""
-    text = F.when(F.col("found_spans").isNull(), F.col("text")).otherwise(F.expr(step))
-    out = docs.withColumn("found_row", own).join(by_row.withColumnRenamed("row", "found_row"), "found_row", "left").withColumn("text", text)
+    out = held.join(by_row, "own", "left").withColumn("fresh", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.expr(step)))
+    own = {c: F.col("all")[c] for c in docs.columns} | {"text": F.col("fresh")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("found_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        own["n_chars"] = F.when(F.col("spans").isNull(), own["n_chars"]).otherwise(F.length("fresh").cast(docs.schema["n_chars"].dataType))
+    return out.select(*(column.alias(c) for c, column in own.items()))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
