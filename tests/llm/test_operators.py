@@ -436,6 +436,121 @@ def test_quality_model(spark, none):
     assert quality_model.classify(docs, labels.limit(0)).count() == len(rows)
 
 
+def test_posteriors_of_sites(spark):
+    """Against the same model in plain numbers, with a site that holds most rows, sparse ones and null columns."""
+    rng = random.Random(14)
+    rows = []
+    for i in range(400):
+        host, lang = rng.choice(["a", "a", "a", "b", "c", f"h{i % 60}"]), rng.choice(["en", "de", ""])
+        rows.append((i, host, lang, *(min(0.999, max(0.001, rng.gauss(0.2 + (len(host) + len(lang)) / 8, 0.2))) for _ in quality_model.TARGETS)))
+    scored = spark.createDataFrame(rows, "doc_id long, host string, lang string, p_quality double, p_toxic double")
+    got = {r["doc_id"]: r for r in quality_model.with_sites(scored, Scratch(spark, "t")).collect()}
+    assert len(got) == len(rows)
+    logit = lambda p: np.log(min(max(p, 1e-4), 1 - 1e-4) / (1 - min(max(p, 1e-4), 1 - 1e-4)))
+
+    def weight(sites):  # (mean, n, prior)
+        n = sum(s[1] for s in sites)
+        within = sum(s[1] * s[2] * (1 - s[2]) for s in sites) / n
+        spread = (sum(s[1] * (s[0] - s[2]) ** 2 for s in sites) - len(sites) * within) / (n - sum(s[1] ** 2 for s in sites) / n)
+        return min(max(within / spread - 1, 1.0), 1e6) if spread > 0 else 1e6
+
+    for t, at in zip(quality_model.TARGETS, (3, 4)):
+        hosts, paths = defaultdict(list), defaultdict(list)
+        for r in rows:
+            hosts[r[1]].append(r[at])
+            paths[r[1:3]].append(r[at])
+        overall = np.mean([r[at] for r in rows])
+        k = weight([(np.mean(v), len(v), overall) for v in hosts.values()])
+        host = {h: (sum(v) + k * overall) / (len(v) + k) for h, v in hosts.items()}
+        k2 = weight([(np.mean(v), len(v), host[p[0]]) for p, v in paths.items()])
+        for r in rows:
+            own, prior = paths[r[1:3]], host[r[1]]
+            others = (sum(own) - r[at] + k2 * prior) / (len(own) - 1 + k2)
+            final = 1 / (1 + np.exp(-(logit(r[at]) + 0.5 * (logit(others) - logit(overall)))))
+            assert (got[r[0]][f"{t}_host"], got[r[0]][f"{t}_path"], got[r[0]][t]) == pytest.approx((prior, (sum(own) + k2 * prior) / (len(own) + k2), final))
+
+
+def test_repeated_labels_and_ids(spark):
+    docs = spark.createDataFrame([(i % 3, f"word{i} " * 60, "en", "s") for i in range(90)], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i % 3, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    assert quality_model.classify(docs, labels).count() == quality_rules.judge(docs, labels).count() == 90
+
+
+def test_path_lengths_of_the_forest():
+    """Scores against a walk down each tree, row by row."""
+    rng = np.random.default_rng(15)
+    rows = np.concatenate([rng.normal(size=(300, 3)), rng.normal(6, 1, (4, 3)), np.zeros((20, 3))])
+    forest = quality_rules.Forest(rows)
+
+    def length(row, at):
+        while forest.feature[at] >= 0:
+            at = forest.left[at] if row[forest.feature[at]] <= forest.split[at] else forest.right[at]
+        return forest.length[at]
+
+    want = [2 ** (-np.mean([length(r, root) for root in forest.roots]) / forest.norm) for r in rows]
+    assert forest.score(rows) == pytest.approx(want)
+    assert np.sort(forest.score(rows)[300:304]).min() > np.median(forest.score(rows)[:300])
+
+
+def test_recall_of_paraphrases(spark):
+    """Items with a share of their words replaced, in words of Zipf's frequencies; one item in a third of the documents, one of frequent words only."""
+    rng = random.Random(16)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    weights = [1 / (i + 1) for i in range(5000)]
+    text = lambda n: rng.choices(vocabulary, weights, k=n)
+    items = {i: text(rng.randint(20, 60)) for i in range(40)} | {40: rng.choices(vocabulary[:12], k=40)}
+    rows, planted = [], []
+    for i in range(600):
+        k = 7 if i % 3 == 0 else 40 if i % 20 == 1 else rng.randrange(40)
+        item, share = items[k], rng.choice([0.0, 0.2, 0.3, 0.36])
+        answer = len(item) - max(1, len(item) // 4)
+        own = [rng.choice(vocabulary[200:]) if n < answer and rng.random() < share else w for n, w in enumerate(item)]
+        rows.append((i, " ".join(text(rng.randint(0, 120)) + own + text(rng.randint(0, 120)))))
+        lcs = decontamination.common_words([hash(w) for w in item], [hash(w) for w in own]) / len(item)
+        planted.append((i, k, lcs))
+    rows += [(1000 + i, " ".join(text(150))) for i in range(200)]
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, " ".join(t)) for k, t in items.items()], "item_id long, text string")).collect()}
+    for low, high, least in ((0.6, 0.7, 0.9), (0.7, 0.8, 0.95), (0.8, 1.1, 0.99)):
+        for of in (lambda k: k not in (7, 40), lambda k: k == 7, lambda k: k == 40):
+            some = [(i, k) for i, k, lcs in planted if low <= lcs < high and of(k)]
+            print(low, len(some), sum(x in got for x in some))
+            assert sum(x in got for x in some) >= least * len(some), (low, len(some))
+    assert not {d for d, k in got if d >= 1000 and k != 40}
+
+
+def test_randomness_tests(spark):
+    """p-values against the same statistics in numpy, and their uniformity on random tokens."""
+    rng = random.Random(17)
+    letters = secrets.ALPHABETS["alphanumeric"][1]
+    tokens = ["".join(rng.choices(letters, k=rng.choice([24, 32, 40, 64]))) for _ in range(600)] + ["abcd1234" * 4, "aaaaaaaaaaaaaaaaaaaaaaa1", "thequickbrownfoxjumpsover1lazydog"]
+    got = {r["hit"]: (r["encoding"], r["p"]) for r in secrets.tested(spark.createDataFrame([(t,) for t in tokens], "hit string")).collect()}
+    tail = lambda z: 1 / (1 + np.exp(1.5976 * np.clip(z, -8, 8) + 0.070566 * np.clip(z, -8, 8) ** 3))
+    for t in tokens:
+        encoding, p = got[t]
+        alphabet = secrets.ALPHABETS[encoding][1]
+        k, n, v = len(alphabet), len(t), np.array([alphabet.index(c) for c in t], float)
+        chi = ((np.bincount(v.astype(int), minlength=k) - n / k) ** 2 / (n / k)).sum()
+        high = v >= k / 2
+        n1, n0 = high.sum(), (~high).sum()
+        expected = 2 * n1 * n0 / n + 1
+        variance = (expected - 1) * (expected - 2) / (n - 1)
+        turns = 1 + (high[1:] != high[:-1]).sum()
+        d = v - v.mean()
+        z = [(chi - (k - 1)) / np.sqrt(2 * (k - 1) * (n - 1) / n), (turns - expected) / np.sqrt(variance) if variance > 0 else 8.0, ((d[1:] * d[:-1]).sum() / (d * d).sum() + 1 / (n - 1)) * np.sqrt(n) if (d * d).sum() else 8.0]
+        x = -np.log(tail(z[0])) - np.log(min(1, 2 * tail(abs(z[1])))) - np.log(min(1, 2 * tail(abs(z[2]))))
+        assert p == pytest.approx(np.exp(-x) * (1 + x + x * x / 2), rel=1e-6)
+    drawn = np.array([got[t][1] for t in tokens[:600]])
+    assert 0.4 < drawn.mean() < 0.62 and (drawn < 0.01).mean() < 0.04
+    assert all(got[t][1] < 1e-3 for t in tokens[600:602])
+
+
+def test_redaction_keeps_clashing_columns(spark):
+    text = "password = hunter2hunter2 end"
+    table = spark.createDataFrame([(1, text, "s", "r", 7)], "doc_id long, text string, found_spans string, own string, n_chars int").withColumns({"spans": F.lit(1), "all": F.lit(2), "fresh": F.lit(3), "row": F.lit(4)})
+    row = secrets.redacted(table).first()
+    assert row.asDict() == {"doc_id": 1, "text": "[SECRET] end", "found_spans": "s", "own": "r", "n_chars": 12, "spans": 1, "all": 2, "fresh": 3, "row": 4}
+
+
 def test_common_words():
     rng = random.Random(12)
     for _ in range(200):
