@@ -27,6 +27,72 @@ def validated(tail: str, design: str, levels: dict) -> dict[int, float]:
     return own
 
 
+def expanded(spec: dict, windows) -> list[dict]:
+    """The entries of a contract, one for each window and tail, upper first, with its levels and rates.
+
+    ``spec``: ``{"windows": {window: {tail: {"design", "levels"}}}}``; ``target_loss_ratio`` and ``deductions`` may be given for a tail, a window or all, the
+    nearest counts. Raises for a window that isn't one of ``windows``, one without a tail, and levels that make no sense.
+    """
+    own = spec.get("windows")
+    if not isinstance(own, dict) or not own:
+        raise ValueError("a contract needs windows")
+    if unknown := set(own) - set(windows):
+        raise ValueError(f"unknown windows {sorted(unknown)}; there are {sorted(windows)}")
+    defaults = {"target_loss_ratio": 0.74, "deductions": 0.14}
+    out = []
+    for window, tails in own.items():
+        named = [t for t in ("upper", "lower") if t in (tails or {})]
+        if not named:
+            raise ValueError(f"window {window} needs an upper or a lower tail")
+        for tail in named:
+            terms = tails[tail]
+            if not terms or "design" not in terms or not isinstance(terms.get("levels"), dict):
+                raise ValueError(f"the {tail} tail of window {window} needs a design and levels")
+            levels = validated(tail, terms["design"], terms["levels"])
+            costs = {k: next((s[k] for s in (terms, tails, spec) if k in s), v) for k, v in defaults.items()}
+            out.append({"window": window, "tail": tail, "design": terms["design"], "levels": levels, **costs, **rates(tail, terms["design"], levels, **costs)})
+    return out
+
+
+def schedule(indices: DataFrame, entries: list[dict], percentile: Column) -> DataFrame:
+    """Every complete window under the entries of its contract: ``indices`` with their terms, payout and rates. ``percentile`` is 0 to 100.
+
+    The entries are literals in one array, so the indices are read once and not joined. Raises without entries.
+    """
+    if not entries:
+        raise ValueError("no window and tail to pay out")
+    terms = [
+        F.struct(
+            F.lit(e["window"]).alias("of"), F.lit(e["tail"]).alias("tail"), F.lit(e["design"]).alias("design"), F.lit(", ".join(f"{k}: {v:g}" for k, v in e["levels"].items())).alias("levels"),
+            F.round(payout(percentile, e["tail"], e["design"], e["levels"]), 10).alias("payout_pct"), F.lit(e["pure"]).alias("pure_premium_pct"), F.lit(e["target_loss_ratio"]).alias("target_loss_ratio"),
+            F.lit(e["re"]).alias("re_premium_pct"), F.lit(e["deductions"]).alias("deductions"), F.lit(e["gross"]).alias("gross_premium_pct"))
+        for e in entries
+    ]
+    own = F.filter(F.array(*terms), lambda t: t["of"] == F.col("window"))
+    return indices.where("flag_complete_window = 1").select("*", F.inline(own)).drop("of")
+
+
+def policy_levels(model: DataFrame, entries: list[dict]) -> DataFrame:
+    """A row for each bound of a continuous entry (start and exit) and each level of a layered one: ``tail``, ``pct``, ``bound``, ``payout_fraction``."""
+    rows = []
+    for e in entries:
+        levels = list(e["levels"].items())
+        if e["design"] == "continuous":
+            start, end = levels[::-1] if e["tail"] == "lower" else levels
+            levels = [(*start, "start"), (*end, "exit")]
+        rows += [(e["window"], e["tail"], k, bound[0] if bound else "level", v) for k, v, *bound in levels]
+    names = ("of", "tail", "pct", "bound", "payout_fraction")
+    own = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows))
+    return model.select("*", F.inline(F.filter(own, lambda t: t["of"] == F.col("window")))).drop("of")
+
+
+def priced_policy(policy: DataFrame, locations: DataFrame, payouts: DataFrame, keys: list[str]) -> DataFrame:
+    """``policy`` with the crop of each location and, from its payouts, coverage and insured value: two left joins, the second on distinct prices."""
+    prices = payouts.groupBy(*keys, "crop", "tail").agg(F.min_by(F.struct("coverage", "insured_value"), "window_year").alias("price"))
+    out = policy.join(locations.select("location_id", "crop").dropDuplicates(["location_id"]), "location_id", "left")
+    return out.join(prices, [*keys, "crop", "tail"], "left").select(*out.columns, "price.coverage", "price.insured_value")
+
+
 def continuous(p: Column, tail: str, levels: dict) -> Column:
     """Ramp between two percentiles (0 to 100)."""
     (a, x), (b, y) = validated(tail, "continuous", levels).items()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -104,100 +103,141 @@ def fit_gev(x: np.ndarray) -> tuple[float, float, float]:
     return float(k), float(loc), math.exp(scale)
 
 
-def gamma_p(a: float, x: float) -> float:
-    """Regularised lower incomplete gamma function."""
-    if x <= 0:
-        return 0.0
-    front = math.exp(-x + a * math.log(x) - math.lgamma(a))
-    if x < a + 1:
-        term = total = 1 / a
-        n = a
-        while abs(term) > 1e-16 * abs(total):
-            n += 1
-            term *= x / n
-            total += term
-        return total * front
-    b, c = x + 1 - a, 1e300
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    own, at = np.unique(x, return_inverse=True)  # a parameter is the same for all rows of a group
+    return np.array([math.lgamma(v) if v > 0 else math.nan for v in own])[at].reshape(np.shape(x))
+
+
+def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised lower incomplete gamma function: a series below a + 1, a continued fraction above."""
+    a, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(x, float))
+    y = np.where(x > 0, x, 1.0)
+    front = np.exp(-y + a * np.log(y) - _lgamma(a))
+    low, total, term = np.where(y < a + 1, y, 0.0), 1 / a, 1 / a
+    for i in range(1, 1000):
+        term = term * low / (a + i)
+        total = total + term
+        if not (np.abs(term) > 1e-16 * np.abs(total)).any():
+            break
+    high = np.where(y < a + 1, a + 1, y)
+    b, c = high + 1 - a, np.full(y.shape, 1e300)
     d = 1 / b
     h = d
     for i in range(1, 500):
         an = -i * (i - a)
-        b += 2
-        d = 1 / (an * d + b or 1e-300)
-        c = b + an / c or 1e-300
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
+        b = b + 2
+        d, c = an * d + b, b + an / c
+        d, c = 1 / np.where(d == 0, 1e-300, d), np.where(c == 0, 1e-300, c)
+        h = h * d * c
+        if not (np.abs(d * c - 1) > 1e-15).any():
             break
-    return 1 - front * h
-
-
-def beta_i(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function."""
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    if x > (a + 1) / (a + b + 2):
-        return 1 - beta_i(b, a, 1 - x)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1) or 1e-300)
+    return np.where(x <= 0, 0.0, np.where(y < a + 1, total * front, 1 - front * h))
+
+
+def beta_i(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta function by a continued fraction, mirrored where that converges faster."""
+    a, b, x = np.broadcast_arrays(*(np.asarray(v, float) for v in (a, b, x)))
+    inside = (x > 0) & (x < 1)
+    y = np.where(inside, x, 0.5)
+    swap = y > (a + 1) / (a + b + 2)
+    a, b, y = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1 - y, y)
+    front = np.exp(_lgamma(a + b) - _lgamma(a) - _lgamma(b) + a * np.log(y) + b * np.log1p(-y)) / a
+    c, d = np.ones(y.shape), 1 / (1 - (a + b) * y / (a + 1))
     h = d
     for m in range(1, 500):
-        for an in (m * (b - m) * x / (a + 2 * m - 1) / (a + 2 * m), -(a + m) * (a + b + m) * x / (a + 2 * m) / (a + 2 * m + 1)):
-            d = 1 / (1 + an * d or 1e-300)
-            c = 1 + an / c or 1e-300
-            h *= d * c
-        if abs(d * c - 1) < 1e-15:
+        for an in (m * (b - m) * y / (a + 2 * m - 1) / (a + 2 * m), -(a + m) * (a + b + m) * y / (a + 2 * m) / (a + 2 * m + 1)):
+            d, c = 1 + an * d, 1 + an / c
+            d, c = 1 / np.where(d == 0, 1e-300, d), np.where(c == 0, 1e-300, c)
+            h = h * d * c
+        if not (np.abs(d * c - 1) > 1e-15).any():
+            break
+    out = np.where(swap, 1 - front * h, front * h)
+    return np.where(inside, out, (x >= 1).astype(float))
+
+
+def _normal(z: np.ndarray) -> np.ndarray:
+    return 0.5 + 0.5 * np.sign(z) * gamma_p(np.full(np.shape(z), 0.5), z * z / 2)
+
+
+def cdf_of(dist: str, x, p: dict) -> np.ndarray:
+    """Distribution function at ``x`` for arrays of values and parameters; NaN for a group of one, whose scale isn't positive."""
+    p = {k: np.asarray(v, float) for k, v in p.items()}
+    scale = np.where(p["scale"] > 0, p["scale"], np.nan)
+    z = (np.asarray(x, float) - p["loc"]) / scale
+    above = np.where(z > 0, z, 1.0)
+    with np.errstate(all="ignore"):
+        if dist in ("norm", "norm_inf"):
+            out = _normal(z)
+        elif dist == "t":
+            tail = beta_i(p["df"] / 2, 0.5, p["df"] / (p["df"] + z * z)) / 2
+            out = np.where(z > 0, 1 - tail, tail)
+        elif dist == "lognorm":
+            out = np.where(z > 0, _normal(np.log(above) / p["s"]), 0.0)
+        elif dist == "gamma":
+            out = gamma_p(p["shape"], z)
+        elif dist == "beta":
+            out = beta_i(p["a"], p["b"], z)
+        elif dist == "weibull":
+            out = np.where(z > 0, -np.expm1(-(above ** p["shape"])), 0.0)
+        elif dist == "gev":
+            k = p["shape"]
+            y = 1 - k * z
+            bent = np.where(y > 0, np.exp(-(np.where(y > 0, y, 1.0) ** (1 / np.where(k == 0, 1.0, k)))), (k > 0).astype(float))
+            out = np.where(np.abs(k) < 1e-12, np.exp(-np.exp(-z)), bent)
+        else:
+            raise ValueError(f"no distribution {dist!r}")
+        return np.where(np.isnan(z), np.nan, out)
+
+
+def ppf_of(dist: str, q, p: dict) -> np.ndarray:
+    """Inverse of the distribution function, all values at once, by bisection of brackets that are widened first."""
+    p = {k: np.asarray(v, float) for k, v in p.items()}
+    low, high = np.broadcast_arrays(p["loc"] - p["scale"], p["loc"] + p["scale"] + np.zeros(np.shape(q)))
+    low, high = low.copy(), high.copy()
+    for _ in range(600):
+        far = (cdf_of(dist, low, p) > q) & (low > -1e300)
+        if not far.any():
+            break
+        low = np.where(far, low - 2 * (high - low), low)
+    for _ in range(600):
+        far = (cdf_of(dist, high, p) < q) & (high < 1e300)
+        if not far.any():
             break
-    return front * h
-
-
-def cdf_of(dist: str, x: float, p: dict[str, float]) -> float:
-    if not p["scale"] > 0:
-        return math.nan  # a group of one
-    z = (x - p["loc"]) / p["scale"]
-    if dist in ("norm", "norm_inf"):
-        return NormalDist().cdf(z)
-    if dist == "t":
-        tail = beta_i(p["df"] / 2, 0.5, p["df"] / (p["df"] + z * z)) / 2
-        return 1 - tail if z > 0 else tail
-    if dist == "lognorm":
-        return NormalDist().cdf(math.log(z) / p["s"]) if z > 0 else 0.0
-    if dist == "gamma":
-        return gamma_p(p["shape"], z)
-    if dist == "weibull":
-        return -math.expm1(-(z ** p["shape"])) if z > 0 else 0.0
-    if dist == "gev":
-        k = p["shape"]
-        if abs(k) < 1e-12:
-            return math.exp(-math.exp(-z))
-        y = 1 - k * z
-        return float(k > 0) if y <= 0 else math.exp(-(y ** (1 / k)))
-    return math.nan  # beta has no distribution function here
-
-
-def ppf_of(dist: str, q: float, p: dict[str, float]) -> float:
-    """Inverse by bisection of a bracket that is widened first."""
-    low, high = p["loc"] - p["scale"], p["loc"] + p["scale"]
-    while cdf_of(dist, low, p) > q and low > -1e300:
-        low -= 2 * (high - low)
-    while cdf_of(dist, high, p) < q and high < 1e300:
-        high += 2 * (high - low)
-    for _ in range(200):
+        high = np.where(far, high + 2 * (high - low), high)
+    for _ in range(120):
         mid = (low + high) / 2
-        low, high = (mid, high) if cdf_of(dist, mid, p) < q else (low, mid)
+        less = cdf_of(dist, mid, p) < q
+        low, high = np.where(less, mid, low), np.where(less, high, mid)
     return high
 
 
-def with_cdf(df: DataFrame, model: DataFrame, keys: list[str], value: str, dist: str, out: str = "percentile") -> DataFrame:
-    """Adds the fitted distribution function at ``value``, rounded to 4 places."""
-    names = [c for c in model.columns if c not in keys]
+def _applied(function, dist: str, value: Column, names: list[str], places: int) -> Column:
+    """``function`` on Arrow batches: arrays of values and parameters; NULL where a value or parameter is."""
 
     @F.pandas_udf("double")
     def apply(x: pd.Series, params: pd.DataFrame) -> pd.Series:
-        rows = params.to_dict("records")
-        return pd.Series([math.nan if pd.isna(v) else round(cdf_of(dist, v, r), 4) for v, r in zip(x, rows)])
+        out = function(dist, x.to_numpy(float), {c: params[c].to_numpy(float) for c in params})
+        return pd.Series(np.round(np.where(x.isna() | params.isna().any(axis=1), np.nan, out), places))
+
+    return F.nanvl(apply(value.cast("double"), F.struct(*names)), F.lit(None).cast("double"))
 
+
+def with_cdf(df: DataFrame, model: DataFrame, keys: list[str], value: str, dist: str, out: str = "percentile", places: int = 4) -> DataFrame:
+    """Adds the fitted distribution function at ``value``, rounded."""
+    names = [c for c in model.columns if c not in keys]
     joined = df.join(model, keys, "left")
-    return joined.withColumn(out, F.nanvl(apply(F.col(value), F.struct(*names)), F.lit(None).cast("double"))).drop(*names)
+    if dist == "empirical":
+        found = F.round(empirical_cdf(F.col(value), F.col("ref_values")), places)
+    else:
+        found = _applied(cdf_of, dist, F.col(value), names, places)
+    return joined.withColumn(out, found).drop(*names)
+
+
+def with_ppf(model: DataFrame, keys: list[str], q: str, dist: str, out: str = "trigger_value", places: int = 4) -> DataFrame:
+    """Adds the quantile at level ``q`` of each row's own parameters, rounded."""
+    names = [c for c in ("ref_values", "shape", "s", "a", "b", "loc", "scale", "df") if c in model.columns]
+    found = F.round(linear_quantile(F.col("ref_values"), F.col(q)), places) if dist == "empirical" else _applied(ppf_of, dist, F.col(q), names, places)
+    return model.withColumn(out, found).drop(*names)
 
 
 def empirical_cdf(value: Column, ref: Column) -> Column:

@@ -92,19 +92,25 @@ def _(spark, d):
     return distributions.fit(complete(spark, d), KEYS, "index_value", "gev")
 
 
-@query("fit_norm_cdf")
-def _(spark, d):
-    return distributions.with_cdf(indices(spark, d), distributions.fit(complete(spark, d), KEYS, "index_value", "norm"), KEYS, "index_value", "norm")
-
+#: Series of the distribution functions, in positive terms. m, s: mean and sample deviation of the complete windows.
+_ODD = "exp((2 * k + 1) * ln(abs(z)) - lgamma(2 * k + 2) + k * ln(2) + lgamma(k + 1))"
+_SERIES = {
+    "norm": f"CASE WHEN z = 0 THEN 0.5 ELSE 0.5 + sign(z) * exp(-z * z / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 200), lambda k: {_ODD})) END",
+    "gamma": "list_sum(list_transform(range(0, 400), lambda k: exp((m * m / (s * s) + k) * ln(x * m / (s * s)) - x * m / (s * s) - lgamma(m * m / (s * s) + k + 1))))",
+    "t": "0.5 + z * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(pi() * v) * pow(1 + z * z / v, -(v + 1) / 2) * list_sum(list_transform(range(0, 4000), lambda k: exp(lgamma((v + 1) / 2 + k) - lgamma((v + 1) / 2) - lgamma(1.5 + k) + lgamma(1.5)) * pow(z * z / (v + z * z), k)))",
+}
+for _dist, _sql in _SERIES.items():
 
-@query("fit_gamma_cdf")
-def _(spark, d):
-    return distributions.with_cdf(indices(spark, d), distributions.fit(complete(spark, d), KEYS, "index_value", "gamma"), KEYS, "index_value", "gamma")
+    @query(f"fit_{_dist}_cdf", f"WITH {INDEX}, model AS (SELECT pixel_id, \"window\", avg(index_value) AS m, stddev_samp(index_value) AS s, CAST(count(*) - 1 AS DOUBLE) AS v FROM indices WHERE flag_complete_window = 1 GROUP BY ALL HAVING count(*) > 1), o AS (SELECT pixel_id, \"window\", window_year, index_value AS x, (index_value - m) / s AS z, m, s, v FROM indices LEFT JOIN model USING (pixel_id, \"window\")) SELECT pixel_id, \"window\", window_year, round(CASE WHEN z IS NOT NULL THEN {_sql} END, 4) AS percentile FROM o")
+    def _(spark, d, dist=_dist):
+        found = distributions.with_cdf(indices(spark, d), distributions.fit(complete(spark, d), KEYS, "index_value", dist), KEYS, "index_value", dist, places=12)
+        return found.select(*KEYS, "window_year", F.round("percentile", 4).alias("percentile"))
 
 
-@query("fit_t_cdf")
+@query("fitted_trigger_values", f"WITH {INDEX} SELECT pixel_id, \"window\", q, round(avg(index_value) + z * stddev_samp(index_value), 3) AS trigger_value FROM indices, (VALUES (0.1::DOUBLE, -1.2815515655446004::DOUBLE), (0.5::DOUBLE, 0.0::DOUBLE), (0.99::DOUBLE, 2.3263478740408408::DOUBLE)) t(q, z) WHERE flag_complete_window = 1 GROUP BY pixel_id, \"window\", q, z")
 def _(spark, d):
-    return distributions.with_cdf(indices(spark, d), distributions.fit(complete(spark, d), KEYS, "index_value", "t"), KEYS, "index_value", "t")
+    model = distributions.fit(complete(spark, d), KEYS, "index_value", "norm").withColumn("q", F.explode(F.array(*map(F.lit, (0.1, 0.5, 0.99)))))
+    return distributions.with_ppf(model, KEYS, "q", "norm", places=9).withColumn("trigger_value", F.round("trigger_value", 3))
 
 
 @query("fit_empirical", f"WITH {INDEX} SELECT pixel_id, \"window\", count(*) AS n, round(min(index_value), 3) AS low, round(max(index_value), 3) AS high FROM indices WHERE flag_complete_window = 1 GROUP BY ALL")
@@ -178,8 +184,8 @@ def _(spark, d):
 def schedule(spark, d) -> DataFrame:
     """Payouts of complete windows under every contract."""
     p = F.round(100 * F.round("percentile", 4), 2)
-    entries = F.array(*(F.struct(F.lit(t).alias("tail"), F.lit(g).alias("design"), contract.payout(p, t, g, own).alias("payout_pct"), F.lit(contract.rates(t, g, own)["gross"]).alias("gross_premium_pct")) for (t, g), own in CONTRACTS.items()))
-    return with_percentile(spark, d).where("flag_complete_window = 1").select(*KEYS, "window_year", F.inline(entries))
+    entries = [{"window": w, "tail": t, "design": g, "levels": own, "target_loss_ratio": 0.74, "deductions": 0.14, **contract.rates(t, g, own)} for (t, g), own in CONTRACTS.items() for w in WINDOWS]
+    return contract.schedule(with_percentile(spark, d), entries, p)
 
 
 _SCHEDULE = " UNION ALL ".join(f"SELECT pixel_id, \"window\", window_year, '{t}' AS tail, '{g}' AS design, CASE WHEN percentile IS NOT NULL THEN {_RAMP[t, g]} END AS payout_pct, {contract.rates(t, g, own)['gross']} AS gross_premium_pct FROM pct WHERE f = 1" for (t, g), own in CONTRACTS.items())
@@ -190,11 +196,55 @@ def _(spark, d):
     return schedule(spark, d).select(*KEYS, "window_year", "tail", "design", F.round("payout_pct", 4).alias("payout_pct"))
 
 
-@query("policy_table", f"WITH {INDEX} SELECT pixel_id, \"window\", 10 AS pct, round(quantile_cont(index_value, 0.1), 3) AS trigger_value, CAST(0 AS DOUBLE) AS fraction FROM indices WHERE flag_complete_window = 1 GROUP BY ALL UNION ALL SELECT pixel_id, \"window\", 1, round(quantile_cont(index_value, 0.01), 3), CAST(1 AS DOUBLE) FROM indices WHERE flag_complete_window = 1 GROUP BY ALL")
+#: A contract with terms of its own for each window and tail.
+SPEC = {
+    "deductions": 0.2,
+    "windows": {
+        1: {"upper": {"design": "layered", "levels": {80: 0.3, 90: 0.4, 95: 0.5}}, "lower": {"design": "continuous", "levels": {20: 0.1, 5: 0.9}, "target_loss_ratio": 0.6}},
+        2: {"lower": {"design": "layered", "levels": {20: 0.3, 10: 0.4, 5: 0.5}, "deductions": 0.1}},
+    },
+}
+_TERMS = [  # window, tail, design, payout, pure premium, target loss ratio, deductions
+    (1, "upper", "layered", _RAMP["upper", "layered"], 0.075, 0.74, 0.2),
+    (1, "lower", "continuous", f"CASE WHEN {_P} > 20 THEN 0.0 WHEN {_P} <= 5 THEN 0.9 ELSE 0.1 + ({_P} - 20) / (5.0 - 20) * 0.8 END", 0.12, 0.6, 0.2),
+    (2, "lower", "layered", _RAMP["lower", "layered"], 0.075, 0.74, 0.1),
+]
+_TERMED = " UNION ALL ".join(f"SELECT pixel_id, \"window\", window_year, '{t}' AS tail, '{g}' AS design, CAST(CASE WHEN percentile IS NOT NULL THEN {ramp} END AS DOUBLE) AS payout_pct, CAST({pure} AS DOUBLE) AS pure, CAST({tlr} AS DOUBLE) AS tlr, CAST({ded} AS DOUBLE) AS ded FROM pct WHERE f = 1 AND \"window\" = {w}" for w, t, g, ramp, pure, tlr, ded in _TERMS)
+
+
+@query("contract_schedule", f"WITH {EMPIRICAL}, sch AS ({_TERMED}) SELECT pixel_id, \"window\", window_year, tail, design, round(payout_pct, 4) AS payout_pct, round(pure, 6) AS pure_premium_pct, tlr AS target_loss_ratio, round(pure / tlr, 6) AS re_premium_pct, ded AS deductions, round(pure / tlr * (1 + ded), 6) AS gross_premium_pct FROM sch")
 def _(spark, d):
-    levels = F.array(*(F.struct(F.lit(k).alias("pct"), F.lit(v).alias("fraction")) for k, v in CONTRACTS["lower", "continuous"].items()))
-    model = distributions.fit(complete(spark, d), KEYS, "index_value", "empirical").select("*", F.inline(levels))
-    return model.select(*KEYS, "pct", F.round(distributions.linear_quantile(F.col("ref_values"), F.col("pct") / 100), 3).alias("trigger_value"), "fraction")
+    out = contract.schedule(with_percentile(spark, d), contract.expanded(SPEC, WINDOWS), F.round(100 * F.round("percentile", 4), 2))
+    return out.select(*KEYS, "window_year", "tail", "design", F.round("payout_pct", 4).alias("payout_pct"), "target_loss_ratio", "deductions", *(F.round(c, 6).alias(c) for c in ("pure_premium_pct", "re_premium_pct", "gross_premium_pct")))
+
+
+_BOUNDS = "(1, 'upper', 80, 'level', 0.3), (1, 'upper', 90, 'level', 0.4), (1, 'upper', 95, 'level', 0.5), (1, 'lower', 20, 'start', 0.1), (1, 'lower', 5, 'exit', 0.9), (2, 'lower', 5, 'level', 0.5), (2, 'lower', 10, 'level', 0.4), (2, 'lower', 20, 'level', 0.3)"
+POLICY = f"""{EMPIRICAL}, sch AS ({_TERMED}), ref2 AS (SELECT pixel_id, "window", list_sort(list(index_value)) AS v FROM indices WHERE flag_complete_window = 1 GROUP BY ALL), bounds AS (SELECT * FROM (VALUES {_BOUNDS}) t("window", tail, pct, bound, payout_fraction)),
+pol AS (SELECT pixel_id, "window", tail, pct, bound, CAST(payout_fraction AS DOUBLE) AS payout_fraction, v[CAST(floor((len(v) - 1) * pct / 100.0) AS INT) + 1] + coalesce(((len(v) - 1) * pct / 100.0 - floor((len(v) - 1) * pct / 100.0)) * (v[CAST(floor((len(v) - 1) * pct / 100.0) AS INT) + 2] - v[CAST(floor((len(v) - 1) * pct / 100.0) AS INT) + 1]), 0) AS trigger_value FROM ref2 JOIN bounds USING ("window"))"""
+
+
+def policy(spark, d) -> DataFrame:
+    model = distributions.fit(complete(spark, d), KEYS, "index_value", "empirical")
+    rows = contract.policy_levels(model, contract.expanded(SPEC, WINDOWS)).withColumn("q", F.col("pct") / 100)
+    return distributions.with_ppf(rows, KEYS, "q", "empirical", places=9).drop("q")
+
+
+@query("policy_table", f"WITH {POLICY} SELECT pixel_id, \"window\", tail, pct, bound, payout_fraction, round(trigger_value, 3) AS trigger_value FROM pol")
+def _(spark, d):
+    return policy(spark, d).withColumn("trigger_value", F.round("trigger_value", 3))
+
+
+@query("policy_priced", f"""WITH {POLICY}, loc AS (SELECT CAST(s_suppkey AS BIGINT) AS location_id, CAST(s_nationkey AS BIGINT) AS pixel_id, CASE WHEN s_suppkey % 3 = 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN 'maize' ELSE 'wheat' END AS crop, 0.8 + 0.1 * (s_suppkey % 2) AS coverage, s_acctbal * (1.0 / 12 + 0.1) AS insured_value FROM supplier),
+pay AS (SELECT DISTINCT location_id, pixel_id, "window", tail, crop, coverage, insured_value FROM sch JOIN loc USING (pixel_id))
+SELECT p.pixel_id, location_id, p."window", p.tail, p.pct, p.bound, loc.crop, round(pay.coverage, 4) AS coverage, round(pay.insured_value, 4) AS insured_value FROM pol p JOIN loc USING (pixel_id) LEFT JOIN pay USING (pixel_id, location_id, "window", tail, crop)""")
+def _(spark, d):
+    key = F.col("s_suppkey")
+    crop = F.when(key % 3 == 0, None).when(key % 2 == 0, "maize").otherwise("wheat")
+    places = read(spark, d, "supplier").select(key.cast("long").alias("location_id"), F.col("s_nationkey").cast("long").alias("pixel_id"), crop.alias("crop"), (0.8 + 0.1 * (key % 2)).alias("coverage"), F.lit("Loan Amount").alias("value_type"), F.col("s_acctbal").alias("value_amount"), F.lit(12).alias("term"), F.lit(0.1).alias("rate"), F.lit(None).cast("double").alias("target_premium"), F.lit(None).cast("double").alias("size_ha"))
+    paid = contract.repriced(contract.schedule(with_percentile(spark, d), contract.expanded(SPEC, WINDOWS), F.round(100 * F.round("percentile", 4), 2)).join(places, "pixel_id"))
+    own = policy(spark, d).join(places.select("pixel_id", "location_id"), "pixel_id")
+    out = contract.priced_policy(own, places, paid, [*KEYS, "location_id"])
+    return out.select("pixel_id", "location_id", "window", "tail", "pct", "bound", "crop", *(F.round(c, 4).alias(c) for c in ("coverage", "insured_value")))
 
 
 _LOCATIONS = "loc AS (SELECT CAST(s_nationkey AS BIGINT) AS pixel_id, s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'Loan Amount' ELSE 'Production Cost' END AS value_type, s_acctbal AS value_amount, 0.8 AS coverage, 12 AS term, 0.1 AS rate, 50.0 AS size_ha, CASE WHEN s_suppkey % 5 = 0 THEN 100.0 END AS target_premium FROM supplier)"
@@ -273,3 +323,23 @@ def _(spark, d):
     from rainfold.operators import learning
 
     return learning.kmeans(read(spark, d, "embeddings"), "embedding", 8).select("vec_id", "cluster")
+
+
+@query("annual_totals", f"WITH {REPRICED} SELECT window_year, round(sum(premium), 2) AS premium, round(sum(payout), 2) AS payout, round(median(payout), 2) AS median_payout FROM rep WHERE premium IS NOT NULL GROUP BY ALL ORDER BY window_year")
+def _(spark, d):
+    aggs = {"premium": F.sum("premium"), "payout": F.sum("payout"), "median_payout": F.percentile("payout", F.lit(0.5))}
+    return repriced(spark, d).where("premium is not null").groupBy("window_year").agg(*(F.round(v, 2).alias(k) for k, v in aggs.items())).orderBy("window_year")
+
+
+@query("payouts_with_area", f"WITH {REPRICED}, area AS (SELECT CAST(n_nationkey AS BIGINT) AS pixel_id, 100.0 + n_nationkey AS area FROM nation WHERE n_nationkey % 4 > 0) SELECT pixel_id, window_year, round(sum(payout), 2) AS payout, round(max(area), 1) AS area, round(sum(payout) / max(area), 4) AS payout_per_area FROM rep LEFT JOIN area USING (pixel_id) GROUP BY ALL")
+def _(spark, d):
+    area = read(spark, d, "nation").where("n_nationkey % 4 > 0").select(F.col("n_nationkey").cast("long").alias("pixel_id"), (100.0 + F.col("n_nationkey")).alias("area"))
+    paid = repriced(spark, d).groupBy("pixel_id", "window_year").agg(F.sum("payout").alias("payout")).join(area, "pixel_id", "left")
+    return paid.select("pixel_id", "window_year", F.round("payout", 2).alias("payout"), F.round("area", 1).alias("area"), F.round(F.col("payout") / F.col("area"), 4).alias("payout_per_area"))
+
+
+@query("frequency_map", f"WITH {REPRICED}, y AS (SELECT pixel_id, window_year, max(CASE WHEN payout > 0 THEN 1.0 ELSE 0.0 END) AS t FROM rep WHERE tail = 'upper' GROUP BY ALL), f AS (SELECT pixel_id, avg(t) AS frequency FROM y GROUP BY ALL) SELECT CAST(n_nationkey AS BIGINT) AS pixel_id, n_name, round(coalesce(frequency, 0), 6) AS frequency FROM nation LEFT JOIN f ON pixel_id = n_nationkey")
+def _(spark, d):
+    yearly = repriced(spark, d).where("tail = 'upper'").groupBy("pixel_id", "window_year").agg(F.max(F.when(F.col("payout") > 0, 1.0).otherwise(0.0)).alias("t"))
+    names = read(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("pixel_id"), "n_name")
+    return names.join(yearly.groupBy("pixel_id").agg(F.avg("t").alias("frequency")), "pixel_id", "left").withColumn("frequency", F.round(F.coalesce("frequency", F.lit(0.0)), 6))

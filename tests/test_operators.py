@@ -237,3 +237,21 @@ def test_matching_follows_numpy(spark):
         pool = abs(doy - own) <= 3
         q = (v[pool] <= x).mean()
         assert got[day, x] == pytest.approx(np.quantile(b[pool], q))
+
+
+def test_contract_terms():
+    spec = {"deductions": 0.2, "windows": {1: {"upper": {"design": "layered", "levels": {80: 0.3, 90: 0.4}}, "lower": {"design": "continuous", "levels": {20: 0.1, 5: 0.9}, "target_loss_ratio": 0.6}}, 2: {"deductions": 0.05, "lower": {"design": "layered", "levels": {10: 0.4}}}}}
+    got = [(e["window"], e["tail"], e["target_loss_ratio"], e["deductions"], e["gross"]) for e in contract.expanded(spec, [1, 2, 3])]
+    assert got == [(1, "upper", 0.74, 0.2, pytest.approx((0.3 * 0.2 + 0.1 * 0.1) / 0.74 * 1.2)), (1, "lower", 0.6, 0.2, pytest.approx((0.1 * 0.2 + 0.8 * 0.125) / 0.6 * 1.2)), (2, "lower", 0.74, 0.05, pytest.approx(0.04 / 0.74 * 1.05))]
+    for bad in ({}, {"windows": {}}, {"windows": {9: spec["windows"][2]}}, {"windows": {1: {}}}, {"windows": {1: None}}, {"windows": {1: {"upper": {"levels": {80: 0.3}}}}}, {"windows": {1: {"upper": {"design": "layered"}}}}):
+        with pytest.raises(ValueError):
+            contract.expanded(bad, [1, 2, 3])
+    with pytest.raises(ValueError):
+        contract.schedule(None, [], None)
+
+
+def test_distribution_arrays():
+    x = np.array([0.2, 1.0, 2.5, 30.0, -1.0])
+    assert distributions.cdf_of("norm", x, {"loc": np.zeros(5), "scale": np.ones(5)}) == pytest.approx([0.5 * math.erfc(-v / math.sqrt(2)) for v in x], abs=1e-14)
+    assert distributions.cdf_of("beta", np.array([0.25, 0.5, 2.0]), {"a": 2.0, "b": 1.0, "loc": 0.0, "scale": 1.0}) == pytest.approx([0.0625, 0.25, 1.0])
+    assert np.isnan(distributions.cdf_of("norm", x, {"loc": 0.0, "scale": np.array([0.0, np.nan, -1.0, 0.0, 0.0])})).all()
