@@ -220,3 +220,22 @@ def _regrid(cells: DataFrame, value: str, res: float, linear: bool) -> DataFrame
             corners.append(F.struct(F.col(f"x{i}").alias("cx"), F.col(f"y{j}").alias("cy"), (part("x", i) * part("y", j)).alias("w")))
     wide = target.select("x", "y", F.inline(F.array(*corners))).where("w is null or w > 0").join(known, ["cx", "cy"], "left")
     return wide.groupBy("x", "y").agg(F.when(F.count("v") == F.count("*"), F.sum(F.col("w") * F.col("v"))).alias(value))
+
+
+def regridded(obs: DataFrame, keys: list[str], value: str, res: float, linear: bool = True) -> DataFrame:
+    """``(keys, lon, lat, value)``: every group of rows, such as those of a time, on a grid of ``res`` degrees; NULL where a corner that counts has no value.
+
+    Values go to the targets that they count for: rows meet the axes by equality, and the sums are the only shuffle. Targets without any corner have no row.
+    """
+    own = obs.where("lon is not null and lat is not null")
+    maps = []
+    for column, to in (("lon", "x"), ("lat", "y")):
+        axis, _ = _target_axis(own.select(column).distinct(), column, res, to)
+        low, high, at = F.col(f"{to}0"), F.col(f"{to}1"), F.col(to)
+        part = F.array(F.struct(low.alias(column), F.when(low == high, 1.0).otherwise((high - at) / (high - low)).alias(f"w{to}")), F.struct(high.alias(column), F.when(low == high, 0.0).otherwise((at - low) / (high - low)).alias(f"w{to}")))
+        near = F.array(F.struct(F.col(f"{to}n").alias(column), F.lit(1.0).alias(f"w{to}")))
+        spread = axis.select(to, F.inline(F.filter(part, lambda p: p[f"w{to}"] > 0) if linear else near))
+        maps.append(spread.withColumn(f"n{to}", F.count("*").over(Window.partitionBy(to))))
+    met = own.select(*keys, F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat"), F.col(value).alias("v")).join(maps[0], "lon").join(maps[1], "lat")
+    sums = met.groupBy(*keys, "x", "y").agg(F.when(F.count("v") == F.max(F.col("nx") * F.col("ny")), F.sum(F.col("wx") * F.col("wy") * F.col("v"))).alias(value))
+    return sums.withColumnsRenamed({"x": "lon", "y": "lat"})

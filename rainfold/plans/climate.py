@@ -243,21 +243,58 @@ def _(spark, d):
     return perils.process("windgust", observations(spark, d), "pixel_id", "date", "swc", {"window": 7, "quantile": 0.9}).select("pixel_id", "date", "flag", r6("intensity"), "run")
 
 
+_HOURS = f"{HOURLY}, o AS (SELECT user_id, time, CAST(hour(time) AS BIGINT) AS hour, CAST(dayofyear(time) AS BIGINT) AS doy, v FROM hourly), t AS (SELECT DISTINCT user_id, hour, doy FROM o), thr AS (SELECT t.user_id, t.hour, t.doy, quantile_cont(b.v, 0.05) AS p FROM t JOIN o b ON b.user_id = t.user_id AND b.hour = t.hour AND abs(b.doy - t.doy) <= 3 GROUP BY ALL), f AS (SELECT o.user_id, time, CASE WHEN v <= p THEN 1 ELSE 0 END AS flag, CASE WHEN v <= p THEN greatest(p - v, 0) ELSE 0 END AS intensity FROM o JOIN thr USING (user_id, hour, doy)), isl AS (SELECT *, sum(CASE WHEN flag = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY time ROWS UNBOUNDED PRECEDING) AS g FROM f)"
+
+
+@query("peril_temperature_hourly", f"WITH {_HOURS} SELECT user_id, time, flag, round(intensity, 6) AS intensity, CAST(sum(flag) OVER (PARTITION BY user_id, g ORDER BY time ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM isl")
+def _(spark, d):
+    raw = hourly(spark, d).select("user_id", F.lit(0.0).alias("longitude"), F.lit(0.0).alias("latitude"), "time", (F.col("v") + 273.15).alias("2t"))
+    own = perils.prepared(raw, "tmin", ["user_id"], "time", {"offset": 273.15})
+    return perils.process("tmin", own, "user_id", "time", "tmin", {"window": 3, "quantile": 0.05, "tail": "lower", "hourly": True}).select("user_id", "time", "flag", r6("intensity"), "run")
+
+
+_GUSTS = f"{OBS}, {CELLS}, raw AS (SELECT pixel_id, date, lon, lat, CASE WHEN h = 1 AND day(date) % 10 = 0 THEN NULL ELSE swc * (1 - 0.1 * h) END AS v FROM obs JOIN cells USING (pixel_id), range(2) t(h) WHERE lon BETWEEN 0 AND 3 AND lat BETWEEN 1 AND 4), daily AS (SELECT pixel_id, date, max(v) * 3.6 AS v FROM raw WHERE date BETWEEN date '1995-03-01' AND date '2001-06-30' GROUP BY ALL), fy AS (SELECT year(date) AS y FROM daily GROUP BY 1 HAVING count(DISTINCT date) >= 300), clim AS (SELECT pixel_id, dayofyear(date) AS doy, avg(v) + stddev_pop(v) AS t FROM daily WHERE year(date) IN (SELECT y FROM fy) GROUP BY ALL)"
+
+
+@query("peril_wind_raw", f"WITH {_GUSTS} SELECT daily.pixel_id, date, round(v, 6) AS windspeed, CASE WHEN coalesce(round(v, 6) >= round(t, 6), false) THEN 1 ELSE 0 END AS flag, round(CASE WHEN coalesce(round(v, 6) >= round(t, 6), false) THEN greatest(round(v, 6) - round(t, 6), 0) ELSE 0 END, 4) AS intensity FROM daily LEFT JOIN clim ON clim.pixel_id = daily.pixel_id AND doy = dayofyear(date)")
+def _(spark, d):
+    """Components at two hours a day, a sentinel among them, to the daily maximum in km/h within a box and a period."""
+    obs = observations(spark, d).join(cells(spark, d), "pixel_id").select("pixel_id", F.col("lon").alias("longitude"), F.col("lat").alias("latitude"), "date", "swc", F.explode(F.array(F.lit(0), F.lit(1))).alias("h"))
+    size, none = F.col("swc") * (1 - 0.1 * F.col("h")), (F.col("h") == 1) & (F.day("date") % 10 == 0)
+    raw = obs.select("pixel_id", "longitude", "latitude", (F.col("date").cast("timestamp_ntz") + F.expr("make_dt_interval(0, 6 + 12 * h)")).alias("time"), F.when(none, -9999.0).otherwise(size * 0.6).alias("u10m"), F.when(none, 0.0).otherwise(size * 0.8).alias("v10"))
+    own = perils.prepared(raw, "windspeed", ["pixel_id"], "time", {"box": (0, 1, 3, 4), "missing": 9999.0, "period": ("1995-03-01", "2001-06-30"), "daily_max": True, "factor": 3.6})
+    own = own.withColumn("windspeed", F.round("windspeed", 6))
+    return perils.process("windspeed", own, "pixel_id", "time", "windspeed", {"margin": 1.0, "least": 300}).select("pixel_id", F.col("time").alias("date"), "windspeed", "flag", F.round("intensity", 4).alias("intensity"))
+
+
+@query("peril_request_raw", f"WITH {OBS}, {CELLS}, g AS (SELECT date, lon, lat, CASE WHEN pixel_id % 7 = 3 AND day(date) = 5 THEN NULL ELSE swc END AS v FROM obs JOIN cells USING (pixel_id)), t AS (SELECT 0.5 * i AS x, 0.5 * j AS y, floor(0.5 * i) AS x0, ceil(0.5 * i) AS x1, floor(0.5 * j) AS y0, ceil(0.5 * j) AS y1 FROM range(9) a(i), range(9) b(j)), c AS (SELECT x, y, x0 + p AS lon, y0 + q AS lat, (CASE WHEN x0 = x1 THEN 1 ELSE 0.5 END) * (CASE WHEN y0 = y1 THEN 1 ELSE 0.5 END) AS w, (1 + (x1 - x0)) * (1 + (y1 - y0)) AS n FROM t, range(2) a(p), range(2) b(q) WHERE x0 + p <= x1 AND y0 + q <= y1) SELECT date, CAST(x AS DOUBLE) AS lon, CAST(y AS DOUBLE) AS lat, CASE WHEN count(v) = max(n) THEN round(sum(w * v), 6) END AS prcp FROM c JOIN g USING (lon, lat) GROUP BY ALL")
+def _(spark, d):
+    """A raw grid with a sentinel on a grid of half the step, at every time."""
+    sentinel = F.when((F.col("pixel_id") % 7 == 3) & (F.day("date") == 5), 65535.0).otherwise(F.col("swc"))
+    raw = observations(spark, d).join(cells(spark, d), "pixel_id").select("date", F.col("lon").alias("x"), F.col("lat").alias("y"), sentinel.alias("tp"))
+    return perils.prepared(raw, "prcp", [], "date", {"missing": 65535.0, "res": 0.5}).select("date", "lon", "lat", r6("prcp"))
+
+
 @query("peril_wind", f"WITH {CLIM}, f AS (SELECT o.pixel_id, o.date, o.swc, round(clim + 1.0 * std, 6) AS t FROM obs o LEFT JOIN clim c ON o.pixel_id = c.pixel_id AND dayofyear(o.date) = c.dayofyear) SELECT pixel_id, date, CASE WHEN coalesce(swc >= t, false) THEN 1 ELSE 0 END AS flag, round(CASE WHEN coalesce(swc >= t, false) THEN greatest(swc - t, 0) ELSE 0 END, 6) AS intensity FROM f")
 def _(spark, d):
     return perils.process("wind", observations(spark, d), "pixel_id", "date", "swc", {"margin": 1.0}).select("pixel_id", "date", "flag", r6("intensity"))
 
 
-@query("summarize_within", f"WITH {OBS}, c AS (SELECT *, pixel_id % 5 AS lon, pixel_id // 5 AS lat FROM obs) SELECT 'a' AS location_id, date, round(avg(swc), 6) AS value FROM c WHERE lon > -0.5 AND lon < 2.5 AND lat > -0.5 AND lat < 1.5 GROUP BY ALL")
+#: Areas around cells: four by four boxes with cells, and one too small for any.
+_AREAS = {"a": (-0.5, -0.5, 2.5, 1.5), "b": (1.5, 1.5, 4.5, 4.5), "small": (0.55, 0.6, 0.8, 0.7)}
+
+
+@query("summarize_within", f"WITH {OBS}, {CELLS}, areas AS (SELECT * FROM (VALUES {', '.join(f"('{k}', {', '.join(f'{x}::DOUBLE' for x in v)})" for k, v in _AREAS.items())}) t(location_id, x0, y0, x1, y1)), valid AS (SELECT * FROM cells WHERE pixel_id IN (SELECT pixel_id FROM obs WHERE swc IS NOT NULL)), ins AS (SELECT location_id, pixel_id FROM areas JOIN valid ON lon > x0 AND lon < x1 AND lat > y0 AND lat < y1), near AS (SELECT location_id, pixel_id FROM (SELECT location_id, pixel_id, row_number() OVER (PARTITION BY location_id ORDER BY sqrt((lon - (x0 + x1) / 2) ** 2 + (lat - (y0 + y1) / 2) ** 2), lon, lat) AS n FROM areas, valid WHERE location_id NOT IN (SELECT location_id FROM ins)) WHERE n <= 2) SELECT location_id, date, round(avg(swc), 6) AS value FROM (SELECT * FROM ins UNION ALL SELECT * FROM near) JOIN obs USING (pixel_id) GROUP BY ALL")
 def _(spark, d):
-    joined = observations(spark, d).join(cells(spark, d), "pixel_id")
-    return perils.summarized_within(joined, {"a": [(-0.5, -0.5), (2.5, -0.5), (2.5, 1.5), (-0.5, 1.5)]}, "date", "swc").select("location_id", "date", F.round("swc", 6).alias("value"))
+    rows = [(k, [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]) for k, (x0, y0, x1, y1) in _AREAS.items()]
+    polygons = spark.createDataFrame(rows, "polygon_id string, ring array<struct<x:double,y:double>>")
+    return perils.summarized_within(observations(spark, d), cells(spark, d), polygons, "date", "swc", 2).select("location_id", "date", F.round("swc", 6).alias("value"))
 
 
-@query("summarize_nearest", f"WITH {OBS}, {CELLS}, near AS (SELECT pixel_id FROM cells WHERE pixel_id IN (SELECT pixel_id FROM obs) ORDER BY sqrt((lon - 2.2) ** 2 + (lat - 0.9) ** 2), lon, lat LIMIT 1) SELECT 'p' AS location_id, date, round(swc, 6) AS value FROM obs WHERE pixel_id IN (SELECT pixel_id FROM near)")
+@query("summarize_nearest", f"WITH {OBS}, {CELLS}, p AS (SELECT * FROM (VALUES ('p', 2.2::DOUBLE, 0.9::DOUBLE), ('q', -3.0::DOUBLE, 7.5::DOUBLE)) t(location_id, x, y)), near AS (SELECT location_id, pixel_id FROM (SELECT location_id, pixel_id, row_number() OVER (PARTITION BY location_id ORDER BY sqrt((lon - x) ** 2 + (lat - y) ** 2), lon, lat) AS n FROM p, cells WHERE pixel_id IN (SELECT pixel_id FROM obs)) WHERE n <= 3) SELECT location_id, date, round(avg(swc), 6) AS value FROM near JOIN obs USING (pixel_id) GROUP BY ALL")
 def _(spark, d):
-    points = spark.createDataFrame([("p", 2.2, 0.9)], "location_id string, lon double, lat double")
-    return perils.summarized_nearest(observations(spark, d), cells(spark, d), points, "date", "swc").select("location_id", "date", F.round("swc", 6).alias("value"))
+    points = spark.createDataFrame([("p", 2.2, 0.9), ("q", -3.0, 7.5)], "location_id string, lon double, lat double")
+    return perils.summarized_nearest(observations(spark, d), cells(spark, d), points, "date", "swc", 3).select("location_id", "date", F.round("swc", 6).alias("value"))
 
 
 @query("summarize_pixel", f"WITH {OBS} SELECT format('{{:.3f}}', CAST(pixel_id % 5 AS DOUBLE)) || '_' || format('{{:.3f}}', CAST(pixel_id // 5 AS DOUBLE)) AS name, date, round(swc, 6) AS value FROM obs")

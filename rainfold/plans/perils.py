@@ -7,9 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainfold.functions import scalars
 from rainfold.operators import climatology, distributions, episodes, spatial
 
 
+#: Names of the components of wind. Fixed values.
+COMPONENTS = {"u10": ["u10", "u10m"], "v10": ["v10", "v10m"]}
+
+
+def prepared(raw: DataFrame, variable: str, keys: list[str], time: str, params: dict) -> DataFrame:
+    """A peril's own columns from a raw table of any of its names, cleaned: ``(keys, lon, lat, time, variable)``.
+
+    In this order, each step only if ``params`` asks for it: the speed of wind from its components, the variable's and coordinates' registered names, ``box`` (west, south, east,
+    north, both ends included), ``res`` (regridding; the keys then are those of the new cells), ``missing`` (the value that stands for none), ``period`` (first and last day),
+    ``daily_max`` with ``factor``, and ``offset``, which is subtracted.
+    """
+    df = raw
+    have = {c: next((n for n in names if n in df.columns), None) for c, names in COMPONENTS.items()}
+    if variable in ("windspeed", "windgust", "wind") and all(have.values()):
+        df = df.withColumn(scalars.ALIASES[variable][0], F.hypot(*have.values())).drop(*have.values())
+    df = scalars.canonical(df, variable).select(*(k for k in keys if k in df.columns), "lon", "lat", time, variable)
+    if box := params.get("box"):
+        df = df.where(F.col("lon").between(box[0], box[2]) & F.col("lat").between(box[1], box[3]))
+    if "missing" in params:
+        df = df.withColumn(variable, F.nullif(variable, F.lit(params["missing"])))
+    if res := params.get("res"):
+        df = spatial.regridded(df, [time], variable, res, params.get("linear", True))
+    first, last = params.get("period", (None, None))
+    df = scalars.time_slice(df, time, first, last)
+    if params.get("daily_max"):
+        df = df.groupBy(*(c for c in df.columns if c not in (time, variable)), F.to_date(time).alias(time)).agg((F.max(variable) * params.get("factor", 1.0)).alias(variable))
+    return df.withColumn(variable, F.col(variable) - params["offset"]) if "offset" in params else df
+
+
 def _anomalies(obs: DataFrame, key: str, date: str, value: str, p: dict) -> DataFrame:
     """Anomaly from the smoothed climatology of full years, with its negative and positive part."""
     clim = climatology.full_year_climatology(obs, [key], date, value, p.get("least", 360))
@@ -20,11 +50,13 @@ def _anomalies(obs: DataFrame, key: str, date: str, value: str, p: dict) -> Data
 
 
 def _extremes(obs: DataFrame, key: str, date: str, value: str, p: dict) -> DataFrame:
-    """Flags, intensities and runs beyond a quantile of the days around each day of the year."""
-    own = obs.withColumn("dayofyear", F.dayofyear(date).cast("long"))
+    """Flags, intensities and runs beyond a quantile of the days around each day of the year; ``hourly``: of those days' same hour.
+    ``hard``: a limit that the threshold doesn't fall short of."""
+    keys = [key, "hour"] if p.get("hourly") else [key]
+    own = obs.withColumns({"dayofyear": F.dayofyear(date).cast("long")} | ({"hour": F.hour(date).cast("long")} if p.get("hourly") else {}))
     name = f"p{round(100 * p['quantile']):02d}"
-    limits = climatology.windowed_climatology(own.select(key, "dayofyear", value), [key], "dayofyear", value, p["window"], [p["quantile"]]).select(key, "dayofyear", F.col(name).alias("threshold"))
-    flags = episodes.flag_intensity(own.join(limits, [key, "dayofyear"], "left"), F.col(value), F.col("threshold"), p.get("tail", "upper"))
+    limits = climatology.windowed_climatology(own.select(*keys, "dayofyear", value), keys, "dayofyear", value, p["window"], [p["quantile"]]).select(*keys, "dayofyear", F.col(name).alias("threshold"))
+    flags = episodes.flag_intensity(own.join(limits, [*keys, "dayofyear"], "left"), F.col(value), F.col("threshold"), p.get("tail", "upper"))
     return episodes.runs(flags, [key], date)
 
 
@@ -62,14 +94,19 @@ def updated(history: DataFrame, new: DataFrame, key: str, date: str, value: str,
     return both.withColumn("smooth", episodes.rolling(both, [key], date, value, n - 1)).where("_new").drop("_new")
 
 
-def summarized_within(obs: DataFrame, polygons: dict[str, list], date: str, value: str) -> DataFrame:
-    """Mean over the cells strictly inside each polygon."""
-    hits = F.array_compact(F.array(*(F.when(spatial.inside_ring(F.col("lon"), F.col("lat"), ring), F.lit(name)) for name, ring in polygons.items())))
-    return obs.withColumn("location_id", F.explode(hits)).groupBy("location_id", date).agg(F.avg(value).alias(value))
-
-
-def summarized_nearest(obs: DataFrame, cells: DataFrame, points: DataFrame, date: str, value: str) -> DataFrame:
-    """Value of the nearest cell that has any."""
+def summarized_nearest(obs: DataFrame, cells: DataFrame, points: DataFrame, date: str, value: str, k: int = 1) -> DataFrame:
+    """Mean over the ``k`` nearest cells that have any value, for each of ``points(location_id, lon, lat)``."""
     valid = cells.join(obs.where(F.col(value).isNotNull()).select("pixel_id").distinct(), "pixel_id", "left_semi")
-    near = spatial.nearest(points, valid, "location_id").select("location_id", "pixel_id")
-    return obs.join(near, "pixel_id").select("location_id", date, value)
+    near = spatial.nearest(points, valid, "location_id", k).select("location_id", "pixel_id")
+    return obs.select("pixel_id", date, value).join(near, "pixel_id").groupBy("location_id", date).agg(F.avg(value).alias(value))
+
+
+def summarized_within(obs: DataFrame, cells: DataFrame, polygons: DataFrame, date: str, value: str, k: int = 1) -> DataFrame:
+    """Mean over the cells strictly inside each of ``polygons(polygon_id, ring)``; a polygon without a cell that has a value takes the ``k`` nearest to its corners' mean."""
+    inside = spatial.within(cells, polygons).select("pixel_id", F.col("polygon_id").alias("location_id"))
+    met = obs.select("pixel_id", date, value).join(inside, "pixel_id").groupBy("location_id", date).agg(F.avg(value).alias(value))
+    have = met.where(F.col(value).isNotNull()).select("location_id").distinct()
+    met = met.join(have, "location_id", "left_semi")
+    centre = lambda c: (F.aggregate("ring", F.lit(0.0), lambda a, p: a + p[c]) / F.size("ring")).alias({"x": "lon", "y": "lat"}[c])
+    rest = polygons.withColumnRenamed("polygon_id", "location_id").join(have, "location_id", "left_anti").select("location_id", centre("x"), centre("y"))
+    return met.unionByName(summarized_nearest(obs, cells, rest, date, value, k))
