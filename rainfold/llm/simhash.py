@@ -288,18 +288,28 @@ def across(hot: DataFrame, edges: DataFrame, verify: Callable[[DataFrame], DataF
     return linked.union(verify(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()))
 
 
+def fingerprint_pairs(nodes: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+    """A candidate ``(a, b)`` for each of ``nodes(node, fp)`` that has any: the smallest node of its fingerprint, and for that one the smallest of the hubs
+    of its buckets within ``max_bits``. At most one row a node, whatever the size of the buckets."""
+    parts = max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    first = scratch.write(nodes.groupBy("fp").agg(F.min("node").alias("first")))
+    index = variants(first.repartition(parts, "fp"), max_bits)
+    hubs = scratch.write(index.groupBy("key").agg(F.min(F.struct("fp", "first")).alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", F.col("hub.fp").alias("a"), F.col("hub.first").alias("hub")))
+    met = index.withColumnRenamed("fp", "b").join(hubs, "key").where(near(max_bits)).where("a <> b")
+    met = scratch.write(met.groupBy(F.col("b").alias("fp")).agg(F.min("hub").alias("hub")))
+    own = nodes.join(first.join(met, "fp", "left"), "fp").select(F.when(F.col("node") == F.col("first"), F.col("hub")).otherwise(F.col("first")).alias("a"), F.col("node").alias("b"))
+    return own.where("a is not null")
+
+
 def near_copies(nodes: DataFrame, texts: DataFrame, words: int, least: float, max_bits: int, scratch: Scratch) -> DataFrame:
     """``(node, root)`` of ``nodes(node, size, fp, sketch)`` that are near copies of another one, with ``texts(node, text)``.
 
-    First the fingerprints are linked by their deletion variants, and in each group all nodes are compared with the smallest. Fingerprints
-    of texts with a similarity of ``least`` may differ in more bits than variants can span, so what no group holds yet meets in the buckets of the
-    prefix filter, where every pair meets. Pairs within a component tell nothing new and aren't compared.
+    First the fingerprints meet by their deletion variants: each is compared with the smallest one of every bucket that it is in, and each node with
+    one such candidate. Fingerprints of texts with a similarity of ``least`` may differ in more bits than variants can span, so what is not linked by
+    then meets in the buckets of the prefix filter, where every pair meets. Pairs within a component tell nothing new and aren't compared.
     """
     verify = lambda pairs: similar(pairs, nodes, texts, words, least, scratch)
-    roots = components(links(nodes.select("fp").distinct(), max_bits, scratch), scratch).withColumnsRenamed({"node": "fp", "root": "group"})
-    grouped = nodes.select("node", "fp").join(roots, "fp", "left").select("node", F.coalesce("group", "fp").alias("group"))
-    low = scratch.write(grouped.groupBy("group").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("group", "a"))
-    edges = verify(grouped.join(low, "group").where("node <> a").select("a", F.col("node").alias("b")))
+    edges = verify(fingerprint_pairs(nodes.select("node", "fp"), max_bits, scratch))
     roots = scratch.write(components(edges, scratch))
     index = index_of(texts, words, least, scratch)
     rooted = scratch.write(with_roots(index, roots))
