@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainfold.operators.distributions import beta_i
+
 
 def annual_losses(losses: DataFrame, crop: str = "crop", year: str = "year", loss: str = "loss_usd") -> DataFrame:
     """By crop and year, and over all crops as 'Combined', in one aggregation."""
@@ -40,14 +44,30 @@ def bootstrap(annual: DataFrame, draws: int, index) -> DataFrame:
 
 
 def trend(df: DataFrame, keys: list[str], y: Column, x: Column, least: int = 3) -> DataFrame:
+    """Least squares of each group with ``least`` values or more: ``slope``, ``intercept``, ``r`` and ``n``; NULL for smaller ones."""
     known = df.withColumns({"_y": y.cast("double"), "_x": x.cast("double")}).where("_y is not null")
-    line = known.groupBy(*keys).agg(F.count("*").alias("_n"), F.regr_slope("_y", "_x").alias("slope"), F.regr_intercept("_y", "_x").alias("intercept"), F.corr("_y", "_x").alias("r"))
-    return line.select(*keys, *(F.when(F.col("_n") >= least, F.col(c)).alias(c) for c in ("slope", "intercept", "r")))
+    line = known.groupBy(*keys).agg(F.count("*").alias("n"), F.regr_slope("_y", "_x").alias("slope"), F.regr_intercept("_y", "_x").alias("intercept"), F.corr("_y", "_x").alias("r"))
+    return line.select(*keys, *(F.when(F.col("n") >= least, F.col(c)).alias(c) for c in ("slope", "intercept", "r")), "n")
+
+
+def with_significance(line: DataFrame) -> DataFrame:
+    """Adds ``p``, the two-sided p-value of ``r`` by Student's t with n - 2 degrees of freedom; 0 for a perfect fit, NULL below three values."""
+
+    @F.pandas_udf("double")
+    def two_sided(r: pd.Series, n: pd.Series) -> pd.Series:
+        v, own = (n - 2).to_numpy(float), r.to_numpy(float)
+        with np.errstate(all="ignore"):
+            x = np.where(v > 0, 1 - own * own, np.nan)  # v / (v + t * t)
+        return pd.Series(np.where(np.isnan(x), np.nan, beta_i(np.where(v > 0, v, 1.0) / 2, 0.5, np.nan_to_num(x, nan=1.0))))
+
+    return line.withColumn("p", F.nanvl(two_sided("r", F.col("n").cast("double")), F.lit(None).cast("double")))
 
 
 def correlation(annual: DataFrame) -> DataFrame:
-    """Pearson correlation of each pair of crops over years, missing years as 0; a pair without variance has 0."""
-    names = [r[0] for r in annual.select("crop").distinct().orderBy("crop").collect()]
-    wide = annual.groupBy("year").pivot("crop", names).agg(F.sum("loss_usd")).fillna(0)
-    row = wide.agg(F.array(*(F.struct(F.lit(a).alias("crop_a"), F.lit(b).alias("crop_b"), F.coalesce(F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")), F.lit(0.0)).alias("r")) for a in names for b in names)).alias("pairs"))
-    return row.select(F.inline("pairs"))
+    """Pearson correlation of each pair of crops over years, missing years as 0; a pair without variance has 0. Crops meet by year;
+    only the years come to the driver, as many as a calendar has."""
+    years = [r[0] for r in annual.select("year").distinct().orderBy("year").collect()]
+    full = annual.select("crop").distinct().withColumn("year", F.explode(F.lit(years)))
+    values = full.join(annual, ["crop", "year"], "left").groupBy("crop", "year").agg(F.coalesce(F.sum("loss_usd"), F.lit(0.0)).alias("v"))
+    a, b = (values.select(F.col("crop").alias(f"crop_{s}"), "year", F.col("v").alias(f"v_{s}")) for s in "ab")
+    return a.join(b, "year").groupBy("crop_a", "crop_b").agg(F.coalesce(F.corr("v_a", "v_b"), F.lit(0.0)).alias("r"))

@@ -126,8 +126,13 @@ pct AS (SELECT c.*, CASE WHEN c.n IS NULL THEN NULL WHEN j = 0 OR c.n = 1 THEN 0
 
 
 def with_percentile(spark, d) -> DataFrame:
-    model = distributions.fit(complete(spark, d), KEYS, "index_value", "empirical")
-    return indices(spark, d).join(model, KEYS, "left").withColumn("percentile", distributions.empirical_cdf(F.col("index_value"), F.col("ref_values"))).drop("ref_values")
+    """Every window with its position among the complete ones of its group. A group has a row a year, so it is gathered and given back rather than joined."""
+    own = indices(spark, d)
+    rest = [c for c in own.columns if c not in KEYS]
+    known = F.array_sort(F.collect_list(F.when(F.col("flag_complete_window") == 1, F.col("index_value"))))
+    rows = own.groupBy(*KEYS).agg(known.alias("ref"), F.collect_list(F.struct(*rest)).alias("rows"))
+    placed = rows.select(*KEYS, F.when(F.size("ref") > 0, F.col("ref")).alias("ref"), F.inline("rows"))
+    return placed.withColumn("percentile", distributions.empirical_cdf(F.col("index_value"), F.col("ref"))).drop("ref")
 
 
 @query("empirical_percentile", f"WITH {EMPIRICAL} SELECT pixel_id, \"window\", window_year, round(percentile, 4) AS percentile FROM pct")

@@ -52,8 +52,10 @@ ANNUAL = f"""{LOSSES}, annual AS (SELECT CASE WHEN grouping(crop) = 1 THEN 'Comb
 
 
 def with_climatology(obs: DataFrame) -> DataFrame:
-    clim = climatology.daily_climatology(obs, "pixel_id", "date", "swc", YEARS)
-    return obs.withColumn("day_of_year", F.dayofyear("date").cast("long")).join(clim, ["pixel_id", "day_of_year"], "left")
+    """Each day with the mean of its day of the year over the base years, by a window: the observations are read once."""
+    own = Window.partitionBy("pixel_id", "day_of_year")
+    mean = F.avg(F.when(F.year("date").between(*YEARS), F.col("swc"))).over(own)
+    return obs.withColumn("day_of_year", F.dayofyear("date").cast("long")).withColumn("swc_mean", mean)
 
 
 def anomaly_sums(spark, d) -> DataFrame:
@@ -69,10 +71,16 @@ def percentiles(sums: DataFrame) -> DataFrame:
     return sums.groupBy("crop", "pixel_id").agg(three.alias("p")).select("crop", "pixel_id", *(F.col("p")[i].alias(n) for i, n in enumerate(("P1", "P5", "P10"))))
 
 
+def with_percentiles(sums: DataFrame) -> DataFrame:
+    """The sums with the percentiles of their crop and pixel. A group has a row a year, so it is gathered and given back rather than joined."""
+    three = F.percentile("anomaly_sum", F.array(F.lit(0.01), F.lit(0.05), F.lit(0.1)))
+    rest = [c for c in sums.columns if c not in ("crop", "pixel_id")]
+    rows = sums.groupBy("crop", "pixel_id").agg(three.alias("p"), F.collect_list(F.struct(*rest)).alias("rows"))
+    return rows.select("crop", "pixel_id", *(F.col("p")[i].alias(n) for i, n in enumerate(("P1", "P5", "P10"))), F.inline("rows"))
+
+
 def tier_losses(spark, d) -> DataFrame:
-    sums = anomaly_sums(spark, d)
-    joined = sums.join(percentiles(sums), ["crop", "pixel_id"], "left")
-    tiered = joined.withColumn("tier", contract.tier(F.col("anomaly_sum"), {n: F.col(n) for n, _ in contract.TIERS}))
+    tiered = with_percentiles(anomaly_sums(spark, d)).withColumn("tier", contract.tier(F.col("anomaly_sum"), {n: F.col(n) for n, _ in contract.TIERS}))
     return tiered.withColumn("loss_usd", contract.tier_loss(F.col("tier"), F.col("region"), F.col("has"), COSTS))
 
 
@@ -101,8 +109,7 @@ def _(spark, d):
 
 @query("join_percentiles", f"WITH {ANOMALIES}, {PERCENTILES} SELECT crop, year, pixel_id, round(anomaly_sum - P5, 6) AS above_p5 FROM sums LEFT JOIN pct USING (crop, pixel_id)")
 def _(spark, d):
-    sums = anomaly_sums(spark, d)
-    return sums.join(percentiles(sums), ["crop", "pixel_id"], "left").select("crop", "year", "pixel_id", F.round(F.col("anomaly_sum") - F.col("P5"), 6).alias("above_p5"))
+    return with_percentiles(anomaly_sums(spark, d)).select("crop", "year", "pixel_id", F.round(F.col("anomaly_sum") - F.col("P5"), 6).alias("above_p5"))
 
 
 @query("triggers_and_losses", f"WITH {LOSSES} SELECT crop, year, zona, pixel_id, tier, loss_usd, region, has, round(anomaly_sum, 6) AS anomaly_sum FROM lossy")
@@ -181,6 +188,21 @@ def _(spark, d):
     return portfolio.trend(losses(spark, d).where("year <> 2001"), ["crop"], F.col("loss_usd"), F.col("year")).select("crop", F.round("slope", 2).alias("slope"), F.round("r", 6).alias("r"))
 
 
+_T = "2 * (0.5 - abs(t) * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(pi() * v) * pow(1 + t * t / v, -(v + 1) / 2) * list_sum(list_transform(range(0, 4000), lambda k: exp(lgamma((v + 1) / 2 + k) - lgamma((v + 1) / 2) - lgamma(1.5 + k) + lgamma(1.5)) * pow(t * t / (v + t * t), k))))"
+
+
+@query("loss_trend_significance", f"WITH {LOSS}, l AS (SELECT crop, CAST(count(*) - 2 AS DOUBLE) AS v, regr_slope(loss_usd, year) AS slope, regr_intercept(loss_usd, year) AS intercept, corr(loss_usd, year) AS r FROM loss GROUP BY crop), t AS (SELECT *, r * sqrt(v / (1 - r * r)) AS t FROM l) SELECT crop, round(slope, 2) AS slope, round(intercept, 0) AS intercept, round(r, 6) AS r, round({_T}, 6) AS p FROM t")
+def _(spark, d):
+    line = portfolio.trend(losses(spark, d), ["crop"], F.col("loss_usd"), F.col("year"))
+    return portfolio.with_significance(line).select("crop", F.round("slope", 2).alias("slope"), F.round("intercept", 0).alias("intercept"), F.round("r", 6).alias("r"), F.round("p", 6).alias("p"))
+
+
+@query("head_of_quotes", f"WITH {LOSS}, annual AS (SELECT CASE WHEN grouping(crop) = 1 THEN 'Combined' ELSE crop END AS crop, year, sum(loss_usd) AS loss_usd FROM loss GROUP BY GROUPING SETS ((crop, year), (year))) SELECT crop, year, round(loss_usd, 4) AS loss_usd FROM annual ORDER BY loss_usd DESC, crop, year LIMIT 8")
+def _(spark, d):
+    """The eight worst years, a report's head."""
+    return rounded(portfolio.annual_losses(losses(spark, d)).orderBy(F.desc("loss_usd"), "crop", "year").limit(8), "loss_usd", places=4)
+
+
 @query("crop_correlation", f"""WITH {LOSS}, f AS (SELECT c.crop, y.year, coalesce(loss_usd, 0) AS v FROM (SELECT DISTINCT crop FROM loss) c CROSS JOIN (SELECT DISTINCT year FROM loss) y LEFT JOIN loss USING (crop, year))
 SELECT a.crop AS crop_a, b.crop AS crop_b, round(coalesce(corr(a.v, b.v), 0), 6) AS r FROM f a JOIN f b ON a.year = b.year GROUP BY ALL""")
 def _(spark, d):
