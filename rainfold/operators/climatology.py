@@ -33,24 +33,35 @@ def smooth_circular(clim: DataFrame, keys: list[str], level: str, value: str, w:
     return padded.withColumn(value, mean).where("_p = _i").drop("_i", "_n", "_p")
 
 
-def wrapped(level: Column, cycle: int = 365) -> Column:
-    return F.pmod(level - 1, F.lit(cycle)) + 1
+def wrapped(level: Column, cycle: int | None = 365, first: int = 1) -> Column:
+    """A level beyond a cycle's end or start, back in it; levels without a cycle (years) stay."""
+    return level if cycle is None else F.pmod(level - first, F.lit(cycle)) + first
 
 
-def circular_pool(targets: DataFrame, obs: DataFrame, keys: list[str], level: str, w: int, cycle: int = 365) -> DataFrame:
+def circular_pool(targets: DataFrame, obs: DataFrame, keys: list[str], level: str, w: int, cycle: int | None = 365, first: int = 1) -> DataFrame:
     """Observations within ``w`` of each target level, wrapping around. Targets are exploded, not observations; a pair counts once."""
-    near = F.array_distinct(F.transform(F.sequence(F.lit(-w), F.lit(w)), lambda k: wrapped(F.col(level) + k, cycle)))
+    near = F.array_distinct(F.transform(F.sequence(F.lit(-w), F.lit(w)), lambda k: wrapped(F.col(level) + k, cycle, first)))
     wide = targets.select(*keys, level, F.explode(near).alias("_level"))
     return wide.join(obs.withColumnRenamed(level, "_level"), [*keys, "_level"]).drop("_level")
 
 
-def windowed_climatology(obs: DataFrame, keys: list[str], level: str, value: str, w: int, quantiles: list[float] = (), cycle: int = 365) -> DataFrame:
+def windowed_climatology(obs: DataFrame, keys: list[str], level: str, value: str, w: int, quantiles: list[float] = (), cycle: int | None = 365, first: int = 1) -> DataFrame:
+    """Statistics of each level's pool: ``quantiles``, or mean, deviation, extremes and median. ``cycle`` and ``first``: 365 days from 1, 52 weeks
+    or 12 months from 1, 24 hours from 0; None for years."""
     targets = obs.select(*keys, level).distinct()
-    pool = circular_pool(targets, obs.select(*keys, level, value), keys, level, w, cycle)
+    pool = circular_pool(targets, obs.select(*keys, level, value), keys, level, w, cycle, first)
     aggs = [F.percentile(value, F.lit(q)).alias(f"p{round(100 * q):02d}") for q in quantiles] or [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"), F.percentile(value, F.lit(0.5)).alias("median")]
     return pool.groupBy(*keys, level).agg(*aggs, F.count(value).alias("n"))
 
 
+def looked_up(obs: DataFrame, clim: DataFrame, levels: list[str]) -> DataFrame:
+    """``obs`` with the climatology of its ``levels``. Raises if one of its levels has none."""
+    missing = obs.select(*levels).distinct().join(clim, levels, "left_anti").limit(3).collect()
+    if missing:
+        raise KeyError(f"no climatology for {', '.join(str(r.asDict()) for r in missing)}")
+    return obs.join(clim, levels)
+
+
 def season(date: Column | str) -> Column:
     m = F.month(date)
     return F.when(m.isin(12, 1, 2), "DJF").when(m.isin(3, 4, 5), "MAM").when(m.isin(6, 7, 8), "JJA").otherwise("SON")

@@ -34,10 +34,10 @@ def rolling(df: DataFrame, keys: list[str], order: str, value: str, before: int,
     return fn(value).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(-before, after))
 
 
-def spatial_rolling(df: DataFrame, value: str, half: int, keys: list[str] = (), fn=F.avg) -> DataFrame:
-    """Statistic over the box of (2 half + 1)² grid cells around each cell. Each value is sent to the centres that it counts for, an equality on the grid's indices."""
+def spatial_rolling(df: DataFrame, value: str, half: int, keys: list[str] = (), fn=F.avg, least: int = 1) -> DataFrame:
+    """Statistic over the box of (2 half + 1)² grid cells around each cell, NULL with under ``least`` values. Each value is sent to the centres that it counts for, an equality on the grid's indices."""
     offsets = F.sequence(F.lit(-half), F.lit(half))
     sent = df.withColumn("_dy", F.explode(offsets)).withColumn("_dx", F.explode(offsets))
     sent = sent.select(*keys, (F.col("iy") + F.col("_dy")).alias("iy"), (F.col("ix") + F.col("_dx")).alias("ix"), F.col(value).alias("_v"))
-    pooled = sent.groupBy(*keys, "iy", "ix").agg(fn("_v").alias("rolled"), F.count("_v").alias("n"))
+    pooled = sent.groupBy(*keys, "iy", "ix").agg(F.when(F.count("_v") >= least, fn("_v")).alias("rolled"), F.count("_v").alias("n"))
     return df.join(pooled, [*keys, "iy", "ix"])

@@ -8,6 +8,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rainfold.sources.scratch import written
+
 
 def vectors(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("_raw", array_to_vector(F.col(column).cast("array<double>")))
@@ -22,6 +24,30 @@ def pca(df: DataFrame, column: str, k: int) -> DataFrame:
 def kmeans(df: DataFrame, column: str, k: int, starts: int = 12, seed: int = 42) -> DataFrame:
     """The best of several starts, by the cost of training."""
     own = vectors(df, column).cache()
-    models = [KMeans(k=k, seed=seed + i, featuresCol="_raw", predictionCol="cluster").fit(own) for i in range(starts)]
+    try:
+        models = [KMeans(k=k, seed=seed + i, featuresCol="_raw", predictionCol="cluster").fit(own) for i in range(starts)]
+    finally:
+        own.unpersist()
     best = min(models, key=lambda m: m.summary.trainingCost)
-    return best.transform(own).drop("_raw")
+    return best.transform(vectors(df, column)).drop("_raw")
+
+
+def climate_areas(pixels: DataFrame, areas: DataFrame, min_km2: float, max_km2: float, min_clusters: int = 1, rounds: int = 8) -> DataFrame:
+    """``(polygon_id, pixel_id, area)``: the pixels of every polygon in areas of alike climate, by k-means within each polygon.
+
+    ``pixels(polygon_id, pixel_id, features)``, ``areas(polygon_id, km2)``. A polygon has as many areas as its size holds ``max_km2``, ``min_clusters`` at least and no more than
+    it has pixels; one if it is below ``min_km2``. All polygons are clustered together: pixels meet the centres of their polygon, of which there are few, and only
+    sums are shuffled. The start of an area is the pixel with the smallest hash, so the result is the same on any plan; areas that lose all pixels go.
+    """
+    sizes = pixels.groupBy("polygon_id").agg(F.count("*").alias("n")).join(areas, "polygon_id")
+    wanted = F.when(F.col("km2") < min_km2, 1).otherwise(F.least("n", F.greatest(F.lit(min_clusters), F.lit(1), F.floor(F.col("km2") / max_km2)))).cast("int")
+    wanted = sizes.select("polygon_id", F.explode(F.sequence(F.lit(1), wanted)).alias("area"))
+    draws = pixels.join(wanted, "polygon_id").groupBy("polygon_id", "area").agg(F.min_by("features", F.struct(F.xxhash64("pixel_id", "area"), "pixel_id")).alias("centre"))
+    nearest = F.expr("array_min(transform(centres, c -> struct(aggregate(zip_with(features, c.centre, (x, y) -> (x - y) * (x - y)), 0D, (s, d) -> s + d) as d, c.area as area))).area")
+    centres = written(draws, "centres")
+    for _ in range(rounds):
+        by_polygon = centres.groupBy("polygon_id").agg(F.collect_list(F.struct("area", "centre")).alias("centres"))
+        assigned = pixels.join(by_polygon, "polygon_id").select("polygon_id", "pixel_id", "features", nearest.alias("area"))
+        means = assigned.select("polygon_id", "area", F.posexplode("features").alias("i", "x")).groupBy("polygon_id", "area", "i").agg(F.avg("x").alias("x"))
+        centres = written(means.groupBy("polygon_id", "area").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("c")).select("polygon_id", "area", F.col("c.x").alias("centre")), "centres")
+    return assigned.select("polygon_id", "pixel_id", "area")

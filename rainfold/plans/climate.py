@@ -67,7 +67,7 @@ def _(spark, d):
 def _(spark, d):
     own = hourly(spark, d).withColumn("hour", F.hour("time").cast("long"))
     clim = own.groupBy("user_id", "hour").agg(F.avg("v").alias("clim"))
-    return own.join(clim, ["user_id", "hour"]).select("user_id", "time", F.round(F.col("v") - F.col("clim"), 6).alias("anomaly"))
+    return climatology.looked_up(own, clim, ["user_id", "hour"]).select("user_id", "time", F.round(F.col("v") - F.col("clim"), 6).alias("anomaly"))
 
 
 @query("normalize_variable", f"WITH {CLIM} SELECT o.pixel_id, o.date, round(CASE WHEN std > 0 THEN (swc - clim) / std END, 4) AS z FROM obs o LEFT JOIN clim c ON o.pixel_id = c.pixel_id AND dayofyear(o.date) = c.dayofyear")
@@ -97,6 +97,36 @@ def _(spark, d):
     return climatology.windowed_climatology(obs, ["pixel_id"], "doy", "swc", 7, [0.05, 0.95]).select("pixel_id", "doy", r6("p05"), r6("p95"), "n")
 
 
+_LEVELS = {"month": ("month(date)", F.month, 1, 12, 1), "week": ("weekofyear(date)", F.weekofyear, 2, 52, 1), "year": ("year(date)", F.year, 1, None, 1)}
+for _level, (_sql, _fn, _width, _cycle, _first) in _LEVELS.items():
+    _near = f"b.lv IN (SELECT ((a.lv + k - 1 + {_cycle}) % {_cycle}) + 1 FROM range(-{_width}, {_width + 1}) r(k))" if _cycle else f"abs(a.lv - b.lv) <= {_width}"
+
+    @query(f"windowed_{_level}_climatology", f"WITH {OBS}, o AS (SELECT pixel_id, CAST({_sql} AS BIGINT) AS lv, swc FROM obs), t AS (SELECT DISTINCT pixel_id, lv FROM o), p AS (SELECT t.pixel_id, t.lv, w.lv AS other FROM t, (SELECT DISTINCT lv FROM o) w WHERE {_near.replace('a.lv', 't.lv').replace('b.lv', 'w.lv')}) SELECT p.pixel_id, p.lv AS {_level}, round(avg(swc), 6) AS mean, round(quantile_cont(swc, 0.5), 6) AS median, count(swc) AS n FROM p JOIN o ON o.pixel_id = p.pixel_id AND o.lv = p.other GROUP BY ALL")
+    def _(spark, d, level=_level, fn=_fn, width=_width, cycle=_cycle, first=_first):
+        own = observations(spark, d).select("pixel_id", fn("date").cast("long").alias(level), "swc")
+        return climatology.windowed_climatology(own, ["pixel_id"], level, "swc", width, cycle=cycle, first=first).select("pixel_id", level, r6("mean"), r6("median"), "n")
+
+
+@query("windowed_hour_climatology", f"WITH {HOURLY}, o AS (SELECT user_id, CAST(hour(time) AS BIGINT) AS hour, v FROM hourly), t AS (SELECT DISTINCT user_id, hour FROM o) SELECT t.user_id, t.hour, round(avg(o.v), 6) AS mean, count(o.v) AS n FROM t JOIN o ON o.user_id = t.user_id AND least(abs(o.hour - t.hour), 24 - abs(o.hour - t.hour)) <= 2 GROUP BY ALL")
+def _(spark, d):
+    own = hourly(spark, d).select("user_id", F.hour("time").cast("long").alias("hour"), "v")
+    return climatology.windowed_climatology(own, ["user_id"], "hour", "v", 2, cycle=24, first=0).select("user_id", "hour", r6("mean"), "n")
+
+
+@query("intensity_limits", f"WITH {RUNS}, y AS (SELECT user_id, CAST(year(time) AS BIGINT) AS year, sum(intensity) AS total FROM runs GROUP BY ALL) SELECT year, round(quantile_cont(total, 0.01), 6) AS low, round(quantile_cont(total, 0.99), 6) AS high FROM y GROUP BY ALL")
+def _(spark, d):
+    """Colour limits of a map of yearly intensities: their 1 and 99 %."""
+    flags = episodes.flag_intensity(hourly(spark, d), F.col("v"), F.lit(60.0), "upper")
+    totals = flags.groupBy("user_id", F.year("time").cast("long").alias("year")).agg(F.sum("intensity").alias("total"))
+    return totals.groupBy("year").agg(F.round(F.percentile("total", F.lit(0.01)), 6).alias("low"), F.round(F.percentile("total", F.lit(0.99)), 6).alias("high"))
+
+
+@query("spatial_rolling_sum", f"WITH {OBS}, g AS (SELECT pixel_id % 5 AS ix, pixel_id // 5 AS iy, date, swc FROM obs) SELECT a.ix, a.iy, a.date, CASE WHEN count(b.swc) >= 6 THEN round(sum(b.swc), 6) END AS rolled, count(b.swc) AS n FROM g a JOIN g b ON a.date = b.date AND abs(a.ix - b.ix) <= 1 AND abs(a.iy - b.iy) <= 1 GROUP BY ALL")
+def _(spark, d):
+    grid = observations(spark, d).select((F.col("pixel_id") % 5).alias("ix"), F.floor(F.col("pixel_id") / 5).alias("iy"), "date", "swc")
+    return episodes.spatial_rolling(grid, "swc", 1, ["date"], F.sum, 6).select("ix", "iy", "date", r6("rolled"), "n")
+
+
 @query("windowed_mean_climatology", f"WITH {POOL} SELECT pixel_id, doy, round(avg(swc), 9) AS mean, round(stddev_pop(swc), 9) AS std, round(min(swc), 9) AS min, round(max(swc), 9) AS max, round(quantile_cont(swc, 0.5), 9) AS median, count(swc) AS n FROM pool GROUP BY ALL")
 def _(spark, d):
     obs = observations(spark, d).select("pixel_id", F.dayofyear("date").cast("long").alias("doy"), "swc")

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.functions import scalars
-from rainfold.operators import spatial, timeops
+from rainfold.operators import distributions, spatial, timeops
 from rainfold.plans.catalog import query
 from rainfold.sources import tables
-from rainfold.sources.scratch import scratch_path
+from rainfold.sources.scratch import scratch_path, written
 from rainfold.sources.tables import CELLS, HOURLY, OBS, cells, hourly, observations, read
 
 
@@ -25,11 +25,79 @@ def _(spark, d):
     return tables.scan(spark, path, "s_suppkey long, s_name string, s_acctbal double")
 
 
-@query("gen_dummy_obs")
+@query("gen_dummy_obs", "SELECT CAST(p.id AS BIGINT) AS pixel_id, CAST(year(day) AS BIGINT) AS year, count(*) AS days, true AS normal FROM range(2) p(id), (SELECT unnest(generate_series(date '1991-01-01', date '2020-12-31', INTERVAL 1 DAY)) AS day) GROUP BY ALL")
 def _(spark, d):
-    """Two pixels with a normal daily value, for when no input exists."""
-    days = F.sequence(F.lit("1991-01-01").cast("date"), F.lit("2020-12-31").cast("date"))
-    return spark.range(2).select(F.col("id").alias("pixel_id"), F.explode(days).alias("date")).withColumn("swc", 0.3 + 0.05 * F.randn(42))
+    """Two pixels with a normal daily value, written once, for when no input exists."""
+    path = scratch_path(spark, "dummy")
+    tables.or_synthetic(spark, path)
+    obs = tables.or_synthetic(spark, path)  # there by now, and left alone
+    return obs.groupBy("pixel_id", F.year("date").cast("long").alias("year")).agg(F.count("*").alias("days"), (F.avg("swc").between(0.29, 0.31) & F.stddev("swc").between(0.04, 0.06)).alias("normal"))
+
+
+@query("json_sink", "SELECT r_name AS region, CAST(count(*) AS BIGINT) AS nations, min(n_name) AS first_name FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
+def _(spark, d):
+    path = scratch_path(spark, "json")
+    joined = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined.groupBy(F.col("r_name").alias("region")).agg(F.count("*").alias("nations"), F.min("n_name").alias("first_name")).write.json(path)
+    return spark.read.schema("region string, nations long, first_name string").json(path)
+
+
+@query("quote_csv", "SELECT l_returnflag AS crop, round(sum(l_extendedprice * l_discount), 2) AS loss_usd FROM lineitem GROUP BY ALL")
+def _(spark, d):
+    """A quote's few rows as one CSV file with a header, overwritten by a second write."""
+    path, total = scratch_path(spark, "quote"), F.round(F.sum(F.col("l_extendedprice") * F.col("l_discount")), 2).alias("loss_usd")
+    for _ in range(2):
+        read(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("crop")).agg(total).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    return tables.scan(spark, path, "crop string, loss_usd double")
+
+
+@query("model_sink", f"WITH {OBS} SELECT pixel_id, round(avg(swc), 6) AS loc, round(stddev_samp(swc), 6) AS scale FROM obs GROUP BY ALL")
+def _(spark, d):
+    """Fitted parameters as a table, read back."""
+    model = written(distributions.fit(observations(spark, d), ["pixel_id"], "swc", "norm"), "model")
+    return model.select("pixel_id", F.round("loc", 6).alias("loc"), F.round("scale", 6).alias("scale"))
+
+
+@query("request_summary", "SELECT o_custkey AS request, count(*) FILTER (o_orderstatus <> 'F') AS n_files, round(sum(CASE WHEN o_orderstatus <> 'F' THEN o_totalprice ELSE 0 END) / 1e6, 6) AS total_mb, CASE WHEN count(*) FILTER (o_orderstatus <> 'F') = count(*) THEN 'success' WHEN count(*) FILTER (o_orderstatus <> 'F') = 0 THEN 'failed' ELSE 'partial' END AS status FROM orders GROUP BY ALL")
+def _(spark, d):
+    files = read(spark, d, "orders").select(F.col("o_custkey").alias("request"), F.col("o_totalprice").alias("bytes"), (F.col("o_orderstatus") != "F").alias("ok"))
+    return tables.request_summary(files, "request")
+
+
+@query("drop_scalar_coordinates", "SELECT n_nationkey, n_name, 1 AS kept FROM nation")
+def _(spark, d):
+    rows = read(spark, d, "nation").select("n_nationkey", "n_name", F.lit(0.0).alias("height"), F.lit(None).cast("string").alias("step"), F.lit(1).alias("kept"))
+    return tables.without_scalars(rows, ["kept"])
+
+
+@query("feature_matrix", f"WITH {OBS} SELECT pixel_id, {', '.join(f'round(avg(swc) FILTER (month(date) = {m}), 6) AS m{m}' for m in range(1, 13))} FROM obs GROUP BY pixel_id")
+def _(spark, d):
+    """Pixels by months, with the months' mean; the columns are known, so no values are collected."""
+    wide = observations(spark, d).withColumn("m", F.concat(F.lit("m"), F.month("date"))).groupBy("pixel_id").pivot("m", [f"m{m}" for m in range(1, 13)])
+    return wide.agg(F.round(F.avg("swc"), 6))
+
+
+@query("climate_areas", f"WITH {OBS} SELECT CAST(n_regionkey AS BIGINT) AS polygon_id, CAST(CASE WHEN n_regionkey = 0 THEN 1 ELSE least(count(*), greatest(2, n_regionkey)) END AS BIGINT) AS most, count(*) AS pixels FROM nation WHERE n_nationkey IN (SELECT pixel_id FROM obs) GROUP BY n_regionkey")
+def _(spark, d):
+    """Regions as polygons of 50 km² more each; how many areas they may have and how many pixels are in any."""
+    from rainfold.operators import learning
+
+    months = observations(spark, d).groupBy("pixel_id", F.month("date").alias("m")).agg(F.avg("swc").alias("v")).groupBy("pixel_id").agg(F.array_sort(F.collect_list(F.struct("m", "v"))).alias("f"))
+    nations = read(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("pixel_id"), F.col("n_regionkey").cast("long").alias("polygon_id"))
+    pixels = months.join(nations, "pixel_id").select("polygon_id", "pixel_id", F.col("f.v").alias("features"))
+    areas = nations.select("polygon_id", (50.0 * F.col("polygon_id") + 1).alias("km2")).distinct()
+    found = learning.climate_areas(pixels, areas, 10.0, 50.0, 2)
+    counts = found.groupBy("polygon_id").agg(F.count_distinct("area").alias("areas"), F.count("*").alias("pixels"))
+    bound = F.when(F.col("polygon_id") == 0, 1).otherwise(F.least("pixels", F.greatest(F.lit(2), "polygon_id")))
+    return counts.select("polygon_id", F.when(F.col("areas") <= bound, bound).cast("long").alias("most"), "pixels")
+
+
+@query("kde_argmax", f"WITH {CELLS}, points AS (SELECT (p_partkey % 47) / 10.0 + 0.013 AS x, (p_partkey % 41) / 10.0 + 0.007 AS y, p_size % 4 AS label FROM part), k AS (SELECT pixel_id, label, round(sum(exp(-((lon - x) ** 2 + (lat - y) ** 2) / (2 * 0.25))), 9) AS density FROM cells JOIN points ON (lon - x) ** 2 + (lat - y) ** 2 <= 2.25 GROUP BY ALL) SELECT pixel_id, CAST(label AS BIGINT) AS label, round(density, 6) AS density FROM (SELECT *, row_number() OVER (PARTITION BY pixel_id ORDER BY density DESC, label) AS n FROM k) WHERE n = 1")
+def _(spark, d):
+    """The label whose Gaussian kernel density is largest at each cell, kernels cut at three bandwidths of 0.5."""
+    key = F.col("p_partkey")
+    points = read(spark, d, "part").select((key % 47 / 10.0 + 0.013).alias("x"), (key % 41 / 10.0 + 0.007).alias("y"), (F.col("p_size") % 4).cast("long").alias("label"))
+    return spatial.densest(cells(spark, d), points, "label", 0.5).select("pixel_id", "label", F.round("density", 6).alias("density"))
 
 
 @query("partition_by_year", "SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL")
@@ -48,11 +116,12 @@ def _(spark, d):
     return tables.read_merged(spark, path).select("r_regionkey", "r_name", "extra")
 
 
-@query("cube_roundtrip")
+@query("cube_roundtrip", f"WITH {OBS} SELECT pixel_id, date, round(swc, 6) AS swc, CAST(year(date) AS BIGINT) AS year FROM obs")
 def _(spark, d):
     path, obs = scratch_path(spark, "cube"), observations(spark, d).withColumn("year", F.year("date"))
-    obs.repartition("year").sortWithinPartitions("pixel_id", "date").write.partitionBy("year").parquet(path)
-    return spark.read.parquet(path)
+    tables.write_cube(obs.where("year < 1999"), path)
+    tables.write_cube(obs.where("year >= 1999"), path, "append", "date")
+    return spark.read.parquet(path).select("pixel_id", "date", F.round("swc", 6).alias("swc"), F.col("year").cast("long").alias("year"))
 
 
 @query("raster_decode", "SELECT strptime(regexp_extract(strftime(o_orderdate, '%Y%m%d') || 'T-x', '([0-9]{8})T', 1), '%Y%m%d')::DATE AS date, CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE o_custkey * CAST(0.001 AS DOUBLE) END AS value, o_orderkey FROM orders")

@@ -25,6 +25,36 @@ def write_partitioned(df: DataFrame, path: str, *keys: str, mode: str = "overwri
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy(*keys).parquet(path)
 
 
+def write_cube(df: DataFrame, path: str, mode: str = "overwrite", append_dim: str | None = None) -> None:
+    """A cube by year: a fresh one is dealt by year and sorted; ``append`` adds rows along ``append_dim``, and raises without it."""
+    if mode == "append" and not append_dim:
+        raise ValueError("appending needs the dimension to append along")
+    order = [c for c in ("pixel_id", append_dim or "date") if c in df.columns]
+    df.repartition("year").sortWithinPartitions(*order).write.mode(mode).partitionBy("year").parquet(path)
+
+
+def or_synthetic(spark: SparkSession, path: str, first: str = "1991-01-01", last: str = "2020-12-31") -> DataFrame:
+    """The table at ``path``; if there is none, two pixels with a normal daily value are written there first."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
+        spark.range(2).select(F.col("id").alias("pixel_id"), F.explode(days).alias("date")).withColumn("swc", 0.3 + 0.05 * F.randn(42)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def request_summary(files: DataFrame, request: str) -> DataFrame:
+    """``(request, n_files, total_mb, status)`` of ``files(request, bytes, ok)``: success if all came, failed if none did, else partial."""
+    got = F.count_if("ok")
+    status = F.when(got == F.count("*"), "success").when(got == 0, "failed").otherwise("partial")
+    return files.groupBy(request).agg(got.alias("n_files"), F.round(F.sum(F.when(F.col("ok"), F.col("bytes")).otherwise(0)) / 1e6, 6).alias("total_mb"), status.alias("status"))
+
+
+def without_scalars(df: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Columns with a single value go, but for those to keep; one pass over the table."""
+    single = df.agg(*(F.min(c).eqNullSafe(F.max(c)).alias(c) for c in df.columns)).first()
+    return df.select(*(c for c in df.columns if c in keep or not single[c]))
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """A table to which files with more columns were appended."""
     return spark.read.option("mergeSchema", "true").parquet(path)
