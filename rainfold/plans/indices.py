@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rainfold.operators import contract, distributions, timeops
-from rainfold.plans import perils
+from rainfold.plans import climate, perils
 from rainfold.plans.catalog import query
 from rainfold.sources.tables import OBS, observations, read
 from rainfold.streaming import daily
@@ -305,10 +305,16 @@ def _(spark, d):
     return out.select("pixel_id", "date", F.round("matched", 4).alias("matched"))
 
 
-@query("peril_blended")
+#: The anomalies of the blend: the later source mapped onto the base before 1998, the base from then on.
+_BLENDED = _MATCH.format(obs=OBS).replace("s AS (SELECT * FROM d WHERE year(date) < 1998), b AS (SELECT * FROM d WHERE year(date) >= 1998)", "s AS (SELECT * REPLACE (swc * 1.1 + 2 AS swc) FROM d), b AS (SELECT * FROM d)").replace("SELECT pixel_id, date, CASE WHEN len(sv)", ", m AS (SELECT pixel_id, date, CASE WHEN len(sv)").replace("round(CASE WHEN floor(h)", "(CASE WHEN floor(h)").replace("END, 4) END AS matched FROM h", "END) END AS matched FROM h)")
+_BLENDED += ", u AS (SELECT pixel_id, date, matched AS swc FROM m WHERE date < date '1998-01-01' UNION ALL SELECT pixel_id, date, swc FROM obs WHERE date >= date '1998-01-01')" + climate.ANOM.removeprefix(OBS).replace("FROM obs", "FROM u")
+
+
+@query("peril_blended", f"WITH {_BLENDED} SELECT pixel_id, date, round(swc, 6) AS swc, round(a, 6) AS anomaly FROM anom")
 def _(spark, d):
     obs = observations(spark, d)
-    return perils.blended(obs, obs.withColumn("swc", F.col("swc") * 1.1 + 2), "1998-01-01", "pixel_id", "date", "swc", {"match": 5, "smooth": 7}).select("pixel_id", "date", "swc", "anomaly")
+    out = perils.blended(obs, obs.withColumn("swc", F.col("swc") * 1.1 + 2), "1998-01-01", "pixel_id", "date", "swc", {"match": 5, "smooth": 7})
+    return out.select("pixel_id", "date", F.round("swc", 6).alias("swc"), F.round("anomaly", 6).alias("anomaly"))
 
 
 @query("stream_daily", "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
