@@ -45,13 +45,42 @@ def circular_pool(targets: DataFrame, obs: DataFrame, keys: list[str], level: st
     return wide.join(obs.withColumnRenamed(level, "_level"), [*keys, "_level"]).drop("_level")
 
 
+def pools(obs: DataFrame, keys: list[str], level: str, value: str, w: int, cycle: int | None = 365, first: int = 1, other: DataFrame | None = None) -> DataFrame:
+    """``(keys, level, pool)``: for each level of ``obs`` the values within ``w`` of it, wrapping around, as a sorted array; with ``other`` also its pool ``other_pool``.
+
+    The values are shuffled once. A group's levels come together in one row, which holds its values by level (a cycle times the years), and each pool is put together
+    from that row, so no value is sent to every level that it counts for.
+    """
+    both = obs.select(*keys, level, F.col(value).alias("_a"), F.lit(None).cast("double").alias("_b"), F.lit(True).alias("_own"))
+    if other is not None:
+        both = both.unionByName(other.select(*keys, level, F.lit(None).cast("double").alias("_a"), F.col(value).alias("_b"), F.lit(False).alias("_own")))
+    lists = both.groupBy(*keys, level).agg(F.struct(F.collect_list("_a").alias("a"), F.collect_list("_b").alias("b")).alias("_of"), F.max("_own").alias("_own"))
+    cells = lists.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(level, "_of"))).alias("_m"), F.collect_list(F.when(F.col("_own"), F.col(level))).alias("_levels"))
+    near = lambda x: F.array_distinct(F.transform(F.sequence(F.lit(-w), F.lit(w)), lambda k: wrapped(x + k, cycle, first)))
+    pool = lambda x, side: F.array_sort(F.flatten(F.transform(near(x), lambda y: F.coalesce(F.col("_m")[y][side], F.array().cast("array<double>")))))
+    row = lambda x: F.struct(x.alias(level), pool(x, "a").alias("pool"), *([pool(x, "b").alias("other_pool")] if other is not None else []))
+    return cells.select(*keys, F.inline(F.transform("_levels", row)))
+
+
+def linear_quantile(ref: Column, q: Column) -> Column:
+    """Quantile of a sorted array, for a level that differs by row."""
+    h = (F.size(ref) - 1) * q
+    i = F.floor(h).cast("int")
+    a = F.get(ref, i)
+    return F.when(i + 1 < F.size(ref), a + (h - i) * (F.get(ref, i + 1) - a)).otherwise(a)
+
+
 def windowed_climatology(obs: DataFrame, keys: list[str], level: str, value: str, w: int, quantiles: list[float] = (), cycle: int | None = 365, first: int = 1) -> DataFrame:
     """Statistics of each level's pool: ``quantiles``, or mean, deviation, extremes and median. ``cycle`` and ``first``: 365 days from 1, 52 weeks
     or 12 months from 1, 24 hours from 0; None for years."""
-    targets = obs.select(*keys, level).distinct()
-    pool = circular_pool(targets, obs.select(*keys, level, value), keys, level, w, cycle, first)
-    aggs = [F.percentile(value, F.lit(q)).alias(f"p{round(100 * q):02d}") for q in quantiles] or [F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"), F.percentile(value, F.lit(0.5)).alias("median")]
-    return pool.groupBy(*keys, level).agg(*aggs, F.count(value).alias("n"))
+    own = pools(obs, keys, level, value, w, cycle, first)
+    n, add = F.size("pool"), lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+    if quantiles:
+        stats = [linear_quantile(F.col("pool"), F.lit(q)).alias(f"p{round(100 * q):02d}") for q in quantiles]
+        return own.select(*keys, level, *stats, n.cast("long").alias("n"))
+    own = own.withColumn("mean", F.try_divide(add("pool"), n))
+    spread = F.sqrt(F.try_divide(add(F.transform("pool", lambda v: (v - F.col("mean")) * (v - F.col("mean")))), n))
+    return own.select(*keys, level, "mean", spread.alias("std"), F.get("pool", F.lit(0)).alias("min"), F.get("pool", n - 1).alias("max"), linear_quantile(F.col("pool"), F.lit(0.5)).alias("median"), n.cast("long").alias("n"))
 
 
 def looked_up(obs: DataFrame, clim: DataFrame, levels: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rainfold.operators.climatology import circular_pool
+from rainfold.operators.climatology import linear_quantile, pools
 
 
 def fit(df: DataFrame, keys: list[str], value: str, dist: str) -> DataFrame:
@@ -249,14 +249,6 @@ def empirical_cdf(value: Column, ref: Column) -> Column:
     return F.when(value.isNull() | ref.isNull(), None).when((j == 0) | (n == 1), 0.0).when(j == n, 1.0).otherwise(inner)
 
 
-def linear_quantile(ref: Column, q: Column) -> Column:
-    """Quantile of a sorted array, for a level that differs by row."""
-    h = (F.size(ref) - 1) * q
-    i = F.floor(h).cast("int")
-    a = F.get(ref, i)
-    return F.when(i + 1 < F.size(ref), a + (h - i) * (F.get(ref, i + 1) - a)).otherwise(a)
-
-
 def cdf_matching(source: DataFrame, base: DataFrame, keys: list[str], date: str, value: str, w: int, least: int = 5) -> DataFrame:
     """Maps ``value`` to the base's quantile at its position in its own pool; pools hold the days within ``w`` of the year, over all years.
 
@@ -264,9 +256,7 @@ def cdf_matching(source: DataFrame, base: DataFrame, keys: list[str], date: str,
     """
     doy = F.dayofyear(date).cast("long")
     own, other = (d.withColumn("doy", doy).where(F.col(value).isNotNull()).select(*keys, "doy", value) for d in (source, base))
-    targets = own.select(*keys, "doy").distinct()
-    pool = lambda d, name: circular_pool(targets, d, keys, "doy", w).groupBy(*keys, "doy").agg(F.array_sort(F.collect_list(value)).alias(name))
-    pools = pool(own, "_s").join(pool(other, "_b"), [*keys, "doy"])
-    q = F.size(F.filter("_s", lambda s: s <= F.col(value))) / F.size("_s")
-    matched = F.when((F.size("_s") >= least) & (F.size("_b") >= least), linear_quantile(F.col("_b"), q))
-    return source.withColumn("doy", doy).join(pools, [*keys, "doy"]).withColumn("matched", matched).drop("_s", "_b")
+    both = pools(own, keys, "doy", value, w, other=other)
+    q = F.size(F.filter("pool", lambda s: s <= F.col(value))) / F.size("pool")
+    matched = F.when((F.size("pool") >= least) & (F.size("other_pool") >= least), linear_quantile(F.col("other_pool"), q))
+    return source.withColumn("doy", doy).join(both, [*keys, "doy"]).withColumn("matched", matched).drop("pool", "other_pool")
