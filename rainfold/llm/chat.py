@@ -77,10 +77,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """Finished conversations as a log: every row a delta of a turn of its own, by turn."""
+    """Finished conversations as the log that would have led to them, by turn; every row is a turn of its own.
+
+    A text was streamed as two deltas; of an assistant's only the first half, which an edit then replaced by the whole.
+    """
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long").alias("at"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    seq = F.row_number().over(Window.partitionBy("conv_id").orderBy("at", "role", "text"))
-    return rows.select("conv_id", seq.cast("long").alias("seq"), "role", "text").withColumns({"turn": F.col("seq"), "kind": F.lit("delta")})
+    turn = F.row_number().over(Window.partitionBy("conv_id").orderBy("at", "role", "text")).cast("long")
+    half = F.floor(F.length("text") / 2).cast("int")
+    event = lambda n, kind, text: F.struct(F.lit(n).alias("n"), F.lit(kind).alias("kind"), text.alias("part"))
+    second = F.when(F.col("role") == "assistant", event(1, "edit", F.col("text"))).otherwise(event(1, "delta", F.substr("text", half + 1)))
+    events = rows.withColumn("turn", turn).select("conv_id", "turn", "role", F.inline(F.array(event(0, "delta", F.substr("text", F.lit(1), half)), second)))
+    return events.select("conv_id", (2 * F.col("turn") + F.col("n")).alias("seq"), "role", F.col("part").alias("text"), "turn", "kind")
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
