@@ -14,6 +14,8 @@ another.
    binary search for their common extension over prefix polynomial hashes, so a comparison is logarithmic in the length.
    Neighbours that agree in LENGTH bytes, checked byte by byte, are repeats.
 
+All this is done twice, first for passages of ``PASSAGE`` bytes, which are only counted, and for LENGTH among the texts that have any.
+
 Nulls: a null text is empty. Rows that share a doc_id, or have none, are documents of their own; equal rows repeat each
 other. Other columns of the input are left alone. A text of any length is hashed in chunks of bounded size. An empty table gives
 an empty result.
@@ -34,6 +36,8 @@ from rainfold.llm.common import Scratch, arrow_schema, batch_of, table
 from rainfold.llm.winnow import KEY, LAST, candidates, cut, keyed, lines, prefix_hashes, range_hash, with_source
 
 LENGTH, GRAM = 400, 32
+#: Bytes of a repeated passage that is told of though it may be too short to go: some 40 words.
+PASSAGE = 240
 #: Starts in a block, each a multiple of the next; blocks of a core that one task may gather, and blocks sorted at a time.
 BLOCKS, GROUP, TOGETHER = (64, 8, 1), 4096, 256
 VALUES = np.random.default_rng(9).integers(0, 1 << 64, 256, np.uint64)
@@ -114,8 +118,11 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, groups: np.ndarray, lengt
     return order, prefix
 
 
-def repeats(blocks: list[tuple], length: int) -> list[tuple[int, int, int, int]]:
-    """(doc_id, tie, start, end) of the windows that repeat among (group, doc_id, tie, start, windows, bytes) sorted by group."""
+def repeats(blocks: list[tuple], length: int) -> list[tuple[int, int, int, int, bool]]:
+    """(doc_id, tie, start, end, later) of the windows that repeat among (group, doc_id, tie, start, windows, bytes) sorted by them.
+
+    Equal windows keep their order in the sort, so all but the first of them come after an equal one; those are ``later``.
+    """
     data = np.frombuffer(b"".join(b[-1] for b in blocks), np.uint8)
     sizes = np.array([len(b[-1]) for b in blocks])
     bounds = np.cumsum(sizes) - sizes
@@ -129,13 +136,16 @@ def repeats(blocks: list[tuple], length: int) -> list[tuple[int, int, int, int]]
     at = np.flatnonzero((group[block[a]] == group[block[b]]) & (common_extension(prefix, starts[a], starts[b], length) == length))
     a, b = a[at], b[at]
     windows = np.lib.stride_tricks.sliding_window_view(data, length)
-    hit = np.zeros(len(starts), bool)
+    first, later = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
     for i in range(0, len(a), 4096):
         p, q = a[i : i + 4096], b[i : i + 4096]
         real = (windows[starts[p]] == windows[starts[q]]).all(axis=1)
-        hit[p[real]] = hit[q[real]] = True
-    found = [(*blocks[i][1:3], blocks[i][3] + int(k)) for i, k in zip(block[hit].tolist(), shift[hit])]
-    return runs([(*w, w[2] + length) for w in found])
+        first[p[real]] = later[q[real]] = True
+    out = []
+    for hit, of in ((first & ~later, False), (later, True)):
+        found = [(*blocks[i][1:3], blocks[i][3] + int(k)) for i, k in zip(block[hit].tolist(), shift[hit])]
+        out += [(*span, of) for span in runs([(*w, w[2] + length) for w in found])]
+    return out
 
 
 def runs(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -174,8 +184,11 @@ def block_bytes(length: int):
     return of
 
 
+SPANS = "doc_id long, tie long, a long, b long, later boolean"
+
+
 def sorted_repeats(length: int):
-    schema = arrow_schema("doc_id long, tie long, a long, b long")
+    schema = arrow_schema(SPANS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -192,7 +205,7 @@ def sorted_repeats(length: int):
 
 
 def sorted_spans(docs: DataFrame, slices: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    """``(doc_id, tie, a, b)``: repeats among windows of the slices ``(doc_id, tie, a, windows, d)``."""
+    """SPANS of the repeats among windows of the slices ``(doc_id, tie, a, windows, d)``."""
     parts, place = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), F.struct(*KEY, "a")
     chosen = None
     grids = [b for b in BLOCKS if b == 1 or b <= length // 6]
@@ -211,23 +224,24 @@ def sorted_spans(docs: DataFrame, slices: DataFrame, scratch: Scratch, length: i
         slices = shared.where(F.col("n") > GROUP)
     schema = "core long, part long, a long, windows int, bytes binary"
     blocks = cut(docs, chosen, "core long, part long, a long, windows int", block_bytes(length), schema).select("core", "part", *KEY, "a", "windows", "bytes")
-    return blocks.repartition(parts, "core", "part").sortWithinPartitions("core", "part", *KEY, "a").mapInArrow(sorted_repeats(length), "doc_id long, tie long, a long, b long")
+    return blocks.repartition(parts, "core", "part").sortWithinPartitions("core", "part", *KEY, "a").mapInArrow(sorted_repeats(length), SPANS)
 
 
-def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
-    """``(doc_id, tie, a, b, bytes)``: byte ranges to remove, if they hold ``bytes`` or that is null."""
+def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, tie, a, b, later, bytes)``: byte ranges that repeat, if they hold ``bytes`` or that is null, ``later`` if they also start earlier; and the keys that have any."""
     found = candidates(docs, byte_units, length, gram, scratch)
     place = F.struct(*KEY, "s0")
     kinds = scratch.write(found.groupBy("g", "h").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("more").alias("more"), F.first("rel").alias("rel")))
     several = scratch.write(kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g"))
-    whole = found.join(kinds.where("first <> last").select("g", "h", "first", "last"), ["g", "h"]).withColumn("other", F.when(place == F.col("first"), F.col("last")).otherwise(F.col("first")))
-    whole = whole.select(*KEY, F.col("s0").alias("a"), (F.col("s0") + F.col("more") + length).alias("b"), F.col("other.doc_id").alias("from_doc"), F.col("other.tie").alias("from_tie"), F.col("other.s0").alias("from_a"))
-    joined = scratch.write(lines(whole))
+    whole = found.join(kinds.where("first <> last").select("g", "h", "first", "last"), ["g", "h"]).withColumn("later", place != F.col("first"))
+    whole = whole.withColumn("other", F.when(F.col("later"), F.col("first")).otherwise(F.col("last")))
+    whole = whole.select(*KEY, "later", F.col("s0").alias("a"), (F.col("s0") + F.col("more") + length).alias("b"), F.col("other.doc_id").alias("from_doc"), F.col("other.tie").alias("from_tie"), F.col("other.s0").alias("from_a"))
+    joined = scratch.write(lines(whole, "later"))
     mixed = kinds.join(several, "g").select("first.doc_id", "first.tie", F.col("first.s0").alias("a"), (F.col("more") + 1).alias("windows"), F.col("rel").alias("d"))
     spans = scratch.write(sorted_spans(docs, mixed, scratch, length))
     scratch.drop(found, kinds, several)
-    whole = with_source(joined, docs, slice_bytes, "bytes binary").select(*KEY, "a", "b", "bytes")
-    return whole.unionByName(spans.withColumn("bytes", F.lit(None).cast("binary")))
+    whole = with_source(joined, docs, slice_bytes, "bytes binary").select(*KEY, "a", "b", "later", "bytes")
+    return whole.unionByName(spans.withColumn("bytes", F.lit(None).cast("binary"))), joined.select(*KEY).union(spans.select(*KEY)).distinct()
 
 
 def confirmed(data: bytes, spans: list[dict], length: int) -> list[tuple[int, int]]:
@@ -243,9 +257,10 @@ def confirmed(data: bytes, spans: list[dict], length: int) -> list[tuple[int, in
     return out
 
 
-def without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
-    own = spans.groupBy(*KEY).agg(F.collect_list(F.struct("a", "b", "bytes")).alias("spans"))
-    ddl = "doc_id long, n long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+def without(docs: DataFrame, spans: DataFrame, length: int, passage: int) -> DataFrame:
+    """The result for every row that ``docs(doc_id, tie, text, n)`` stands for; spans are of ``passage`` or, where ``long``, of ``length``."""
+    own = spans.groupBy(*KEY).agg(F.collect_list(F.struct("a", "b", "bytes", "later", "long")).alias("spans"))
+    ddl = "doc_id long, n long, n_bytes long, n_removed long, n_spans long, n_passage_bytes long, kept_sha256 string, kept binary"
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +269,8 @@ def without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
                 rows = []
                 for doc_id, text, n, spans in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
                     data, kept, end = raw(text), [], 0
-                    gone = confirmed(data, spans or [], length)
+                    gone = confirmed(data, [x for x in spans or () if x["long"]], length)
+                    said = confirmed(data, [x for x in spans or () if x["later"] and not x["long"]], passage)
                     if n > 1 and len(data) >= length:
                         gone.append((0, len(data)))
                     gone = runs([(0, 0, a, b) for a, b in gone])
@@ -262,18 +278,29 @@ def without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
                         kept.append(data[end:a])
                         end = b
                     rest = b"".join([*kept, data[end:]])
-                    rows.append((doc_id, n, len(data), len(data) - len(rest), len(gone), sha256(rest).hexdigest(), rest))
+                    told = sum(b - a for *_, a, b in runs([(0, 0, a, b) for a, b in said]))
+                    rows.append((doc_id, 1, len(data), len(data) - len(rest), len(gone), told, sha256(rest).hexdigest(), rest))
+                    if n > 1:  # equal rows repeat the first one
+                        rows.append((doc_id, n - 1, *rows[-1][2:5], len(data) if len(data) >= passage else 0, *rows[-1][6:]))
                 yield batch_of(rows, schema)
 
     out = docs.join(own, KEY, "left").select("doc_id", "text", "n", "spans").mapInArrow(run, ddl)
     return out.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``; ``kept`` is the bytes that stay."""
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, passage: int = PASSAGE) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, n_passage_bytes, kept_sha256, kept)``; ``kept`` is the bytes that stay.
+
+    ``n_passage_bytes``: bytes covered by a string of ``passage`` bytes, at most ``length``, that also starts earlier (in a smaller key or further up). They tell of passages too short
+    to be removed. Only texts that hold a repeat of that length can hold a longer one, so only those are searched for them.
+    """
     scratch = Scratch(docs.sparkSession, "suffixes")
     docs = keyed(docs, scratch)
-    out = without(docs, repeated_spans(docs, scratch, length, gram), length)
+    short, keys = repeated_spans(docs, scratch, min(passage, length), gram)
+    some = scratch.write(docs.join(keys, KEY, "left_semi"))
+    long, _ = repeated_spans(some, scratch, length, gram)
+    spans = short.where("later").withColumn("long", F.lit(False)).unionByName(long.withColumn("long", F.lit(True)))
+    out = without(docs, spans, length, min(passage, length))
     return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
 
 

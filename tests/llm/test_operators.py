@@ -239,24 +239,29 @@ def test_phrases(spark, none):
 def test_suffixes(spark, none, monkeypatch, group):
     monkeypatch.setattr(suffixes, "GROUP", group)
     monkeypatch.setattr(suffixes, "BLOCKS", (4, 2, 1))
-    length, seen, rows = 30, defaultdict(set), every_row()
+    length, passage, seen, first, rows = 30, 18, defaultdict(set), {}, [(i, t or "") for i, t in every_row()]
+    ties = {r["text"]: r["h"] for r in spark.createDataFrame(rows, "doc_id long, text string").select("text", F.xxhash64("text").alias("h")).collect()}
     for i, (_, t) in enumerate(rows):
-        t = (t or "").encode()
+        t = t.encode()
         for k in range(len(t) - length + 1):
             seen[t[k : k + length]].add((i, k))
     want = []
-    for i, t in rows:
-        t = (t or "").encode()
+    for at, (i, t) in enumerate(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, ties[r[1]]))):
+        t = t.encode()
+        told = bytearray(len(t))
+        for k in range(len(t) - passage + 1):
+            if first.setdefault(t[k : k + passage], (at, k)) != (at, k):
+                told[k : k + passage] = b"\1" * passage
         mask = bytearray(len(t))
         for k in range(len(t) - length + 1):
             if len(seen[t[k : k + length]]) > 1:
                 mask[k : k + length] = b"\1" * length
         kept = bytes(c for c, m in zip(t, mask) if not m)
-        want.append((i, len(t), sum(mask), sum(1 for k in range(len(mask)) if mask[k] and (not k or not mask[k - 1])), hashlib.sha256(kept).hexdigest(), kept))
+        want.append((i, len(t), sum(mask), sum(1 for k in range(len(mask)) if mask[k] and (not k or not mask[k - 1])), sum(told), hashlib.sha256(kept).hexdigest(), kept))
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"tie": F.lit("x"), "n": F.lit(None), "spans": F.lit(1)})
-    assert Counter(tuple(r) for r in suffixes.dedup(table, length, 8).collect()) == Counter(want)
+    assert Counter(tuple(r) for r in suffixes.dedup(table, length, 8, passage).collect()) == Counter(want)
     if group > 2:
-        assert suffixes.dedup(none, length, 8).count() == 0
+        assert suffixes.dedup(none, length, 8, passage).count() == 0
 
 
 def test_suffix_order():
