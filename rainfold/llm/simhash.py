@@ -28,8 +28,8 @@ from rainfold.llm.common import Scratch, arrow_schema, components, per_text, tab
 
 #: Above this many distinct fingerprints a bucket is linked by full-width signatures, of which a fingerprint has 2016 at two bits.
 BUCKET = 128
-#: Shingle hashes held at once; in how many prefixes a shingle is frequent, and how many of those the prefixes put last.
-AT_ONCE, FREQUENT, OFTEN = 1 << 16, 8, 1 << 20
+#: Shingle hashes held at once; in how many of every STRIDE-th set a shingle is frequent, and how many of those the prefixes put last.
+AT_ONCE, FREQUENT, STRIDE, OFTEN = 1 << 16, 2, 8, 1 << 20
 #: Bits of the sketches by which pairs are told apart before their sets are compared.
 SKETCH = 512
 
@@ -256,12 +256,12 @@ def similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, le
 
 
 def index_of(texts: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
-    """The prefixes; shingles in many of a first version of them, ordered by hash alone, come last in their sets."""
-    index = scratch.write(prefixes(texts, words, least, np.empty(0, np.uint64)))
-    top = index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "key").limit(OFTEN).select("key").toPandas()["key"]
-    if not len(top):
-        return index
-    scratch.drop(index)
+    """The prefixes, in an order that puts frequent shingles last, so that few sets have one of them in their prefix.
+
+    Frequencies are those among one in ``STRIDE`` of the nodes, with all their shingles. The order only keeps the buckets small: any one meets every pair.
+    """
+    some = prefixes(texts.where(F.pmod(F.xxhash64("node"), F.lit(STRIDE)) == 0), words, 0.0, np.empty(0, np.uint64))
+    top = some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "key").limit(OFTEN).select("key").toPandas()["key"]
     return scratch.write(prefixes(texts, words, least, np.sort(top.to_numpy(np.int64).view(np.uint64))))
 
 
