@@ -149,15 +149,6 @@ def snap(points: DataFrame, axis: DataFrame, coordinate: str, axis_coordinate: s
     return _with_near(points, coordinate, axis, axis_coordinate).withColumn(axis_coordinate, _closest(F.col(coordinate), False)).drop("_near")
 
 
-def inside_ring(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
-    """Strictly inside a polygon, by ray casting, as one expression."""
-    odd = F.lit(False)
-    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
-        if y1 != y2:
-            odd = odd != (((y > y1) != (y > y2)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1))
-    return odd
-
-
 def ring_area(ring: list[tuple[float, float]]) -> float:
     """Area in km² on the sphere, by an equal-area projection."""
     points = [(6371.0088 * math.radians(x), 6371.0088 * math.sin(math.radians(y))) for x, y in ring]

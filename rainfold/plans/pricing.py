@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rainfold.operators import climatology, contract, portfolio, timeops
+from rainfold.operators import contract, portfolio, timeops
 from rainfold.plans.catalog import query
 from rainfold.sources.tables import LOSS, OBS, losses, observations, read
 
