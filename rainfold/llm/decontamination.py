@@ -140,6 +140,41 @@ def common_words(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def held_enough(met: list[tuple[np.ndarray, ...]], known: list[np.ndarray], first: np.ndarray, items: list[tuple[int, list[int]]], width: int) -> Iterator[tuple[int, int, float]]:
+    """Each (passage, item) once, with its largest cosine, where the words around the passage hold at least LOW of the item's; else no subsequence can be as long."""
+    passage, item, cosine = (np.concatenate(x) for x in zip(*met)) if met else (np.empty(0, np.int64),) * 3
+    if not len(passage):
+        return
+    code = passage * len(items) + item
+    order = np.argsort(code, kind="stable")
+    starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+    passage, item, cosine = passage[order][starts], item[order][starts], np.maximum.reduceat(cosine[order], starts)
+    size = np.array([len(words) for _, words in items])
+    flat, words = np.concatenate([w for _, w in items]), np.concatenate(known)
+    item_at, doc_at = np.cumsum(size) - size, np.concatenate(([0], np.cumsum([len(k) for k in known])))
+    rows = max(1, (1 << 25) // width)  # passages whose words are marked at once, 32 MB
+    ranges = lambda begin, n: np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    heads = np.flatnonzero(np.diff(passage, prepend=-1))
+    for at in range(0, len(heads), rows):
+        own = heads[at : at + rows]
+        end = heads[at + rows] if at + rows < len(heads) else len(passage)
+        p, i = passage[own[0] : end], item[own[0] : end]
+        row = np.cumsum(np.isin(np.arange(own[0], end), own)) - 1
+        reach = np.maximum.reduceat(size[i], own - own[0])
+        doc = np.searchsorted(first, passage[own], side="right") - 1
+        begin = doc_at[doc] + (passage[own] - first[doc]) * STRIDE
+        low, high = np.maximum(doc_at[doc], begin - reach), np.minimum(doc_at[doc + 1], begin + PASSAGE + reach)
+        there = np.zeros((len(own), width + 1), bool)
+        there[np.repeat(np.arange(len(own)), high - low), words[ranges(low, high - low)]] = True  # words without a number, -1, fall on the last column
+        ends = np.cumsum(size[i])
+        cuts = np.unique(np.concatenate(([0], np.searchsorted(ends, np.arange(1 << 21, ends[-1], 1 << 21)), [len(i)])))
+        for b, c in zip(cuts, cuts[1:]):  # pairs of some two million words of items at a time
+            n = size[i[b:c]]
+            held = np.add.reduceat(there[np.repeat(row[b:c], n), flat[ranges(item_at[i[b:c]], n)]], np.cumsum(n) - n, dtype=np.int64)
+            for k in (b + np.flatnonzero(held >= LOW * n)).tolist():
+                yield int(p[k]), int(i[k]), float(cosine[own[0] + k])
+
+
 def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = False) -> DataFrame:
     """SCHEMA rows of the documents that hold an item; with ``drop`` instead the rows of ``docs``, with all columns, that hold none."""
     numbers: dict[bytes, int] = {}
@@ -171,22 +206,18 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = F
                 vectors = sums[:-1] + np.where(ends[1:, None], 0, sums[1:])
                 norms = np.linalg.norm(vectors, axis=1)
                 long_enough = np.flatnonzero((norms >= REACH * shortest) & (norms > 0))
-                found: dict[tuple[int, int], float] = {}
+                met: list[tuple[np.ndarray, ...]] = []
                 for a in range(0, len(long_enough), 4096):
                     some = long_enough[a : a + 4096]
                     product = vectors[some] @ queries.T
                     p, q = np.nonzero((product >= REACH * lengths * lengths) & (product >= COSINE * norms[some, None] * lengths))
-                    for x, y, cosine in zip(some[p].tolist(), owner[q].tolist(), (product[p, q] / norms[some[p]] / lengths[q]).tolist()):
-                        found[x, y] = max(found.get((x, y), 0.0), cosine)
+                    met.append((some[p], owner[q], product[p, q] / norms[some[p]] / lengths[q]))
                 best: dict[tuple[int, int], tuple] = {}
-                for (p, i), cosine in found.items():
+                for p, i, cosine in held_enough(met, known, first, coded, len(numbers)):
                     doc = int(np.searchsorted(first, p, side="right")) - 1
                     item_id, item = coded[i]
                     begin = (p - int(first[doc])) * STRIDE
                     around = known[doc][max(0, begin - len(item)) : begin + PASSAGE + len(item)].tolist()
-                    there = set(around)
-                    if sum(w in there for w in item) < LOW * len(item):
-                        continue  # no subsequence can be as long
                     lcs = common_words(item, around) / len(item)
                     if lcs >= LOW:
                         answer = item[-max(1, len(item) // 4) :]
