@@ -5,9 +5,11 @@ from __future__ import annotations
 import warnings
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rainfold.sources.scratch import written
+
 #: Names under which a source may carry a variable. Fixed values.
 ALIASES = {
     "swc": ["swc", "swvl1", "soil_water_content"],
@@ -87,10 +89,23 @@ def registered(df: DataFrame, defaults: dict) -> DataFrame:
     return df.withColumns({"rate": F.when(loan, F.col("rate")), "term": F.when(loan, F.col("term")), "size_ha": F.when(~loan, F.col("size_ha"))})
 
 
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """Numbers from 1 in an order: rows are dealt out by range and sorted there, and the ranges before a row's own give its offset.
+
+    The other columns break ties. The driver sees one count a partition. A key that many rows share makes its own range large unless
+    the other columns tell its rows apart.
+    """
+    ties = [F.col(f"`{c}`") for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    placed = written(df.repartitionByRange(*order, *ties).sortWithinPartitions(*order, *ties).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    sizes = dict(placed.groupBy(F.shiftright("_at", 33)).count().collect())
+    before = [(k, sum(n for j, n in sizes.items() if j < k)) for k in sizes]
+    offsets = df.sparkSession.createDataFrame(before, "_range long, _before long")
+    within = F.col("_at").bitwiseAND((1 << 33) - 1)
+    return placed.withColumn("_range", F.shiftright("_at", 33)).join(F.broadcast(offsets), "_range").withColumn(name, F.col("_before") + within + 1).drop("_range", "_before", "_at")
+
+
 def with_ids(df: DataFrame, order: list, prefix: str = "ID-", least: int = 3) -> DataFrame:
-    """Consecutive ids in an order. Rows are numbered within ranges of the first key, whose sizes give the offsets, so no task sorts all rows."""
-    first = order[0]
-    sizes = df.groupBy(first).agg(F.count("*").alias("_size")).withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    width = max(len(str(df.count())), least)
-    number = F.col("_before") + F.row_number().over(Window.partitionBy(first).orderBy(*order))
-    return df.join(sizes, first).withColumn("location_id", F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))).drop("_size", "_before")
+    """Consecutive ids in an order, as wide as the last one."""
+    rows = numbered(df, order, "_number")
+    width = F.lit(max(len(str(rows.count())), least))
+    return rows.withColumn("location_id", F.concat(F.lit(prefix), F.lpad(F.col("_number").cast("string"), width, "0"))).drop("_number")
