@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rainfold.llm.chat import OP3_SQL, op3_chat
+from rainfold.llm.clusters import OP13_SQL, op13_clusters
 from rainfold.llm.decontamination import op1_decontamination
 from rainfold.llm.licenses import op6_licenses
 from rainfold.llm.packing import op2_packing
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
+    "op13_clusters": op13_clusters,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op10_phrases": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op10_phrases": OP10_SQL, "op13_clusters": OP13_SQL}
