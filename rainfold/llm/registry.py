@@ -10,6 +10,7 @@ from rainfold.llm.chat import OP3_SQL, op3_chat
 from rainfold.llm.clusters import OP13_SQL, op13_clusters
 from rainfold.llm.decontamination import op1_decontamination
 from rainfold.llm.licenses import op6_licenses
+from rainfold.llm.mixing import OP12_SQL, op12_mixing
 from rainfold.llm.packing import op2_packing
 from rainfold.llm.phrases import OP10_SQL, op10_phrases
 from rainfold.llm.quality_model import op5_quality_model
@@ -29,7 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
+    "op12_mixing": op12_mixing,
     "op13_clusters": op13_clusters,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op10_phrases": OP10_SQL, "op13_clusters": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op10_phrases": OP10_SQL, "op12_mixing": OP12_SQL, "op13_clusters": OP13_SQL}
