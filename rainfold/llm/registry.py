@@ -18,6 +18,7 @@ from rainfold.llm.quality_rules import op8_quality_rules
 from rainfold.llm.secrets import op7_secrets
 from rainfold.llm.simhash import op4_simhash
 from rainfold.llm.suffixes import op9_suffixes
+from rainfold.llm.turns import op11_turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffixes": op9_suffixes,
     "op10_phrases": op10_phrases,
+    "op11_turns": op11_turns,
     "op12_mixing": op12_mixing,
     "op13_clusters": op13_clusters,
 }
