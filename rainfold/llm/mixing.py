@@ -5,8 +5,8 @@
 2. Blocks. A source's documents are shuffled by a hash of doc_id and text and laid end to end, up to REPEATS times over; every ``BLOCK`` words are a block, of which
    the source gives as many as its target fills, the last one cut at the target. So what is taken of a source is its target, rounded.
 3. Schedule. A slot for each block of all sources: slot n has the golden-ratio point ``frac(n / phi)``, in 40 bits, and belongs to the source in whose part of the cumulative numbers of blocks
-   it lies. The slots of a source are ranked, and its r-th slot takes its r-th block, an equality join. The sequence leaves a source a few slots too many or too few: surplus
-   ones go, and the missing ones follow at the end.
+   it lies. The slots of a source are ranked, and its r-th slot takes its r-th block, an equality join. The sequence gives a source a few slots too many or too few: the blocks
+   that still have none take the surplus ones.
 
 Every running number, of words, slots and sources, is a sum within one of at most ``BUCKETS`` buckets of a source, by hash or place, plus that of the buckets before, so a source of any share
 of the rows is dealt out evenly. Only rows without texts are shuffled; sums of few numbers come to the driver.
@@ -18,7 +18,7 @@ names. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rainfold.functions.scalars import numbered
@@ -31,7 +31,7 @@ GOLDEN = int((1 << BITS) * (5**0.5 - 1) / 2) | 1
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
-def running(df: DataFrame, keys: list[str], bucket: str, order: str, value: str, name: str) -> DataFrame:
+def running(df: DataFrame, keys: list[str], bucket: str, order: str | Column, value: str, name: str) -> DataFrame:
     """Adds the sum of ``value`` over the rows of the same keys before a row, in order of ``bucket`` and within it of ``order``."""
     ahead = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     sums = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_sum"))
@@ -82,12 +82,15 @@ def schedule(sources: DataFrame, scratch: Scratch) -> DataFrame:
     slots = sources.sparkSession.range(n).select(F.col("id").alias("slot"), point.alias("point")).withColumn("cell", F.shiftright("point", BITS - bits))
     slots = slots.join(scratch.sized(cells), "cell").where("low <= point and point < high")
     slots = scratch.write(slots.select("slot", "src", "blocks", F.floor(F.col("slot") / max(1, -(-n // BUCKETS))).alias("bucket"), F.lit(1).cast("long").alias("one")))
-    ranked = running(slots, ["src"], "bucket", "slot", "one", "block").where("block < blocks").select("slot", "src", "block")
+    ranked = scratch.write(running(slots, ["src"], "bucket", "slot", "one", "block"))
+    spare = scratch.write(ranked.where("block >= blocks").select("slot", "src", "one", F.shiftright("src", 12).alias("bucket")))
+    spare = running(spare, [], "bucket", F.struct("src", "slot"), "one", "nth").select("nth", "slot")
     have = slots.groupBy("src").agg(F.count("*").alias("have"))
     short = sources.join(have, "src", "left").withColumn("have", F.coalesce("have", F.lit(0))).withColumn("short", F.col("blocks") - F.col("have")).where("short > 0")
     short = scratch.write(short.select("src", "have", "short", F.shiftright("src", 12).alias("bucket")))
     late = running(short, [], "bucket", "src", "short", "before").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("short") - 1)))
-    return ranked.unionByName(late.select((n + F.col("before") + F.col("i")).alias("slot"), "src", (F.col("have") + F.col("i")).alias("block")))
+    late = late.select("src", (F.col("have") + F.col("i")).alias("block"), (F.col("before") + F.col("i")).alias("nth")).join(spare, "nth")
+    return ranked.where("block < blocks").select("slot", "src", "block").unionByName(late.select("slot", "src", "block"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -148,7 +151,8 @@ r AS (
     SELECT t.src, t.blocks, coalesce(h.have, 0) AS have FROM t LEFT JOIN (SELECT src, count(*) AS have FROM z GROUP BY src) h USING (src)) WHERE blocks > have
 ), slots AS MATERIALIZED (
   SELECT slot, src, block FROM z WHERE block < blocks
-  UNION ALL SELECT (SELECT sum(blocks) FROM t) + before + i, src, have + i FROM (SELECT *, unnest(range(CAST(short AS BIGINT))) AS i FROM short)
+  UNION ALL SELECT y.slot, x.src, x.have + x.i FROM (SELECT *, unnest(range(CAST(short AS BIGINT))) AS i FROM short) x
+    JOIN (SELECT slot, row_number() OVER (ORDER BY src, slot) - 1 AS nth FROM z WHERE block >= blocks) y ON y.nth = x.before + x.i
 ), o AS (
   SELECT row_number() OVER () AS id, d.*, t.src, t.n, t.target, t.quota,
     coalesce(sum(size) OVER (PARTITION BY t.src ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
