@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def daily_climatology(obs: DataFrame, key: str, date: str, value: str, years: tuple[int, int]) -> DataFrame:
@@ -45,21 +50,32 @@ def circular_pool(targets: DataFrame, obs: DataFrame, keys: list[str], level: st
     return wide.join(obs.withColumnRenamed(level, "_level"), [*keys, "_level"]).drop("_level")
 
 
-def pools(obs: DataFrame, keys: list[str], level: str, value: str, w: int, cycle: int | None = 365, first: int = 1, other: DataFrame | None = None) -> DataFrame:
-    """``(keys, level, pool)``: for each level of ``obs`` the values within ``w`` of it, wrapping around, as a sorted array; with ``other`` also its pool ``other_pool``.
+def sliding(levels: np.ndarray, values: np.ndarray, targets: np.ndarray, w: int, cycle: int | None = 365, first: int = 1) -> Iterator[np.ndarray]:
+    """For each target level the values within ``w`` of it, wrapping around, in order. Each level's values are sorted once; a window merges what is sorted already."""
+    known = ~np.isnan(values)
+    levels, values = levels[known], values[known]
+    order = np.lexsort((values, levels))
+    own, starts = np.unique(levels[order], return_index=True)
+    runs = dict(zip(own.tolist(), np.split(values[order], starts[1:])))
+    none = np.empty(0)
+    for x in targets.tolist():
+        near = dict.fromkeys(x + k if cycle is None else (x + k - first) % cycle + first for k in range(-w, w + 1))
+        yield np.sort(np.concatenate([none, *(runs[y] for y in near if y in runs)]), kind="stable")
+
+
+def quantile_of(pool: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Quantiles of a sorted array, interpolated linearly; NaN of an empty one."""
+    if not len(pool):
+        return np.full(np.shape(q), np.nan)
+    h = (len(pool) - 1) * np.asarray(q)
+    i = np.floor(h).astype(np.int64)
+    a = pool[i]
+    return a + (h - i) * (pool[np.minimum(i + 1, len(pool) - 1)] - a)
+
 
-    The values are shuffled once. A group's levels come together in one row, which holds its values by level (a cycle times the years), and each pool is put together
-    from that row, so no value is sent to every level that it counts for.
-    """
-    both = obs.select(*keys, level, F.col(value).alias("_a"), F.lit(None).cast("double").alias("_b"), F.lit(True).alias("_own"))
-    if other is not None:
-        both = both.unionByName(other.select(*keys, level, F.lit(None).cast("double").alias("_a"), F.col(value).alias("_b"), F.lit(False).alias("_own")))
-    lists = both.groupBy(*keys, level).agg(F.struct(F.collect_list("_a").alias("a"), F.collect_list("_b").alias("b")).alias("_of"), F.max("_own").alias("_own"))
-    cells = lists.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(level, "_of"))).alias("_m"), F.collect_list(F.when(F.col("_own"), F.col(level))).alias("_levels"))
-    near = lambda x: F.array_distinct(F.transform(F.sequence(F.lit(-w), F.lit(w)), lambda k: wrapped(x + k, cycle, first)))
-    pool = lambda x, side: F.array_sort(F.flatten(F.transform(near(x), lambda y: F.coalesce(F.col("_m")[y][side], F.array().cast("array<double>")))))
-    row = lambda x: F.struct(x.alias(level), pool(x, "a").alias("pool"), *([pool(x, "b").alias("other_pool")] if other is not None else []))
-    return cells.select(*keys, F.inline(F.transform("_levels", row)))
+def with_fields(df: DataFrame, columns: list[str], *added: str) -> StructType:
+    """The schema of some columns of ``df`` and further ``"name type"``."""
+    return StructType([df.schema[c] for c in columns] + StructType.fromDDL(", ".join(added)).fields)
 
 
 def linear_quantile(ref: Column, q: Column) -> Column:
@@ -72,15 +88,26 @@ def linear_quantile(ref: Column, q: Column) -> Column:
 
 def windowed_climatology(obs: DataFrame, keys: list[str], level: str, value: str, w: int, quantiles: list[float] = (), cycle: int | None = 365, first: int = 1) -> DataFrame:
     """Statistics of each level's pool: ``quantiles``, or mean, deviation, extremes and median. ``cycle`` and ``first``: 365 days from 1, 52 weeks
-    or 12 months from 1, 24 hours from 0; None for years."""
-    own = pools(obs, keys, level, value, w, cycle, first)
-    n, add = F.size("pool"), lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
-    if quantiles:
-        stats = [linear_quantile(F.col("pool"), F.lit(q)).alias(f"p{round(100 * q):02d}") for q in quantiles]
-        return own.select(*keys, level, *stats, n.cast("long").alias("n"))
-    own = own.withColumn("mean", F.try_divide(add("pool"), n))
-    spread = F.sqrt(F.try_divide(add(F.transform("pool", lambda v: (v - F.col("mean")) * (v - F.col("mean")))), n))
-    return own.select(*keys, level, "mean", spread.alias("std"), F.get("pool", F.lit(0)).alias("min"), F.get("pool", n - 1).alias("max"), linear_quantile(F.col("pool"), F.lit(0.5)).alias("median"), n.cast("long").alias("n"))
+    or 12 months from 1, 24 hours from 0; None for years. A cell's values (a cycle times the years) are one group, in which the window slides; nothing else is shuffled."""
+    names = [f"p{round(100 * q):02d}" for q in quantiles] or ["mean", "std", "min", "max", "median"]
+    own = obs.where(F.col(level).isNotNull()).select(*keys, level, F.col(value).cast("double").alias("_v"))
+    schema = with_fields(own, [*keys, level], *(f"{c} double" for c in names), "n long")
+
+    def cell(table: pa.Table) -> pa.Table:
+        levels = table.column(level).to_numpy()
+        targets, at = np.unique(levels, return_index=True)
+        stats = np.full((len(targets), len(names)), np.nan)
+        counts = []
+        for row, pool in zip(stats, sliding(levels, table.column("_v").to_numpy(), targets, w, cycle, first)):
+            counts.append(len(pool))
+            if len(pool):
+                row[:] = quantile_of(pool, np.array(quantiles)) if quantiles else (pool.mean(), pool.std(), pool[0], pool[-1], quantile_of(pool, 0.5))
+        out = table.take(pa.array(at)).drop_columns("_v")
+        for c, column in zip(names, stats.T):
+            out = out.append_column(c, pa.array(column, from_pandas=True))
+        return out.append_column("n", pa.array(counts, pa.int64()))
+
+    return own.groupBy(*keys).applyInArrow(cell, schema)
 
 
 def looked_up(obs: DataFrame, clim: DataFrame, levels: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ def validated(tail: str, design: str, levels: dict) -> dict[int, float]:
         raise ValueError(f"tail must be lower or upper, not {tail!r}")
     if design not in ("continuous", "layered"):
         raise ValueError(f"design must be continuous or layered, not {design!r}")
-    own = {int(k): float(v) for k, v in sorted(levels.items())}
+    own = dict(sorted((int(k), float(v)) for k, v in levels.items()))
     if not own:
         raise ValueError("a contract needs levels")
     if design == "continuous" and len(own) != 2:

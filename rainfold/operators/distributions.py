@@ -6,10 +6,11 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rainfold.operators.climatology import linear_quantile, pools
+from rainfold.operators.climatology import linear_quantile, quantile_of, sliding, with_fields
 
 
 def fit(df: DataFrame, keys: list[str], value: str, dist: str) -> DataFrame:
@@ -252,11 +253,24 @@ def empirical_cdf(value: Column, ref: Column) -> Column:
 def cdf_matching(source: DataFrame, base: DataFrame, keys: list[str], date: str, value: str, w: int, least: int = 5) -> DataFrame:
     """Maps ``value`` to the base's quantile at its position in its own pool; pools hold the days within ``w`` of the year, over all years.
 
-    A pool is built once for each group and day of the year, as a sorted array; NULL where either has under ``least`` values.
+    A group's rows of both sides meet in one task, where the window slides over them and each day's rows are placed at once, so no pool leaves its group. NULL
+    for a NULL value, and where either pool has under ``least`` values; every row of ``source`` stays.
     """
     doy = F.dayofyear(date).cast("long")
-    own, other = (d.withColumn("doy", doy).where(F.col(value).isNotNull()).select(*keys, "doy", value) for d in (source, base))
-    both = pools(own, keys, "doy", value, w, other=other)
-    q = F.size(F.filter("pool", lambda s: s <= F.col(value))) / F.size("pool")
-    matched = F.when((F.size("pool") >= least) & (F.size("other_pool") >= least), linear_quantile(F.col("other_pool"), q))
-    return source.withColumn("doy", doy).join(both, [*keys, "doy"]).withColumn("matched", matched).drop("pool", "other_pool")
+    own, other = source.withColumn("doy", doy), base.select(*(F.col(k).alias(f"_{k}") for k in keys), doy.alias("doy"), F.col(value).cast("double").alias(value))
+    schema = with_fields(own, own.columns, "matched double")
+
+    def cell(rows: pa.Table, reference: pa.Table) -> pa.Table:
+        numbers = lambda t, c: t.column(c).cast(pa.float64()).to_numpy()
+        days, values = numbers(rows, "doy"), numbers(rows, value)
+        order = np.argsort(days, kind="stable")
+        targets, starts = np.unique(days[order], return_index=True)
+        targets, groups = targets[~np.isnan(targets)], np.split(order, starts[1:]) if len(order) else []
+        matched = np.full(len(values), np.nan)
+        for at, a, b in zip(groups, sliding(days, values, targets, w), sliding(numbers(reference, "doy"), numbers(reference, value), targets, w)):
+            if min(len(a), len(b)) >= max(least, 1):
+                at = at[~np.isnan(values[at])]
+                matched[at] = quantile_of(b, np.searchsorted(a, values[at], side="right") / len(a))
+        return rows.append_column("matched", pa.array(matched, from_pandas=True))
+
+    return own.groupBy(*keys).cogroup(other.groupBy(*(f"_{k}" for k in keys))).applyInArrow(cell, schema)

@@ -239,7 +239,7 @@ def _(spark, d):
     return policy(spark, d).withColumn("trigger_value", F.round("trigger_value", 3))
 
 
-@query("policy_priced", f"""WITH {POLICY}, loc AS (SELECT CAST(s_suppkey AS BIGINT) AS location_id, CAST(s_nationkey AS BIGINT) AS pixel_id, CASE WHEN s_suppkey % 3 = 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN 'maize' ELSE 'wheat' END AS crop, 0.8 + 0.1 * (s_suppkey % 2) AS coverage, s_acctbal * (1.0 / 12 + 0.1) AS insured_value FROM supplier),
+@query("policy_priced", f"""WITH {POLICY}, loc AS (SELECT CAST(s_suppkey AS BIGINT) AS location_id, CAST(s_nationkey AS BIGINT) AS pixel_id, CASE WHEN s_suppkey % 3 = 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN 'maize' ELSE 'wheat' END AS crop, CAST(0.8 + 0.1 * (s_suppkey % 2) AS DOUBLE) AS coverage, s_acctbal * (1.0 / 12 + 0.1) AS insured_value FROM supplier),
 pay AS (SELECT DISTINCT location_id, pixel_id, "window", tail, crop, coverage, insured_value FROM sch JOIN loc USING (pixel_id))
 SELECT p.pixel_id, location_id, p."window", p.tail, p.pct, p.bound, loc.crop, round(pay.coverage, 4) AS coverage, round(pay.insured_value, 4) AS insured_value FROM pol p JOIN loc USING (pixel_id) LEFT JOIN pay USING (pixel_id, location_id, "window", tail, crop)""")
 def _(spark, d):
@@ -291,28 +291,29 @@ def _(spark, d):
     return repriced(spark, d).where("premium is not null").groupBy("tail", "design", "window_year", "value_type").agg(F.round(F.sum("premium"), 2).alias("premium"), F.round(F.sum("payout"), 2).alias("payout"))
 
 
-_MATCH = """{obs}, d AS (SELECT pixel_id, date, CAST(dayofyear(date) AS BIGINT) AS doy, swc FROM obs), s AS (SELECT * FROM d WHERE year(date) < 1998), b AS (SELECT * FROM d WHERE year(date) >= 1998),
+#: Every 23rd day of a cell has no value.
+_MATCH = """{obs}, d AS (SELECT pixel_id, date, CAST(dayofyear(date) AS BIGINT) AS doy, CASE WHEN (dayofyear(date) + pixel_id) % 23 > 0 THEN swc END AS swc FROM obs), s AS (SELECT * FROM d WHERE year(date) < 1998), b AS (SELECT * FROM d WHERE year(date) >= 1998),
 t AS (SELECT DISTINCT pixel_id, doy FROM s), wide AS (SELECT DISTINCT pixel_id, doy, ((doy + k - 1 + 365) % 365) + 1 AS lv FROM t, range(-5, 6) r(k)),
-sp AS (SELECT w.pixel_id, w.doy, list_sort(list(s.swc)) AS sv FROM wide w JOIN s ON s.pixel_id = w.pixel_id AND s.doy = w.lv GROUP BY ALL), bp AS (SELECT w.pixel_id, w.doy, list_sort(list(b.swc)) AS bv FROM wide w JOIN b ON b.pixel_id = w.pixel_id AND b.doy = w.lv GROUP BY ALL),
-q AS (SELECT s.pixel_id, s.date, sv, bv, len(list_filter(sv, lambda u: u <= s.swc)) / len(sv) AS q FROM s JOIN sp USING (pixel_id, doy) JOIN bp USING (pixel_id, doy)), h AS (SELECT *, (len(bv) - 1) * q AS h FROM q)
-SELECT pixel_id, date, CASE WHEN len(sv) >= 5 AND len(bv) >= 5 THEN round(CASE WHEN floor(h) + 1 < len(bv) THEN bv[CAST(floor(h) AS INT) + 1] + (h - floor(h)) * (bv[CAST(floor(h) AS INT) + 2] - bv[CAST(floor(h) AS INT) + 1]) ELSE bv[CAST(floor(h) AS INT) + 1] END, 4) END AS matched FROM h"""
+sp AS (SELECT w.pixel_id, w.doy, list_sort(list(s.swc)) AS sv FROM wide w JOIN s ON s.pixel_id = w.pixel_id AND s.doy = w.lv WHERE s.swc IS NOT NULL GROUP BY ALL), bp AS (SELECT w.pixel_id, w.doy, list_sort(list(b.swc)) AS bv FROM wide w JOIN b ON b.pixel_id = w.pixel_id AND b.doy = w.lv WHERE b.swc IS NOT NULL GROUP BY ALL),
+q AS (SELECT s.pixel_id, s.date, s.swc, sv, bv, len(list_filter(sv, lambda u: u <= s.swc)) / len(sv) AS q FROM s LEFT JOIN sp USING (pixel_id, doy) LEFT JOIN bp USING (pixel_id, doy)), h AS (SELECT *, (len(bv) - 1) * q AS h FROM q)
+SELECT pixel_id, date, CASE WHEN swc IS NOT NULL AND len(sv) >= 5 AND len(bv) >= 5 THEN round(CASE WHEN floor(h) + 1 < len(bv) THEN bv[CAST(floor(h) AS INT) + 1] + (h - floor(h)) * (bv[CAST(floor(h) AS INT) + 2] - bv[CAST(floor(h) AS INT) + 1]) ELSE bv[CAST(floor(h) AS INT) + 1] END, 4) END AS matched FROM h"""
 
 
 @query("cdf_matching", "WITH " + _MATCH.format(obs=OBS))
 def _(spark, d):
-    obs = observations(spark, d).select("pixel_id", "date", "swc")
+    obs = observations(spark, d).select("pixel_id", "date", F.when((F.dayofyear("date") + F.col("pixel_id")) % 23 > 0, F.col("swc")).alias("swc"))
     out = distributions.cdf_matching(obs.where(F.year("date") < 1998), obs.where(F.year("date") >= 1998), ["pixel_id"], "date", "swc", 5)
     return out.select("pixel_id", "date", F.round("matched", 4).alias("matched"))
 
 
 #: The anomalies of the blend: the later source mapped onto the base before 1998, the base from then on.
-_BLENDED = _MATCH.format(obs=OBS).replace("s AS (SELECT * FROM d WHERE year(date) < 1998), b AS (SELECT * FROM d WHERE year(date) >= 1998)", "s AS (SELECT * REPLACE (swc * 1.1 + 2 AS swc) FROM d), b AS (SELECT * FROM d)").replace("SELECT pixel_id, date, CASE WHEN len(sv)", ", m AS (SELECT pixel_id, date, CASE WHEN len(sv)").replace("round(CASE WHEN floor(h)", "(CASE WHEN floor(h)").replace("END, 4) END AS matched FROM h", "END) END AS matched FROM h)")
-_BLENDED += ", u AS (SELECT pixel_id, date, matched AS swc FROM m WHERE date < date '1998-01-01' UNION ALL SELECT pixel_id, date, swc FROM obs WHERE date >= date '1998-01-01')" + climate.ANOM.removeprefix(OBS).replace("FROM obs", "FROM u")
+_BLENDED = _MATCH.format(obs=OBS).replace("s AS (SELECT * FROM d WHERE year(date) < 1998), b AS (SELECT * FROM d WHERE year(date) >= 1998)", "s AS (SELECT * REPLACE (swc * 1.1 + 2 AS swc) FROM d), b AS (SELECT * FROM d)").replace("SELECT pixel_id, date, CASE WHEN swc IS NOT NULL", ", m AS (SELECT pixel_id, date, CASE WHEN swc IS NOT NULL").replace("round(CASE WHEN floor(h)", "(CASE WHEN floor(h)").replace("END, 4) END AS matched FROM h", "END) END AS matched FROM h)")
+_BLENDED += ", u AS (SELECT pixel_id, date, matched AS swc FROM m WHERE date < date '1998-01-01' UNION ALL SELECT pixel_id, date, swc FROM d WHERE date >= date '1998-01-01')" + climate.ANOM.removeprefix(OBS).replace("FROM obs", "FROM u")
 
 
 @query("peril_blended", f"WITH {_BLENDED} SELECT pixel_id, date, round(swc, 6) AS swc, round(a, 6) AS anomaly FROM anom")
 def _(spark, d):
-    obs = observations(spark, d)
+    obs = observations(spark, d).withColumn("swc", F.when((F.dayofyear("date") + F.col("pixel_id")) % 23 > 0, F.col("swc")))
     out = perils.blended(obs, obs.withColumn("swc", F.col("swc") * 1.1 + 2), "1998-01-01", "pixel_id", "date", "swc", {"match": 5, "smooth": 7})
     return out.select("pixel_id", "date", F.round("swc", 6).alias("swc"), F.round("anomaly", 6).alias("anomaly"))
 

@@ -240,7 +240,20 @@ def test_matching_follows_numpy(spark):
         assert got[day, x] == pytest.approx(np.quantile(b[pool], q))
 
 
+def test_matching_of_missing_values(spark):
+    """A missing value stays missing, whether its day has others or not; a group or day without a base keeps its rows."""
+    schema = "k string, d date, v double"
+    rows = [("a", date(2000 + i, 5, 5), float(i)) for i in range(5)] + [("a", date(2001, 5, 6), None), ("a", date(2001, 5, 5), None), ("a", date(2001, 9, 9), 1.0), ("b", date(2001, 5, 5), 1.0)]
+    base = [("a", date(2010 + i, 5, 5), 10.0 * i) for i in range(5)] + [("a", date(2010, 5, 4), None), ("c", date(2010, 5, 5), 1.0)]
+    out = distributions.cdf_matching(spark.createDataFrame(rows, schema), spark.createDataFrame(base, schema), ["k"], "d", "v", 1)
+    got = sorted((tuple(r) for r in out.select("k", "d", "v", "matched").collect()), key=str)
+    assert len(got) == len(rows)
+    assert {r[2]: r[3] for r in got if r[3] is not None} == {0.0: 8.0, 1.0: 16.0, 2.0: 24.0, 3.0: 32.0, 4.0: 40.0}
+    assert sum(r[3] is None for r in got) == 4
+
+
 def test_contract_terms():
+    assert list(contract.validated("lower", "continuous", {"5": 1.0, "10": 0.1})) == [5, 10]
     spec = {"deductions": 0.2, "windows": {1: {"upper": {"design": "layered", "levels": {80: 0.3, 90: 0.4}}, "lower": {"design": "continuous", "levels": {20: 0.1, 5: 0.9}, "target_loss_ratio": 0.6}}, 2: {"deductions": 0.05, "lower": {"design": "layered", "levels": {10: 0.4}}}}}
     got = [(e["window"], e["tail"], e["target_loss_ratio"], e["deductions"], e["gross"]) for e in contract.expanded(spec, [1, 2, 3])]
     assert got == [(1, "upper", 0.74, 0.2, pytest.approx((0.3 * 0.2 + 0.1 * 0.1) / 0.74 * 1.2)), (1, "lower", 0.6, 0.2, pytest.approx((0.1 * 0.2 + 0.8 * 0.125) / 0.6 * 1.2)), (2, "lower", 0.74, 0.05, pytest.approx(0.04 / 0.74 * 1.05))]
