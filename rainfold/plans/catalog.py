@@ -23,4 +23,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from rainfold.plans import climate, indices, pricing, rows  # noqa: E402, F401  they register their queries
+from rainfold.plans import climate, indices, pricing, rows, shapes  # noqa: E402, F401  they register their queries
