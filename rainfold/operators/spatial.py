@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainfold.functions import scalars
 from rainfold.sources.scratch import written
 
 
@@ -31,44 +33,65 @@ def enclosing_box(df: DataFrame, lon: str, lat: str, box: tuple[float, float, fl
     return df.where(F.col(lon).between(a, b) & F.col(lat).between(c, d))
 
 
-def _nearest(points: DataFrame, tiled, distance: Column, key: str, k: int, total: int, size: float, extent: float, ties: list[str], name: str) -> DataFrame:
-    """The ``k`` nearest candidates of each point: ``tiled(size)`` has them by the boxes of that size that they touch.
+#: Items that a tile may hold undivided, and bits of each axis that a level of tiles takes.
+LEAF, STEP = 64, 3
 
-    A point looks up its box and the eight around it, an equality join. Whatever is further away than ``size`` may be missing there, so a
-    point whose k-th neighbour is not within ``size`` is searched again in boxes twice as large, until a box spans ``extent``. Each
-    pass makes nine rows a point, and there are as many as ``extent`` holds doublings of ``size``.
-    """
-    around = F.array(*map(F.lit, (-1, 0, 1)))
-    out, left = None, points.where("lon is not null and lat is not null")
-    while True:
-        box = lambda c: F.floor(F.col(c) / size).cast("long")  # noqa: B023, E731
-        spread = left.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).withColumns({"_bx": box("lon") + F.col("_dx"), "_by": box("lat") + F.col("_dy")}).drop("_dx", "_dy")
-        met = spread.join(tiled(size), ["_bx", "_by"]).drop("_bx", "_by").withColumn("distance", distance).dropDuplicates([key, *ties])
-        order = Window.partitionBy(key).orderBy("distance", *ties)
-        ranked = met.withColumn("neighbor_rank", F.row_number().over(order) - 1).where(F.col("neighbor_rank") < k)
-        if size > extent or not total:
-            return ranked if out is None else out.unionByName(ranked)
-        own = Window.partitionBy(key)
-        sure = (F.count("*").over(own) >= min(k, total)) & (F.max("distance").over(own) <= size)
-        ranked = written(ranked.withColumn("_sure", sure), name)
-        done = ranked.where("_sure").drop("_sure")
-        out = done if out is None else out.unionByName(done)
-        left = written(left.join(done.select(key).distinct(), key, "left_anti"), name)
-        if left.isEmpty():
-            return out
-        size *= 2
 
+def _tree(items: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """Items with a ``_code``, whose leading bits name their tiles, and the number of levels of tiles.
 
-def _extent(*frames: DataFrame) -> float:
-    """The longer side of the box around all coordinates."""
-    rows = [df.agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first() for df in frames]
-    side = lambda i: [r[i + 1] for r in rows if r[i] is not None] and max(r[i + 1] for r in rows if r[i] is not None) - min(r[i] for r in rows if r[i] is not None)
-    return float(max(side(0) or 0.0, side(2) or 0.0))
+    Tiles come from the ranks of the items' middles along each axis, not from coordinates, so a few far ones don't put the others in one tile. The bits of both ranks
+    alternate in the code.
+    """
+    levels = min(10, -(-max(1, (total - 1).bit_length()) // STEP))
+    placed, bits = items.withColumns({"_mx": (F.col("_x0") + F.col("_x1")) / 2, "_my": (F.col("_y0") + F.col("_y1")) / 2}), STEP * levels
+    spare = max(0, (total - 1).bit_length() - bits)
+    for axis in ("_mx", "_my"):
+        ranks = scalars.numbered(placed.select(axis).distinct(), [axis], f"{axis}r").withColumn(f"{axis}r", F.shiftright(F.col(f"{axis}r") - 1, spare))
+        placed = placed.join(ranks, axis)
+    bit = lambda c, i, to: F.shiftleft(F.shiftright(c, i).bitwiseAND(F.lit(1).cast("long")), to)
+    code = reduce(lambda x, y: x.bitwiseOR(y), (bit(c, i, 2 * i + k) for i in range(bits) for k, c in enumerate(("_mxr", "_myr"))))
+    return written(placed.withColumn("_code", code).drop("_mx", "_my", "_mxr", "_myr"), "tree"), levels
+
+
+def _candidates(points: DataFrame, items: DataFrame, key: str, k: int) -> DataFrame:
+    """``points(lon, lat)`` with all ``items``, in boxes ``_x0`` to ``_y1``, that can be among their ``k`` nearest, and perhaps a few more.
+
+    Points go down a tree of tiles, level by level. From the boxes around the tiles' items a point knows how far ``k`` of them are at most, and leaves out the
+    tiles that are further away at least; a tile of at most LEAF items isn't divided. So a point meets few tiles a level and few items, whatever the density or distance.
+    """
+    total = items.count()
+    if total <= LEAF:  # all there are, a bounded table
+        return points.withColumn("_all", F.lit(0)).join(F.broadcast(items.withColumn("_all", F.lit(0))), "_all").drop("_all")
+    placed, levels = _tree(items, total)
+    gap = lambda c, low, high: F.greatest(F.col(low) - F.col(c), F.col(c) - F.col(high), F.lit(0.0))
+    reach = lambda c, low, high: F.greatest(F.abs(F.col(c) - F.col(low)), F.abs(F.col(c) - F.col(high)))
+    front = points.select(key, "lon", "lat", F.lit(0).cast("long").alias("_tile"))
+    kept = None
+    for level in range(levels):
+        shift = 2 * STEP * (levels - 1 - level)
+        tiles = placed.groupBy(F.shiftright("_code", shift).alias("_in")).agg(F.count("*").alias("_n"), *(f(c).alias(c) for f, c in ((F.min, "_x0"), (F.max, "_x1"), (F.min, "_y0"), (F.max, "_y1"))))
+        tiles = tiles.withColumn("_tile", F.shiftright("_in", 2 * STEP))
+        met = front.join(F.broadcast(tiles) if not level else tiles, "_tile").withColumns({"_least": F.hypot(gap("lon", "_x0", "_x1"), gap("lat", "_y0", "_y1")), "_most": F.hypot(reach("lon", "_x0", "_x1"), reach("lat", "_y0", "_y1"))})
+        met = met.select(key, "lon", "lat", F.lit(level).alias("_level"), F.col("_in").alias("_tile"), "_n", "_least", "_most", (F.col("_n") <= LEAF).alias("_done") if level < levels - 1 else F.lit(True).alias("_done"))
+        met = met if kept is None else kept.where("_done").unionByName(met)
+        own = Window.partitionBy(key)
+        met = met.withColumn("_sum", F.sum("_n").over(own.orderBy("_most", "_level", "_tile").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        met = met.withColumn("_bound", F.min(F.when(F.col("_sum") >= k, F.col("_most"))).over(own)).where("_bound is null or _least <= _bound * (1 + 1e-9D)").drop("_sum", "_bound")
+        kept = written(met, "tiles")
+        front = kept.where("not _done").select(key, "lon", "lat", "_tile")
+        if front.isEmpty():
+            break
+    parts = []
+    for (level,) in kept.select("_level").distinct().collect():
+        shift = 2 * STEP * (levels - 1 - level)
+        parts.append(kept.where(F.col("_level") == level).select(key, "_tile").join(placed.withColumn("_tile", F.shiftright("_code", shift)), "_tile").drop("_tile", "_code"))
+    return points.join(reduce(DataFrame.unionByName, parts), key)
 
 
-def _first_size(extent: float, total: int, k: int) -> float:
-    """Boxes that hold about ``k`` of ``total`` things spread over ``extent``."""
-    return max(extent / math.sqrt(max(1.0, total / k)), 1e-9)
+def _ranked(met: DataFrame, distance: Column, key: str, k: int, ties: list[str]) -> DataFrame:
+    order = Window.partitionBy(key).orderBy("distance", *ties)
+    return met.withColumn("distance", distance).withColumn("neighbor_rank", F.row_number().over(order) - 1).where(F.col("neighbor_rank") < k).drop("_x0", "_x1", "_y0", "_y1")
 
 
 def nearest(points: DataFrame, cells: DataFrame, key: str, k: int = 1) -> DataFrame:
@@ -76,13 +99,12 @@ def nearest(points: DataFrame, cells: DataFrame, key: str, k: int = 1) -> DataFr
 
     Points and cells with a null coordinate have no neighbours, and no rows here.
     """
-    own = cells.where("lon is not null and lat is not null").select(F.col("lon").alias("cell_lon"), F.col("lat").alias("cell_lat"), "pixel_id")
-    box = lambda c, size: F.floor(F.col(c) / size).cast("long")
-    tiled = lambda size: own.withColumns({"_bx": box("cell_lon", size), "_by": box("cell_lat", size)})
+    own = cells.where("lon is not null and lat is not null").select(F.col("lon").cast("double").alias("cell_lon"), F.col("lat").cast("double").alias("cell_lat"), "pixel_id")
+    # Of cells at one place only the first k can count.
+    own = own.withColumn("_n", F.row_number().over(Window.partitionBy("cell_lon", "cell_lat").orderBy("pixel_id"))).where(F.col("_n") <= k).drop("_n")
+    boxed = own.withColumns({c: F.col("cell_lon" if "x" in c else "cell_lat") for c in ("_x0", "_x1", "_y0", "_y1")})
     d = F.sqrt(F.pow(F.col("lon") - F.col("cell_lon"), 2) + F.pow(F.col("lat") - F.col("cell_lat"), 2))
-    total = own.count()
-    size = _first_size(_extent(own.select(F.col("cell_lon").alias("lon"), F.col("cell_lat").alias("lat"))), total, k)
-    return _nearest(points, tiled, d, key, k, total, size, _extent(points, cells), ["cell_lon", "cell_lat", "pixel_id"], "nearest")
+    return _ranked(_candidates(points.where("lon is not null and lat is not null"), boxed, key, k), d, key, k, ["cell_lon", "cell_lat", "pixel_id"])
 
 
 def _tiles(polygons: DataFrame, size: float) -> DataFrame:
@@ -108,11 +130,11 @@ def within(points: DataFrame, polygons: DataFrame, size: float = 1.0) -> DataFra
 
 def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str) -> DataFrame:
     """The nearest polygon of each point, at distance 0 if the point is inside; ties by polygon_id."""
-    corners = polygons.select(F.inline("ring")).select(F.col("x").alias("lon"), F.col("y").alias("lat"))
     d = F.when(F.expr(INSIDE), 0.0).otherwise(F.expr(f"array_min(transform({_SIDES}, s -> {_TO_SIDE}))"))
-    total = polygons.count()
-    out = _nearest(points, lambda size: _tiles(polygons, size), d, key, 1, total, _first_size(_extent(corners), total, 1), _extent(points, corners), ["polygon_id"], "polygon")
-    return out.drop("ring", "neighbor_rank")
+    end = lambda f, c: f(F.transform("ring", lambda p: p[c]))
+    boxed = polygons.withColumns({"_x0": end(F.array_min, "x"), "_x1": end(F.array_max, "x"), "_y0": end(F.array_min, "y"), "_y1": end(F.array_max, "y")})
+    met = _candidates(points.where("lon is not null and lat is not null"), boxed.where("_x0 is not null"), key, 1)
+    return _ranked(met, d, key, 1, ["polygon_id"]).drop("ring", "neighbor_rank")
 
 
 def _lookup(axis: DataFrame, column: str) -> tuple[DataFrame, float, float, int]:

@@ -322,6 +322,17 @@ def _(spark, d):
     return spatial.nearest(points(spark, d), cells(spark, d), "id", k=3).select("id", "pixel_id", F.col("neighbor_rank").cast("long").alias("neighbor_rank"), F.round("distance", 6).alias("distance"))
 
 
+_SITES = "sites AS (SELECT CAST(s_suppkey AS BIGINT) AS pixel_id, CASE WHEN s_suppkey = 1 THEN 1e6 ELSE pow(s_suppkey * 37 % 101 / 101.0, 3) * 4 END AS x, CASE WHEN s_suppkey = 2 THEN -1e6 ELSE pow(s_suppkey * 61 % 103 / 103.0, 2) * 4 END AS y FROM supplier)"
+
+
+@query("knn_skewed", f"WITH {_SITES}, {_POINTS} SELECT id, pixel_id, neighbor_rank, round(distance, 6) AS distance FROM (SELECT id, pixel_id, sqrt((lon - x) ** 2 + (lat - y) ** 2) AS distance, row_number() OVER (PARTITION BY id ORDER BY sqrt((lon - x) ** 2 + (lat - y) ** 2), x, y, pixel_id) - 1 AS neighbor_rank FROM points, sites) WHERE neighbor_rank < 2")
+def _(spark, d):
+    """Sites that crowd in one corner, with two of them far out."""
+    key = F.col("s_suppkey")
+    sites = read(spark, d, "supplier").select(key.cast("long").alias("pixel_id"), F.when(key == 1, 1e6).otherwise(F.pow(key * 37 % 101 / 101.0, F.lit(3)) * 4).alias("lon"), F.when(key == 2, -1e6).otherwise(F.pow(key * 61 % 103 / 103.0, F.lit(2)) * 4).alias("lat"))
+    return spatial.nearest(points(spark, d), sites, "id", k=2).select("id", "pixel_id", F.col("neighbor_rank").cast("long").alias("neighbor_rank"), F.round("distance", 6).alias("distance"))
+
+
 @query("snap_to_grid", f"WITH {CELLS}, {_POINTS} SELECT id, (SELECT arg_min(c.lon, abs(c.lon - p.lon)) FROM cells c) AS grid_lon, (SELECT arg_min(c.lat, abs(c.lat - p.lat)) FROM cells c) AS grid_lat FROM points p")
 def _(spark, d):
     grid = cells(spark, d).select(F.col("lon").alias("grid_lon"), F.col("lat").alias("grid_lat"))

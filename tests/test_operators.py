@@ -138,6 +138,26 @@ def test_polygons():
     assert spatial.ring_area([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]) == pytest.approx(12363.7, rel=1e-3)
 
 
+@pytest.mark.parametrize("leaf", [64, 3])
+def test_nearest_of_crowded_and_far_cells(spark, monkeypatch, leaf):
+    """Cells of any density, one 10**6 away and many at one place; points among them and far out."""
+    monkeypatch.setattr(spatial, "LEAF", leaf)
+    rng = random.Random(leaf)
+    cells = [(i, rng.random() ** 4, rng.random() ** 3) for i in range(300)] + [(300 + i, 0.5, 0.5) for i in range(90)] + [(900, 1e6, -1e6), (901, None, 1.0)]
+    points = [(i, rng.random(), rng.random()) for i in range(150)] + [(200, 5e5, 5e5), (201, -1e7, 3.0), (202, 0.5, 0.5), (203, 1.0, None)]
+    tables = spark.createDataFrame(points, "id long, lon double, lat double"), spark.createDataFrame(cells, "pixel_id long, lon double, lat double")
+    for k in (1, 4):
+        got = {}
+        for r in spatial.nearest(*tables, "id", k=k).collect():
+            got.setdefault(r["id"], []).append((r["neighbor_rank"], r["pixel_id"]))
+        for i, x, y in points[:-1]:
+            best = sorted((math.sqrt((x - a) ** 2 + (y - b) ** 2), a, b, c) for c, a, b in cells if a is not None)[:k]
+            assert sorted(got[i]) == [(n, w[3]) for n, w in enumerate(best)]
+        assert 203 not in got
+    met = spatial._candidates(tables[0].where("lat is not null"), tables[1].where("lon is not null").selectExpr("pixel_id", "lon as cell_lon", "lon as _x0", "lon as _x1", "lat as _y0", "lat as _y1"), "id", 1).count()
+    assert met < 150 * len(points)
+
+
 def test_nearest_against_all_pairs(spark):
     rng = random.Random(3)
     cells = [(i, 0.25 * rng.randrange(40), 0.25 * rng.randrange(40)) for i in range(30)] + [(30, None, 1.0)]
