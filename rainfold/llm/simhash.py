@@ -341,7 +341,7 @@ def representatives(docs: DataFrame, words: int = 5, least: float = 0.8, max_bit
     texts = scratch.write(keyed.join(own, ["row_a", "row_b"]).groupBy("node").agg(F.min("text").alias("text")))
     groups = with_roots(nodes.select("node", "m"), near_copies(nodes, texts, words, least, max_bits, scratch))
     stay = scratch.write(groups.groupBy("root").agg(F.min("m").alias("m")).select("m.row_a", "m.row_b"))
-    whole = docs.select(F.struct(*docs.columns).alias("row"), *row_key(docs)).join(stay, ["row_a", "row_b"])
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *row_key(docs)).join(stay, ["row_a", "row_b"])
     return whole.groupBy("row_a", "row_b").agg(F.any_value("row").alias("row")).select("row.*")
 
 

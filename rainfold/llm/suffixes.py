@@ -6,6 +6,8 @@ another.
 1. Candidates. Slices of windows (see ``winnow``) whose anchor recurs. A slice that recurs as a whole, told by the hashes of anchor and
    slice, repeats another occurrence of it. Such repeats are joined where they continue each other, and the bytes that they
    come from are sent to the documents and compared, so nothing goes because of a hash alone.
+   A stretch of a document that repeats itself after fewer bytes than a window has (padding, rules, runs of one character) is told while the text is hashed, byte by byte: it is
+   one span, and one of its slices stands for all.
 2. Blocks. Where an anchor has slices of different bytes, one of each kind is laid over a grid of ``BLOCKS[0]`` starts around its
    anchor. All windows of a block share its core, the bytes common to them, so only blocks whose core recurs go on, dealt out by core.
    A core with over ``GROUP`` blocks is laid over finer grids; blocks of one window that are still as many are the
@@ -15,8 +17,8 @@ another.
    Neighbours that agree in LENGTH bytes, checked byte by byte, are repeats.
 
 Nulls: a null text is empty. Rows that share a doc_id, or have none, are documents of their own; equal rows repeat each
-other. Other columns of the input are left alone. A text of any length is hashed in chunks of bounded size. An empty table gives
-an empty result.
+other. Other columns of the input are left alone. A text of any length that a row can hold is hashed in chunks of bounded size; what is gathered for it is at most
+a few times its bytes. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -216,7 +218,9 @@ def sorted_spans(docs: DataFrame, slices: DataFrame, scratch: Scratch, length: i
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
     """``(doc_id, tie, a, b, bytes)``: byte ranges to remove, if they hold ``bytes`` or that is null."""
-    found = candidates(docs, byte_units, length, gram, scratch)
+    found = candidates(docs, byte_units, length, gram, scratch, fold=True)
+    period = F.col("more") + 1
+    periodic = scratch.write(found.where("after > 0").select(*KEY, F.col("s0").alias("a"), (F.col("s0") + (F.col("after") + 1) * period - 1 + length).alias("b")))
     place = F.struct(*KEY, "s0")
     kinds = scratch.write(found.groupBy("g", "h").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("more").alias("more"), F.first("rel").alias("rel")))
     several = scratch.write(kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g"))
@@ -227,7 +231,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, gram: int) ->
     spans = scratch.write(sorted_spans(docs, mixed, scratch, length))
     scratch.drop(found, kinds, several)
     whole = with_source(joined, docs, slice_bytes, "bytes binary").select(*KEY, "a", "b", "bytes")
-    return whole.unionByName(spans.withColumn("bytes", F.lit(None).cast("binary")))
+    return whole.unionByName(spans.union(periodic).withColumn("bytes", F.lit(None).cast("binary")))
 
 
 def confirmed(data: bytes, spans: list[dict], length: int) -> list[tuple[int, int]]:

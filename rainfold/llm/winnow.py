@@ -80,10 +80,33 @@ def slices(units: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tup
     return piece[s0], s0 - bounds[piece[s0]], more, rel, g[at], h
 
 
-def anchored(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], length: int, gram: int) -> DataFrame:
-    """SLICES of every row of ``docs(doc_id, tie, text)``, over whole texts."""
+def folded(units: np.ndarray, bounds: np.ndarray, found: tuple[np.ndarray, ...], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which slices to keep, and how many like it follow each: in a stretch that repeats itself every p units, every slice is the one p units before.
 
-    arrow = arrow_schema(SLICES)
+    Equal slices that follow each other are compared unit by unit, so those left out hold nothing but windows of the one kept. A text of one character, all of whose windows are slices of
+    their own, then has a few.
+    """
+    piece, s0, more, rel, g, h = found
+    like = np.zeros(len(s0), bool)
+    like[1:] = (piece[1:] == piece[:-1]) & (g[1:] == g[:-1]) & (h[1:] == h[:-1]) & (more[1:] == more[:-1]) & (rel[1:] == rel[:-1]) & (s0[1:] == s0[:-1] + more[:-1] + 1)
+    after = np.zeros(len(s0), np.int64)
+    edges = np.flatnonzero(np.diff(np.concatenate((like.astype(np.int8), [0]))))
+    first = 0 if not len(s0) or not like[0] else -1
+    for a, b in zip(edges[first::2].tolist(), edges[first + 1 :: 2].tolist()):
+        start, period = bounds[piece[a]] + s0[a], more[a] + 1
+        end = start + (b - a + 1) * period - 1 + length
+        if np.array_equal(units[start : end - period], units[start + period : end]):
+            after[a] = b - a
+        else:
+            like[a + 1 : b + 1] = False
+    return ~like, after
+
+
+def anchored(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], length: int, gram: int, fold: bool = False) -> DataFrame:
+    """SLICES of every row of ``docs(doc_id, tie, text)``, over whole texts, and ``after``, with ``fold`` how many slices like it follow one and are left out."""
+
+    schema = f"{SLICES}, after long"
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, np.ndarray]] = []
@@ -91,10 +114,13 @@ def anchored(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], leng
 
         def hashed() -> pa.RecordBatch:
             bounds = np.concatenate(([0], np.cumsum([len(u) for *_, u in held])))
-            piece, s0, more, rel, g, h = slices(np.concatenate([u for *_, u in held]), bounds, length, gram)
+            units = np.concatenate([u for *_, u in held])
+            found = slices(units, bounds, length, gram)
+            keep, after = folded(units, bounds, found, length) if fold else (slice(None), np.zeros(len(found[0]), np.int64))
+            piece, s0, more, rel, g, h = (c[keep] for c in found)
             ids, ties, bases = (np.array([x[i] for x in held], np.int64)[piece] for i in range(3))
             held.clear()
-            columns = (ids, ties, s0 + bases, more.astype(np.int32), rel.astype(np.int32), g.view(np.int64), h.view(np.int64))
+            columns = (ids, ties, s0 + bases, more.astype(np.int32), rel.astype(np.int32), g.view(np.int64), h.view(np.int64), after[keep])
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=arrow)
 
         for batch in batches:
@@ -110,7 +136,7 @@ def anchored(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], leng
         if held:
             yield hashed()
 
-    return docs.select("doc_id", "tie", "text").mapInArrow(run, SLICES)
+    return docs.select("doc_id", "tie", "text").mapInArrow(run, schema)
 
 
 #: Stands for a null doc_id, which comes last.
@@ -132,10 +158,10 @@ def keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return one.join(shared, "doc_id", "left_anti").unionByName(scratch.write(tied.groupBy(*KEY).agg(F.min("text").alias("text"), F.count("*").alias("n"))))
 
 
-def candidates(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], length: int, gram: int, scratch: Scratch) -> DataFrame:
-    """The slices whose anchor occurs more than once. Both sides of the join are as they come from the shuffle, so that a hot anchor can be split."""
-    often = scratch.write(anchored(docs, units_of, length, gram).groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
-    found = scratch.write(anchored(docs, units_of, length, gram).join(often, "g"))
+def candidates(docs: DataFrame, units_of: Callable[[str | None], np.ndarray], length: int, gram: int, scratch: Scratch, fold: bool = False) -> DataFrame:
+    """The slices whose anchor occurs more than once, those left out included. Both sides of the join are as they come from the shuffle, so that a hot anchor can be split."""
+    often = scratch.write(anchored(docs, units_of, length, gram, fold).groupBy("g").agg(F.sum(F.col("after") + 1).alias("n")).where("n > 1").select("g"))
+    found = scratch.write(anchored(docs, units_of, length, gram, fold).join(often, "g"))
     scratch.drop(often)
     return found
 
