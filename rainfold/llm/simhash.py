@@ -16,6 +16,7 @@ smallest of a component. Repeated rows stay repeated. An empty table gives an em
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -234,13 +235,17 @@ def may_be_near(x: str, y: str, least: float) -> str:
         and least({x}.size - {x}.at, {y}.size - {y}.at) * {1 + least}D + 1e-9D >= ({x}.size + {y}.size) * {least}D)"""
 
 
+def sketches_near(x: str, y: str, least: float) -> str:
+    """SQL: whether the sketches of ``x`` and ``y`` leave a Jaccard similarity of ``least`` possible."""
+    differ = f"aggregate(zip_with({x}.sketch, {y}.sketch, (p, q) -> bit_count(p ^ q)), 0, (n, v) -> n + v)"
+    return f"(({x}.size + {y}.size - {differ}) / 2 * {1 + least}D + 1e-9D >= ({x}.size + {y}.size) * {least}D)"
+
+
 def sketched_pairs(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """The ``pairs(a, b)`` whose sketches don't show that they are below ``least``: no pair above it goes."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.struct("size", "sketch").alias(f"of_{c}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-    differ = F.expr("aggregate(zip_with(of_a.sketch, of_b.sketch, (p, q) -> bit_count(p ^ q)), 0, (n, x) -> n + x)")
-    sizes = F.expr("of_a.size + of_b.size")
-    return both.where((sizes - differ) / 2 * (1 + least) + 1e-9 >= sizes * least).select("a", "b")
+    return both.where(sketches_near("of_a", "of_b", least)).select("a", "b")
 
 
 def similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
@@ -269,22 +274,24 @@ def with_roots(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def across(hot: DataFrame, edges: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float, scratch: Scratch) -> DataFrame:
+def across(hot: DataFrame, nodes: DataFrame, edges: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float, scratch: Scratch) -> DataFrame:
     """Edges that with ``edges`` connect exactly what all verified pairs of the buckets ``hot(key, node, size, at)`` would connect.
 
     All nodes are compared with the smallest of their bucket. Of the components that result, a bucket's pairs within one tell nothing new;
-    those between two of them are all verified: each node outside the bucket's largest component is compared with every node of another one.
+    those between two of them are all compared: each node outside the bucket's largest component with every node of another one. Nodes meet in bands of
+    sizes, of which near copies are in the same one or in neighbouring ones, and what their sketches tell apart isn't a pair.
     """
-    me, place = "node", F.struct("size", "at")
-    hubs = scratch.write(hot.groupBy("key").agg(F.min(F.struct("node", "size", "at")).alias("m")).select("key", F.col("m.node").alias("a"), F.struct("m.size", "m.at").alias("x")))
-    to_hub = hot.join(hubs, "key").withColumn("y", place).where(f"{me} <> a and {may_be_near('x', 'y', least)}")
-    linked = verify(to_hub.select("a", F.col("node").alias("b")).distinct())
+    band = F.floor(F.log("size") / -math.log(least) + 1e-9).cast("int")
+    hot = scratch.write(hot.join(nodes.select("node", "sketch"), "node").select("key", "node", F.struct("size", "at", "sketch").alias("x"), F.when(F.col("size") > 0, band).otherwise(-1).alias("band")))
+    passing = lambda x, y: f"{may_be_near(x, y, least)} and {sketches_near(x, y, least)}"
+    hubs = hot.groupBy("key").agg(F.min(F.struct("node", "x")).alias("m")).select("key", F.col("m.node").alias("a"), F.col("m.x").alias("y"))
+    linked = verify(hot.join(hubs, "key").where(f"node <> a and {passing('x', 'y')}").select("a", F.col("node").alias("b")).distinct())
     held = scratch.write(with_roots(hot, components(edges.union(linked), scratch)))
     counts = held.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root")).alias("m"), F.count("*").alias("roots"))
     largest = scratch.write(counts.where("roots > 1").select("key", F.col("m.root").alias("main")))
     held = scratch.write(held.join(largest, "key"))
-    minor = held.where("root <> main").select("key", F.col("node").alias("a"), place.alias("x"), F.col("root").alias("own"))
-    pairs = held.withColumn("y", place).join(minor, "key").where(f"own <> root and (root = main or a < node) and {may_be_near('x', 'y', least)}")
+    minor = held.where("root <> main").select("key", F.col("node").alias("a"), F.col("x").alias("y"), F.col("root").alias("own"), F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"))
+    pairs = held.join(minor, ["key", "band"]).where(f"own <> root and (root = main or a < node) and {passing('x', 'y')}")
     return linked.union(verify(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()))
 
 
@@ -322,7 +329,7 @@ def near_copies(nodes: DataFrame, texts: DataFrame, words: int, least: float, ma
     edges = scratch.write(edges.union(verify(few.distinct())))
     hot = members.where(F.col("n") > BUCKET).drop("n", "root")
     if not hot.isEmpty():
-        edges = scratch.write(edges.union(across(hot, edges, verify, least, scratch)))
+        edges = scratch.write(edges.union(across(hot, nodes, edges, verify, least, scratch)))
     return components(edges, scratch)
 
 
