@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,76 +33,109 @@ def fit(df: DataFrame, keys: list[str], value: str, dist: str) -> DataFrame:
     if dist in closed:
         return df.where(x.isNotNull()).groupBy(*keys).agg(*(v.alias(k) for k, v in closed[dist].items()))
     solve = {"weibull": fit_weibull, "gev": fit_gev}[dist]
-    types = dict(df.dtypes)
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        shape, loc, scale = solve(np.sort(pdf[value].to_numpy(float)))
-        return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), shape, loc, scale]], columns=[*keys, "shape", "loc", "scale"])
-
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", shape double, loc double, scale double"
-    return df.where(x.isNotNull()).select(*keys, value).groupBy(*keys).applyInPandas(one, schema)
-
-
-def fit_weibull(x: np.ndarray) -> tuple[float, float, float]:
-    """Maximum likelihood with location 0: Newton's method on the shape."""
-    x = x[x > 0]
-    if len(x) < 2 or x[0] == x[-1]:
-        return float("nan"), 0.0, float("nan")
-    log, k = np.log(x), 1.2 / max(np.std(np.log(x)), 1e-9)
+    rows = df.where(x.isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(x.cast("double"))).alias("_values"))
+    names = ("shape", "loc", "scale")
+
+    def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                found = solve(part.column("_values").to_pylist())
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), *(pa.array(c, from_pandas=True) for c in found)], names=[*keys, *names])
+
+    return rows.mapInArrow(batches_of, with_fields(rows, keys, *(f"{c} double" for c in names)))
+
+
+#: Groups fitted at a time.
+TOGETHER = 512
+
+
+def _padded(values: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists as rows of one table, and which of its places are theirs."""
+    known = np.arange(max(map(len, values), default=0))[None, :] < np.array([len(v) for v in values])[:, None]
+    x = np.zeros(known.shape)
+    x[known] = [v for own in values for v in own]
+    return x, known
+
+
+def fit_weibull(values: list[list[float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximum likelihood with location 0 for each list: Newton's method on the shapes of all lists at once. NaN without two different positive values."""
+    x, known = _padded([[v for v in own if v > 0] for own in values])
+    n = known.sum(axis=1)
+    log = np.log(np.where(known, x, 1.0))
+    top = np.where(known, log, -np.inf).max(axis=1, initial=-np.inf)
+    fit_ = np.flatnonzero((n > 1) & (np.where(known, log, np.inf).min(axis=1, initial=np.inf) < top))
+    shape, scale = np.full(len(values), np.nan), np.full(len(values), np.nan)
+    log, known, n, top = log[fit_], known[fit_], n[fit_], top[fit_]
+    total = lambda v: np.where(known, v, 0.0).sum(axis=1)
+    mean = total(log) / n
+    k = 1.2 / np.maximum(np.sqrt(total((log - mean[:, None]) ** 2) / n), 1e-9)
     for _ in range(100):
-        p = np.exp(k * (log - log.max()))
-        a, b, c = p.sum(), (p * log).sum(), (p * log * log).sum()
-        step = (b / a - 1 / k - log.mean()) / ((c * a - b * b) / a**2 + 1 / k**2)
-        k = max(k - step, k / 10)
-        if abs(step) < 1e-12 * k:
+        p = np.exp(k[:, None] * (log - top[:, None]))
+        a, b, c = total(p), total(p * log), total(p * log * log)
+        step = (b / a - 1 / k - mean) / ((c * a - b * b) / a**2 + 1 / k**2)
+        k = np.maximum(k - step, k / 10)
+        if (np.abs(step) < 1e-12 * k).all():
             break
-    return float(k), 0.0, float(np.exp(log.max()) * (np.mean(np.exp(k * (log - log.max())))) ** (1 / k))
+    shape[fit_] = k
+    scale[fit_] = np.exp(top) * (total(np.exp(k[:, None] * (log - top[:, None]))) / n) ** (1 / k)
+    return shape, np.zeros(len(values)), scale
 
 
-def fit_gev(x: np.ndarray) -> tuple[float, float, float]:
-    """Maximum likelihood from a start by L-moments, by a simplex search. The sign of the shape is that of c = -xi."""
-    n = len(x)
-    if n < 3 or x[0] == x[-1]:
-        return float("nan"), float("nan"), float("nan")
-    i = np.arange(n)
-    b0, b1, b2 = x.mean(), (i * x).sum() / n / (n - 1), (i * (i - 1) * x).sum() / n / (n - 1) / (n - 2)
+def gev_loss(p: np.ndarray, x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Negative log likelihood of each row of ``x`` under its parameters (shape, location, logarithm of the scale)."""
+    k, z = p[:, :1], (x - p[:, 1:2]) / np.exp(p[:, 2:])
+    with np.errstate(all="ignore"):
+        y = 1 - k * z
+        log = np.log(np.where(known & (y > 0), y, 1.0))
+        each = np.where(np.abs(k) < 1e-9, z + np.exp(-z), (1 - 1 / k) * log + np.exp(log / k))
+        out = known.sum(axis=1) * p[:, 2] + np.where(known, each, 0.0).sum(axis=1)
+    return np.where((known & (y <= 0) & (np.abs(k) >= 1e-9)).any(axis=1) | np.isnan(out), np.inf, out)
+
+
+def fit_gev(values: list[list[float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximum likelihood for each sorted list, by simplex searches from L-moments, all lists moving at once. The sign of the shape is that of c = -xi. NaN without three
+    values that differ."""
+    out = np.full((len(values), 3), np.nan)
+    left = np.array([i for i, own in enumerate(values) if len(own) > 2 and own[0] < own[-1]], int)
+    if not len(left):
+        return tuple(out.T)
+    x, known = _padded([values[i] for i in left])
+    n, i = known.sum(axis=1), np.arange(x.shape[1])
+    b0, b1, b2 = x.sum(axis=1) / n, (i * x).sum(axis=1) / n / (n - 1), (i * (i - 1) * x).sum(axis=1) / n / (n - 1) / (n - 2)
     l2, t3 = 2 * b1 - b0, (6 * b2 - 6 * b1 + b0) / (2 * b1 - b0)
     c = 2 / (3 + t3) - math.log(2) / math.log(3)
     k = 7.859 * c + 2.9554 * c * c
-    k = k if abs(k) > 1e-6 else 1e-6
-    scale = l2 * k / ((1 - 2**-k) * math.gamma(1 + k))
-    start = np.array([k, b0 - scale * (1 - math.gamma(1 + k)) / k, math.log(scale)])
-
-    def loss(p: np.ndarray) -> float:
-        z = (x - p[1]) / math.exp(p[2])
-        if abs(p[0]) < 1e-9:
-            return n * p[2] + float((z + np.exp(-z)).sum())
-        y = 1 - p[0] * z
-        if (y <= 0).any():
-            return math.inf
-        log = np.log(y)
-        return n * p[2] + float(((1 - 1 / p[0]) * log + np.exp(log / p[0])).sum())
-
-    points = [start] + [start + d for d in np.diag([0.05, 0.1 * math.exp(start[2]), 0.1])]
+    k = np.where(np.abs(k) > 1e-6, k, 1e-6)
+    gamma = np.array([math.gamma(1 + v) for v in k])
+    scale = l2 * k / ((1 - 2**-k) * gamma)
+    start = np.stack([k, b0 - scale * (1 - gamma) / k, np.log(scale)], axis=1)
+    points = np.repeat(start[:, None, :], 4, axis=1)
+    for j, step in enumerate((0.05, 0.1 * scale, 0.1)):
+        points[:, j + 1, j] += step
+    loss = lambda p: gev_loss(p, x, known)
+    costs = np.stack([loss(points[:, j]) for j in range(4)], axis=1)
     for _ in range(2000):
-        points.sort(key=loss)
-        if abs(loss(points[-1]) - loss(points[0])) < 1e-12 * (1 + abs(loss(points[0]))):
+        order = np.argsort(costs, axis=1, kind="stable")
+        points, costs = np.take_along_axis(points, order[:, :, None], 1), np.take_along_axis(costs, order, 1)
+        open_ = ~(np.abs(costs[:, 3] - costs[:, 0]) < 1e-12 * (1 + np.abs(costs[:, 0])))
+        out[left[~open_]] = points[~open_, 0]
+        left, points, costs, x, known = (v[open_] for v in (left, points, costs, x, known))
+        if not len(left):
             break
-        centre = np.mean(points[:-1], axis=0)
-        to = centre + (centre - points[-1])
-        if loss(to) < loss(points[0]):
-            far = centre + 2 * (centre - points[-1])
-            points[-1] = far if loss(far) < loss(to) else to
-        elif loss(to) < loss(points[-2]):
-            points[-1] = to
-        else:
-            to = centre + 0.5 * (points[-1] - centre)
-            if loss(to) < loss(points[-1]):
-                points[-1] = to
-            else:
-                points = [points[0]] + [points[0] + 0.5 * (p - points[0]) for p in points[1:]]
-    k, loc, scale = points[0]
-    return float(k), float(loc), math.exp(scale)
+        centre = points[:, :3].mean(axis=1)
+        away = centre - points[:, 3]
+        to, far, near = centre + away, centre + 2 * away, centre - 0.5 * away
+        at, at_far, at_near = loss(to), loss(far), loss(near)
+        best, fine, inner = at < costs[:, 0], at < costs[:, 2], at_near < costs[:, 3]
+        pick = lambda of_far, of_to, of_near, else_: np.select([best & (at_far < at), fine, ~best & ~fine & inner], [of_far, of_to, of_near], else_)  # noqa: B023, E731
+        points[:, 3] = np.stack([pick(far[:, j], to[:, j], near[:, j], points[:, 3, j]) for j in range(3)], axis=1)
+        costs[:, 3] = pick(at_far, at, at_near, costs[:, 3])
+        if len(shrink := np.flatnonzero(~best & ~fine & ~inner)):
+            points[shrink, 1:] = points[shrink, :1] + 0.5 * (points[shrink, 1:] - points[shrink, :1])
+            costs[shrink, 1:] = np.stack([gev_loss(points[shrink, j], x[shrink], known[shrink]) for j in (1, 2, 3)], axis=1)
+    out[left] = points[:, 0]
+    return out[:, 0], out[:, 1], np.exp(out[:, 2])
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:

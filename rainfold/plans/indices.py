@@ -82,9 +82,22 @@ for _dist, _sql in _FITS.items():
         return model.select(*KEYS, *(F.round(c, 4).alias(c) for c in model.columns if c not in KEYS))
 
 
-@query("fit_weibull")
+#: Newton's steps on the shape, forty for each group.
+_NEWTON = f"""WITH RECURSIVE {INDEX}, v AS (SELECT pixel_id, "window", index_value AS x FROM indices WHERE flag_complete_window = 1 AND index_value IS NOT NULL),
+g AS (SELECT pixel_id, "window", list(ln(x)) AS l, max(ln(x)) AS top, avg(ln(x)) AS mean, 1.2 / greatest(stddev_pop(ln(x)), 1e-9) AS k0 FROM v WHERE x > 0 GROUP BY ALL HAVING count(*) > 1 AND min(x) < max(x)),
+it AS (
+  SELECT pixel_id, "window", 0 AS i, k0 AS k FROM g
+  UNION ALL SELECT pixel_id, "window", i + 1, greatest(k - (b / a - 1 / k - mean) / ((c * a - b * b) / (a * a) + 1 / (k * k)), k / 10) FROM (
+    SELECT it.*, mean, list_sum(list_transform(l, lambda y: exp(k * (y - top)))) AS a, list_sum(list_transform(l, lambda y: exp(k * (y - top)) * y)) AS b, list_sum(list_transform(l, lambda y: exp(k * (y - top)) * y * y)) AS c
+    FROM it JOIN g USING (pixel_id, "window") WHERE i < 40)
+), f AS (SELECT pixel_id, "window", k, exp(top) * pow(list_avg(list_transform(l, lambda y: exp(k * (y - top)))), 1 / k) AS scale FROM it JOIN g USING (pixel_id, "window") WHERE i = 40)
+SELECT o.pixel_id, o."window", round(k, 4) AS shape, 0.0::DOUBLE AS loc, round(scale, 3) AS scale FROM (SELECT DISTINCT pixel_id, "window" FROM v) o LEFT JOIN f USING (pixel_id, "window")"""
+
+
+@query("fit_weibull", _NEWTON)
 def _(spark, d):
-    return distributions.fit(complete(spark, d), KEYS, "index_value", "weibull")
+    found = distributions.fit(complete(spark, d), KEYS, "index_value", "weibull")
+    return found.select(*KEYS, F.round("shape", 4).alias("shape"), "loc", F.round("scale", 3).alias("scale"))
 
 
 @query("fit_gev")

@@ -238,11 +238,27 @@ def test_known_values():
 
 def test_likelihood_fits():
     rng = np.random.default_rng(1)
-    shape, _, scale = distributions.fit_weibull(np.sort(3.0 * rng.weibull(1.7, 4000)))
-    assert (shape, scale) == pytest.approx((1.7, 3.0), rel=0.05)
+    lists = [np.sort(3.0 * rng.weibull(1.7, 4000)).tolist(), [1.0], [2.0, 2.0], [], [-1.0, 0.0, 4.0, 5.0], *(np.sort(rng.weibull(k, 30)).tolist() for k in (0.7, 2.0, 9.0))]
+    shape, loc, scale = distributions.fit_weibull(lists)
+    assert (shape[0], scale[0]) == pytest.approx((1.7, 3.0), rel=0.05) and set(loc) == {0.0}
+    assert np.isnan(shape).tolist() == [False, True, True, True, False, False, False, False]
+    for own, k, s in zip(lists, shape, scale):
+        if not math.isnan(k):  # no other shape is likelier, at its own best scale
+            x = np.array([v for v in own if v > 0])
+            likely = lambda k, x=x: len(x) * math.log(k) - len(x) * math.log((x**k).mean()) + (k - 1) * np.log(x).sum()
+            assert s == pytest.approx((x**k).mean() ** (1 / k)) and likely(k) >= max(likely(k * 0.999), likely(k * 1.001))
     u = rng.uniform(size=4000)
-    k, loc, scale = distributions.fit_gev(np.sort(5 + 2 * (1 - (-np.log(u)) ** 0.1) / 0.1))
-    assert (k, loc, scale) == pytest.approx((0.1, 5.0, 2.0), abs=0.15)
+    lists = [np.sort(5 + 2 * (1 - (-np.log(u)) ** 0.1) / 0.1).tolist(), [1.0, 2.0], [3.0] * 5, *(np.sort(rng.gumbel(size=n)).tolist() for n in (3, 12, 40, 80))]
+    shape, loc, scale = distributions.fit_gev(lists)
+    assert (shape[0], loc[0], scale[0]) == pytest.approx((0.1, 5.0, 2.0), abs=0.15)
+    assert np.isnan(shape).tolist() == [False, True, True, False, False, False, False]
+    for i, own in enumerate(lists):
+        one = [v[0] for v in distributions.fit_gev([own])]
+        assert one == pytest.approx([shape[i], loc[i], scale[i]], nan_ok=True)  # alone as together
+        if i > 3:
+            at = lambda a, b, c, own=own: distributions.gev_loss(np.array([[a, b, math.log(c)]]), np.array([own]), np.ones((1, len(own)), bool))[0]
+            best = at(shape[i], loc[i], scale[i])
+            assert all(best <= at(shape[i] + a, loc[i] + b, scale[i] * c) + 1e-9 for a, b, c in [(1e-3, 0, 1), (-1e-3, 0, 1), (0, 1e-3, 1), (0, -1e-3, 1), (0, 0, 1.001), (0, 0, 0.999)])
 
 
 def test_matching_follows_numpy(spark):
