@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rainfold.sources.scratch import exists
+
 
 def daily_climatology(obs: DataFrame, key: str, date: str, value: str, years: tuple[int, int]) -> DataFrame:
     base = obs.where(F.year(date).between(*years))
@@ -26,6 +28,39 @@ def full_year_climatology(obs: DataFrame, keys: list[str], date: str, value: str
     return base.groupBy(*keys, F.dayofyear(date).cast("long").alias("dayofyear")).agg(F.avg(value).alias("clim"), F.stddev_pop(value).alias("std"))
 
 
+def yearly_states(obs: DataFrame, keys: list[str], date: str, value: str) -> DataFrame:
+    """``(keys, dayofyear, year, n, mean, m2)``: count, mean and squared deviations of each year's values, which can be merged."""
+    x = F.col(value)
+    return obs.groupBy(*keys, F.dayofyear(date).cast("long").alias("dayofyear"), F.year(date).alias("year")).agg(F.count(x).alias("n"), F.coalesce(F.avg(x), F.lit(0.0)).alias("mean"), F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0)).alias("m2"))
+
+
+def merged_states(states: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, clim, std)`` of states of years, which are few: means weighted by counts, and the deviations of the values from the whole mean. NULL without values."""
+    parts = states.where("n > 0").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("mean", "n", "m2"))).alias("_s"), F.sum("n").alias("_n"))
+    total = lambda f: F.aggregate("_s", F.lit(0.0), lambda a, s: a + f(s))
+    parts = parts.withColumn("clim", total(lambda s: s["n"] * s["mean"]) / F.col("_n"))
+    spread = total(lambda s: s["m2"] + s["n"] * (s["mean"] - F.col("clim")) * (s["mean"] - F.col("clim")))
+    own = parts.select(*keys, "clim", F.sqrt(spread / F.col("_n")).alias("std"))
+    return states.select(*keys).distinct().join(own, keys, "left")
+
+
+def updated_climatology(obs: DataFrame, path: str, keys: list[str], date: str, value: str, least: int = 360) -> DataFrame:
+    """The climatology of full years (see ``full_year_climatology``) from states kept at ``path``, one part a year, after those of ``obs`` have come in.
+
+    A year that is kept with ``least`` days on the shared time axis is complete and left out of ``obs`` by a filter; any other year of ``obs`` replaces its part. So a new year
+    is read once, and the history only as its states, a row a cell and day of each year.
+    """
+    spark = obs.sparkSession
+    if exists(spark, path):
+        kept = spark.read.parquet(path)
+        done = [r["year"] for r in kept.groupBy("year").agg(F.max("days").alias("days")).where(F.col("days") >= least).collect()]
+        obs = obs.where(~F.year(date).isin(done)) if done else obs
+    days = obs.groupBy(F.year(date).alias("year")).agg(F.count_distinct(date).alias("days"))
+    fresh = yearly_states(obs, keys, date, value).join(days, "year")
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    return merged_states(spark.read.parquet(path).where(F.col("days") >= least), [*keys, "dayofyear"])
+
+
 def smooth_circular(clim: DataFrame, keys: list[str], level: str, value: str, w: int) -> DataFrame:
     """Centred mean of 2w + 1 positions, the first and last w of which wrap around; positions are the levels that exist."""
     if w <= 0:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TIERS = (("P1", "cost_max"), ("P5", "cost_midpoint"), ("P10", "cost_min"))
@@ -72,6 +72,60 @@ def schedule(indices: DataFrame, entries: list[dict], percentile: Column) -> Dat
     return indices.where("flag_complete_window = 1").select("*", F.inline(own)).drop("of")
 
 
+ENTRIES = (
+    "contract_id long, window int, tail string, design string, pcts array<double>, fractions array<double>, pure_premium_pct double, "
+    "target_loss_ratio double, re_premium_pct double, deductions double, gross_premium_pct double"
+)
+
+
+class ContractEntries:
+    """Table function: the entries of contracts given as rows ``(contract_id, window, tail, design, pct, fraction, target_loss_ratio, deductions)``, one for each level, to be called with
+    ``PARTITION BY contract_id``. A contract is checked as a whole, by the rules of ``expanded``; costs that are NULL take its defaults."""
+
+    def __init__(self):
+        self.windows: dict = {}
+        self.contract_id = None
+
+    def eval(self, row) -> None:
+        self.contract_id = row["contract_id"]
+        terms = self.windows.setdefault(row["window"], {}).setdefault(row["tail"], {"design": row["design"], "levels": {}})
+        terms["levels"][row["pct"]] = row["fraction"]
+        terms |= {k: row[k] for k in ("target_loss_ratio", "deductions") if row[k] is not None}
+
+    def terminate(self):
+        if not self.windows:
+            return
+        for e in expanded({"windows": self.windows}, self.windows):
+            yield self.contract_id, e["window"], e["tail"], e["design"], [float(k) for k in e["levels"]], list(e["levels"].values()), e["pure"], e["target_loss_ratio"], e["re"], e["deductions"], e["gross"]
+
+
+def register(spark: SparkSession) -> None:
+    """Registers ``contract_entries`` for SQL."""
+    spark.udtf.register("contract_entries", F.udtf(ContractEntries, returnType=ENTRIES))
+
+
+def payout_of(p: Column) -> Column:
+    """The payout at a percentile (0 to 100) of a row's own ``tail``, ``design``, ``pcts`` (ascending) and ``fractions``: a changed contract is another row, not another plan."""
+    lower = F.col("tail") == "lower"
+    steps = F.arrays_zip("pcts", "fractions")
+    reached = F.filter(steps, lambda s: F.when(lower, p <= s["pcts"]).otherwise(p >= s["pcts"]))
+    layer = F.when(F.size(reached) == 0, 0.0).otherwise(F.when(lower, F.get(reached, F.lit(0))["fractions"]).otherwise(F.get(reached, F.size(reached) - 1)["fractions"]))
+    first, last = (F.when(lower, F.get(steps, F.lit(1 - i))).otherwise(F.get(steps, F.lit(i))) for i in (0, 1))
+    ramp = first["fractions"] + (p - first["pcts"]) / (last["pcts"] - first["pcts"]) * (last["fractions"] - first["fractions"])
+    before, after = F.when(lower, p > first["pcts"]).otherwise(p < first["pcts"]), F.when(lower, p <= last["pcts"]).otherwise(p >= last["pcts"])
+    ramp = F.when(before, 0.0).when(after, last["fractions"]).otherwise(ramp)
+    return F.when(p.isNotNull(), F.when(F.col("design") == "continuous", ramp).otherwise(layer))
+
+
+def scheduled(indices: DataFrame, contracts: DataFrame, percentile: Column) -> DataFrame:
+    """Every complete window under the entries of its contract: ``indices(contract_id, window, ...)`` joined to the rows that ``contract_entries`` makes of ``contracts``."""
+    spark = indices.sparkSession
+    register(spark)
+    entries = spark.sql("SELECT * FROM contract_entries(TABLE(SELECT * FROM {contracts}) PARTITION BY contract_id)", contracts=contracts)
+    met = indices.where("flag_complete_window = 1").join(entries, ["contract_id", "window"])
+    return met.withColumn("payout_pct", F.round(payout_of(percentile), 10)).drop("pcts", "fractions")
+
+
 def policy_levels(model: DataFrame, entries: list[dict]) -> DataFrame:
     """A row for each bound of a continuous entry (start and exit) and each level of a layered one: ``tail``, ``pct``, ``bound``, ``payout_fraction``."""
     rows = []

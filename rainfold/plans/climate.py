@@ -9,6 +9,7 @@ from rainfold.operators import climatology, episodes
 from rainfold.operators.portfolio import trend
 from rainfold.plans import perils
 from rainfold.plans.catalog import query
+from rainfold.sources.scratch import scratch_path
 from rainfold.sources.tables import CELLS, HOURLY, OBS, cells, hourly, observations
 
 CLIM = f"{OBS}, fy AS (SELECT year(date) AS y FROM obs GROUP BY 1 HAVING count(DISTINCT date) >= 360), clim AS (SELECT pixel_id, CAST(dayofyear(date) AS BIGINT) AS dayofyear, avg(swc) AS clim, stddev_pop(swc) AS std FROM obs WHERE year(date) IN (SELECT y FROM fy) GROUP BY ALL)"
@@ -47,6 +48,14 @@ def _(spark, d):
     return full_year(spark, d).select("pixel_id", "dayofyear", r6("clim"))
 
 
+@query("climatology_incremental", f"WITH {CLIM} SELECT pixel_id, dayofyear, round(clim, 6) AS clim, round(std, 6) AS std FROM clim")
+def _(spark, d):
+    """The climatology of full years from kept states, which came in two parts, of which the second brought back all but the last years."""
+    path, obs = scratch_path(spark, "states"), observations(spark, d)
+    climatology.updated_climatology(obs.where("year(date) < 1996"), path, ["pixel_id"], "date", "swc")
+    return climatology.updated_climatology(obs, path, ["pixel_id"], "date", "swc").select("pixel_id", "dayofyear", r6("clim"), r6("std"))
+
+
 @query("climatology_std", f"WITH {CLIM} SELECT pixel_id, dayofyear, round(std, 6) AS std FROM clim")
 def _(spark, d):
     return full_year(spark, d).select("pixel_id", "dayofyear", r6("std"))

@@ -236,6 +236,18 @@ def _(spark, d):
     return out.select(*KEYS, "window_year", "tail", "design", F.round("payout_pct", 4).alias("payout_pct"), "target_loss_ratio", "deductions", *(F.round(c, 6).alias(c) for c in ("pure_premium_pct", "re_premium_pct", "gross_premium_pct")))
 
 
+@query("contract_table_schedule", f"WITH {EMPIRICAL}, sch AS ({_TERMED}) SELECT pixel_id, \"window\", window_year, tail, design, round(payout_pct, 4) AS payout_pct, round(pure / tlr, 6) AS re_premium_pct, round(ded + 0.01 * n_regionkey, 6) AS deductions, round(pure / tlr * (1 + ded + 0.01 * n_regionkey), 6) AS gross_premium_pct FROM sch JOIN nation ON n_nationkey = pixel_id")
+def _(spark, d):
+    """A contract for each region as rows of a table, expanded by a table function in SQL; regions differ in their deductions."""
+    regions = read(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("contract_id"))
+    levels = [(e["window"], e["tail"], e["design"], float(k), v, e["target_loss_ratio"], e["deductions"]) for e in contract.expanded(SPEC, WINDOWS) for k, v in e["levels"].items()]
+    terms = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(("window", "tail", "design", "pct", "fraction", "target_loss_ratio", "deductions"), row))) for row in levels))
+    contracts = regions.select("contract_id", F.inline(terms)).withColumn("deductions", F.col("deductions") + 0.01 * F.col("contract_id"))
+    own = read(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("pixel_id"), F.col("n_regionkey").cast("long").alias("contract_id"))
+    out = contract.scheduled(with_percentile(spark, d).join(own, "pixel_id"), contracts, F.round(100 * F.round("percentile", 4), 2))
+    return out.select(*KEYS, "window_year", "tail", "design", F.round("payout_pct", 4).alias("payout_pct"), *(F.round(c, 6).alias(c) for c in ("re_premium_pct", "deductions", "gross_premium_pct")))
+
+
 _BOUNDS = "(1, 'upper', 80, 'level', 0.3), (1, 'upper', 90, 'level', 0.4), (1, 'upper', 95, 'level', 0.5), (1, 'lower', 20, 'start', 0.1), (1, 'lower', 5, 'exit', 0.9), (2, 'lower', 5, 'level', 0.5), (2, 'lower', 10, 'level', 0.4), (2, 'lower', 20, 'level', 0.3)"
 POLICY = f"""{EMPIRICAL}, sch AS ({_TERMED}), ref2 AS (SELECT pixel_id, "window", list_sort(list(index_value)) AS v FROM indices WHERE flag_complete_window = 1 GROUP BY ALL), bounds AS (SELECT * FROM (VALUES {_BOUNDS}) t("window", tail, pct, bound, payout_fraction)),
 pol AS (SELECT pixel_id, "window", tail, pct, bound, CAST(payout_fraction AS DOUBLE) AS payout_fraction, v[CAST(floor((len(v) - 1) * pct / 100.0) AS INT) + 1] + coalesce(((len(v) - 1) * pct / 100.0 - floor((len(v) - 1) * pct / 100.0)) * (v[CAST(floor((len(v) - 1) * pct / 100.0) AS INT) + 2] - v[CAST(floor((len(v) - 1) * pct / 100.0) AS INT) + 1]), 0) AS trigger_value FROM ref2 JOIN bounds USING ("window"))"""

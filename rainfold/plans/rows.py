@@ -124,6 +124,15 @@ def _(spark, d):
     return spark.read.parquet(path).select("pixel_id", "date", F.round("swc", 6).alias("swc"), F.col("year").cast("long").alias("year"))
 
 
+@query("cube_box", f"WITH {OBS}, {CELLS} SELECT pixel_id, date, round(swc, 6) AS swc FROM obs JOIN cells USING (pixel_id) WHERE lon BETWEEN 1 AND 2.5 AND lat BETWEEN 0.5 AND 3 AND date BETWEEN date '1995-03-01' AND date '1996-10-31'")
+def _(spark, d):
+    """A box of a cube that was written in chunks of two degrees and a year, the later years appended."""
+    path, own = scratch_path(spark, "chunks"), observations(spark, d).select("pixel_id", "date", "swc").join(cells(spark, d), "pixel_id")
+    tables.write_chunks(own.where("year(date) < 1996"), path, 2.0)
+    tables.write_chunks(own.where("year(date) >= 1996"), path, 2.0, mode="append", append_dim="date")
+    return tables.read_chunks(spark, path, 2.0, (1.0, 2.5, 0.5, 3.0), "1995-03-01", "1996-10-31").select("pixel_id", "date", F.round("swc", 6).alias("swc"))
+
+
 @query("raster_decode", "SELECT strptime(regexp_extract(strftime(o_orderdate, '%Y%m%d') || 'T-x', '([0-9]{8})T', 1), '%Y%m%d')::DATE AS date, CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE o_custkey * CAST(0.001 AS DOUBLE) END AS value, o_orderkey FROM orders")
 def _(spark, d):
     orders = read(spark, d, "orders").select(F.concat(F.lit("ds-"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("T-x.tif")).alias("file"), F.when(F.col("o_custkey") % 10 == 0, 65535).otherwise(F.col("o_custkey")).alias("raw"), "o_orderkey")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rainfold.sources.scratch import exists
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,10 +37,34 @@ def write_cube(df: DataFrame, path: str, mode: str = "overwrite", append_dim: st
     df.repartition("year").sortWithinPartitions(*order).write.mode(mode).partitionBy("year").parquet(path)
 
 
+def write_chunks(df: DataFrame, path: str, side: float, time: str = "date", mode: str = "overwrite", append_dim: str | None = None) -> None:
+    """A cube in chunks of space and time: folders by year and by tiles of ``side`` degrees, rows sorted by place and time within.
+
+    ``append`` adds rows along ``append_dim``, and raises without it, as it does for a dimension that isn't the cube's time. Rows without a coordinate or time are left out.
+    """
+    if mode == "append" and append_dim != time:
+        raise ValueError(f"a cube is appended along {time}, not {append_dim}")
+    tile = lambda c: F.floor(F.col(c) / side).cast("int")
+    chunks = df.where(F.col("lon").isNotNull() & F.col("lat").isNotNull() & F.col(time).isNotNull()).withColumns({"year": F.year(time), "tile_x": tile("lon"), "tile_y": tile("lat")})
+    chunks.repartition("year", "tile_x", "tile_y").sortWithinPartitions("year", "tile_x", "tile_y", "lon", "lat", time).write.mode(mode).partitionBy("year", "tile_x", "tile_y").parquet(path)
+
+
+def read_chunks(spark: SparkSession, path: str, side: float, box: tuple[float, float, float, float], first: str | None = None, last: str | None = None, time: str = "date") -> DataFrame:
+    """Rows of a chunked cube within ``box`` (west, east, south, north, ends included) and from ``first`` to ``last``: only the chunks that these touch are listed and read."""
+    west, east, south, north = box
+    tile = lambda v: math.floor(v / side)
+    rows = spark.read.parquet(path).where(F.col("tile_x").between(tile(west), tile(east)) & F.col("tile_y").between(tile(south), tile(north)))
+    rows = rows.where(F.col("lon").between(west, east) & F.col("lat").between(south, north))
+    for bound, keep in ((first, lambda c, v: c >= v), (last, lambda c, v: c <= v)):
+        if bound:
+            day = F.lit(bound).cast("date")
+            rows = rows.where(keep(F.col("year"), F.year(day)) & keep(F.col(time), day))
+    return rows.drop("tile_x", "tile_y")
+
+
 def or_synthetic(spark: SparkSession, path: str, first: str = "1991-01-01", last: str = "2020-12-31") -> DataFrame:
     """The table at ``path``; if there is none, two pixels with a normal daily value are written there first."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+    if not exists(spark, path):
         days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
         spark.range(2).select(F.col("id").alias("pixel_id"), F.explode(days).alias("date")).withColumn("swc", 0.3 + 0.05 * F.randn(42)).write.parquet(path)
     return spark.read.parquet(path)
