@@ -117,12 +117,15 @@ def payout_of(p: Column) -> Column:
     return F.when(p.isNotNull(), F.when(F.col("design") == "continuous", ramp).otherwise(layer))
 
 
+def entries(contracts: DataFrame) -> DataFrame:
+    """The rows that ``contract_entries`` makes of ``contracts``."""
+    register(contracts.sparkSession)
+    return contracts.sparkSession.sql("SELECT * FROM contract_entries(TABLE(SELECT * FROM {contracts}) PARTITION BY contract_id)", contracts=contracts)
+
+
 def scheduled(indices: DataFrame, contracts: DataFrame, percentile: Column) -> DataFrame:
     """Every complete window under the entries of its contract: ``indices(contract_id, window, ...)`` joined to the rows that ``contract_entries`` makes of ``contracts``."""
-    spark = indices.sparkSession
-    register(spark)
-    entries = spark.sql("SELECT * FROM contract_entries(TABLE(SELECT * FROM {contracts}) PARTITION BY contract_id)", contracts=contracts)
-    met = indices.where("flag_complete_window = 1").join(entries, ["contract_id", "window"])
+    met = indices.where("flag_complete_window = 1").join(entries(contracts), ["contract_id", "window"])
     return met.withColumn("payout_pct", F.round(payout_of(percentile), 10)).drop("pcts", "fractions")
 
 

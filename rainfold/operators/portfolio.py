@@ -43,6 +43,13 @@ def bootstrap(annual: DataFrame, draws: int, index) -> DataFrame:
     return values.withColumn("rank", rank).select("crop", "rank", (F.lit(float(draws)) / F.col("rank")).alias("return_period_years"), (F.col("rank") / draws).alias("exceedance_probability"), "loss_usd")
 
 
+def thinned(curve: DataFrame, low: float = 0.001, high: float = 0.30, points: int = 80) -> DataFrame:
+    """The part of each crop's curve between two probabilities, every n-th point of it by rank, so that some ``points`` are left."""
+    own = Window.partitionBy("crop")
+    placed = curve.where(F.col("exceedance_probability").between(low, high)).withColumns({"_i": F.row_number().over(own.orderBy("rank")) - 1, "_m": F.count("*").over(own)})
+    return placed.where(F.col("_i") % F.greatest(F.lit(1).cast("long"), F.floor(F.col("_m") / points)) == 0).drop("_i", "_m")
+
+
 def trend(df: DataFrame, keys: list[str], y: Column, x: Column, least: int = 3) -> DataFrame:
     """Least squares of each group with ``least`` values or more: ``slope``, ``intercept``, ``r`` and ``n``; NULL for smaller ones."""
     known = df.withColumns({"_y": y.cast("double"), "_x": x.cast("double")}).where("_y is not null")

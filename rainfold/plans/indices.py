@@ -194,9 +194,17 @@ for (_tail, _design), _levels in CONTRACTS.items():
         return with_percentile(spark, d).select(*KEYS, "window_year", F.round(contract.payout(p, tail, design, levels), 4).alias("payout"))
 
 
-@query("premium_rates", "SELECT tail, design, CAST(pure AS DOUBLE) AS pure, CAST(re AS DOUBLE) AS re, CAST(gross AS DOUBLE) AS gross FROM (VALUES ('lower', 'continuous', 0.055, 0.0743243243, 0.0847297297), ('upper', 'continuous', 0.055, 0.0743243243, 0.0847297297), ('lower', 'layered', 0.075, 0.1013513514, 0.1155405405), ('upper', 'layered', 0.075, 0.1013513514, 0.1155405405)) t(tail, design, pure, re, gross)")
-def _(spark, d):
-    return spark.createDataFrame([(t, g, *contract.rates(t, g, own).values()) for (t, g), own in CONTRACTS.items()], "tail string, design string, pure double, re double, gross double")
+@query("premium_rates", """WITH c AS (SELECT CAST(p_partkey AS BIGINT) AS contract_id, 10 + p_size % 10 AS a, 1 + p_size % 5 AS e, CASE WHEN p_size % 2 = 0 THEN 0.7 ELSE 0.74 END::DOUBLE AS tlr FROM part),
+r AS (SELECT contract_id, 'lower' AS tail, 'continuous' AS design, 0.1 * a / 100 + 0.8 * (a + e) / 200 AS pure, tlr FROM c UNION ALL SELECT contract_id, 'upper', 'layered', 0.3 * (a + 2) / 100 + 0.2 * a / 100, tlr FROM c)
+SELECT contract_id, tail, design, round(CAST(pure AS DOUBLE), 8) AS pure, round(CAST(pure AS DOUBLE) / tlr, 8) AS re, round(CAST(pure AS DOUBLE) / tlr * 1.14, 8) AS gross FROM r""")
+def _(spark, d):
+    """Rates of a table of contracts, one for each part."""
+    a, e = 10.0 + F.col("p_size") % 10, 1.0 + F.col("p_size") % 5
+    level = lambda tail, design, pct, v: F.struct(F.lit(tail).alias("tail"), F.lit(design).alias("design"), pct.alias("pct"), F.lit(v).alias("fraction"))
+    levels = F.array(level("lower", "continuous", a, 0.1), level("lower", "continuous", e, 0.9), level("upper", "layered", 98 - a, 0.3), level("upper", "layered", 100 - a, 0.5))
+    part = read(spark, d, "part").select(F.col("p_partkey").cast("long").alias("contract_id"), F.lit(1).alias("window"), F.inline(levels), F.when(F.col("p_size") % 2 == 0, 0.7).alias("target_loss_ratio"), F.lit(None).cast("double").alias("deductions"))
+    out = contract.entries(part.select("contract_id", "window", "tail", "design", "pct", "fraction", "target_loss_ratio", "deductions"))
+    return out.select("contract_id", "tail", "design", *(F.round(f"{c}_premium_pct", 8).alias(c) for c in ("pure", "re", "gross")))
 
 
 def schedule(spark, d) -> DataFrame:

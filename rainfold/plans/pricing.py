@@ -164,6 +164,24 @@ def _(spark, d):
     return rounded(rounded(portfolio.bootstrap(losses(spark, d), 1000, _lcg), "loss_usd", places=4), "return_period_years", "exceedance_probability")
 
 
+@query("aep_chart", f"""WITH {LOSS}, y AS (SELECT crop, loss_usd, row_number() OVER (PARTITION BY crop ORDER BY year) - 1 AS i, count(*) OVER (PARTITION BY crop) AS n FROM loss),
+drawn AS (SELECT y.crop, g.draw, y.loss_usd FROM range(1000) g(draw) JOIN y ON y.i = ((g.draw * 1103515245 + 12345) % 2147483648) % y.n), r AS (SELECT crop, loss_usd, row_number() OVER (PARTITION BY crop ORDER BY loss_usd DESC, draw) AS rank FROM drawn),
+k AS (SELECT *, row_number() OVER (PARTITION BY crop ORDER BY rank) - 1 AS i, count(*) OVER (PARTITION BY crop) AS m FROM r WHERE rank / 1000 BETWEEN 0.001 AND 0.3)
+SELECT crop, rank, round(rank / 1000, 6) AS exceedance_probability, round(loss_usd, 4) AS loss_usd FROM k WHERE i % greatest(1, m // 80) = 0""")
+def _(spark, d):
+    """The points that a chart of the curve shows."""
+    curve = portfolio.thinned(portfolio.bootstrap(losses(spark, d), 1000, _lcg)).drop("return_period_years")
+    return rounded(rounded(curve, "loss_usd", places=4), "exceedance_probability")
+
+
+@query("qa_pricing", f"WITH {ANNUAL}, q AS ({QUOTE.format(c='(1 - 0.2)')}) SELECT count(*) FILTER (AAL_usd < 0) AS negative_aal, count(*) FILTER (commercial_premium_usd < AAL_usd) AS premium_below_aal, count(*) FILTER (AAL_usd IS NULL OR commercial_premium_usd IS NULL) AS missing FROM q")
+def _(spark, d):
+    """Rules that a quote must keep, with the number of rows that break each."""
+    quote = portfolio.quote(annual(spark, d), LOADING, margin=MARGIN)
+    below = F.col("commercial_premium_usd") < F.col("AAL_usd")
+    return quote.agg(F.count_if(F.col("AAL_usd") < 0).alias("negative_aal"), F.count_if(below).alias("premium_below_aal"), F.count_if(F.col("AAL_usd").isNull() | F.col("commercial_premium_usd").isNull()).alias("missing"))
+
+
 @query("bootstrap_aep")
 def _(spark, d):
     seeded = lambda draw, n: F.pmod(F.xxhash64(F.lit(42), "crop", draw), n)

@@ -77,6 +77,14 @@ def _(spark, d):
     return wide.agg(F.round(F.avg("swc"), 6))
 
 
+@query("feature_matrix_dense", f"WITH {OBS} SELECT pixel_id, {', '.join(f'round(avg(swc) FILTER (month(date) = {m}), 6) AS m{m}' for m in range(1, 13) if m != 2)} FROM obs WHERE month(date) <> 2 AND pixel_id % 4 > 0 GROUP BY pixel_id")
+def _(spark, d):
+    """The same, where no pixel has a value in February, and every fourth one has none at all: that column goes, and then those rows."""
+    obs = observations(spark, d).withColumn("swc", F.when((F.month("date") != 2) & (F.col("pixel_id") % 4 > 0), F.col("swc")))
+    wide = obs.withColumn("m", F.concat(F.lit("m"), F.month("date"))).groupBy("pixel_id").pivot("m", [f"m{m}" for m in range(1, 13)])
+    return tables.without_empty(wide.agg(F.round(F.avg("swc"), 6)), ["pixel_id"])
+
+
 @query("climate_areas", f"WITH {OBS} SELECT CAST(n_regionkey AS BIGINT) AS polygon_id, CAST(CASE WHEN n_regionkey = 0 THEN 1 ELSE least(count(*), greatest(2, n_regionkey)) END AS BIGINT) AS most, count(*) AS pixels FROM nation WHERE n_nationkey IN (SELECT pixel_id FROM obs) GROUP BY n_regionkey")
 def _(spark, d):
     """Regions as polygons of 50 km² more each; how many areas they may have and how many pixels are in any."""
@@ -420,6 +428,22 @@ def _(spark, d):
     return spatial.regrid_bilinear(half_degrees(spark, d), "v", 0.2).select(F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), F.round("v", 6).alias("v"))
 
 
+@query("resample_daily_gaps", f"WITH {HOURLY}, h AS (SELECT * FROM hourly WHERE user_id % 3 = day(time) % 3), e AS (SELECT unnest(generate_series(CAST(min(time) AS DATE), CAST(max(time) AS DATE), INTERVAL 1 DAY)) AS day FROM h) SELECT u.user_id, CAST(e.day AS DATE) AS day, round(max(v), 6) AS v FROM (SELECT DISTINCT user_id FROM h) u CROSS JOIN e LEFT JOIN h ON h.user_id = u.user_id AND CAST(h.time AS DATE) = CAST(e.day AS DATE) GROUP BY ALL")
+def _(spark, d):
+    """The daily maximum of rows with gaps, whose days are NULL."""
+    own = hourly(spark, d).where(F.col("user_id") % 3 == F.dayofmonth("time") % 3)
+    return tables.resampled_daily(own, ["user_id"], "time", "v").select("user_id", "day", F.round("v", 6).alias("v"))
+
+
+@query("overwrite_schema", "SELECT r_regionkey, upper(r_name) AS label, CAST(length(r_name) AS INTEGER) AS width FROM region")
+def _(spark, d):
+    """A table that is replaced by one of other columns, made from itself."""
+    path = scratch_path(spark, "schema")
+    read(spark, d, "region").select("r_regionkey", "r_name").write.parquet(path)
+    tables.overwrite_schema(spark.read.parquet(path).select("r_regionkey", F.upper("r_name").alias("label"), F.length("r_name").alias("width")), path)
+    return spark.read.parquet(path)
+
+
 @query("resample_daily_max", f"WITH {HOURLY} SELECT user_id, CAST(time AS DATE) AS day, round(max(v), 6) AS v FROM hourly GROUP BY ALL")
 def _(spark, d):
     return hourly(spark, d).groupBy("user_id", F.to_date("time").alias("day")).agg(F.round(F.max("v"), 6).alias("v"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -83,6 +84,37 @@ def without_scalars(df: DataFrame, keep: list[str] = ()) -> DataFrame:
     return df.select(*(c for c in df.columns if c in keep or not single[c]))
 
 
+def without_empty(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Columns without any value go, then rows without any in what is left, but for the keys; one pass tells the columns."""
+    values = [c for c in df.columns if c not in keys]
+    row = df.agg(*(F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(values))).first() if values else []
+    kept = [c for c, n in zip(values, row) if n]
+    return df.select(*keys, *(F.col(f"`{c}`") for c in kept)).where(reduce(lambda a, b: a | b, (F.col(f"`{c}`").isNotNull() for c in kept), F.lit(False)))
+
+
+def resampled_daily(df: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
+    """``(keys, day, value)``: the largest value of each day from the table's first day to its last one, for every key, as a cube has them; NULL where there is none."""
+    own = df.groupBy(*keys, F.to_date(time).alias("day")).agg(F.max(value).alias(value))
+    ends = df.agg(F.to_date(F.min(time)).alias("a"), F.to_date(F.max(time)).alias("b")).where("a is not null")
+    days = ends.select(F.explode(F.sequence("a", "b")).alias("day")).withColumn("_one", F.lit(1))
+    # The days of a table are few, and come to every key.
+    places = df.select(*keys).distinct().withColumn("_one", F.lit(1)).join(F.broadcast(days), "_one").drop("_one")
+    return places.join(own, [*keys, "day"], "left")
+
+
+def overwrite_schema(df: DataFrame, path: str, *keys: str) -> None:
+    """Replaces a table and its columns as a whole, unlike ``write_partitioned``, which keeps what isn't in ``df``. ``df`` may be made from the table itself:
+    the new one is written beside it and then takes its place."""
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}.new"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(beside)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(path), hadoop.Path(beside)
+    store = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(old, True)
+    if not store.rename(new, old):
+        raise OSError(f"{beside} couldn't take the place of {path}")
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """A table to which files with more columns were appended."""
     return spark.read.option("mergeSchema", "true").parquet(path)
