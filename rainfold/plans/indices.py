@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rainfold.operators import contract, distributions, timeops
 from rainfold.plans import climate, perils
 from rainfold.plans.catalog import query
-from rainfold.sources.tables import OBS, observations, read
+from rainfold.sources.tables import CELLS, OBS, cells, observations, read
 from rainfold.streaming import daily
 
 WINDOWS = {1: ("03-01", "05-31"), 2: ("12-15", "02-14")}
@@ -351,6 +351,35 @@ def _(spark, d):
     return out.select("pixel_id", "date", F.round("swc", 6).alias("swc"), F.round("anomaly", 6).alias("anomaly"))
 
 
+#: A recent source by location and a gridded one before it; the second is matched, and both are smoothed.
+_HARMONIZED = f"""{OBS}, {CELLS}, areas AS (SELECT * FROM (VALUES ('a', -0.5::DOUBLE, -0.5::DOUBLE, 2.6::DOUBLE, 1.6::DOUBLE), ('b', 1.4::DOUBLE, 1.4::DOUBLE, 4.6::DOUBLE, 4.6::DOUBLE)) t(location_id, ax, ay, bx, by_)),
+rec AS (SELECT location_id, date, round(avg(CASE WHEN pixel_id % 7 = 3 AND day(date) = 5 THEN NULL ELSE swc END), 9) AS v FROM obs JOIN cells USING (pixel_id) JOIN areas ON lon > ax AND lon < bx AND lat > ay AND lat < by_ WHERE date >= date '1997-01-01' GROUP BY ALL),
+bs AS (SELECT location_id, date, avg(v) OVER (PARTITION BY location_id ORDER BY date ROWS 6 PRECEDING) AS v FROM rec),
+g AS (SELECT date, lon, lat, swc * 1.1 + 2 AS v FROM obs JOIN cells USING (pixel_id) WHERE date >= date '1994-01-01'), tg AS (SELECT 0.5 * i AS x, 0.5 * j AS y, floor(0.5 * i) AS x0, ceil(0.5 * i) AS x1, floor(0.5 * j) AS y0, ceil(0.5 * j) AS y1 FROM range(9) a(i), range(9) b(j)),
+c AS (SELECT x, y, x0 + p AS lon, y0 + q AS lat, (CASE WHEN x0 = x1 THEN 1 ELSE 0.5 END) * (CASE WHEN y0 = y1 THEN 1 ELSE 0.5 END) AS w, (1 + (x1 - x0)) * (1 + (y1 - y0)) AS n FROM tg, range(2) a(p), range(2) b(q) WHERE x0 + p <= x1 AND y0 + q <= y1),
+fine AS (SELECT date, x, y, CASE WHEN count(v) = max(n) THEN sum(w * v) END AS v FROM c JOIN g USING (lon, lat) GROUP BY ALL),
+gp AS (SELECT location_id, date, round(avg(v), 9) AS v FROM fine JOIN areas ON x > ax AND x < bx AND y > ay AND y < by_ GROUP BY ALL),
+s AS (SELECT location_id AS pixel_id, date, CAST(dayofyear(date) AS BIGINT) AS doy, v AS swc FROM gp), b AS (SELECT location_id AS pixel_id, date, CAST(dayofyear(date) AS BIGINT) AS doy, v AS swc FROM bs),
+""" + _MATCH[_MATCH.index("t AS (SELECT DISTINCT"):].replace("SELECT pixel_id, date, CASE WHEN swc IS NOT NULL", ", m AS (SELECT pixel_id, date, CASE WHEN swc IS NOT NULL").replace("round(CASE WHEN floor(h)", "(CASE WHEN floor(h)").replace("END, 4) END AS matched FROM h", "END) END AS matched FROM h)")
+_HARMONIZED += """, u AS (SELECT pixel_id, date, matched AS v FROM m WHERE date BETWEEN date '1994-06-01' AND date '1995-12-31' OR date BETWEEN date '1996-01-01' AND date '1996-12-31' UNION ALL SELECT location_id, date, v FROM bs),
+x AS (SELECT pixel_id, date, v AS original, avg(v) OVER (PARTITION BY pixel_id ORDER BY date ROWS 20 PRECEDING) AS swc FROM u)""" + climate.ANOM.removeprefix(OBS).replace("FROM obs", "FROM x")
+
+
+@query("peril_planet", f"WITH {_HARMONIZED} SELECT anom.pixel_id AS location_id, anom.date, round(original, 6) AS original, round(anom.swc, 6) AS swc, round(a, 6) AS anomaly, round(CASE WHEN a < 0 THEN -a ELSE 0 * a END, 6) AS negative FROM anom JOIN x ON x.pixel_id = anom.pixel_id AND x.date = anom.date")
+def _(spark, d):
+    """From two raw sources with their own names and sentinel to the anomalies of two polygons."""
+    raw = observations(spark, d).join(cells(spark, d), "pixel_id")
+    recent = raw.select("date", F.col("lon").alias("longitude"), F.col("lat").alias("latitude"), F.when((F.col("pixel_id") % 7 == 3) & (F.day("date") == 5), 65535.0).otherwise(F.col("swc")).alias("soil_water_content"))
+    gap = raw.select("date", F.col("lon").alias("x"), F.col("lat").alias("y"), (F.col("swc") * 1.1 + 2).alias("swvl1"))
+    areas = spark.createDataFrame([(k, [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]) for k, x0, y0, x1, y1 in (("a", -0.5, -0.5, 2.6, 1.6), ("b", 1.4, 1.4, 4.6, 4.6))], "polygon_id string, ring array<struct<x:double,y:double>>")
+    params = {
+        "recent": {"missing": 65535.0, "period": ("1997-01-01", None)}, "gap": {"box": (-0.5, -0.5, 4.5, 4.5), "res": 0.5, "period": ("1994-01-01", None)}, "fill": 7, "match": 5,
+        "early": ("1994-06-01", "1995-12-31"), "late": ("1996-01-01", "1996-12-31"), "time_smooth": 21, "smooth": 7,
+    }
+    out = perils.harmonized(recent, gap, areas, "swc", "date", params)
+    return out.select("location_id", "date", *(F.round(c, 6).alias(c) for c in ("original", "swc", "anomaly", "negative")))
+
+
 @query("stream_daily", "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def _(spark, d):
     return daily.replayed(spark, f"{d}/events.parquet").select("event_type", "day", "n", F.round("total", 4).alias("total"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rainfold.functions import scalars
 from rainfold.operators import climatology, distributions, episodes, spatial
+from rainfold.sources.scratch import written
 
 
 #: Names of the components of wind. Fixed values.
@@ -84,6 +85,34 @@ def blended(base: DataFrame, other: DataFrame, cut: str, key: str, date: str, va
     return _anomalies(earlier.unionByName(base.where(F.col(date) >= F.lit(cut).cast("date")).select(key, date, value)), key, date, value, params)
 
 
+def located(obs: DataFrame, polygons: DataFrame, time: str, value: str) -> DataFrame:
+    """``(location_id, time, value)``: the mean over the cells of ``obs(lon, lat, time, value)`` strictly inside each of ``polygons(polygon_id, ring)``. Only the cells' places meet
+    the polygons. Means are rounded to nine places, so that ties are ties on any plan."""
+    places = spatial.within(obs.select("lon", "lat").distinct(), polygons.select("polygon_id", "ring")).select("lon", "lat", F.col("polygon_id").alias("location_id"))
+    return obs.join(places, ["lon", "lat"]).groupBy("location_id", time).agg(F.round(F.avg(value), 9).alias(value))
+
+
+def harmonized(recent: DataFrame, gap: DataFrame, polygons: DataFrame, variable: str, time: str, params: dict) -> DataFrame:
+    """One series of a location from two raw sources: ``recent`` from when it begins, and before that ``gap``, finer gridded and brought onto its distribution; then anomalies.
+
+    Both come from raw names to daily means of each polygon. The recent source is smoothed over ``fill`` rows, the gap matched to it within ``match`` days of the year, its ``early`` and ``late``
+    periods are put in front of the recent one, and the whole is smoothed over ``time_smooth`` rows. ``params`` also has what ``prepared`` and the anomalies take: ``recent`` and ``gap`` for each source,
+    ``smooth`` and ``least``. Returns the columns of the anomalies, with ``original``, the value before the last smoothing.
+    """
+    of = lambda raw, own: located(prepared(raw, variable, [], time, own), polygons, time, variable)
+    smooth = lambda df, column, n: episodes.rolling(df, ["location_id"], time, column, n - 1)
+    base = of(recent, params["recent"])
+    base = base.select("location_id", time, smooth(base, variable, params["fill"]).alias(variable))
+    base = written(base, "recent")
+    matched = distributions.cdf_matching(of(gap, params["gap"]), base, ["location_id"], time, variable, params["match"])
+    matched = written(matched.select("location_id", time, F.col("matched").alias(variable)), "matched")
+    parts = [scalars.time_slice(matched, time, *params[period]) for period in ("early", "late")]
+    whole = parts[0].unionByName(parts[1]).unionByName(base).withColumnRenamed(variable, "original")
+    # What follows reads the series several times.
+    whole = written(whole.withColumn(variable, smooth(whole, "original", params["time_smooth"])), "harmonized")
+    return _anomalies(whole, "location_id", time, variable, params)
+
+
 def updated(history: DataFrame, new: DataFrame, key: str, date: str, value: str, n: int) -> DataFrame:
     """Rows after the history's last day, with the trailing mean of ``n`` rows; of the history only what the mean needs is read."""
     last = history.agg(F.max(date)).first()[0]
