@@ -7,10 +7,11 @@ Of each token the encoding is inferred (decimal, hex, base32, letters and digits
 give p-values of the hypothesis that the token is random: chi-squared of the characters' counts against a uniform alphabet, a runs test on the upper and
 lower half of the alphabet, and the serial correlation of neighbours. Fisher's method combines them. Over all tokens of the corpus,
 in bands of length (short tokens tell less), the Benjamini-Hochberg procedure finds which are not
-random, so that of the tokens put aside at most ``RATE`` are expected to be random ones; the others are spans. For those the share of
-regular tokens is estimated band by band and reported. The p-values are counted in bins, so only a table of bands and bins comes to the driver.
+random, so that of the tokens put aside at most ``RATE`` are expected to be random ones. Of the others the share of regular tokens is estimated band by band, and where it
+is above ``REPORTED`` the band's limit is drawn in until what is reported is below it. The p-values are counted in bins, so only a table of bands and bins comes to the driver.
 
-Offsets are code points. Nulls: a null text is empty. Repeated rows stay repeated. An empty table gives an empty result.
+Offsets are code points. Nulls: a null text is empty. Repeated rows stay repeated. A text of any length is searched as a whole; its matches are one array. Other columns are
+left alone, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 PATTERNS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}", "random": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"}
 KINDS = list(PATTERNS)
 RATE = 0.05
+#: The share of regular tokens that may be expected among the random spans of a band.
+REPORTED = 0.2
 #: Upper lengths of the bands; bins of -10 ln p.
 BANDS, BINS = (24, 32, 40, 64, 128), 400
 #: Bins of the largest p-values, from which the number of random tokens is estimated.
@@ -100,24 +103,31 @@ def band() -> Column:
 
 
 def limits(tokens: DataFrame) -> dict[int, tuple[int, float]]:
-    """By band the smallest bin that the Benjamini-Hochberg procedure puts aside, and the share of regular tokens estimated among those that stay.
+    """By band the smallest bin that is put aside, and the share of regular tokens estimated among those that stay.
 
-    The p-values of random tokens are uniform, so the bins next to 1, where hardly any others are, tell how many random tokens there are.
+    The p-values of random tokens are uniform, so the bins next to 1, where hardly any others are, tell how many random tokens there are, and with that how many lie below a limit. It
+    is the one of the Benjamini-Hochberg procedure or, if that leaves more than REPORTED regular tokens, the largest one that doesn't, two standard deviations of that number allowed, but not within the bins next to 1.
     """
     counts: dict[int, dict[int, int]] = {}
     for b, i, n in tokens.groupBy("band", "bin").count().collect():
         counts.setdefault(b, {})[i] = n
-    out = {}
-    for b, own in counts.items():
-        total, below, limit = sum(own.values()), 0, BINS + 1
-        for i in sorted(own, reverse=True):
-            below += own[i]
-            if math.exp(-i / 10) <= RATE * below / total:  # the largest p of the bin
-                limit = i
-        stay = sum(n for i, n in own.items() if i < limit)
-        random = min(total, sum(n for i, n in own.items() if i < NEXT_TO_ONE) / (1 - math.exp(-NEXT_TO_ONE / 10))) * (1 - math.exp(-limit / 10))
-        out[b] = limit, max(0.0, 1 - random / stay) if stay else 0.0
-    return out
+    return {b: limit_of(own) for b, own in counts.items()}
+
+
+def limit_of(own: dict[int, int]) -> tuple[int, float]:
+    """The limit and the estimated share of one band's counts by bin."""
+    total, below, limit = sum(own.values()), 0, BINS + 1
+    for i in sorted(own, reverse=True):
+        below += own[i]
+        if math.exp(-i / 10) <= RATE * below / total:  # the largest p of the bin
+            limit = i
+    near, share = sum(n for i, n in own.items() if i < NEXT_TO_ONE), 1 - math.exp(-NEXT_TO_ONE / 10)
+    likely, at_most = near / share, (near + 2 * math.sqrt(near + 1)) / share
+    while True:
+        stay, part = sum(n for i, n in own.items() if i < limit), 1 - math.exp(-limit / 10)
+        if stay * (1 - REPORTED) <= at_most * part or limit <= NEXT_TO_ONE:
+            return limit, max(0.0, 1 - min(total, likely) * part / stay) if stay else 0.0
+        limit -= 1
 
 
 def spans(docs: DataFrame, scratch: Scratch, row: Column) -> DataFrame:
