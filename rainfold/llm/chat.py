@@ -11,7 +11,8 @@ them, and reading back is exact.
 ``loss_mask`` has for each turn how many code points to skip from its start and how many to take; it takes assistant texts.
 
 Nulls: a null text or role is empty, a null turn comes first, rows without conv_id are one conversation. Rows of one
-turn are messages of their own, by role and text. An empty table gives an empty result.
+turn are messages of their own, by role and text. A text of any length is one string of its conversation's, which a row must be able to hold. Other columns are left alone,
+whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -110,6 +110,12 @@ def per_text(docs: DataFrame, fn: Callable[[list, list], dict], schema: str, *ex
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *extra).mapInArrow(run, schema)
 
 
+def whole_rows(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``run`` on batches of all columns of ``docs``, of which it gives rows back. It sees columns by place, so that any names will do."""
+    placed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of the undirected ``edges(a, b)`` of longs, as ``(node, root)`` with the smallest node as root.
 

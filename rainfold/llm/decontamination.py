@@ -3,7 +3,8 @@
 1. Passages of all documents (``PASSAGE`` words, every ``STRIDE``) are rows of a TF-IDF matrix over the benchmark's words. Tasks count
    in how many strides a word is and sketch the matrix to ``SKETCH`` rows: each passage is added to one of them with a random sign. The sketches add up
    by grouped sums. The right singular vectors of the sketch, scaled by IDF, span the latent space (a randomised SVD: the
-   sketch preserves the Gram matrix in expectation). What comes to the driver has the benchmark's size.
+   sketch preserves the Gram matrix in expectation). What comes to the driver is the sketch, SKETCH doubles for each
+   different word of a block of the benchmark.
 2. A passage is a candidate for an item if the cosine of their latent vectors is at least ``COSINE`` and the passage's
    vector reaches at least ``REACH`` of the length of the item's along it, so that one shared word isn't enough.
 3. A candidate leaks if the longest common subsequence of words holds at least ``HIGH`` of the item, or at least ``LOW`` of it and
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import arrow_schema, batch_of, table, words_of
+from rainfold.llm.common import arrow_schema, batch_of, table, whole_rows, words_of
 from rainfold.llm.winnow import mix
 
 PASSAGE, STRIDE = 32, 16
@@ -190,12 +191,12 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = F
     queries = np.stack([table_[p].sum(axis=0) for _, p in parts])
     lengths = np.linalg.norm(queries, axis=1)
     shortest = lengths.min(initial=np.inf)
-    schema = arrow_schema(SCHEMA)
+    schema, places = arrow_schema(SCHEMA), [docs.columns.index(c) for c in ("doc_id", "text")] if drop else [0, 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, clean = [], []
-            for ids, known in batches_of(batch.select(["doc_id", "text"]), numbers):
+            for ids, known in batches_of(batch.select(places), numbers):
                 word, stride, first = strides_of(known, useful)
                 sums = np.zeros((int(first[-1]) + 1, table_.shape[1]), np.float32)
                 at = np.flatnonzero(np.diff(stride, prepend=-1))
@@ -231,7 +232,7 @@ def search(docs: DataFrame, items: list[tuple[int, list[bytes]]], drop: bool = F
                 rows += [(ids[doc], coded[i][0], cosine, lcs, held) for (doc, i), (lcs, held, cosine) in sorted(best.items())]
             yield batch.filter(pa.array(clean, pa.bool_())) if drop else batch_of(rows, schema)
 
-    return docs.mapInArrow(run, docs.schema) if drop else own.mapInArrow(run, SCHEMA)
+    return whole_rows(docs, run) if drop else own.mapInArrow(run, SCHEMA)
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:

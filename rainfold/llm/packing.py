@@ -13,8 +13,8 @@ Every task packs what it reads and nothing is shuffled. The pool of a task holds
 triples and is packed when it has ``POOL`` of them, so memory is bounded. ``sequence_id`` has the partition in its upper bits. A task that runs again
 over the same rows gives the same result.
 
-Nulls: a null or empty text is the end id alone. Repeated rows are packed as often as they occur, a null doc_id too. An empty table gives
-an empty result.
+Nulls: a null or empty text is the end id alone. Repeated rows are packed as often as they occur, a null doc_id too. A text of any length is cut into as many
+sequences as it fills. Other columns are left alone, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Two questions are asked of each document, whether its quality is good and whethe
 
 ``kept``: good rather than not, and not toxic. Nulls: a null text has no words, null source and language are values of their own.
 Without labels of both kinds the evidence is the prior. Repeated rows stay repeated; a doc_id labelled twice counts once, with the larger label,
-and one with several texts with the smallest text. Other columns are left alone. An empty table gives an empty result.
+and one with several texts with the smallest text. A text of any length counts as a whole, by its distinct words. Other columns are left alone, whatever their names. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ wildcarded over the whole width, where equal signatures mean a distance within t
 the smallest of its signature instead of to all others. No link is lost and no group is expanded into all pairs.
 
 Nulls: a null text has no words. Its fingerprint is zero, as is that of an empty one. A null doc_id is never the
-smallest of a component. Repeated rows stay repeated. An empty table gives an empty result.
+smallest of a component. Repeated rows stay repeated. A text of any length is hashed as a whole. Other columns are left alone, whatever their names. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
