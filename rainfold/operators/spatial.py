@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -137,27 +138,26 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str) -> DataFra
     return _ranked(met, d, key, 1, ["polygon_id"]).drop("ring", "neighbor_rank")
 
 
-def _lookup(axis: DataFrame, column: str) -> tuple[DataFrame, float, float, int]:
-    """``(_bucket, _near)``: for each of n + 1 equal buckets of an axis its values that can be next to a coordinate in it, in order.
+def _lookup(axis: DataFrame, column: str) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``(_bucket, _near)``: for each bucket of an axis its values that can be next to a coordinate in it, in order; and the bucket of a coordinate.
 
-    Returns with it the axis' start, the buckets' width and n. An axis has as many values as a grid has columns or rows, and each is in the
-    buckets from its neighbour below to that above.
+    An axis has as many values as a grid has columns or rows. Buckets hold as many of them as there are buckets, whatever their distances, and their bounds, a square root of the axis, are
+    what the driver sees. Each value is in the buckets from its neighbour below to that above.
     """
     values = axis.select(F.col(column).cast("double").alias("v")).where("v is not null").distinct()
-    low, high, n = values.agg(F.min("v"), F.max("v"), F.count("*")).first()
-    width = (high - low) / n if n > 1 else 1.0
-    low = 0.0 if low is None else low
     order = Window.orderBy("v")
-    bucket = lambda c: F.least(F.greatest(F.floor((c - low) / width), F.lit(0)), F.lit(n)).cast("long")
-    reach = values.select("v", F.coalesce(F.lag("v").over(order), F.lit(low)).alias("a"), F.coalesce(F.lead("v").over(order), F.lit(high)).alias("b"))
-    spread = reach.select("v", F.explode(F.sequence(bucket(F.col("a")), bucket(F.col("b")))).alias("_bucket"))
-    return spread.groupBy("_bucket").agg(F.array_sort(F.collect_list("v")).alias("_near")), low, width, n
+    placed = written(values.select("v", F.row_number().over(order).alias("n"), F.lag("v").over(order).alias("a"), F.lead("v").over(order).alias("b")), "axis")
+    step = max(1, math.isqrt(placed.count()))
+    bounds = F.lit([r["v"] for r in placed.where(F.col("n") % step == 0).orderBy("v").collect()]).cast("array<double>")
+    bucket = lambda c: F.size(F.filter(bounds, lambda v: v <= c)).cast("long")
+    first, last = F.lit(0).cast("long"), F.size(bounds).cast("long")
+    spread = placed.select("v", F.explode(F.sequence(F.when(F.col("a").isNull(), first).otherwise(bucket(F.col("a"))), F.when(F.col("b").isNull(), last).otherwise(bucket(F.col("b"))))).alias("_bucket"))
+    return spread.groupBy("_bucket").agg(F.array_sort(F.collect_list("v")).alias("_near")), bucket
 
 
 def _with_near(df: DataFrame, coordinate: str, axis: DataFrame, column: str) -> DataFrame:
-    near, low, width, n = _lookup(axis, column)
-    bucket = F.least(F.greatest(F.floor((F.col(coordinate) - low) / width), F.lit(0)), F.lit(n)).cast("long")
-    return df.withColumn("_bucket", bucket).join(near, "_bucket", "left").drop("_bucket")
+    near, bucket = _lookup(axis, column)
+    return df.withColumn("_bucket", bucket(F.col(coordinate))).join(near, "_bucket", "left").drop("_bucket")
 
 
 def _closest(x: Column, larger: bool) -> Column:
