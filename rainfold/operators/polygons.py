@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from rainfold.operators import spatial
 from rainfold.operators.climatology import with_fields
 from rainfold.operators.graphs import components
+from rainfold.sources.scratch import written
 
 RING = "array<struct<x:double,y:double>>"
 RINGS = f"array<{RING}>"
@@ -273,7 +275,10 @@ def regions(grid: DataFrame) -> DataFrame:
     for a, b in (("i", "j"), ("j", "i")):
         last = local.where(edge(a, TILE - 1)).select((F.col(a) + 1).alias(a), b, F.col("label").alias("other"), F.col("local").alias("a"))
         pairs.append(last.join(local.where(edge(a, 0)).select(a, b, "label", F.col("local").alias("b")), [a, b]).where(F.col("label").eqNullSafe(F.col("other"))).select("a", "b"))
-    roots = components(pairs[0].union(pairs[1]).distinct())
+    pairs = written(pairs[0].union(pairs[1]).distinct(), "regions")
+    if pairs.isEmpty():  # no region goes on beyond its tile
+        return local.select("i", "j", "label", F.col("local").alias("region"))
+    roots = components(pairs)
     return local.join(roots, F.col("local") == F.col("node"), "left").select("i", "j", "label", F.coalesce("root", "local").alias("region"))
 
 
@@ -308,3 +313,24 @@ def outlines(cells: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("region", "label", "cells")), pa.array(found, kind)], names=["region", "label", "cells", "rings"])
 
     return rows.mapInArrow(run_batch, schema)
+
+
+def cluster_polygons(points: DataFrame, label: str, box: tuple[float, float, float, float], n: int, bandwidth: float) -> DataFrame:
+    """``(region, label, cells, rings)``: the parts of ``box`` (west, south, east, north) where the points of one label are densest, as polygons in coordinates.
+
+    The box is a grid of ``n`` by ``n`` cells, labelled by exponential kernels at their middles; a cell that no kernel reaches takes the label of the nearest point. Cells of one label that
+    are joined along sides are a polygon. Only the grid, as many cells as asked for, meets the points.
+    """
+    west, south, east, north = box
+    dx, dy = (east - west) / n, (north - south) / n
+    grid = points.sparkSession.range(n * n).select(F.col("id").alias("pixel_id"), (west + (F.col("id") % n + 0.5) * dx).alias("lon"), (south + (F.floor(F.col("id") / n) + 0.5) * dy).alias("lat"))
+    known = points.select("x", "y", F.col(label).alias("_label")).where("x is not null and y is not null and _label is not null")
+    found = written(spatial.densest(grid, known, "_label", bandwidth, "exponential").select("pixel_id", "_label"), "densest")
+    far = written(grid.join(found, "pixel_id", "left_anti"), "far")
+    if not far.isEmpty():
+        sites = known.groupBy("x", "y").agg(F.min("_label").alias("pixel_id")).select(F.col("x").alias("lon"), F.col("y").alias("lat"), "pixel_id")
+        near = spatial.nearest(far.withColumnRenamed("pixel_id", "_cell"), sites, "_cell")
+        found = found.unionByName(near.select(F.col("_cell").alias("pixel_id"), F.col("pixel_id").alias("_label")))
+    cells = found.select((F.col("pixel_id") % n).alias("i"), F.floor(F.col("pixel_id") / n).alias("j"), F.col("_label").alias("label"))
+    placed = F.transform("rings", lambda r: F.transform(r, lambda p: F.struct((west + p["x"] * dx).alias("x"), (south + p["y"] * dy).alias("y"))))
+    return outlines(regions(cells)).select("region", F.col("label").alias(label), "cells", placed.alias("rings"))

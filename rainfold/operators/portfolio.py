@@ -71,8 +71,8 @@ def with_significance(line: DataFrame) -> DataFrame:
 
 
 def correlation(annual: DataFrame) -> DataFrame:
-    """Pearson correlation of each pair of crops over years, missing years as 0; a pair without variance has 0. Crops meet by year;
-    only the years come to the driver, as many as a calendar has."""
+    """Pearson correlation of each pair of crops over years, missing years as 0; a pair without variance has 0. Crops meet by year, which gives a row for
+    each pair of crops and year: it is meant for some dozens of crops, not for pixels. Only the years come to the driver, as many as a calendar has."""
     years = [r[0] for r in annual.select("year").distinct().orderBy("year").collect()]
     full = annual.select("crop").distinct().withColumn("year", F.explode(F.lit(years)))
     values = full.join(annual, ["crop", "year"], "left").groupBy("crop", "year").agg(F.coalesce(F.sum("loss_usd"), F.lit(0.0)).alias("v"))

@@ -254,16 +254,21 @@ def regridded(obs: DataFrame, keys: list[str], value: str, res: float, linear: b
     return sums.withColumnsRenamed({"x": "lon", "y": "lat"})
 
 
-def densest(cells: DataFrame, points: DataFrame, label: str, bandwidth: float) -> DataFrame:
-    """The label of ``points(x, y, label)`` with the largest Gaussian density at each of ``cells(pixel_id, lon, lat)``, kernels cut at three bandwidths; ties by label.
+def densest(cells: DataFrame, points: DataFrame, label: str, bandwidth: float, kernel: str = "gaussian") -> DataFrame:
+    """The label of ``points(x, y, label)`` with the largest kernel density at each of ``cells(pixel_id, lon, lat)``; ties by label.
 
-    Cells and points meet in boxes of that reach, an equality join; densities are rounded to nine places, so that ties are ties on any plan.
+    Kernels: ``gaussian``, summed and cut at three bandwidths, or ``exponential``, the mean over a label's points, cut at eight. Cells and points meet in boxes of that reach, an equality join;
+    densities are rounded to nine places, so that ties are ties on any plan. A cell without points in reach has no row.
     """
-    reach, box = 3 * bandwidth, lambda c: F.floor(F.col(c) / (3 * bandwidth)).cast("long")
+    reach = {"gaussian": 3, "exponential": 8}[kernel] * bandwidth
+    box = lambda c: F.floor(F.col(c) / reach).cast("long")
     around = F.array(*map(F.lit, (-1, 0, 1)))
     spread = cells.select("pixel_id", "lon", "lat", F.explode(around).alias("_dx")).withColumn("_dy", F.explode(around)).withColumns({"_bx": box("lon") + F.col("_dx"), "_by": box("lat") + F.col("_dy")})
     d2 = F.pow(F.col("lon") - F.col("x"), 2) + F.pow(F.col("lat") - F.col("y"), 2)
     met = spread.join(points.withColumns({"_bx": box("x"), "_by": box("y")}), ["_bx", "_by"]).withColumn("_d2", d2).where(F.col("_d2") <= reach * reach)
-    sums = met.groupBy("pixel_id", label).agg(F.round(F.sum(F.exp(-F.col("_d2") / (2 * bandwidth * bandwidth))), 9).alias("density"))
-    best = sums.groupBy("pixel_id").agg(F.max_by(F.struct(label, "density"), F.struct("density", -F.col(label))).alias("b"))
+    weight = F.exp(-F.col("_d2") / (2 * bandwidth * bandwidth)) if kernel == "gaussian" else F.exp(-F.sqrt("_d2") / bandwidth)
+    sums = met.groupBy("pixel_id", label).agg(F.sum(weight).alias("density"))
+    if kernel == "exponential":
+        sums = sums.join(points.groupBy(label).agg(F.count("*").alias("_n")), label).withColumn("density", F.col("density") / F.col("_n")).drop("_n")
+    best = sums.withColumn("density", F.round("density", 9)).groupBy("pixel_id").agg(F.max_by(F.struct(label, "density"), F.struct("density", -F.col(label))).alias("b"))
     return best.select("pixel_id", f"b.{label}", "b.density")

@@ -115,6 +115,19 @@ def _(spark, d):
     return polygons.outlines(polygons.regions(grid(spark, d))).select("region", "label", "cells", polygons.rings_area(F.col("rings")).alias("area"), length.alias("border"))
 
 
+@query("cluster_polygons", """WITH p AS (SELECT (p_partkey % 47) / 20.0::DOUBLE AS x, (p_partkey % 41) / 20.0::DOUBLE AS y, CAST(p_size % 3 AS BIGINT) AS label FROM part), c AS (SELECT i, j, (i + 0.5) * 0.2::DOUBLE AS lon, (j + 0.5) * 0.2::DOUBLE AS lat FROM range(20) t(i), range(20) u(j)),
+m AS (SELECT label, count(*) AS m FROM p GROUP BY label), k AS (SELECT i, j, label, round(sum(exp(-sqrt((lon - x) ** 2 + (lat - y) ** 2) / 0.1)) / any_value(m), 9) AS d FROM c JOIN p ON (lon - x) ** 2 + (lat - y) ** 2 <= 0.64 JOIN m USING (label) GROUP BY ALL),
+b AS (SELECT i, j, label FROM k QUALIFY row_number() OVER (PARTITION BY i, j ORDER BY d DESC, label) = 1),
+f AS (SELECT i, j, label FROM c, p WHERE (i, j) NOT IN (SELECT (i, j) FROM b) QUALIFY row_number() OVER (PARTITION BY i, j ORDER BY sqrt((lon - x) ** 2 + (lat - y) ** 2), x, y, label) = 1)
+SELECT label, count(*) AS cells, round(count(*) * 0.04::DOUBLE, 6) AS area FROM (SELECT * FROM b UNION ALL SELECT * FROM f) GROUP BY label""")
+def _(spark, d):
+    """Where the parts of each kind are densest, as polygons whose areas are those of the grid's cells."""
+    key = F.col("p_partkey")
+    own = read(spark, d, "part").select((key % 47 / 20.0).alias("x"), (key % 41 / 20.0).alias("y"), (F.col("p_size") % 3).cast("long").alias("label"))
+    found = polygons.cluster_polygons(own, "label", (0.0, 0.0, 4.0, 4.0), 20, 0.1)
+    return found.groupBy("label").agg(F.sum("cells").alias("cells"), F.round(F.sum(polygons.rings_area(F.col("rings"))), 6).alias("area"))
+
+
 def climate(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Regions as polygons, boxes around their cells, and their pixels' monthly means in areas of alike climate."""
     months = observations(spark, d).groupBy("pixel_id", F.month("date").alias("m")).agg(F.avg("swc").alias("v")).groupBy("pixel_id").agg(F.map_from_entries(F.collect_list(F.struct("m", "v"))).alias("of"))

@@ -200,3 +200,18 @@ def test_climate_areas(spark):
         mine = [r for r in parts if r["polygon_id"] == g]
         assert sum(area(plain(r["rings"])) for r in mine if len(mine) > 1) == pytest.approx(79 if len(mine) > 1 else 0, abs=1e-6)
         assert [r["name"] for r in sorted(mine, key=lambda r: r["area"])] == ([f"{g}-{k:02d}" for k in range(g + 1)] if g < 4 else [str(g)])
+
+
+def test_cluster_polygons(spark):
+    """Every cell of the grid is in one polygon, whose label is the densest there, or the nearest where no kernel reaches."""
+    rng = random.Random(8)
+    rows = [(rng.gauss(2, 0.6), rng.gauss(2, 0.6), 1) for _ in range(60)] + [(rng.gauss(6, 0.6), rng.gauss(5, 0.6), 2) for _ in range(20)] + [(None, 1.0, 1), (1.0, 1.0, None)]
+    points = [r for r in rows if None not in r]
+    found = polygons.cluster_polygons(spark.createDataFrame(rows, "x double, y double, kind long"), "kind", (0.0, 0.0, 9.0, 6.0), 18, 0.3).collect()
+    assert sum(area(plain(r["rings"])) for r in found) == pytest.approx(54.0)
+    for i in range(18):
+        for j in range(18):
+            x, y = (i + 0.5) * 0.5, (j + 0.5) / 3
+            density = {k: sum(math.exp(-math.dist((x, y), p[:2]) / 0.3) for p in points if p[2] == k and math.dist((x, y), p[:2]) <= 2.4) / sum(p[2] == k for p in points) for k in (1, 2)}
+            want = max(density, key=density.get) if max(density.values()) else min((math.dist((x, y), p[:2]), p[2]) for p in points)[1]
+            assert [r["kind"] for r in found if inside(x, y, plain(r["rings"]))] == [want]
