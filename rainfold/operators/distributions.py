@@ -149,7 +149,8 @@ def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     y = np.where(x > 0, x, 1.0)
     front = np.exp(-y + a * np.log(y) - _lgamma(a))
     low, total, term = np.where(y < a + 1, y, 0.0), 1 / a, 1 / a
-    for i in range(1, 1000):
+    terms = 1000 + 12 * math.isqrt(int(np.nanmax(np.where(np.isfinite(a), a, 0.0), initial=0.0)))  # near its mean, terms fall within some deviations
+    for i in range(1, terms):
         term = term * low / (a + i)
         total = total + term
         if not (np.abs(term) > 1e-16 * np.abs(total)).any():
@@ -158,7 +159,7 @@ def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     b, c = high + 1 - a, np.full(y.shape, 1e300)
     d = 1 / b
     h = d
-    for i in range(1, 500):
+    for i in range(1, terms):
         an = -i * (i - a)
         b = b + 2
         d, c = an * d + b, b + an / c

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rainfold.functions import scalars
 from rainfold.operators import climatology, contract, distributions, episodes, learning, portfolio, spatial, timeops
+from rainfold.plans import catalog
 from rainfold.sources import tables
 
 
@@ -328,3 +329,14 @@ def test_strict_steps(spark, tmp_path):
     synthetic = tables.or_synthetic(spark, str(tmp_path / "none"), "2000-01-01", "2000-01-10")
     assert synthetic.count() == 20
     assert sorted(map(tuple, tables.or_synthetic(spark, str(tmp_path / "none")).collect())) == sorted(map(tuple, synthetic.collect()))
+
+
+def test_gamma_of_large_shapes():
+    for a in (1e4, 1e6, 1e8):
+        assert distributions.gamma_p(np.array([a]), np.array([a]))[0] == pytest.approx(0.5 + 1 / (3 * math.sqrt(2 * math.pi * a)), abs=1e-6)
+
+
+def test_raster_numbers_that_look_like_none(spark, tmp_path):
+    spark.sql("select bigint(k) as o_custkey, bigint(k) as o_orderkey, timestamp'1995-03-02' as o_orderdate from values (65535), (65530), (7) t(k)").write.parquet(str(tmp_path / "orders.parquet"))
+    got = {r["o_orderkey"]: (r["date"], r["value"]) for r in catalog.QUERIES["raster_decode"](spark, str(tmp_path)).collect()}
+    assert got == {65535: (date(1995, 3, 2), 65535 * 0.001), 65530: (date(1995, 3, 2), None), 7: (date(1995, 3, 2), 7 * 0.001)}
