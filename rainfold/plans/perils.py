@@ -21,7 +21,7 @@ def prepared(raw: DataFrame, variable: str, keys: list[str], time: str, params:
 
     In this order, each step only if ``params`` asks for it: the speed of wind from its components, the variable's and coordinates' registered names, ``box`` (west, south, east,
     north, both ends included), ``res`` (regridding; the keys then are those of the new cells), ``missing`` (the value that stands for none), ``period`` (first and last day),
-    ``daily_max`` with ``factor``, and ``offset``, which is subtracted.
+    ``daily_max`` with ``factor``, and ``offset``, which is subtracted; twelve decimals are left, so that a value comes back as it was before the offset was added.
     """
     df = raw
     have = {c: next((n for n in names if n in df.columns), None) for c, names in COMPONENTS.items()}
@@ -38,7 +38,7 @@ def prepared(raw: DataFrame, variable: str, keys: list[str], time: str, params:
     df = scalars.time_slice(df, time, first, last)
     if params.get("daily_max"):
         df = df.groupBy(*(c for c in df.columns if c not in (time, variable)), F.to_date(time).alias(time)).agg((F.max(variable) * params.get("factor", 1.0)).alias(variable))
-    return df.withColumn(variable, F.col(variable) - params["offset"]) if "offset" in params else df
+    return df.withColumn(variable, F.round(F.col(variable) - params["offset"], 12)) if "offset" in params else df
 
 
 def _anomalies(obs: DataFrame, key: str, date: str, value: str, p: dict) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rainfold.functions import scalars
 from rainfold.operators import climatology, contract, distributions, episodes, learning, portfolio, spatial, timeops
-from rainfold.plans import catalog
+from rainfold.plans import catalog, perils
 from rainfold.sources import tables
 
 
@@ -340,3 +340,9 @@ def test_raster_numbers_that_look_like_none(spark, tmp_path):
     spark.sql("select bigint(k) as o_custkey, bigint(k) as o_orderkey, timestamp'1995-03-02' as o_orderdate from values (65535), (65530), (7) t(k)").write.parquet(str(tmp_path / "orders.parquet"))
     got = {r["o_orderkey"]: (r["date"], r["value"]) for r in catalog.QUERIES["raster_decode"](spark, str(tmp_path)).collect()}
     assert got == {65535: (date(1995, 3, 2), 65535 * 0.001), 65530: (date(1995, 3, 2), None), 7: (date(1995, 3, 2), 7 * 0.001)}
+
+
+def test_offsets_leave_no_trace(spark):
+    raw = spark.range(2000).select((F.col("id") / 800).alias("own"), F.lit(0.0).alias("longitude"), F.lit(0.0).alias("latitude"), F.timestamp_seconds("id").alias("time"), (F.col("id") / 800 + 273.15).alias("2t"))
+    got = perils.prepared(raw.withColumnRenamed("own", "k"), "tmin", ["k"], "time", {"offset": 273.15})
+    assert got.where("k <> tmin").count() == 0
