@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rainfold.sources.scratch import exists
+from rainfold.sources.scratch import exists, written
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -167,16 +167,61 @@ def densify(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
     return days.join(df.select(key, date, value), [key, date], "left")
 
 
-def catalogue_lookup(days: DataFrame, date: str, catalogue: DataFrame, first: str, last: str, order: list) -> DataFrame:
-    """Interval lookup: of the catalogue's entries that cover the day, the first. Entries are exploded to months, so the join is an equality on the month."""
-    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
-    spread = catalogue.withColumn("_month", F.explode(months))
-    joined = days.withColumn("_month", F.trunc(date, "month")).join(spread, "_month").where(F.col(date).between(F.col(first), F.col(last))).drop("_month")
-    return first_of(joined, [date], order)
+def _blocks(first: Column, last: Column, k: int) -> Column:
+    """The days ``first`` to ``last``, as numbers, in blocks of ``2 ** k`` days that lie within no block of twice the size there: two at most, as (``_level``, ``_block``)."""
+    inner = lambda j: (F.shiftright(first + ((1 << j) - 1), j), F.shiftright(last + 1, j))  # noqa: E731  whole blocks are from the one up to before the other
+    (a, b), (c, d) = inner(k), inner(k + 1)
+    wider = c < d
+    left, right = F.when(wider & (a < 2 * c), a), F.when(wider & (2 * d < b), b - 1)
+    alone = [F.when(~wider & (a < b), a), F.when(~wider & (a + 1 < b), a + 1)]
+    return F.array(*(F.when(x.isNotNull(), F.struct(F.lit(k).alias("_level"), x.alias("_block"))) for x in (left, right, *alone)))
+
+
+#: Sizes of blocks of days, up to 2 ** 22 of them: from year 1 to 9999 no interval holds a larger one.
+LEVELS = 23
+
+
+def catalogue_lookup(days: DataFrame, date: str, catalogue: DataFrame, first: str, last: str, order: list[str]) -> DataFrame:
+    """Interval lookup: of the catalogue's entries that cover the day, the first; a row a day that has one.
+
+    Of entries with the same days only the first counts. The days of an interval are a few blocks of powers of two (two a size), and of the entries of a block again only the first counts;
+    a day meets the blocks that it lies in, one a size, by equality. So entries are sent by their interval, never to each day, and no group grows with the catalogue.
+    """
+    rest = [c for c in catalogue.columns if c not in order]
+    best = lambda df, *keys: df.groupBy(*keys).agg(F.min("_entry").alias("_entry"))
+    number = lambda c: F.unix_date(F.col(c).cast("date")).cast("long")
+    own = catalogue.where(F.col(first) <= F.col(last)).select(number(first).alias("_a"), number(last).alias("_b"), F.struct(*order, *rest).alias("_entry"))
+    parts = F.array_compact(F.concat(*(_blocks(F.col("_a"), F.col("_b"), k) for k in range(LEVELS))))
+    blocks = best(best(own, "_a", "_b").select("_entry", F.inline(parts)), "_level", "_block")
+    at = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda k: F.struct(k.alias("_level"), F.call_function("shiftright", F.col("_day"), k).alias("_block")))
+    asked = days.withColumn("_day", number(date))
+    met = asked.select("_day").where("_day is not null").distinct().select("_day", F.inline(at)).join(blocks, ["_level", "_block"])
+    return first_of(asked.join(best(met, "_day"), "_day").drop("_day").select("*", "_entry.*").drop("_entry"), [date], order)
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """A row for each column: count, mean, std, min, exact 5/50/95 %, max; one pass over the table."""
-    aggs = [F.struct(F.lit(c).alias("name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.percentile(c, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("p"), F.max(c).cast("double").alias("max")) for c in columns]
-    rows = df.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
-    return rows.select("name", "n", *(F.round(c, 4).alias(c) for c in ("mean", "std", "min")), *(F.round(F.col("p")[i], 4).alias(n) for i, n in enumerate(("p05", "p50", "p95"))), F.round("max", 4).alias("max"))
+    """A row for each column: count, mean, std, min, exact 5/50/95 %, max.
+
+    One pass over the table gives the moments; another one counts each column's different values, which are sorted by range for the percentiles. The driver sees a count a range.
+    """
+    aggs = [F.struct(F.lit(c).alias("name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")) for c in columns]
+    moments = df.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
+    rows = moments.join(percentiles(df, columns, {"p05": 0.05, "p50": 0.5, "p95": 0.95}), "name", "left")
+    return rows.select("name", "n", *(F.round(c, 4).alias(c) for c in ("mean", "std", "min", "p05", "p50", "p95", "max")))
+
+
+def percentiles(df: DataFrame, columns: list[str], levels: dict[str, float]) -> DataFrame:
+    """``(name, <levels>)``: exact percentiles of columns, interpolated linearly; no row for a column without values."""
+    long = df.select(F.inline(F.array(*(F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns)))).where("v is not null")
+    placed = written(long.groupBy("name", "v").agg(F.count("*").alias("n")).repartitionByRange("name", "v").sortWithinPartitions("name", "v").withColumn("_range", F.spark_partition_id()), "values")
+    # Values of a column before a range, from the few sums by range; within it a window adds up.
+    sums = placed.groupBy("name", "_range").agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy("name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("name", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy("name")).alias("_all"))
+    here = Window.partitionBy("name", "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = placed.withColumn("_to", F.sum("n").over(here)).join(F.broadcast(offsets), ["name", "_range"]).withColumn("_to", F.col("_before") + F.col("_to"))
+    place = lambda q: (F.col("_all") - 1) * q
+    at = lambda r: F.max(F.when((F.col("_to") - F.col("n") <= r) & (r < F.col("_to")), F.col("v")))  # noqa: E731  the value of this rank, from 0
+    ends = ended.groupBy("name").agg(F.max("_all").alias("_all"), *(at(f(place(q))).alias(f"{c}_{e}") for c, q in levels.items() for e, f in (("low", F.floor), ("high", F.ceil))))
+    between = lambda c, q: F.col(f"{c}_low") + (F.col(f"{c}_high") - F.col(f"{c}_low")) * (place(q) - F.floor(place(q)))
+    return ends.select("name", *(between(c, q).alias(c) for c, q in levels.items()))

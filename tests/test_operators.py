@@ -346,3 +346,35 @@ def test_offsets_leave_no_trace(spark):
     raw = spark.range(2000).select((F.col("id") / 800).alias("own"), F.lit(0.0).alias("longitude"), F.lit(0.0).alias("latitude"), F.timestamp_seconds("id").alias("time"), (F.col("id") / 800 + 273.15).alias("2t"))
     got = perils.prepared(raw.withColumnRenamed("own", "k"), "tmin", ["k"], "time", {"offset": 273.15})
     assert got.where("k <> tmin").count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_catalogue_of_any_intervals(spark):
+    rng = random.Random(5)
+    spans = [(i, a, a + rng.choice([0, 1, 2, 5, 30, 64, 400, 3000])) for i, a in enumerate(rng.choices(range(-40, 900), k=120))] + [(500, 10, 9), (501, None, 9)]
+    day = lambda c: F.date_add(F.lit("1970-01-01").cast("date"), F.col(c).cast("int"))
+    catalogue = spark.createDataFrame(spans, "n long, x int, y int").select((F.col("n") * 37 % 121).alias("id"), "n", day("x").alias("a"), day("y").alias("b"))
+    days = spark.range(-60, 1200).select("id", day("id").alias("day")).withColumnRenamed("id", "x")
+    found = tables.catalogue_lookup(days, "day", catalogue, "a", "b", ["id"])
+    want = {x: min(n * 37 % 121 for n, a, b in spans if a is not None and a <= x <= b) for x in range(-60, 1200) if any(a is not None and a <= x <= b for _, a, b in spans)}
+    assert {r["x"]: r["id"] for r in found.collect()} == want and found.count() == len(want)
+    # Entries are told apart before they meet days: no join is on the catalogue's own rows.
+    assert plan_of(found).count("min(_entry") + plan_of(found).count("min(struct(") >= 3
+
+
+def test_profile_without_one_large_group(spark):
+    own = spark.createDataFrame([(1.0, None), (2.0, None), (2.0, None), (10.0, None)], "a double, b double").repartition(3)
+    got = {r["name"]: r for r in tables.profile(own, ["a", "b"]).collect()}
+    assert [got["a"][c] for c in ("n", "min", "p05", "p50", "p95", "max")] == [4, 1.0, 1.15, 2.0, 8.8, 10.0]
+    assert got["b"]["n"] == 0 and got["b"]["p50"] is None
+    assert "percentile(" not in plan_of(tables.profile(own, ["a", "b"]))
+
+
+def test_missing_years_meet_each_year_once(spark, tmp_path):
+    spark.range(1000).select(F.make_date(F.lit(1990) + F.col("id") % 3, F.lit(1), F.lit(1)).cast("timestamp").alias("l_shipdate")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = catalog.QUERIES["missing_years_antijoin"](spark, str(tmp_path))
+    assert sorted(r["year"] for r in found.collect()) == list(range(1993, 2006))
+    assert "Aggregate" in plan_of(found)
