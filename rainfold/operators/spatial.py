@@ -55,44 +55,58 @@ def _tree(items: DataFrame, total: int) -> tuple[DataFrame, int]:
     return written(placed.withColumn("_code", code).drop("_mx", "_my", "_mxr", "_myr"), "tree"), levels
 
 
-def _candidates(points: DataFrame, items: DataFrame, key: str, k: int) -> DataFrame:
-    """``points(lon, lat)`` with all ``items``, in boxes ``_x0`` to ``_y1``, that can be among their ``k`` nearest, and perhaps a few more.
+def _candidates(points: DataFrame, items: DataFrame, key: str | list[str], k: int) -> DataFrame:
+    """``points(lon, lat)``, told apart by ``key``, with all ``items``, in boxes ``_x0`` to ``_y1``, that can be among their ``k`` nearest, and perhaps a few more.
 
     Points go down a tree of tiles, level by level. From the boxes around the tiles' items a point knows how far ``k`` of them are at most, and leaves out the
     tiles that are further away at least; a tile of at most LEAF items isn't divided. So a point meets few tiles a level and few items, whatever the density or distance.
     """
+    keys = [key] if isinstance(key, str) else key
+    own = list(dict.fromkeys([*keys, "lon", "lat"]))
     total = items.count()
-    if total <= LEAF:  # all there are, a bounded table
-        return points.withColumn("_all", F.lit(0)).join(F.broadcast(items.withColumn("_all", F.lit(0))), "_all").drop("_all")
+    gap = lambda of, c, low, high: F.greatest(of(low) - F.col(c), F.col(c) - of(high), F.lit(0.0))
+    reach = lambda of, c, low, high: F.greatest(F.abs(F.col(c) - of(low)), F.abs(F.col(c) - of(high)))
+    least = lambda of: F.hypot(gap(of, "lon", "_x0", "_x1"), gap(of, "lat", "_y0", "_y1"))
+    most = lambda of: F.hypot(reach(of, "lon", "_x0", "_x1"), reach(of, "lat", "_y0", "_y1"))
+    if total <= LEAF:  # a bounded table, one row
+        every = items.agg(F.collect_list(F.struct("_x0", "_x1", "_y0", "_y1", *(c for c in items.columns if c not in ("_x0", "_x1", "_y0", "_y1")))).alias("_items")).withColumn("_all", F.lit(0))
+        met = points.withColumn("_all", F.lit(0)).join(F.broadcast(every), "_all").withColumn("_bound", F.get(F.array_sort(F.transform("_items", lambda i: most(i.getField))), F.lit(k - 1)))
+        return met.select(*points.columns, F.inline(F.filter("_items", lambda i: F.col("_bound").isNull() | (least(i.getField) <= F.col("_bound") * F.lit(1 + 1e-9)))))
     placed, levels = _tree(items, total)
-    gap = lambda c, low, high: F.greatest(F.col(low) - F.col(c), F.col(c) - F.col(high), F.lit(0.0))
-    reach = lambda c, low, high: F.greatest(F.abs(F.col(c) - F.col(low)), F.abs(F.col(c) - F.col(high)))
-    front = points.select(key, "lon", "lat", F.lit(0).cast("long").alias("_tile"))
+    front = points.select(*own, F.lit(0).cast("long").alias("_tile"))
     kept = None
     for level in range(levels):
         shift = 2 * STEP * (levels - 1 - level)
         tiles = placed.groupBy(F.shiftright("_code", shift).alias("_in")).agg(F.count("*").alias("_n"), *(f(c).alias(c) for f, c in ((F.min, "_x0"), (F.max, "_x1"), (F.min, "_y0"), (F.max, "_y1"))))
         tiles = tiles.withColumn("_tile", F.shiftright("_in", 2 * STEP))
-        met = front.join(F.broadcast(tiles) if not level else tiles, "_tile").withColumns({"_least": F.hypot(gap("lon", "_x0", "_x1"), gap("lat", "_y0", "_y1")), "_most": F.hypot(reach("lon", "_x0", "_x1"), reach("lat", "_y0", "_y1"))})
-        met = met.select(key, "lon", "lat", F.lit(level).alias("_level"), F.col("_in").alias("_tile"), "_n", "_least", "_most", (F.col("_n") <= LEAF).alias("_done") if level < levels - 1 else F.lit(True).alias("_done"))
+        met = front.join(F.broadcast(tiles) if not level else tiles, "_tile").withColumns({"_least": least(F.col), "_most": most(F.col)})
+        met = met.select(*own, F.lit(level).alias("_level"), F.col("_in").alias("_tile"), "_n", "_least", "_most", (F.col("_n") <= LEAF).alias("_done") if level < levels - 1 else F.lit(True).alias("_done"))
         met = met if kept is None else kept.where("_done").unionByName(met)
-        own = Window.partitionBy(key)
-        met = met.withColumn("_sum", F.sum("_n").over(own.orderBy("_most", "_level", "_tile").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        met = met.withColumn("_bound", F.min(F.when(F.col("_sum") >= k, F.col("_most"))).over(own)).where("_bound is null or _least <= _bound * (1 + 1e-9D)").drop("_sum", "_bound")
+        each = Window.partitionBy(*keys)
+        met = met.withColumn("_sum", F.sum("_n").over(each.orderBy("_most", "_level", "_tile").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        met = met.withColumn("_bound", F.min(F.when(F.col("_sum") >= k, F.col("_most"))).over(each)).where("_bound is null or _least <= _bound * (1 + 1e-9D)").drop("_sum", "_bound")
         kept = written(met, "tiles")
-        front = kept.where("not _done").select(key, "lon", "lat", "_tile")
+        front = kept.where("not _done").select(*own, "_tile")
         if front.isEmpty():
             break
     parts = []
     for (level,) in kept.select("_level").distinct().collect():
         shift = 2 * STEP * (levels - 1 - level)
-        parts.append(kept.where(F.col("_level") == level).select(key, "_tile").join(placed.withColumn("_tile", F.shiftright("_code", shift)), "_tile").drop("_tile", "_code"))
-    return points.join(reduce(DataFrame.unionByName, parts), key)
+        parts.append(kept.where(F.col("_level") == level).select(*keys, "_tile").join(placed.withColumn("_tile", F.shiftright("_code", shift)), "_tile").drop("_tile", "_code"))
+    return points.join(reduce(DataFrame.unionByName, parts), keys)
 
 
-def _ranked(met: DataFrame, distance: Column, key: str, k: int, ties: list[str]) -> DataFrame:
-    order = Window.partitionBy(key).orderBy("distance", *ties)
-    return met.withColumn("distance", distance).withColumn("neighbor_rank", F.row_number().over(order) - 1).where(F.col("neighbor_rank") < k).drop("_x0", "_x1", "_y0", "_y1")
+#: What tells places apart.
+PLACE = ["lon", "lat"]
+
+
+def _ranked(points: DataFrame, items: DataFrame, distance: Column, k: int, ties: list[str]) -> DataFrame:
+    """``points`` with the ``k`` nearest of ``items``. Points at one place have the same ones, which are looked for once."""
+    known = points.where("lon is not null and lat is not null")
+    met = _candidates(known.select(*PLACE).distinct(), items, PLACE, k)
+    order = Window.partitionBy(*PLACE).orderBy("distance", *ties)
+    found = met.withColumn("distance", distance).withColumn("neighbor_rank", F.row_number().over(order) - 1).where(F.col("neighbor_rank") < k).drop("_x0", "_x1", "_y0", "_y1")
+    return known.join(written(found, "nearest"), PLACE)
 
 
 def nearest(points: DataFrame, cells: DataFrame, key: str, k: int = 1) -> DataFrame:
@@ -105,7 +119,7 @@ def nearest(points: DataFrame, cells: DataFrame, key: str, k: int = 1) -> DataFr
     own = own.withColumn("_n", F.row_number().over(Window.partitionBy("cell_lon", "cell_lat").orderBy("pixel_id"))).where(F.col("_n") <= k).drop("_n")
     boxed = own.withColumns({c: F.col("cell_lon" if "x" in c else "cell_lat") for c in ("_x0", "_x1", "_y0", "_y1")})
     d = F.sqrt(F.pow(F.col("lon") - F.col("cell_lon"), 2) + F.pow(F.col("lat") - F.col("cell_lat"), 2))
-    return _ranked(_candidates(points.where("lon is not null and lat is not null"), boxed, key, k), d, key, k, ["cell_lon", "cell_lat", "pixel_id"])
+    return _ranked(points, boxed, d, k, ["cell_lon", "cell_lat", "pixel_id"])
 
 
 def _tiles(polygons: DataFrame, size: float) -> DataFrame:
@@ -134,8 +148,7 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str) -> DataFra
     d = F.when(F.expr(INSIDE), 0.0).otherwise(F.expr(f"array_min(transform({_SIDES}, s -> {_TO_SIDE}))"))
     end = lambda f, c: f(F.transform("ring", lambda p: p[c]))
     boxed = polygons.withColumns({"_x0": end(F.array_min, "x"), "_x1": end(F.array_max, "x"), "_y0": end(F.array_min, "y"), "_y1": end(F.array_max, "y")})
-    met = _candidates(points.where("lon is not null and lat is not null"), boxed.where("_x0 is not null"), key, 1)
-    return _ranked(met, d, key, 1, ["polygon_id"]).drop("ring", "neighbor_rank")
+    return _ranked(points, boxed.where("_x0 is not null"), d, 1, ["polygon_id"]).drop("ring", "neighbor_rank")
 
 
 def _lookup(axis: DataFrame, column: str) -> tuple[DataFrame, Callable[[Column], Column]]:

@@ -378,3 +378,30 @@ def test_missing_years_meet_each_year_once(spark, tmp_path):
     found = catalog.QUERIES["missing_years_antijoin"](spark, str(tmp_path))
     assert sorted(r["year"] for r in found.collect()) == list(range(1993, 2006))
     assert "Aggregate" in plan_of(found)
+
+
+def test_points_of_one_place_are_looked_for_once(spark, monkeypatch):
+    """Copies of a point add rows of the result only, not of the search; ids may be missing or shared."""
+    asked = []
+    candidates = spatial._candidates
+    monkeypatch.setattr(spatial, "_candidates", lambda points, *more: asked.append(points.count()) or candidates(points, *more))
+    rng = random.Random(6)
+    places = [(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(7)]
+    points = [(None if i == 3 else i // 2, *places[i % 7]) for i in range(400)]
+    table = spark.createDataFrame(points, "id long, lon double, lat double")
+    for n in (20, 150):
+        cells = [(i, rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(n)]
+        got = spatial.nearest(table, spark.createDataFrame(cells, "pixel_id long, lon double, lat double"), "id", k=2).collect()
+        want = [(i, x, y, c, r) for i, x, y in points for r, (_, c) in enumerate(sorted((math.hypot(x - a, y - b), c) for c, a, b in cells)[:2])]
+        assert sorted(((r["id"], r["lon"], r["lat"], r["pixel_id"], r["neighbor_rank"]) for r in got), key=str) == sorted(want, key=str)
+    assert asked == [7, 7]
+
+
+def test_few_polygons_far_apart_are_left_out_by_their_boxes(spark):
+    boxes = [(i, float(9 * i), 9.0 * i + 1, 0.0, 1.0) for i in range(40)]
+    items = spark.createDataFrame(boxes, "polygon_id long, _x0 double, _x1 double, _y0 double, _y1 double")
+    points = spark.createDataFrame([(i, 9.0 * (i % 40), 0.5) for i in range(200)], "id long, lon double, lat double")
+    for k in (1, 3):
+        met = spatial._candidates(points, items, "id", k).collect()
+        assert len(met) <= 200 * (k + 2) and all(len({r["polygon_id"] for r in met if r["id"] == i}) >= k for i in range(200))
+    assert spatial._candidates(points, items, "id", 41).count() == 200 * 40
