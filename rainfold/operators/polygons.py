@@ -217,22 +217,34 @@ def with_combined(pairs: DataFrame, a: str, b: str, how: str = "intersection", o
 def overlay(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     """``(left_id, right_id, rings, area)``: the parts that polygons ``left(left_id, rings)`` and ``right(right_id, rings)`` share, if they have an area.
 
-    Boxes around polygons, without their points, meet on tiles of ``size``; a pair counts in the tile of the lower left corner of what their boxes share, so it meets once. Polygons are
-    joined to the pairs afterwards.
+    Polygons of the same points are one shape, told by a digest, so each pair of shapes is cut once. Boxes around shapes, without their points, meet on tiles of ``size``; a pair counts in the
+    tile of the lower left corner of what their boxes share, so it meets once. Rings are joined to the pairs afterwards, and polygons to what their shapes share.
     """
+    digest = F.sha2(F.to_json(F.struct("rings")), 256)
+    a, b = left.withColumn("_a_shape", digest), right.withColumn("_b_shape", digest)
+    found = _overlay(*(df.select(F.col(c).alias("_shape"), "rings").distinct() for df, c in ((a, "_a_shape"), (b, "_b_shape"))), size)
+    own = written(found, "overlay")
+    return own.join(a.select("left_id", "_a_shape"), "_a_shape").join(b.select("right_id", "_b_shape"), "_b_shape").select("left_id", "right_id", "rings", "area")
+
+
+def _overlay(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """``(_a_shape, _b_shape, rings, area)`` of the shapes ``(_shape, rings)``."""
     end = lambda f, c: f(F.transform(F.flatten("rings"), lambda p: p[c]))
     box = F.struct(*(end(f, c).alias(n) for n, f, c in (("x0", F.array_min, "x"), ("x1", F.array_max, "x"), ("y0", F.array_min, "y"), ("y1", F.array_max, "y"))))
     tile = lambda c: F.floor(c / size).cast("long")
 
     def tiled(df: DataFrame, key: str, name: str) -> DataFrame:
-        boxes = df.select(key, box.alias(name)).where(F.col(f"{name}.x0").isNotNull())
+        boxes = df.select(F.col("_shape").alias(key), box.alias(name)).where(F.col(f"{name}.x0").isNotNull())
         spread = boxes.withColumn("_tx", F.explode(F.sequence(tile(F.col(f"{name}.x0")), tile(F.col(f"{name}.x1")))))
         return spread.withColumn("_ty", F.explode(F.sequence(tile(F.col(f"{name}.y0")), tile(F.col(f"{name}.y1")))))
 
-    met = tiled(left, "left_id", "_a").join(tiled(right, "right_id", "_b"), ["_tx", "_ty"])
+    met = tiled(left, "_a_shape", "_a").join(tiled(right, "_b_shape", "_b"), ["_tx", "_ty"])
     corner = lambda c: F.greatest(f"_a.{c}0", f"_b.{c}0")
     met = met.where((F.col("_tx") == tile(corner("x"))) & (F.col("_ty") == tile(corner("y"))) & (corner("x") < F.least("_a.x1", "_b.x1")) & (corner("y") < F.least("_a.y1", "_b.y1")))
-    pairs = met.select("left_id", "right_id").join(left.select("left_id", F.col("rings").alias("_left")), "left_id").join(right.select("right_id", F.col("rings").alias("_right")), "right_id")
+    rings = lambda df, key, name: df.select(F.col("_shape").alias(key), F.col("rings").alias(name))
+    pairs = met.select("_a_shape", "_b_shape").join(rings(left, "_a_shape", "_left"), "_a_shape").join(rings(right, "_b_shape", "_right"), "_b_shape")
+    # Cutting takes far longer than reading: few bytes make many tasks.
+    pairs = pairs.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_a_shape", "_b_shape")
     return with_combined(pairs, "_left", "_right").drop("_left", "_right").withColumn("area", rings_area(F.col("rings"))).where("area > 0")
 
 

@@ -70,6 +70,22 @@ def test_overlay_meets_each_pair_once(spark):
         assert {(r["left_id"], r["right_id"]): round(r["area"], 6) for r in got} == {k: n for k, n in want.items() if n} and len(got) == sum(n > 0 for n in want.values())
 
 
+def test_overlay_cuts_each_pair_of_shapes_once(spark, monkeypatch):
+    """Polygons of the same points are cut once, whatever their ids; each of their pairs has its row."""
+    asked = []
+    cut = polygons.with_combined
+    monkeypatch.setattr(polygons, "with_combined", lambda pairs, *more: asked.append(pairs.count()) or cut(pairs, *more))
+    corner = lambda x: [ring([(x, x), (x + 3, x), (x + 3, x + 1), (x + 1, x + 1), (x + 1, x + 3), (x, x + 3)])]
+    left = [(i, corner(i % 3)) for i in range(40)] + [(90, None), (91, [])]
+    right = [(i, corner(i % 2)) for i in range(30)] + [(90, None), (5, corner(20))]
+    name = lambda rows, c: spark.createDataFrame(rows, RINGS).withColumnRenamed("id", c)
+    cells = lambda x: {(x + k, x) for k in range(3)} | {(x, x + k) for k in range(3)}
+    got = polygons.overlay(name(left, "left_id"), name(right, "right_id"), 2.0).select("left_id", "right_id", "area").collect()
+    want = {(i, j): len(cells(i % 3) & cells(j % 2)) for i in range(40) for j in range(30)}
+    assert {(r["left_id"], r["right_id"]): round(r["area"], 6) for r in got} == {k: n for k, n in want.items() if n} and len(got) == sum(n > 0 for n in want.values())
+    assert asked[0] <= 6
+
+
 def test_hulls_and_buffers(spark):
     rng = random.Random(3)
     rows = [(i, [ring([(rng.randint(0, 6), rng.randint(0, 6)) for _ in range(n)])]) for i, n in enumerate([1, 2, 3, 5, 20, 40])] + [(9, [ring([(k, 2 * k) for k in range(5)])])]
