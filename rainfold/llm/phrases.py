@@ -10,8 +10,8 @@ document and an earlier start).
    Counts are pre-aggregated, and no group of copies is gathered.
 2. Automata. A task takes its documents in small shards and compiles the passages that they may hold to one Aho-Corasick
    automaton over word numbers.
-3. All documents stream through their shard's automaton, which confirms the passages word by word and finds every
-   occurrence; those after the first one are removed.
+3. The documents that may hold a passage after it first occurs stream through their shard's automaton, which confirms the passages word
+   by word and finds every occurrence; those after the first one are removed. No other document has anything to remove.
 
 Nulls: a null text has no words, a null doc_id comes last. Rows that share a doc_id, or have none, are documents of their own, ordered by
 a hash of the text; of equal rows one is the first, and the others repeat it. Other columns of the input are left alone. A text of any
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, arrow_schema, batch_of, table
-from rainfold.llm.winnow import KEY, LAST, candidates, cut, keyed, lines, mix, prefix_hashes, range_hash, with_source
+from rainfold.llm.winnow import KEY, LAST, candidates, keyed, lines, windows, with_source
 
 LENGTH, GRAM = 20, 5
 #: Documents whose passages share an automaton, and words whose hashes are remembered.
@@ -65,21 +65,6 @@ def slice_words(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
     return [(a, n, b" ".join(words[a : a + n]).decode("utf-8", "surrogatepass")) for a, n in wanted]
 
 
-def slice_windows(length: int):
-    """(hash of the window, its start) of the windows of each slice wanted."""
-    units = WordUnits()
-
-    def of(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
-        own, out = units(text), []
-        for a, n in wanted:
-            prefix = prefix_hashes(own[a : a + n])
-            at = np.arange(len(prefix) - length)
-            out += zip(mix(range_hash(prefix, at, at + length)).view(np.int64).tolist(), range(a, a + len(at)))
-        return out
-
-    return of
-
-
 def passages(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
     """``(doc_id, tie, from_doc, from_tie, from_a, words)``: the passages that a document may hold after they first occur."""
     found = candidates(docs, WordUnits(), length, gram, scratch)
@@ -89,8 +74,8 @@ def passages(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataF
     source = lambda at: (F.col(f"{at}.doc_id").alias("from_doc"), F.col(f"{at}.tie").alias("from_tie"))
     whole = found.join(kinds.where("recurs").select("g", "h", "first"), ["g", "h"]).where(place != F.col("first"))
     whole = whole.select(*KEY, F.col("s0").alias("a"), (F.col("s0") + F.col("more") + length).alias("b"), *source("first"), F.col("first.s0").alias("from_a"))
-    mixed = kinds.join(several, "g").select("first.*", (F.col("more") + length).cast("long").alias("units"))
-    each = scratch.write(cut(docs, mixed, "s0 long, units long", slice_windows(length), "w long, a long").select("w", *KEY, "a"))
+    mixed = kinds.join(several, "g").select("first.*", "more")
+    each = scratch.write(windows(docs, mixed, WordUnits(), length))
     at = F.struct(*KEY, "a")
     often = scratch.write(each.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("w", "first"))
     later = each.join(often, "w").where(at != F.col("first")).select(*KEY, "a", (F.col("a") + length).alias("b"), *source("first"), F.col("first.a").alias("from_a"))
@@ -99,10 +84,10 @@ def passages(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataF
     return with_source(joined, docs, slice_words, "words string").select(*KEY, "from_doc", "from_tie", "from_a", "words")
 
 
-def swept(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """Steps 2 and 3: ``(doc_id, n_words, n_removed, kept_sha256, kept)`` for every row that ``docs(doc_id, tie, text, n)`` stands for."""
+def swept(docs: DataFrame, found: DataFrame, length: int, kept: bool = True) -> DataFrame:
+    """Steps 2 and 3: ``(doc_id, n_words, n_removed, kept_sha256, kept)`` for every row that ``docs(doc_id, tie, text, n)`` stands for; ``kept`` if it is asked for."""
     own = found.groupBy(*KEY).agg(F.collect_list(F.struct("from_doc", "from_tie", "from_a", "words")).alias("passages"))
-    ddl = "doc_id long, n long, n_words long, n_removed long, kept_sha256 string, kept string"
+    ddl = "doc_id long, n long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * kept
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,35 +106,38 @@ def swept(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
                 if firsts:
                     automaton.make_automaton()
                 rows = []
-                for doc_id, tie, text, n in zip(ids, ties, texts, ns):
+                for doc_id, tie, text, n, may in zip(ids, ties, texts, ns, own):
                     words = split(text)
-                    keep = bytearray(b"\1") * len(words)
-                    if firsts and len(words) >= length:
+                    stay, gone = words, 0
+                    if may and len(words) >= length:
+                        keep = bytearray(b"\1") * len(words)
                         for end, (size, first) in automaton.iter(tuple(map(numbers.get, words, repeat(0)))):
                             if (doc_id, tie, end + 1 - size) > first:
                                 keep[end + 1 - size : end + 1] = bytes(size)
-                    kept = b" ".join(compress(words, keep))
-                    rows.append((doc_id, 1, len(words), keep.count(0), sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass")))
+                        stay, gone = compress(words, keep), keep.count(0)
+                    rest = b" ".join(stay)
+                    text_of = lambda x: (x.decode("utf-8", "surrogatepass"),) * kept
+                    rows.append((doc_id, 1, len(words), gone, sha256(rest).hexdigest(), *text_of(rest)))
                     if n > 1 and len(words) < length:  # equal rows too short to repeat anything
                         rows.append((doc_id, n - 1, *rows[-1][2:]))
                     elif n > 1:
-                        rows.append((doc_id, n - 1, len(words), len(words), sha256(b"").hexdigest(), ""))
+                        rows.append((doc_id, n - 1, len(words), len(words), sha256(b"").hexdigest(), *text_of(b"")))
                 yield batch_of(rows, schema)
 
     out = docs.join(own, KEY, "left").select(*KEY, "text", "n", "passages").mapInArrow(run, ddl)
     return out.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept_sha256, kept)``; ``kept`` is the text that stays, its words joined by a space."""
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, kept: bool = True) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept_sha256, kept)``; ``kept`` is the text that stays, its words joined by a space, and left out unless it is asked for."""
     scratch = Scratch(docs.sparkSession, "phrases")
     docs = keyed(docs, scratch)
-    out = swept(docs, passages(docs, scratch, length, gram), length)
+    out = swept(docs, passages(docs, scratch, length, gram), length, kept)
     return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
 
 
 def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(table(spark, sf_dir, "documents")).drop("kept")
+    return dedup(table(spark, sf_dir, "documents"), kept=False)
 
 
 OP10_SQL = r"""

@@ -191,6 +191,29 @@ def cut(docs: DataFrame, wanted: DataFrame, fields: str, piece: Callable[[str, l
     return joined.mapInArrow(run, full)
 
 
+def windows(docs: DataFrame, wanted: DataFrame, units_of: Callable[[str], np.ndarray], length: int) -> DataFrame:
+    """``(w, doc_id, tie, a)``: the hashes of the windows of the slices ``wanted(doc_id, tie, s0, more)``, whose texts are hashed once."""
+    by_doc = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("s0", F.col("more").cast("long").alias("more"))).alias("wanted"))
+    schema = "w long, doc_id long, tie long, a long"
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                parts = []
+                for doc_id, tie, text, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3)):
+                    s0, more = (own.values.field(k).to_numpy() for k in range(2))
+                    count = more + 1
+                    ends = np.cumsum(count)
+                    starts = np.arange(ends[-1]) + np.repeat(s0 - (ends - count), count)
+                    prefix = prefix_hashes(units_of(text.as_py()))
+                    parts.append((mix(range_hash(prefix, starts, starts + length)).view(np.int64), np.full(len(starts), doc_id), np.full(len(starts), tie), starts))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], schema=arrow)
+
+    return docs.join(by_doc, KEY).select(*KEY, "text", "wanted").mapInArrow(run, schema)
+
+
 def lines(pieces: DataFrame, *by: str) -> DataFrame:
     """Pieces ``(doc_id, tie, a, b, from_doc, from_tie, from_a)``, the units a to b of a text being those from from_a of another one,
     joined where they overlap or touch alike in both."""

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rainfold.llm import chat, decontamination, licenses, packing, phrases, quality_model, quality_rules, secrets, simhash, suffixes
+from rainfold.llm import chat, decontamination, licenses, packing, phrases, quality_model, quality_rules, secrets, simhash, suffixes, winnow
 from rainfold.llm.common import Scratch, components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, key string, g long, h long, kind string"
@@ -599,3 +599,20 @@ def test_representatives_keep_rows_of_shared_ids(spark):
     assert kept.columns == table.columns
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, a), (1, b), (None, c), (3, d), (4, None), (6, "x"), (6, "y")])
     assert all((r["row_a"], r["root"], r["m"]) == ("r", 1, {"k": "v"}) for r in kept.collect())
+
+
+def test_phrases_without_the_text_that_stays(spark):
+    """The query's rows without ``kept`` are those with it; windows are hashed alike wherever they stand."""
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(45)]
+    texts = [[f"w{rng.randrange(9999)}" for _ in range(rng.randrange(70))] + passage[rng.randrange(8) : rng.randrange(30, 46)] * (i % 3 > 0) + ["end"] for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)] + [(60, None), (60, None), (None, " ".join(texts[1]))], "doc_id long, text string")
+    bare, whole = phrases.dedup(docs, kept=False), phrases.dedup(docs)
+    assert bare.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"] and whole.columns == [*bare.columns, "kept"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, bare.collect()), key=key) == sorted((tuple(r)[:4] for r in whole.collect()), key=key)
+    own = spark.createDataFrame([(1, 0, "a b c d e f g"), (2, 0, "x y a b c d e f z")], "doc_id long, tie long, text string")
+    wanted = spark.createDataFrame([(1, 0, 0, 2), (2, 0, 2, 0), (2, 0, 3, 2)], "doc_id long, tie long, s0 long, more int")
+    at = {(r["doc_id"], r["a"]): r["w"] for r in winnow.windows(own, wanted, phrases.WordUnits(), 4).collect()}
+    assert sorted(at) == [(1, 0), (1, 1), (1, 2), (2, 2), (2, 3), (2, 4), (2, 5)]
+    assert [at[1, i] == at[2, j] for i in range(3) for j in (2, 3, 4, 5)] == [j == i + 2 for i in range(3) for j in (2, 3, 4, 5)]
