@@ -1,12 +1,12 @@
 """Quality rules: counts of a text's words, symbols and repeats, judged by an isolation forest.
 
-The forest is fitted on a bounded sample of rows labelled good (the ``FIT`` with the smallest hash of doc_id):
-random trees split the rule statistics at random values, and documents that few splits set apart are anomalous.
-The threshold comes from the labelled sample: the score that rejects at most ``MAX_LOSS`` of its good rows.
-Every document is counted and scored, over its whole text, in the one pass that returns it.
+The forest is fitted on all rows labelled good, which are dealt to its trees by hash: each row to one tree at least, and to as many as
+give a tree ``SAMPLE`` rows. Trees grow in tasks; they split the rule statistics at random values, and documents that few splits set apart are anomalous.
+The threshold is the score that rejects at most ``MAX_LOSS`` of all good rows, each of which is scored.
+Every document is counted over its whole text, once; the counts are written, and scored when the forest is known.
 
 Nulls: a null text has no words, and so fails the base rule. Without labelled good rows nothing but the base rule
-rejects. Repeated rows stay repeated. A doc_id counts once in the sample, with its smallest text if it has several. A text of any length is counted as a whole, in memory
+rejects. Repeated rows stay repeated. A doc_id counts once in the fit, with its smallest counts if it has several. A text of any length is counted as a whole, in memory
 a few times its own. Other columns are left alone, whatever their names. An empty table gives an empty result.
 """
 
@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainfold.llm.common import per_text, table, whole_rows
+from rainfold.llm.common import Scratch, arrow_schema, per_text, table, whole_rows
 
-#: Bound of the labelled sample, and the share of its good rows that the threshold may reject.
-FIT, MAX_LOSS = 8192, 0.001
+#: The share of the good rows that the threshold may reject.
+MAX_LOSS = 0.001
+#: Trees (a power of two), rows of a tree at least, if there are as many.
 TREES, SAMPLE, DEPTH, SEED = 128, 512, 12, 8
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -79,34 +80,50 @@ def harmonic(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
+def grown(rows: np.ndarray, low: np.ndarray, high: np.ndarray, rng: np.random.Generator) -> list[tuple]:
+    """A tree's nodes, the root first: feature (-1: leaf), split, children and, at leaves, the path length."""
+    # The range is widened by random values outside it, as of the rows in a sample that holds them.
+    margin = (high - low + 1e-3) * rng.uniform(0, 1, (4, rows.shape[1]))
+    outside = np.where(rng.integers(0, 2, margin.shape) == 1, high + margin, low)
+    nodes: list[tuple] = []
+
+    def grow(part: np.ndarray, depth: int) -> int:
+        at = len(nodes)
+        nodes.append((-1, 0.0, 0, 0, depth + float(harmonic(np.array([len(part)]))[0])))
+        spans = np.flatnonzero(part.min(axis=0) < part.max(axis=0)) if depth < DEPTH and len(part) > 1 else []
+        if len(spans):
+            j = int(rng.choice(spans))
+            split = float(rng.uniform(part[:, j].min(), part[:, j].max()))
+            left = part[:, j] <= split
+            nodes[at] = (j, split, grow(part[left], depth + 1), grow(part[~left], depth + 1), 0.0)
+        return at
+
+    grow(np.concatenate([rows, outside]), 0)
+    return nodes
+
+
 class Forest:
-    """Isolation forest in arrays: a node's feature (-1: leaf), split, children and, at leaves, the path length."""
+    """Isolation forest in arrays: the nodes of all trees, and the places of their roots."""
 
     def __init__(self, rows: np.ndarray, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.low, self.high = rows.min(axis=0), rows.max(axis=0)
-        self.norm = float(harmonic(np.array([min(SAMPLE, len(rows))]))[0]) or 1.0
-        nodes: list[tuple] = []
-        self.roots = []
-
-        def grow(part: np.ndarray, depth: int) -> int:
-            at = len(nodes)
-            nodes.append((-1, 0.0, 0, 0, depth + float(harmonic(np.array([len(part)]))[0])))
-            spans = [j for j in range(part.shape[1]) if part[:, j].min() < part[:, j].max()]
-            if depth < DEPTH and len(part) > 1 and spans:
-                j = int(rng.choice(spans))
-                split = float(rng.uniform(part[:, j].min(), part[:, j].max()))
-                left = part[:, j] <= split
-                nodes[at] = (j, split, grow(part[left], depth + 1), grow(part[~left], depth + 1), 0.0)
-            return at
-
-        for _ in range(TREES):
-            # The range is widened by random values outside it, as of the rows in a sample that holds them.
-            own = rows[rng.choice(len(rows), min(SAMPLE, len(rows)), replace=False)]
-            margin = (self.high - self.low + 1e-3) * rng.uniform(0, 1, (4, rows.shape[1]))
-            outside = np.where(rng.integers(0, 2, margin.shape) == 1, self.high + margin, self.low)
-            self.roots.append(grow(np.concatenate([own, outside]), 0))
-        self.feature, self.split, self.left, self.right, self.length = (np.array(x) for x in zip(*nodes))
+        size = min(SAMPLE, len(rows))
+        trees = [grown(rows[rng.choice(len(rows), size, replace=False)], rows.min(axis=0), rows.max(axis=0), rng) for _ in range(TREES)]
+        self._join([np.array(c) for c in zip(*(n for t in trees for n in t))], np.array([len(t) for t in trees]), size)
+
+    @classmethod
+    def of(cls, nodes: list[np.ndarray], sizes: np.ndarray, rows: float) -> Forest:
+        """Of the trees' nodes one after the other, their numbers of nodes and the mean of their rows."""
+        forest = cls.__new__(cls)
+        forest._join(nodes, sizes, rows)
+        return forest
+
+    def _join(self, nodes: list[np.ndarray], sizes: np.ndarray, rows: float) -> None:
+        self.norm = float(harmonic(np.array([rows]))[0]) or 1.0
+        self.roots = np.cumsum(sizes) - sizes
+        first = np.repeat(self.roots, sizes)
+        self.feature, self.split, left, right, self.length = nodes
+        self.left, self.right = left + first, right + first
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         """0 to 1; near 1: few splits set the row apart."""
@@ -128,19 +145,54 @@ def base_failed(counts: np.ndarray) -> np.ndarray:
     return (counts[:, 0] < 50) | (100 * counts[:, 4] > 50 * counts[:, 0])
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
-    """The forest and its threshold. At most FIT labelled rows come to the driver, as counts."""
+COUNTED = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS + OTHERS)
+FEATURES = [f"f{i}" for i in range(7)]
+
+
+def matrix(batch: pa.RecordBatch, columns: tuple | list) -> np.ndarray:
+    return np.stack([batch.column(c).to_numpy() for c in columns], axis=1)
+
+
+def fit(counts: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[Forest | None, float]:
+    """The forest and its threshold, from all labelled good rows of ``counts(doc_id, COUNTS, OTHERS)``. The driver sees the rows' number and range, and the trees."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    sample = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT)
-    counted = count(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")))
-    rows = np.array([tuple(r) for r in counted.select(*COUNTS, *OTHERS).collect()], np.int64).reshape(-1, len(COUNTS) + len(OTHERS))
-    rows = rows[~base_failed(rows)]
-    if not len(rows):
+    known = counts.join(good, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*COUNTS, *OTHERS)).alias("c")).select("doc_id", "c.*")
+    ddl = "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES)
+    seen = arrow_schema(ddl)
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = matrix(batch, COUNTS + OTHERS)
+            stays = ~base_failed(rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(stays)), *map(pa.array, features(rows[stays]).T.copy())], schema=seen)
+
+    rows = scratch.write(known.mapInArrow(shares, ddl))
+    n, *ends = rows.agg(F.count("*"), *(f(c) for f in (F.min, F.max) for c in FEATURES)).first()
+    if not n:
         return None, np.inf
-    rows = rows[np.lexsort(rows.T)]  # the same forest however the rows arrive
-    forest = Forest(features(rows))
-    scores = np.sort(forest.score(features(rows)))
-    return forest, float(scores[len(scores) - 1 - int(MAX_LOSS * len(scores))])
+    low, high = np.array(ends[:7]), np.array(ends[7:])
+    times = min(TREES, -(-TREES * SAMPLE // n))
+    first, step = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(TREES)), 2 * F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(TREES // 2)) + 1
+    dealt = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(times - 1)))).withColumn("tree", F.pmod(first + F.col("k") * step, F.lit(TREES)).cast("int"))
+    node = "tree int, node int, feature int, split double, left int, right int, length double"
+    shape = arrow_schema(node)
+
+    def tree(part: pa.Table) -> pa.Table:
+        part = part.sort_by("doc_id")
+        at = part.column("tree")[0].as_py()
+        nodes = grown(np.stack([part.column(c).to_numpy() for c in FEATURES], axis=1), low, high, np.random.default_rng((SEED, at)))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*((at, i, *x) for i, x in enumerate(nodes))), shape)], schema=shape)
+
+    nodes = dealt.groupBy("tree").applyInArrow(tree, node).toArrow().sort_by([("tree", "ascending"), ("node", "ascending")])
+    sizes = np.unique(nodes.column("tree").to_numpy(), return_counts=True)[1]
+    forest = Forest.of([nodes.column(c).to_numpy() for c in ("feature", "split", "left", "right", "length")], sizes, n * times / len(sizes))
+    score = arrow_schema("score double")
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(forest.score(matrix(batch, FEATURES)))], schema=score)
+
+    return forest, rows.mapInArrow(scored, "score double").orderBy(F.desc("score")).offset(int(MAX_LOSS * n)).first()[0]
 
 
 def count(docs: DataFrame) -> DataFrame:
@@ -148,25 +200,33 @@ def count(docs: DataFrame) -> DataFrame:
         rows = list(zip(*map(statistics, texts))) or [()] * len(COUNTS + OTHERS)
         return {"doc_id": ids} | dict(zip(COUNTS + OTHERS, rows))
 
-    return per_text(docs, run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS + OTHERS))
+    return per_text(docs, run, COUNTED)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, COUNTS, ``base_failed``, ``anomaly`` and ``kept`` for every row of ``docs``."""
-    forest, limit = fit(docs, labels)
+    scratch = Scratch(docs.sparkSession, "rules")
+    counts = scratch.write(count(docs))
+    forest, limit = fit(counts, labels, scratch)
+    ddl = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, anomaly double, kept boolean"
+    schema = arrow_schema(ddl)
 
-    def run(ids: list, texts: list) -> dict:
-        rows = np.array([statistics(t) for t in texts], np.int64).reshape(-1, len(COUNTS) + len(OTHERS))
-        score = forest.score(features(rows)) if forest else np.zeros(len(rows))
-        failed = base_failed(rows)
-        return {"doc_id": ids, **{c: rows[:, i] for i, c in enumerate(COUNTS)}, "base_failed": failed, "anomaly": score, "kept": ~failed & (score <= limit)}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = matrix(batch, COUNTS + OTHERS)
+            score = forest.score(features(rows)) if forest else np.zeros(len(rows))
+            failed = base_failed(rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(batch.column(c) for c in COUNTS), *map(pa.array, (failed, score, ~failed & (score <= limit)))], schema=schema)
 
-    return per_text(docs, run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, anomaly double, kept boolean")
+    return counts.mapInArrow(run, ddl)
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``judge`` keeps."""
-    forest, limit = fit(docs.select("doc_id", "text"), labels)
+    scratch = Scratch(docs.sparkSession, "rules")
+    counts = scratch.write(count(docs))
+    forest, limit = fit(counts, labels, scratch)
+    scratch.drop(counts)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -492,6 +492,25 @@ def test_path_lengths_of_the_forest():
     assert np.sort(forest.score(rows)[300:304]).min() > np.median(forest.score(rows)[:300])
 
 
+def test_rules_are_fitted_on_all_labelled_rows(spark, monkeypatch):
+    """Of 9,000 labelled rows, more than were fitted on before, each is in a tree, and the threshold rejects nine."""
+    grown = quality_rules.grown
+    rng = np.random.default_rng(17)
+    rows = [(i, *map(int, (200, 900 + rng.integers(300), rng.integers(9), 0, rng.integers(20), rng.integers(9), 1, 5))) for i in range(9000)]
+    counts = spark.createDataFrame(rows, quality_rules.COUNTED)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(9000)], "doc_id long, quality int, toxic int")
+    for sample in (512, 4):  # more places in the trees than rows, and fewer
+        monkeypatch.setattr(quality_rules, "SAMPLE", sample)
+        forest, limit = quality_rules.fit(counts, labels, Scratch(spark, "rules"))
+        times = min(128, -(-128 * sample // 9000))
+        leaves = forest.feature < 0
+        assert len(forest.roots) == 128 and forest.norm == pytest.approx(quality_rules.harmonic(np.array([9000 * times / 128]))[0])
+        assert leaves.sum() > 128
+        scores = forest.score(quality_rules.features(np.array([r[1:] for r in rows])))
+        assert (scores > limit).sum() <= 9 and np.sort(scores)[-10] == pytest.approx(limit)
+    assert grown(np.zeros((5, 2)), np.zeros(2), np.ones(2), rng)[0][0] >= 0
+
+
 def test_recall_of_paraphrases(spark):
     """Items with a share of their words replaced, in words of Zipf's frequencies; one item in a third of the documents, one of frequent words only."""
     rng = random.Random(16)
