@@ -16,6 +16,10 @@ another.
    binary search for their common extension over prefix polynomial hashes, so a comparison is logarithmic in the length.
    Neighbours that agree in LENGTH bytes, checked byte by byte, are repeats.
 
+Passages of PASSAGE words can have fewer than LENGTH bytes. They stay, but are told of if that is asked for: a document's words are counted that lie in a passage of as many words, whatever
+stands between them, which also starts earlier (a smaller doc_id, or the same document and an earlier start). Candidates are slices of words; windows of mixed ones
+are counted by hash. These counts rest on 64-bit hashes, as nothing goes by them.
+
 Nulls: a null text is empty. Rows that share a doc_id, or have none, are documents of their own; equal rows repeat each
 other. Other columns of the input are left alone. A text of any length that a row can hold is hashed in chunks of bounded size; what is gathered for it is at most
 a few times its bytes. An empty table gives an empty result.
@@ -33,12 +37,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, arrow_schema, batch_of, table
-from rainfold.llm.winnow import KEY, LAST, candidates, cut, keyed, lines, prefix_hashes, range_hash, with_source
+from rainfold.llm.winnow import KEY, LAST, candidates, cut, keyed, lines, mix, prefix_hashes, range_hash, windows, with_source
 
 LENGTH, GRAM = 400, 32
+#: Words of a passage that is told of though it may be too short to go, and of its grams.
+PASSAGE, WORDS = 51, 8
 #: Starts in a block, each a multiple of the next; blocks of a core that one task may gather, and blocks sorted at a time.
 BLOCKS, GROUP, TOGETHER = (64, 8, 1), 4096, 256
 VALUES = np.random.default_rng(9).integers(0, 1 << 64, 256, np.uint64)
+SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
 def raw(text: str) -> bytes:
@@ -49,6 +56,13 @@ def byte_units(text: str) -> np.ndarray:
     return VALUES[np.frombuffer(raw(text), np.uint8)]
 
 
+def word_units(text: str) -> np.ndarray:
+    data = np.frombuffer(raw(text), np.uint8)
+    gap = np.concatenate(([True], SPACE[data], [True]))
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    return mix(range_hash(prefix_hashes(VALUES[data]), edges[::2], edges[1::2]))
+
+
 def slice_bytes(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:
     whole = raw(text)
     return [(a, n, whole[a : a + n]) for a, n in wanted]
@@ -234,6 +248,39 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, gram: int) ->
     return whole.unionByName(spans.union(periodic).withColumn("bytes", F.lit(None).cast("binary")))
 
 
+def covered(a: np.ndarray, b: np.ndarray) -> int:
+    """How many places the spans a to b cover."""
+    order = np.argsort(a)
+    a, top = a[order], np.maximum.accumulate(b[order])
+    return int((top - np.maximum(a, np.concatenate((a[:1], top[:-1])))).sum())
+
+
+def later_words(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
+    """``(doc_id, tie, later)``: the words of a document in passages of ``length`` words that also start earlier, if there are any."""
+    found = candidates(docs, word_units, length, gram, scratch, fold=True)
+    place, at, period = F.struct(*KEY, "s0"), F.struct(*KEY, "a"), F.col("more") + 1
+    span = lambda a, b: (*KEY, a.alias("a"), b.alias("b"))
+    folded = found.where("after > 0").select(*span(F.col("s0") + period, F.col("s0") + (F.col("after") + 1) * period - 1 + length))
+    kinds = scratch.write(found.groupBy("g", "h").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("recurs"), F.first("more").alias("more")))
+    several = scratch.write(kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g"))
+    whole = found.join(kinds.where("recurs").select("g", "h", "first"), ["g", "h"]).where(place != F.col("first")).select(*span(F.col("s0"), F.col("s0") + F.col("more") + length))
+    # The first slice of a kind holds the first of its windows, so one slice of each kind will do.
+    each = scratch.write(windows(docs, kinds.join(several, "g").select("first.*", "more"), word_units, length))
+    often = scratch.write(each.groupBy("w").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("w", "first"))
+    later = each.join(often, "w").where(at != F.col("first")).select(*span(F.col("a"), F.col("a") + length))
+    schema = "doc_id long, tie long, later long"
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, ties, a, b = batch.columns
+            yield batch_of([(i.as_py(), t.as_py(), covered(x.values.to_numpy(), y.values.to_numpy())) for i, t, x, y in zip(ids, ties, a, b)], arrow)
+
+    told = scratch.write(whole.union(folded).union(later).groupBy(*KEY).agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b")).mapInArrow(run, schema))
+    scratch.drop(found, kinds, several, each, often)
+    return told
+
+
 def confirmed(data: bytes, spans: list[dict], length: int) -> list[tuple[int, int]]:
     """The spans (a, b) of ``data``; of those that come with other bytes than it has there, the runs of LENGTH or more equal bytes."""
     out = []
@@ -247,16 +294,17 @@ def confirmed(data: bytes, spans: list[dict], length: int) -> list[tuple[int, in
     return out
 
 
-def without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+def without(docs: DataFrame, spans: DataFrame, length: int, told: DataFrame | None = None, passage: int = 0) -> DataFrame:
+    """The result for every row that ``docs(doc_id, tie, text, n)`` stands for, with the passages ``told`` of if there are such."""
     own = spans.groupBy(*KEY).agg(F.collect_list(F.struct("a", "b", "bytes")).alias("spans"))
-    ddl = "doc_id long, n long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    ddl = "doc_id long, n long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary" + ", n_passage_words long" * (told is not None)
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = []
-                for doc_id, text, n, spans in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                for doc_id, text, n, spans, *later in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
                     data, kept, end = raw(text), [], 0
                     gone = confirmed(data, spans or [], length)
                     if n > 1 and len(data) >= length:
@@ -266,20 +314,30 @@ def without(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
                         kept.append(data[end:a])
                         end = b
                     rest = b"".join([*kept, data[end:]])
-                    rows.append((doc_id, n, len(data), len(data) - len(rest), len(gone), sha256(rest).hexdigest(), rest))
+                    row = (len(data), len(data) - len(rest), len(gone), sha256(rest).hexdigest(), rest)
+                    if later and n > 1:  # equal rows repeat the first one
+                        words = len(data.split())
+                        rows += [(doc_id, 1, *row, *later), (doc_id, n - 1, *row, words if words >= passage else 0)]
+                    else:
+                        rows.append((doc_id, n, *row, *later))
                 yield batch_of(rows, schema)
 
-    out = docs.join(own, KEY, "left").select("doc_id", "text", "n", "spans").mapInArrow(run, ddl)
+    out = docs.join(own, KEY, "left")
+    if told is not None:
+        out = out.join(told, KEY, "left").withColumn("later", F.coalesce("later", F.lit(0)))
+    out = out.select("doc_id", "text", "n", "spans", *["later"] * (told is not None)).mapInArrow(run, ddl)
     return out.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``; ``kept`` is the bytes that stay."""
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, passage: int | None = None, words: int = WORDS) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)``; ``kept`` is the bytes that stay. With ``passage`` also ``n_passage_words``, the words in passages of as many
+    words that also start earlier; nothing is removed for them."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     docs = keyed(docs, scratch)
-    out = without(docs, repeated_spans(docs, scratch, length, gram), length)
+    spans = repeated_spans(docs, scratch, length, gram)
+    out = without(docs, spans, length, later_words(docs, scratch, passage, words) if passage else None, passage)
     return out.withColumn("doc_id", F.when(F.col("doc_id") < LAST, F.col("doc_id")))
 
 
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(table(spark, sf_dir, "documents")).drop("kept")
+    return dedup(table(spark, sf_dir, "documents"), passage=PASSAGE).drop("kept")

@@ -259,6 +259,30 @@ def test_suffixes(spark, none, monkeypatch, group):
         assert suffixes.dedup(none, length, 8).count() == 0
 
 
+def test_passages_too_short_to_go(spark, none):
+    """Every passage of 12 words that also starts earlier is told of, where windows of bytes find none; in the query, passages of 51 words and under 400 bytes are."""
+    rng, rows = random.Random(12), every_row() + [(90, "one two " * 40), (91, "x\n" * 13), (92, "x " * 11)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"tie": F.lit("x"), "later": F.lit(1)})
+    ties = {r["text"]: r["h"] for r in table.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    first, want = {}, []
+    for k, (i, t) in enumerate(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, ties[r[1]]))):
+        words, told = re.findall(r"[^\x20\x09-\x0D]+", t or ""), set()
+        for s in range(len(words) - 11):
+            if first.setdefault(tuple(words[s : s + 12]), (k, s)) != (k, s):
+                told.update(range(s, s + 12))
+        want.append((i, len((t or "").encode()), 0, len(told)))
+    got = suffixes.dedup(table, 100_000, 32, passage=12, words=3).select("doc_id", "n_bytes", "n_removed", "n_passage_words")
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    assert suffixes.dedup(none, passage=12, words=3).count() == 0
+
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    text = lambda n: [word() for _ in range(n)]
+    planted = text(51)
+    rows = [(1, text(80) + planted + text(9)), (2, text(7) + planted + text(120)), (3, text(200)), (4, text(30) + planted[1:] + text(40))]
+    found = suffixes.dedup(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string"), passage=suffixes.PASSAGE).collect()
+    assert {r["doc_id"]: (r["n_removed"], r["n_passage_words"]) for r in found} == {1: (0, 0), 2: (0, 51), 3: (0, 0), 4: (0, 0)}
+
+
 def test_suffix_order():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 100, 3000).astype(np.uint8)
