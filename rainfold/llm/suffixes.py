@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainfold.llm.common import Scratch, arrow_schema, batch_of, table
-from rainfold.llm.winnow import KEY, LAST, candidates, cut, keyed, lines, mix, prefix_hashes, range_hash, windows, with_source
+from rainfold.llm.winnow import CHUNK, KEY, LAST, candidates, cut, keyed, lines, mix, prefix_hashes, range_hash, windows, with_source
 
 LENGTH, GRAM = 400, 32
 #: Words of a passage that is told of though it may be too short to go, and of its grams.
@@ -45,7 +45,7 @@ PASSAGE, WORDS = 51, 8
 #: Starts in a block, each a multiple of the next; blocks of a core that one task may gather, and blocks sorted at a time.
 BLOCKS, GROUP, TOGETHER = (64, 8, 1), 4096, 256
 VALUES = np.random.default_rng(9).integers(0, 1 << 64, 256, np.uint64)
-SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+GAPS = bytes(b in b" \t\n\v\f\r" for b in range(256))
 
 
 def raw(text: str) -> bytes:
@@ -57,10 +57,18 @@ def byte_units(text: str) -> np.ndarray:
 
 
 def word_units(text: str) -> np.ndarray:
-    data = np.frombuffer(raw(text), np.uint8)
-    gap = np.concatenate(([True], SPACE[data], [True]))
+    whole = raw(text)
+    gap = np.frombuffer(b"\1" + whole.translate(GAPS) + b"\1", np.bool_)
     edges = np.flatnonzero(gap[1:] != gap[:-1])
-    return mix(range_hash(prefix_hashes(VALUES[data]), edges[::2], edges[1::2]))
+    data, starts, ends = np.frombuffer(whole, np.uint8), edges[::2], edges[1::2]
+    if len(data) <= CHUNK:
+        return mix(range_hash(prefix_hashes(VALUES[data]), starts, ends))
+    out, i = [np.empty(0, np.uint64)], 0
+    while i < len(starts):
+        at, j = starts[i], max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK, "right")))
+        out.append(mix(range_hash(prefix_hashes(VALUES[data[at : ends[j - 1]]]), starts[i:j] - at, ends[i:j] - at)))
+        i = j
+    return np.concatenate(out)
 
 
 def slice_bytes(text: str, wanted: list[tuple[int, int]]) -> list[tuple]:

@@ -49,6 +49,25 @@ def test_two_million_bytes(spark, text):
     assert rows == {1: (len(text), len(text) if periodic else 400), 2: (400, 400), 3: (399, 0)}
 
 
+@pytest.mark.parametrize("unit", ["a ", "ab " * 60 + "c\n", "a" * 300_000 + " "], ids=["one word", "a line", "long words"])
+def test_passages_of_long_texts(spark, unit):
+    text = unit * (2_000_000 // len(unit) if len(unit) < 1000 else 53)
+    words = text.split()
+    rows = [(1, text), (2, " ".join(words[:51])), (3, " ".join(words[:50])), (4, "x y " + " ".join(words[-51:]))]
+    got = {r["doc_id"]: r["n_passage_words"] for r in suffixes.dedup(table(spark, rows), passage=51).collect()}
+    told, seen = {}, set()
+    for i, t in rows:
+        w, gone, end = t.split(), 0, 0
+        for s in range(len(w) - 50):
+            key = hash(tuple(w[s : s + 51]))
+            if key in seen:
+                gone += s + 51 - max(s, end)
+                end = s + 51
+            seen.add(key)
+        told[i] = gone
+    assert got == told
+
+
 def test_representatives_keep_columns_of_any_name(spark):
     rng = random.Random(3)
     base = [f"w{rng.randint(0, 500)}" for _ in range(200)]
